@@ -1,0 +1,234 @@
+"""Avro bodies <-> Arrow structs for flat records of long, double and string fields.
+
+Used only where the spark-avro module is not on the classpath. All records of an Arrow batch advance
+together, one field at a time, so the work is numpy array arithmetic and never a per-row loop.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+
+_ARROW = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+_SPARK = {"long": "bigint", "double": "double", "string": "string"}
+_PAD = 16
+
+
+@dataclass(frozen=True)
+class Field:
+    name: str
+    kind: str
+    null_branch: int | None  # position of "null" in the union; None for a plain type
+
+
+def parse_schema(avro_json: str) -> list[Field]:
+    record = json.loads(avro_json)
+    if record.get("type") != "record":
+        raise ValueError("expected an Avro record schema")
+    return [_parse_field(f["name"], f["type"]) for f in record["fields"]]
+
+
+def _parse_field(name: str, spec) -> Field:
+    branches = spec if isinstance(spec, list) else [spec]
+    kinds = [b for b in branches if b != "null"]
+    if len(kinds) != 1 or not isinstance(kinds[0], str) or kinds[0] not in _ARROW:
+        raise ValueError(f"field {name!r}: only nullable long, double and string are supported")
+    return Field(name, kinds[0], branches.index("null") if "null" in branches else None)
+
+
+def spark_ddl(fields: list[Field]) -> str:
+    return "struct<" + ",".join(f"`{f.name}`:{_SPARK[f.kind]}" for f in fields) + ">"
+
+
+# --- decode -----------------------------------------------------------------------------------
+
+
+class _Cursor:
+    """Read position of every record in the batch."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        self.data, self.pos, self.end = data, start.copy(), end
+        self.bad = np.zeros(len(start), dtype=bool)
+
+    def _advance(self, rows: np.ndarray, width) -> None:
+        moved = self.pos[rows] + width
+        over = moved > self.end[rows]
+        self.bad[rows[over]] = True
+        self.pos[rows] = np.minimum(moved, self.end[rows])
+
+    def longs(self, rows: np.ndarray) -> np.ndarray:
+        value = np.zeros(len(rows), dtype=np.uint64)
+        open_ = np.arange(len(rows))
+        for group in range(10):
+            at = rows[open_]
+            byte = self.data[self.pos[at]]
+            value[open_] |= (byte & 0x7F).astype(np.uint64) << np.uint64(7 * group)
+            self._advance(at, 1)
+            open_ = open_[(byte >= 0x80) & ~self.bad[at]]
+            if not len(open_):
+                break
+        self.bad[rows[open_]] = True
+        signs = -(value & np.uint64(1)).astype(np.int64)
+        return (value >> np.uint64(1)).astype(np.int64) ^ signs
+
+    def doubles(self, rows: np.ndarray) -> np.ndarray:
+        at = self.pos[rows]
+        self._advance(rows, 8)
+        raw = np.ascontiguousarray(self.data[at[:, None] + np.arange(8)])
+        return raw.view("<f8").ravel()
+
+    def spans(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.longs(rows)
+        self.bad[rows[size < 0]] = True
+        room = self.end[rows] - self.pos[rows]
+        self.bad[rows[size > room]] = True
+        size = np.clip(size, 0, room)
+        at = self.pos[rows].copy()
+        self._advance(rows, size)
+        return at, size
+
+
+def decode(values: pa.Array, fields: list[Field], permissive: bool) -> pa.StructArray:
+    n = len(values)
+    body = values.cast(pa.large_binary())
+    valid = body.is_valid().to_numpy(zero_copy_only=False)
+    _, offset_buf, data_buf = body.buffers()
+    offsets = np.frombuffer(offset_buf, dtype=np.int64)[body.offset : body.offset + n + 1]
+    data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf else np.zeros(0, dtype=np.uint8)
+    data = np.concatenate([data, np.zeros(_PAD, dtype=np.uint8)])
+
+    present = np.flatnonzero(valid)
+    cur = _Cursor(data, offsets[:-1][present], offsets[1:][present])
+    every = np.arange(len(present))
+    columns = []
+    for field in fields:
+        rows = every
+        if field.null_branch is not None:
+            branch = cur.longs(every)
+            cur.bad |= (branch != 0) & (branch != 1)
+            rows = np.flatnonzero((branch != field.null_branch) & ~cur.bad)
+        columns.append(_read_column(cur, field.kind, rows, present, n))
+    if cur.bad.any():
+        if not permissive:
+            raise ValueError(f"{int(cur.bad.sum())} malformed Avro record(s) in the batch")
+        valid = valid.copy()
+        valid[present[cur.bad]] = False
+    names = [f.name for f in fields]
+    return pa.StructArray.from_arrays(columns, names=names, mask=pa.array(~valid))
+
+
+def _read_column(cur: _Cursor, kind: str, rows: np.ndarray, present: np.ndarray, n: int) -> pa.Array:
+    missing = np.ones(n, dtype=bool)
+    missing[present[rows]] = False
+    if kind == "string":
+        at, size = cur.spans(rows)
+        lengths = np.zeros(n, dtype=np.int64)
+        lengths[present[rows]] = size
+        text = cur.data[_ragged(at, size)]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        packed = pa.LargeStringArray.from_buffers(
+            n, pa.py_buffer(ends), pa.py_buffer(text), _bitmap(~missing)
+        )
+        return packed.cast(pa.string())
+    out = np.zeros(n, dtype=np.int64 if kind == "long" else np.float64)
+    out[present[rows]] = cur.longs(rows) if kind == "long" else cur.doubles(rows)
+    return pa.array(out, type=_ARROW[kind], mask=missing)
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indexes of all bytes in the given spans, span after span."""
+    total = int(lengths.sum())
+    first = np.cumsum(lengths) - lengths
+    return np.arange(total) + np.repeat(starts - first, lengths)
+
+
+def _bitmap(bits: np.ndarray) -> pa.Buffer:
+    return pa.py_buffer(np.packbits(bits, bitorder="little"))
+
+
+# --- encode -----------------------------------------------------------------------------------
+
+
+def encode(records: pa.StructArray, fields: list[Field]) -> pa.Array:
+    n = len(records)
+    by_name = dict(zip((f.name for f in records.type), records.flatten(), strict=True))
+    parts = [_plan_column(by_name[f.name], f) for f in fields]
+    size = sum((p.width for p in parts), np.zeros(n, dtype=np.int64))
+    valid = records.is_valid().to_numpy(zero_copy_only=False)
+    size[~valid] = 0
+    ends = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(int(ends[-1]), dtype=np.uint8)
+    pos = ends[:-1].copy()
+    for part in parts:
+        part.write(out, pos, valid)
+    made = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), n, [_bitmap(valid), pa.py_buffer(ends), pa.py_buffer(out)]
+    )
+    return made.cast(pa.binary())
+
+
+def _zigzag(x: np.ndarray) -> np.ndarray:
+    return ((x << 1) ^ (x >> 63)).astype(np.uint64)
+
+
+def _varint_width(z: np.ndarray) -> np.ndarray:
+    width = np.ones(len(z), dtype=np.int64)
+    for group in range(1, 10):
+        width += z >= np.uint64(1) << np.uint64(7 * group)
+    return width
+
+
+def _put_varint(out: np.ndarray, at: np.ndarray, z: np.ndarray, width: np.ndarray) -> None:
+    for group in range(int(width.max(initial=0))):
+        rows = np.flatnonzero(width > group)
+        byte = (z[rows] >> np.uint64(7 * group)).astype(np.uint8) & 0x7F
+        more = (width[rows] > group + 1).astype(np.uint8) << 7
+        out[at[rows] + group] = byte | more
+
+
+class _plan_column:
+    """Byte widths of one field for every record, and how to write them."""
+
+    def __init__(self, column: pa.Array, field: Field):
+        self.kind, self.null_branch = field.kind, field.null_branch
+        self.filled = column.is_valid().to_numpy(zero_copy_only=False)
+        if field.null_branch is None and not self.filled.all():
+            raise ValueError(f"field {field.name!r} is not nullable")
+        if self.kind == "string":
+            text = column.cast(pa.large_string())
+            _, offset_buf, data_buf = text.buffers()
+            offs = np.frombuffer(offset_buf, dtype=np.int64)[text.offset : text.offset + len(text) + 1]
+            self.text = np.frombuffer(data_buf, dtype=np.uint8) if data_buf else np.zeros(0, np.uint8)
+            self.starts, self.length = offs[:-1], np.where(self.filled, np.diff(offs), 0)
+            self.z = _zigzag(self.length)
+            self.head = _varint_width(self.z)
+            payload = self.head + self.length
+        elif self.kind == "long":
+            plain = column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+            self.z = _zigzag(plain)
+            self.head = payload = _varint_width(self.z)
+        else:
+            self.plain = column.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False)
+            payload = np.full(len(column), 8, dtype=np.int64)
+        self.tag = 0 if self.null_branch is None else 1
+        self.width = self.tag + np.where(self.filled, payload, 0)
+
+    def write(self, out: np.ndarray, pos: np.ndarray, valid: np.ndarray) -> None:
+        if self.tag:
+            live = np.flatnonzero(valid)
+            branch = np.where(self.filled[live], 1 - self.null_branch, self.null_branch)
+            out[pos[live]] = branch << 1  # zigzag of 0 or 1
+        rows = np.flatnonzero(self.filled & valid)
+        at = pos[rows] + self.tag
+        if self.kind == "double":
+            raw = np.ascontiguousarray(self.plain[rows]).astype("<f8").view(np.uint8).reshape(-1, 8)
+            out[at[:, None] + np.arange(8)] = raw
+        else:
+            _put_varint(out, at, self.z[rows], self.head[rows])
+            if self.kind == "string":
+                size = self.length[rows]
+                out[_ragged(at + self.head[rows], size)] = self.text[_ragged(self.starts[rows], size)]
+        pos[valid] += self.width[valid]
