@@ -21,18 +21,20 @@ BatchSink = Callable[[DataFrame, int], None]
 
 
 def batch_sink(columns: list[str], write: Callable[[DataFrame, int], None]) -> BatchSink:
-    """Skip an empty batch, fix the column order, write once, log the row count.
+    """Fix the column order, write once, log the row count.
 
-    The count is observed during the write instead of taking a pass of its own.
+    The batch is decoded once: its count is observed during the write, and emptiness is read off the
+    count, since a write without rows leaves nothing behind.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            log.info("batch %s is empty, skipped", batch_id)
-            return
         seen = Observation()
         write(batch.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
-        log.info("batch %s: %s rows written", batch_id, seen.get["rows"])
+        rows = seen.get["rows"]
+        if rows == 0:
+            log.info("batch %s is empty, nothing written", batch_id)
+        else:
+            log.info("batch %s: %s rows written", batch_id, rows)
 
     return load
 
