@@ -98,12 +98,16 @@ def decode_by_schema_id(
     A frame with an unknown id is an error, or an all-NULL record in PERMISSIVE mode.
     """
     sid = frame_schema_id(value)
-    known = sid.isin(*schemas)
-    body = frame_body(value)
-    if mode.upper() != "PERMISSIVE":
+    nothing = F.lit(None).cast("binary")
+    if mode.upper() == "PERMISSIVE":
+        other = nothing
+    else:
         trouble = F.raise_error(F.concat(F.lit("unknown schema id "), sid.cast("string")))
-        body = F.when(known | sid.isNull(), body).otherwise(trouble.cast("binary"))
-    decoded = {f"_r{i}": decode_avro(F.when(sid == i, body), s, mode) for i, s in schemas.items()}
+        other = F.when(sid.isNull() | sid.isin(*schemas), nothing).otherwise(trouble.cast("binary"))
+    decoded = {
+        f"_r{i}": decode_avro(F.when(sid == i, frame_body(value)).otherwise(other), schema, mode)
+        for i, schema in schemas.items()
+    }
     out = df.withColumns({"schema_id": sid, **decoded})
     fields: dict[str, list[Column]] = {}
     for i, schema in schemas.items():

@@ -14,9 +14,12 @@ from sparkelt.schemas import GATE_FLAGS, REJECTED_FLAGS, FeedSpec
 
 
 def drop_invalid(raw: DataFrame, feed: FeedSpec) -> DataFrame:
-    """Keep trips that have their key and all mandatory fields and end after they start."""
-    needed = ["trip_id", *feed.id_cols]
-    return raw.dropna(subset=needed).filter(F.col(feed.dropoff) > F.col(feed.pickup))
+    """Keep trips that have their key and all mandatory fields and end after they start.
+
+    One plain predicate per column, so that each can be pushed to the scan.
+    """
+    present = [F.col(c).isNotNull() for c in (*feed.id_cols, "trip_id")]
+    return raw.filter(reduce(and_, present)).filter(F.col(feed.dropoff) > F.col(feed.pickup))
 
 
 def quality_gate(df: DataFrame, flags: Iterable[str] = GATE_FLAGS) -> DataFrame:

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def upsert(
+    target: DataFrame, updates: DataFrame, key: str, keys: DataFrame | None = None
+) -> DataFrame:
     """Matched keys take the whole new row, other keys are added, nothing is deleted.
 
     NULL keys match nothing and stay on both sides. ``updates`` must be unique by key. Only its key
-    column takes part in the join; Spark broadcasts it when its measured size allows.
+    column takes part in the join; Spark broadcasts it when its measured size allows. ``keys`` may
+    give the same set of keys by a cheaper plan, repeats included.
     """
-    kept = target.join(updates.select(key), key, "left_anti")
+    kept = target.join((updates if keys is None else keys).select(key), key, "left_anti")
     return kept.unionByName(updates)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -18,19 +18,25 @@ from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 MAX_LISTED_PARTITIONS = 5000
 
 
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
 @dataclass(frozen=True)
 class Model:
     """A stored model and how to compute it.
 
     ``inputs`` names the upstream frames in the order ``build`` takes them, each with the feed it
-    holds, or None if it holds both and tells them apart by ``taxi_type``. ``finish`` adds columns
-    that are cheaper to compute after the rows have been moved to their final place.
+    holds, or None if it holds both and tells them apart by ``taxi_type``. The rows come about in
+    three steps: ``build`` is cheap and may yield several versions of a key, ``settle`` leaves one,
+    ``finish`` adds columns that are best computed after the rows have moved to their place.
     """
 
     table: TableSpec
     inputs: Mapping[str, str | None]
     build: Callable[..., DataFrame]
-    finish: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+    settle: Callable[[DataFrame], DataFrame] = _same
+    finish: Callable[[DataFrame], DataFrame] = _same
     spread: bool = False  # regroup rows by partition before a first write
 
     @property
@@ -106,39 +112,37 @@ def run_model(
 def apply_updates(
     wh: Warehouse,
     model: Model,
-    updates: DataFrame,
+    rows: DataFrame,
     before: MarkDict | None,
     upstream: MarkDict | None = None,
 ) -> RunResult:
-    """Store a model's new rows, then its marks."""
+    """Store a model's new rows (as ``build`` made them), then its marks."""
     if before is None:
-        return _build(wh, model, updates, upstream)
+        return _build(wh, model, rows, upstream)
+    # What a merge must know in advance, the partitions and the keys, takes a few columns of the
+    # unsettled rows. Reading those again is cheaper than keeping the wide rows around.
     table = model.table
-    updates = model.finish(updates).transform(table.with_part).persist()
-    try:
-        touched = _touched(updates, table)
-        if touched == []:
-            after = _later(before, upstream or {})
-            if after != before:
-                wh.set_marks(table, after)
-            return RunResult(model.name, "none", [], before, after)
-        measured = upstream or watermarks(updates, model.feeds)
-        base = wh.read_physical(table, touched)
-        if touched is None:
-            part = table.part.name
-            parts = updates.select(F.col(part).alias("_part")).distinct()
-            base = base.join(parts, F.col(part).eqNullSafe(F.col("_part")), "left_semi")
-        merged = upsert(base, updates, table.key)
-        wh.write(table, _gather(merged, table), only_touched=True)
-        after = _later(before, measured)
-        wh.set_marks(table, after)
-        return RunResult(model.name, "merge", touched, before, after)
-    finally:
-        updates.unpersist()
+    touched, measured = _survey(model, rows)
+    after = _later(before, upstream or measured)
+    if touched == []:
+        if after != before:
+            wh.set_marks(table, after)
+        return RunResult(model.name, "none", [], before, after)
+    base = wh.read(table, touched)
+    if touched is None:
+        part = table.part_of()
+        parts = rows.select(part.alias("_part")).distinct()
+        base = base.join(parts, part.eqNullSafe(F.col("_part")), "left_semi")
+    updates = model.finish(model.settle(rows)).select(*table.schema.names)
+    merged = upsert(base, updates, table.key, keys=rows.select(table.key))
+    wh.write(table, _gather(merged.transform(table.with_part), table), only_touched=True)
+    wh.set_marks(table, after)
+    return RunResult(model.name, "merge", touched, before, after)
 
 
 def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | None) -> RunResult:
     table = model.table
+    rows = model.settle(rows)
     if model.spread:
         # Regroup the narrow rows first; what finish() adds is never shuffled.
         part = table.part_of().alias(table.part.name)
@@ -155,9 +159,20 @@ def _gather(df: DataFrame, table: TableSpec) -> DataFrame:
     return df.hint("rebalance", table.part.name)
 
 
-def _touched(updates: DataFrame, table: TableSpec) -> list | None:
-    found = updates.select(table.part.name).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    return None if len(found) > MAX_LISTED_PARTITIONS else [r[0] for r in found]
+def _survey(model: Model, rows: DataFrame) -> tuple[list | None, MarkDict]:
+    """Partitions the rows fall into (None: too many to list) and the rows' own marks, in one job."""
+    by = [model.table.part_of().alias("_part")]
+    if "taxi_type" in rows.columns:
+        by.append(F.col("taxi_type"))
+    groups = rows.groupBy(*by).agg(F.max("loaded_at").alias("loaded_at"))
+    found = groups.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(found) > MAX_LISTED_PARTITIONS:
+        return None, watermarks(rows, model.feeds)
+    marks: MarkDict = dict.fromkeys(model.feeds)
+    for row in found:
+        for feed in [row["taxi_type"]] if len(by) > 1 else model.feeds:
+            marks = _later(marks, {feed: row["loaded_at"]})
+    return list(dict.fromkeys(row["_part"] for row in found)), marks
 
 
 def _later(before: MarkDict, new: MarkDict) -> MarkDict:

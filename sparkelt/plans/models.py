@@ -26,12 +26,16 @@ def _project(df: DataFrame, schema: T.StructType, made: dict[str, Column] | None
 # --- staging ----------------------------------------------------------------------------------
 
 
-def stg_core(raw: DataFrame, feed: S.FeedSpec) -> DataFrame:
-    """Valid trips, newest version of each, under domain names."""
-    named = drop_invalid(raw, feed).select(
+def stg_valid(raw: DataFrame, feed: S.FeedSpec) -> DataFrame:
+    """Valid trips under domain names, all versions of each."""
+    return drop_invalid(raw, feed).select(
         *[F.col(old).alias(new) for new, old in feed.staged_columns.items()]
     )
-    return dedup_latest(named, ["trip_id"], ["loaded_at"], TIEBREAK)
+
+
+def stg_newest(valid: DataFrame) -> DataFrame:
+    """Newest version of each trip."""
+    return dedup_latest(valid, ["trip_id"], ["loaded_at"], TIEBREAK)
 
 
 def stg_flags(core: DataFrame, feed: S.FeedSpec) -> DataFrame:
@@ -45,7 +49,7 @@ def stg_flags(core: DataFrame, feed: S.FeedSpec) -> DataFrame:
 
 
 def stg_taxi(raw: DataFrame, feed: S.FeedSpec) -> DataFrame:
-    return stg_flags(stg_core(raw, feed), feed)
+    return stg_flags(stg_newest(stg_valid(raw, feed)), feed)
 
 
 # --- intermediate -----------------------------------------------------------------------------

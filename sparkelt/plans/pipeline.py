@@ -33,8 +33,9 @@ def _staging_model(feed: S.FeedSpec) -> Model:
     return Model(
         _trip_table("staging", feed.staging_name, S.staging_schema(feed)),
         {f"raw_{feed.name}": feed.name},
-        lambda raw: M.stg_core(raw, feed),
-        lambda core: M.stg_flags(core, feed),
+        lambda raw: M.stg_valid(raw, feed),
+        settle=M.stg_newest,
+        finish=lambda core: M.stg_flags(core, feed),
         spread=True,
     )
 

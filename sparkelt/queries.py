@@ -96,7 +96,7 @@ def _night_weekend(spark: SparkSession, d: str) -> DataFrame:
 
 def _watermark_filter(spark: SparkSession, d: str) -> DataFrame:
     raw = _yellow(spark, d)
-    mark = watermark(M.stg_core(first_batch(raw), S.YELLOW))
+    mark = watermark(M.stg_valid(first_batch(raw), S.YELLOW))
     return since(M.stg_taxi(raw, S.YELLOW), mark)
 
 

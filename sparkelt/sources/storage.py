@@ -18,6 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).isFile()
@@ -69,7 +74,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
     path = f"{base.rstrip('/')}/sparkelt/{label}-{uuid.uuid4().hex}"
+    ensure_dir(spark, path)
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
     fs.deleteOnExit(p)
     return path

@@ -155,6 +155,7 @@ class Warehouse:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*fields, *parts])
             by = ", ".join(p.name for p in parts)
             full = qualified_name(layer, name)
+            storage.ensure_dir(self.spark, self.path(layer, name))
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
                 f"PARTITIONED BY ({by}) LOCATION '{self.path(layer, name)}'"

@@ -1,0 +1,62 @@
+"""Each check on rows it must find, and the combined report."""
+
+from datetime import datetime
+
+import pytest
+
+from sparkelt.operators.quality import CheckSpec, run_checks, violations
+from sparkelt.plans.pipeline import CHECKS
+
+T = [datetime(2024, 1, 5, h) for h in range(4)]
+DDL = "id string, v bigint, x double, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz"
+ROWS = [
+    ("a", 1, 1.0, T[0], T[1]),
+    ("a", 2, 0.0, T[1], T[1]),
+    ("b", 9, -1.0, T[2], T[1]),
+    (None, None, None, None, T[1]),
+    (None, 9, 2.0, T[0], T[3]),
+    ("c", 9, 2.0, T[0], T[3]),
+]
+EXPECTED = {
+    CheckSpec("t", "not_null", "v"): 1,
+    CheckSpec("t", "unique", "id"): 1,
+    CheckSpec("t", "accepted_values", "v", (1, 2)): 3,
+    CheckSpec("t", "relationships", "v", to="p", field="k"): 3,
+    CheckSpec("t", "dropoff_after_pickup"): 2,
+    CheckSpec("t", "positive", "x"): 3,
+    CheckSpec("t", "positive_or_zero", "x"): 2,
+}
+
+
+@pytest.fixture
+def tables(spark):
+    parents = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k bigint")
+    return {"t": spark.createDataFrame(ROWS, DDL), "p": parents}
+
+
+@pytest.mark.parametrize("spec", EXPECTED, ids=lambda s: s.check)
+def test_violating_rows(tables, spec):
+    assert violations(spec, tables).count() == EXPECTED[spec]
+
+
+def test_report_agrees_with_the_single_checks(tables):
+    report = {(r.column_name, r.check_name): r.failures for r in run_checks(tables, EXPECTED).collect()}
+    assert report == {(s.column, s.check): n for s, n in EXPECTED.items()}
+
+
+def test_report_on_an_empty_table_is_all_zero(spark, tables):
+    empty = {"t": spark.createDataFrame([], DDL), "p": tables["p"]}
+    rows = run_checks(empty, EXPECTED).collect()
+    assert len(rows) == len(EXPECTED) and all(r.failures == 0 for r in rows)
+
+
+def test_number_of_checks_per_model():
+    per_model = {}
+    for c in CHECKS:
+        per_model[c.model] = per_model.get(c.model, 0) + 1
+    assert per_model == {
+        "stg_green_taxi": 14,
+        "stg_yellow_taxi": 14,
+        "int_both_taxi": 14,
+        "fact_trip": 6,
+    }
