@@ -133,6 +133,8 @@ def _relationships(
             for t, f in targets.items()
         ],
     )
-    lost = used.join(known, ["_to", "_value"], "left_anti")
-    counts = [_count(F.col("_fk") == i, i, F.col("_n")) for i in range(len(specs))]
-    return _long(lost.agg(*counts), specs)
+    # An outer join: an anti join would be moved below the counting, onto every row of the child.
+    found = used.join(known.withColumn("_known", F.lit(True)), ["_to", "_value"], "left")
+    lost = F.col("_known").isNull()
+    counts = [_count(lost & (F.col("_fk") == i), i, F.col("_n")) for i in range(len(specs))]
+    return _long(found.agg(*counts), specs)

@@ -33,5 +33,7 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     shuffle once per map task; the full rows are only looked up against the (few) orphan values.
     """
     values = child.select(fk).filter(F.col(fk).isNotNull()).distinct()
-    missing = values.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    known = parent.select(F.col(pk).alias(fk), F.lit(True).alias("_known"))
+    # An outer join: an anti join would be moved below the distinct, onto every row of the child.
+    missing = values.join(known, fk, "left").filter(F.col("_known").isNull()).select(fk)
     return child.join(missing, fk, "left_semi")

@@ -134,7 +134,10 @@ def apply_updates(
         parts = rows.select(part.alias("_part")).distinct()
         base = base.join(parts, part.eqNullSafe(F.col("_part")), "left_semi")
     updates = model.finish(model.settle(rows)).select(*table.schema.names)
-    merged = upsert(base, updates, table.key, keys=rows.select(table.key))
+    keys = rows.select(table.key)
+    if model.settle is not _same:
+        keys = keys.distinct()  # combined on the map side: a much repeated key stays one row per task
+    merged = upsert(base, updates, table.key, keys)
     wh.write(table, _gather(merged.transform(table.with_part), table), only_touched=True)
     wh.set_marks(table, after)
     return RunResult(model.name, "merge", touched, before, after)

@@ -81,30 +81,34 @@ class Warehouse:
         """Raw rows of a feed; only load dates that can hold newer rows are listed and read."""
         names = storage.child_names(self.spark, self.raw_path(feed))
         days = [n for n in names if n.startswith("load_date=")]
+        chosen = days
         if newer_than is not None:
-            days = [n for n in days if n >= f"load_date={newer_than.date().isoformat()}"]
+            chosen = [n for n in days if n >= f"load_date={newer_than.date().isoformat()}"]
         physical = T.StructType([*feed.raw_schema.fields, *RAW_PARTITIONS])
-        return self._scan(self.raw_path(feed), days, physical).select(*feed.raw_schema.names)
+        found = self._scan(self.raw_path(feed), days, chosen, physical)
+        return found.select(*feed.raw_schema.names)
 
     # --- model tables -------------------------------------------------------------------------
 
     def read(self, table: TableSpec, partitions: Iterable | None = None) -> DataFrame:
         """The table's declared columns, optionally from the given partitions only."""
-        return self.read_physical(table, partitions).select(*table.schema.names)
-
-    def read_physical(self, table: TableSpec, partitions: Iterable | None = None) -> DataFrame:
         path = self.path(table.layer, table.name)
-        names = [n for n in storage.child_names(self.spark, path) if n.startswith(f"{table.part.name}=")]
+        names = storage.child_names(self.spark, path)
+        names = chosen = [n for n in names if n.startswith(f"{table.part.name}=")]
         if partitions is not None:
             wanted = {_dir_name(table, v) for v in partitions}
-            names = [n for n in names if n in wanted]
-        return self._scan(path, names, T.StructType([*table.schema.fields, table.part]))
-
-    def _scan(self, base: str, names: list[str], schema: T.StructType) -> DataFrame:
-        if not names:
+            chosen = [n for n in names if n in wanted]
+        physical = T.StructType([*table.schema.fields, table.part])
+        return self._scan(path, names, chosen, physical).select(*table.schema.names)
+
+    def _scan(
+        self, base: str, names: list[str], chosen: list[str], schema: T.StructType
+    ) -> DataFrame:
+        """Some of the partition folders under ``base``; only those are listed."""
+        if not chosen:
             return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", base)
-        return reader.parquet(*[f"{base}/{n}" for n in names])
+        paths = [base] if len(chosen) == len(names) else [f"{base}/{n}" for n in chosen]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def write(self, table: TableSpec, df: DataFrame, only_touched: bool) -> None:
         """Write the frame's partitions; all others are dropped, or kept if ``only_touched``.

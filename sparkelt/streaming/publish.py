@@ -12,10 +12,11 @@ from sparkelt.schemas import FeedSpec
 def event_ordered(df: DataFrame, feed: FeedSpec) -> DataFrame:
     """Rows in order of their pickup.
 
-    A range sort. The hash after the pickup lets the ranges cut through a single moment that holds
-    a large part of the rows.
+    A range sort. What follows the pickup in the sort key lets the ranges cut through a single
+    moment, or a single row repeated many times, that makes up a large part of the input.
     """
-    return df.orderBy(feed.pickup, F.xxhash64(*df.columns))
+    spread = {"_hash": F.xxhash64(*df.columns), "_seq": F.monotonically_increasing_id()}
+    return df.withColumns(spread).orderBy(feed.pickup, *spread).drop(*spread)
 
 
 def to_messages(

@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.debug.maxToStringFields", "1000")
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("catalog")))
         .getOrCreate()
     )
