@@ -51,11 +51,11 @@ class Model:
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did. ``touched`` lists the partitions it rewrote; None stands for any of them."""
+    """What a run did. ``touched`` lists the partitions it rewrote, as text; None stands for any."""
 
     model: str
     kind: str  # "full", "merge" or "none"
-    touched: list | None
+    touched: list[str | None] | None
     before: MarkDict
     after: MarkDict
 
@@ -162,9 +162,13 @@ def _gather(df: DataFrame, table: TableSpec) -> DataFrame:
     return df.hint("rebalance", table.part.name)
 
 
-def _survey(model: Model, rows: DataFrame) -> tuple[list | None, MarkDict]:
-    """Partitions the rows fall into (None: too many to list) and the rows' own marks, in one job."""
-    by = [model.table.part_of().alias("_part")]
+def _survey(model: Model, rows: DataFrame) -> tuple[list[str | None] | None, MarkDict]:
+    """Partitions the rows fall into (None: too many to list) and the rows' own marks, in one job.
+
+    Partition values come as text, the way folders are named, since Spark's dates reach further than
+    Python's.
+    """
+    by = [model.table.part_of().cast("string").alias("_part")]
     if "taxi_type" in rows.columns:
         by.append(F.col("taxi_type"))
     groups = rows.groupBy(*by).agg(F.max("loaded_at").alias("loaded_at"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,13 +90,13 @@ class Warehouse:
 
     # --- model tables -------------------------------------------------------------------------
 
-    def read(self, table: TableSpec, partitions: Iterable | None = None) -> DataFrame:
-        """The table's declared columns, optionally from the given partitions only."""
+    def read(self, table: TableSpec, partitions: Iterable[str | None] | None = None) -> DataFrame:
+        """The table's declared columns, optionally from the given partitions (as text) only."""
         path = self.path(table.layer, table.name)
         names = storage.child_names(self.spark, path)
         names = chosen = [n for n in names if n.startswith(f"{table.part.name}=")]
         if partitions is not None:
-            wanted = {_dir_name(table, v) for v in partitions}
+            wanted = {f"{table.part.name}={NULL_PARTITION if v is None else v}" for v in partitions}
             chosen = [n for n in names if n in wanted]
         physical = T.StructType([*table.schema.fields, table.part])
         return self._scan(path, names, chosen, physical).select(*table.schema.names)
@@ -119,8 +119,10 @@ class Warehouse:
         if table.sort is not None:
             df = df.sortWithinPartitions(table.part.name, *table.sort())
         writer = df.write.mode("overwrite").partitionBy(table.part.name)
-        mode = "dynamic" if only_touched else "static"
-        writer.option("partitionOverwriteMode", mode).parquet(self.path(table.layer, table.name))
+        writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+        # Keys hardly repeat within a file, so building a dictionary for them is wasted work.
+        writer = writer.option(f"parquet.enable.dictionary#{table.key}", "false")
+        writer.parquet(self.path(table.layer, table.name))
 
     # --- high-water marks ---------------------------------------------------------------------
     # One small file per run and table, written after the table itself is committed. A run that dies
@@ -165,11 +167,3 @@ class Warehouse:
                 f"PARTITIONED BY ({by}) LOCATION '{self.path(layer, name)}'"
             )
             self.spark.catalog.recoverPartitions(full)
-
-
-def _dir_name(table: TableSpec, value) -> str:
-    if value is None:
-        text = NULL_PARTITION
-    else:
-        text = value.isoformat() if isinstance(value, date) else str(value)
-    return f"{table.part.name}={text}"

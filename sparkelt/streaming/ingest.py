@@ -37,6 +37,5 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start one feed's query. Feeds run as independent queries, each with its own checkpoint."""
     writer = decoded_stream(source, feed, fmt, mode).writeStream.foreachBatch(sink)
-    writer = writer.queryName(f"ingest_{feed.name}_{checkpoint.rstrip('/').rsplit('/', 1)[-1]}")
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
     return writer.trigger(**(trigger or EVERY_5_SECONDS)).start()

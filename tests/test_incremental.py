@@ -1,6 +1,6 @@
 """Upsert, watermarks and two-run behaviour."""
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -66,7 +66,7 @@ def test_first_run_takes_all_then_only_newer_rows(spark, warehouse, trip_row):
     same_time = trip_row(trip_id="c")
     newer = trip_row(trip_id="a", fare_amount=99.0, loaded_at=T0 + timedelta(seconds=1))
     second = run_green(warehouse, green(spark, same_time, newer))
-    assert second.kind == "merge" and second.touched == [date(2024, 1, 5)]
+    assert second.kind == "merge" and second.touched == ["2024-01-05"]
     assert second.after == {"green": T0 + timedelta(seconds=1)}
     assert staged(warehouse) == {"a": 99.0, "b": 10.0}  # equal load time is not newer
     third = run_green(warehouse, green(spark, same_time, newer))
@@ -106,6 +106,21 @@ def test_merge_leaves_other_partitions_alone(spark, warehouse, trip_row):
     assert set(staged(warehouse)) == {"a", "b"}
 
 
+def test_dates_beyond_the_python_calendar_are_merged(spark, warehouse, trip_row):
+    """A mistyped year must not stop a run."""
+
+    def far(**kw):
+        df = green(spark, trip_row(trip_id="far", **kw))
+        stamps = {"lpep_pickup_datetime": "+20240-01-05 10:00:00", "lpep_dropoff_datetime": "+20240-01-05 11:00:00"}
+        return df.withColumns({c: F.lit(v).cast("timestamp_ntz") for c, v in stamps.items()})
+
+    run_green(warehouse, green(spark, trip_row()).unionByName(far()))
+    later = far(fare_amount=50.0, loaded_at=T0 + timedelta(hours=1))
+    assert run_green(warehouse, later).touched == ["+20240-01-05"]
+    rows = warehouse.read(GREEN_MODEL.table).select("trip_id", "fare_amount").collect()
+    assert {tuple(r) for r in rows} == {("t1", 10.0), ("far", 50.0)}
+
+
 def test_merge_with_too_many_partitions_to_list(spark, warehouse, trip_row, monkeypatch):
     def day(d, **kw):
         start = datetime(2024, 1, d, 1)
