@@ -14,7 +14,7 @@ from sparkelt.operators.upsert import upsert
 from sparkelt.schemas import FEED_NAMES
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
-# Partition values a merge will handle as an explicit list; with more, a semi-join finds them.
+# Partitions a merge will single out by name; when it touches more, it rewrites the whole table.
 MAX_LISTED_PARTITIONS = 5000
 
 
@@ -129,10 +129,6 @@ def apply_updates(
             wh.set_marks(table, after)
         return RunResult(model.name, "none", [], before, after)
     base = wh.read(table, touched)
-    if touched is None:
-        part = table.part_of()
-        parts = rows.select(part.alias("_part")).distinct()
-        base = base.join(parts, part.eqNullSafe(F.col("_part")), "left_semi")
     updates = model.finish(model.settle(rows)).select(*table.schema.names)
     keys = rows.select(table.key)
     if model.settle is not _same:
@@ -145,6 +141,7 @@ def apply_updates(
 
 def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | None) -> RunResult:
     table = model.table
+    wh.clear_marks(table)
     rows = model.settle(rows)
     if model.spread:
         # Regroup the narrow rows first; what finish() adds is never shuffled.

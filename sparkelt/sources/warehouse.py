@@ -64,8 +64,16 @@ class Warehouse:
         return f"{self.root}/{layer_name(layer)}/{name}"
 
     def exists(self, table: TableSpec) -> bool:
-        """True once a write of the table has been committed."""
-        return storage.exists(self.spark, f"{self.path(table.layer, table.name)}/_SUCCESS")
+        """True once a write of the table has been committed.
+
+        Either Spark's own marker says so, or marks were stored after the commit; a folder without
+        both is what an interrupted first write left behind.
+        """
+        names = storage.child_names(self.spark, self.path(table.layer, table.name))
+        if "_SUCCESS" in names:
+            return True
+        has_rows = any(n.startswith(f"{table.part.name}=") for n in names)
+        return has_rows and self.marks(table) is not None
 
     # --- raw layer ----------------------------------------------------------------------------
 
@@ -148,6 +156,9 @@ class Warehouse:
         for old in runs[:-1]:
             storage.delete(self.spark, f"{path}/{old}")
 
+    def clear_marks(self, table: TableSpec) -> None:
+        storage.delete(self.spark, self._marks_path(table))
+
     # --- catalog ------------------------------------------------------------------------------
 
     def register(self, tables: Iterable[TableSpec]) -> None:

@@ -87,6 +87,17 @@ def test_marks_fall_back_to_the_table(spark, warehouse, trip_row):
     assert I.watermark(warehouse.read(GREEN_MODEL.table)) == T0
 
 
+def test_an_interrupted_first_write_is_not_taken_for_a_table(spark, warehouse, trip_row):
+    path = warehouse.path("staging", "stg_green_taxi")
+    run_green(warehouse, green(spark, trip_row(trip_id="a")))
+    storage.delete(spark, f"{path}/_SUCCESS")
+    assert warehouse.exists(GREEN_MODEL.table)  # its marks were stored
+    warehouse.clear_marks(GREEN_MODEL.table)
+    assert not warehouse.exists(GREEN_MODEL.table)
+    run_green(warehouse, green(spark, trip_row(trip_id="b")))
+    assert staged(warehouse) == {"b": 10.0}
+
+
 def test_full_refresh_forgets_what_the_source_no_longer_has(spark, warehouse, trip_row):
     run_green(warehouse, green(spark, trip_row(trip_id="a")))
     run_green(warehouse, green(spark, trip_row(trip_id="b")), full_refresh=True)
