@@ -118,13 +118,12 @@ def _relationships(
     (key, value) pairs, not the child's rows.
     """
     links = F.array(
-        *[
-            F.struct(F.lit(i).alias("_fk"), F.lit(s.to).alias("_to"), F.col(s.column).alias("_value"))
-            for i, s in enumerate(specs)
-        ]
+        *[F.struct(F.lit(i).alias("_fk"), F.col(s.column).alias("_value")) for i, s in enumerate(specs)]
     )
     used = child.select(F.inline(links)).filter(F.col("_value").isNotNull())
-    used = used.groupBy("_fk", "_to", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    used = used.groupBy("_fk", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    parents = F.array(*[F.lit(s.to) for s in specs])
+    used = used.withColumn("_to", parents[F.col("_fk")])
     targets = {s.to: s.field for s in specs}
     known = reduce(
         DataFrame.unionByName,

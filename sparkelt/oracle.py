@@ -166,6 +166,7 @@ _TWO_RUNS = (
     "SELECT * FROM gated_2)"
 )
 
+# --- fixed values: display labels ---
 _LABELS = {
     "vendor_id": ("vendor_name", {1: "Vendor One", 2: "Vendor Two"}, "Unknown Vendor"),
     "payment_id": (
@@ -302,6 +303,7 @@ def _report() -> str:
 
 # --- wire -------------------------------------------------------------------------------------
 
+# --- fixed values: wire fields of the green feed, in order ---
 _WIRE_GREEN = (
     "VendorID lpep_pickup_datetime lpep_dropoff_datetime store_and_fwd_flag RatecodeID PULocationID "
     "DOLocationID passenger_count trip_distance fare_amount extra mta_tax tip_amount tolls_amount "

@@ -144,13 +144,19 @@ def dim_members(metrics: DataFrame, dims: Iterable[Dimension]) -> DataFrame:
     """(dim, key, loaded_at) of all given dimensions from one scan of the trips.
 
     Every trip contributes one pair per source column; pairs are combined on the map side, so the
-    shuffle carries distinct members only, however many trips share one.
+    shuffle carries distinct members only, however many trips share one. Rows are grouped by the
+    dimension's number, which is cheaper to hash than its name.
     """
+    dims = list(dims)
     pairs = [
-        F.struct(F.lit(d.name).alias("dim"), F.col(c).alias("key")) for d in dims for c in d.columns
+        F.struct(F.lit(i).alias("_dim"), F.col(c).alias("key"))
+        for i, d in enumerate(dims)
+        for c in d.columns
     ]
     exploded = metrics.select("loaded_at", F.inline(F.array(*pairs)))
-    return exploded.groupBy("dim", "key").agg(F.max("loaded_at").alias("loaded_at"))
+    found = exploded.groupBy("_dim", "key").agg(F.max("loaded_at").alias("loaded_at"))
+    names = F.array(*[F.lit(d.name) for d in dims])
+    return found.select(names[F.col("_dim")].alias("dim"), "key", "loaded_at")
 
 
 def dim_from_members(members: DataFrame, dim: Dimension) -> DataFrame:
