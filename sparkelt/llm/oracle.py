@@ -5,7 +5,7 @@ from __future__ import annotations
 from .license import DIAGONAL_GAP, K, MAX_STRETCH, MIN_COVERAGE, template_grams
 from .quality import RULES, STOP_WORDS
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
 def _listed(values) -> str:
@@ -21,7 +21,7 @@ def _quality() -> str:
     return rf"""
 WITH worded AS (
   SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w
@@ -40,7 +40,7 @@ WITH worded AS (
          len(lines) AS n_lines,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper,
          length(regexp_replace(text, '[^!]', '', 'g')) AS bang,
-         len(list_filter(words, w -> w IN ({_listed(STOP_WORDS)}))) AS stop
+         len(list_filter(words, lambda w: w IN ({_listed(STOP_WORDS)}))) AS stop
   FROM worded d LEFT JOIN covered USING (doc_id)
 ), measured AS (
   SELECT *, CASE WHEN n_words > 0 THEN 100 * n_repeat_words / n_words ELSE 0 END AS repeat_percent,
@@ -67,7 +67,7 @@ def _license() -> str:
 WITH templates(t, label, base, tpos, gram, grams) AS (VALUES {rows}), worded AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS words
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
   FROM documents
 ), votes AS (
   SELECT doc_id, t, label, base, grams, tpos, pos, pos - tpos AS diagonal
@@ -90,7 +90,7 @@ WITH templates(t, label, base, tpos, gram, grams) AS (VALUES {rows}), worded AS
          max(diagonal) FILTER (base AND votes = grams) AS last_at,
          CASE WHEN max(high) + {K} - min(low) <= {MAX_STRETCH} * (grams + {K - 1})
               THEN len(list_distinct(flatten(list(held)))) / grams ELSE 0.0 END AS coverage
-  FROM numbered GROUP BY ALL
+  FROM numbered GROUP BY doc_id, t, label, base, grams, span
 ), found AS (
   SELECT doc_id, sum(places) AS n_base, min(first_at) AS first_word, max(last_at) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (places > 0) AS base_labels,
