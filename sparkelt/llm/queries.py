@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license, quality
+from . import license, pii, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +22,21 @@ def _quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.judged(table(spark, d, "documents")).select("doc_id", *shown)
 
 
+def _pii(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.detect(table(spark, d, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
+        "op4_pii_spans": _pii,
         "op9_quality_rules": _quality,
     }
