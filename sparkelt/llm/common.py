@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -56,6 +57,18 @@ def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> D
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the same source tree.
+
+    Where executors do not have that tree, the package is shipped with ``--py-files`` as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see.
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license, pii, quality
-from .common import table
+from . import license, pii, quality, tokens, warc
+from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,9 +34,20 @@ def _pii(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _warc(spark: SparkSession, d: str) -> DataFrame:
+    back = warc.round_trip(table(spark, d, "pages"), f"{shared_dir(spark)}/warc")
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _tokens(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.count(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
+        "op3_warc_segments": _warc,
         "op4_pii_spans": _pii,
+        "op7_token_counts": _tokens,
         "op9_quality_rules": _quality,
     }
