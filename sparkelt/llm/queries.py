@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license, pii, quality, tokens, warc
+from . import decontam, license, pii, quality, tokens, warc
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokens.count(table(spark, d, "documents"))
 
 
+def _decontam(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.matches(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("row")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
@@ -50,4 +54,5 @@ def queries() -> dict[str, Query]:
         "op4_pii_spans": _pii,
         "op7_token_counts": _tokens,
         "op9_quality_rules": _quality,
+        "op10_benchmark_leaks": _decontam,
     }
