@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, pii, quality, tokens, warc
+from . import decontam, license, pii, quality, simhash, tokens, warc
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,9 +47,15 @@ def _decontam(spark: SparkSession, d: str) -> DataFrame:
     return decontam.matches(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("row")
 
 
+def _simhash(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.grouped(table(spark, d, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
+        "op2_simhash_groups": _simhash,
         "op3_warc_segments": _warc,
         "op4_pii_spans": _pii,
         "op7_token_counts": _tokens,
