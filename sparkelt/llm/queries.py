@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, pii, quality, simhash, tokens, warc
+from . import decontam, license, pii, quality, simhash, suffix, tokens, warc
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,12 +52,17 @@ def _simhash(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _suffix(spark: SparkSession, d: str) -> DataFrame:
+    return suffix.repeats(table(spark, d, "documents")).drop("spans")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
         "op2_simhash_groups": _simhash,
         "op3_warc_segments": _warc,
         "op4_pii_spans": _pii,
+        "op6_suffix_repeats": _suffix,
         "op7_token_counts": _tokens,
         "op9_quality_rules": _quality,
         "op10_benchmark_leaks": _decontam,
