@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, pii, quality, simhash, suffix, tokens, warc
+from . import decontam, license, lines, mixing, pii, quality, simhash, suffix, tokens, warc
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,14 +56,28 @@ def _suffix(spark: SparkSession, d: str) -> DataFrame:
     return suffix.repeats(table(spark, d, "documents")).drop("spans")
 
 
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    left = lines.stripped(table(spark, d, "documents").select("doc_id", "text"))
+    kept = F.coalesce("text", F.lit(""))
+    return left.select(
+        "doc_id", "n_lines", "n_dropped", F.length(kept).cast("long").alias("n_kept_chars"), F.sha2(kept, 256).alias("kept_sha256")
+    )
+
+
+def _mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "labels")).drop("key")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
         "op2_simhash_groups": _simhash,
         "op3_warc_segments": _warc,
         "op4_pii_spans": _pii,
+        "op5_line_templates": _lines,
         "op6_suffix_repeats": _suffix,
         "op7_token_counts": _tokens,
+        "op8_soft_mixing": _mixing,
         "op9_quality_rules": _quality,
         "op10_benchmark_leaks": _decontam,
     }
