@@ -45,7 +45,6 @@ HEADLINE = (
     "dq_relationships",
     "normalize_payload",
     "decode_json",
-    "decode_avro",
     "stream_ingest_green",
     "stream_ingest_yellow",
 )
@@ -68,7 +67,7 @@ def ingest(spark, wh: Warehouse) -> None:
         source = stream_parquet(spark, f"{wh.root}/_messages/{feed.name}", "value binary")
         sink = parquet_batch_sink(feed, wh.raw_path(feed))
         checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
-        running.append(start_ingest(source, feed, sink, checkpoint, trigger=UNTIL_DRAINED))
+        running.append(start_ingest(source, feed, sink, checkpoint, "framed_json", trigger=UNTIL_DRAINED))
     for query in running:
         query.awaitTermination()
 
@@ -97,7 +96,7 @@ def main() -> None:
     ingest_seconds = 0.0
     for label, part in (("first", first_batch), ("second", second_batch)):
         for name, df in raw.items():  # publishing is not timed
-            messages = to_messages(part(df), S.FEEDS[name]).repartition(int(CPUS))
+            messages = to_messages(part(df), S.FEEDS[name], "framed_json").repartition(int(CPUS))
             messages.write.mode("append").parquet(f"{wh.root}/_messages/{name}")
         seconds[f"ingest_{label}_drop"] = timed(lambda: ingest(spark, wh))
         ingest_seconds += seconds[f"ingest_{label}_drop"]

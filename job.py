@@ -19,15 +19,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from sparkelt.functions.wire import extract_payload  # noqa: E402
 from sparkelt.operators.profile import preview, profile  # noqa: E402
 from sparkelt.operators.quality import run_checks  # noqa: E402
 from sparkelt.plans import pipeline  # noqa: E402
 from sparkelt.schemas import FEEDS  # noqa: E402
 from sparkelt.sources.readers import read_kafka_stream, read_parquet, stream_parquet  # noqa: E402
 from sparkelt.sources.warehouse import Warehouse  # noqa: E402
-from sparkelt.streaming.ingest import EVERY_5_SECONDS, UNTIL_DRAINED, start_ingest  # noqa: E402
+from sparkelt.streaming.ingest import UNTIL_DRAINED, start_ingest  # noqa: E402
 from sparkelt.streaming.publish import event_ordered, to_messages, write_kafka  # noqa: E402
-from sparkelt.streaming.sinks import jdbc_batch_sink, parquet_batch_sink  # noqa: E402
+from sparkelt.streaming.sinks import jdbc_batch_sink, parquet_batch_sink, start_file_sink  # noqa: E402
 
 
 def publish(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -44,18 +45,28 @@ def publish(spark: SparkSession, a: argparse.Namespace) -> int:
 def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     feed = FEEDS[a.feed]
     if a.messages:
-        source = stream_parquet(spark, a.messages, "value binary")
+        source = stream_parquet(spark, a.messages, "value binary", a.max_files)
     else:
-        source = read_kafka_stream(spark, a.bootstrap, a.topic or feed.topic)
+        source = read_kafka_stream(
+            spark,
+            a.bootstrap,
+            a.topic or feed.topic,
+            max_offsets_per_trigger=a.max_offsets,
+            min_partitions=a.min_partitions,
+        )
     wh = Warehouse(spark, a.warehouse)
+    checkpoint = a.checkpoint or f"{wh.root}/_checkpoints/{feed.name}"
+    trigger = UNTIL_DRAINED if a.once else {"processingTime": a.interval}
+    if a.json_path:
+        rows = extract_payload(source, feed, a.format, parse_times=False, with_key=False, mode=a.mode)
+        start_file_sink(rows, a.json_path, checkpoint, trigger=trigger).awaitTermination()
+        return 0
     if a.jdbc_url:
         properties = dict(p.split("=", 1) for p in a.jdbc_property)
         sink = jdbc_batch_sink(feed, a.jdbc_url, a.jdbc_table or f"raw.{feed.raw_name}", properties)
     else:
         sink = parquet_batch_sink(feed, wh.raw_path(feed))
-    checkpoint = a.checkpoint or f"{wh.root}/_checkpoints/{feed.name}"
-    trigger = UNTIL_DRAINED if a.once else EVERY_5_SECONDS
-    start_ingest(source, feed, sink, checkpoint, a.format, trigger).awaitTermination()
+    start_ingest(source, feed, sink, checkpoint, a.format, trigger, a.mode).awaitTermination()
     return 0
 
 
@@ -77,6 +88,11 @@ def checks(spark: SparkSession, a: argparse.Namespace) -> int:
     return int(any(r.failures for r in report))
 
 
+def run_all(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Models, then checks, as one scheduled job."""
+    return models(spark, a) or checks(spark, a)
+
+
 def show_profile(spark: SparkSession, a: argparse.Namespace) -> int:
     df = read_parquet(spark, a.source)
     df.printSchema()
@@ -94,7 +110,7 @@ def parser() -> argparse.ArgumentParser:
         s.set_defaults(run=run)
         if feed:
             s.add_argument("--feed", choices=sorted(FEEDS), required=True)
-            s.add_argument("--format", choices=("avro", "json"), default="avro")
+            s.add_argument("--format", choices=("avro", "framed_json", "json"), default="avro")
             s.add_argument("--topic")
             where = s.add_mutually_exclusive_group(required=True)
             where.add_argument("--bootstrap")
@@ -109,12 +125,19 @@ def parser() -> argparse.ArgumentParser:
     s = add("ingest", ingest, feed=True, warehouse=True)
     s.add_argument("--checkpoint")
     s.add_argument("--once", action="store_true", help="stop when everything available is loaded")
+    s.add_argument("--interval", default="5 seconds", help="time between micro-batches")
+    s.add_argument("--mode", choices=("FAILFAST", "PERMISSIVE"), default="FAILFAST", help="malformed bodies")
+    s.add_argument("--max-offsets", type=int, help="messages per micro-batch")
+    s.add_argument("--min-partitions", type=int, help="tasks per micro-batch")
+    s.add_argument("--max-files", type=int, help="message files per micro-batch")
+    s.add_argument("--json-path", help="append decoded messages to JSON files instead")
     s.add_argument("--jdbc-url", help="load into a database table instead of the raw folder")
     s.add_argument("--jdbc-table")
     s.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
-    s = add("models", models, warehouse=True)
-    s.add_argument("--full-refresh", action="store_true")
-    s.add_argument("--register", action="store_true", help="declare the tables in the catalog")
+    for name, job in (("models", models), ("run", run_all)):
+        s = add(name, job, warehouse=True)
+        s.add_argument("--full-refresh", action="store_true")
+        s.add_argument("--register", action="store_true", help="declare the tables in the catalog")
     add("checks", checks, warehouse=True)
     add("profile", show_profile, source=True)
     return p

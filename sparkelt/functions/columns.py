@@ -46,7 +46,7 @@ def positive_flag(c: Column | str) -> Column:
 def amount_flag(c: Column | str) -> Column:
     """missing / invalid (below zero) / zero / valid."""
     c = _col(c)
-    return F.when(c > 0, "valid").when(c == 0, "zero").when(c.isNull(), "missing").otherwise("invalid")
+    return F.when(c.isNull(), "missing").when(c < 0, "invalid").when(c == 0, "zero").otherwise("valid")
 
 
 def enum_flag(c: Column | str, accepted: Iterable[int]) -> Column:

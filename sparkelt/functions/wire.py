@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkelt.functions import avro_arrow
 from sparkelt.functions.columns import iso_seconds, parse_timestamp, trip_key
 from sparkelt.schemas import FeedSpec
 
-# Ship the codec inside the task, so executors need not have this package installed.
-register_pickle_by_value(avro_arrow)
-
 # --- fixed values: the registry frame is one zero byte, a 4-byte big-endian schema id, the body ---
 FRAME_BYTES = 5
 
@@ -38,64 +33,37 @@ def frame(body: Column | str, schema_id: int) -> Column:
 
 
 # --- Avro -------------------------------------------------------------------------------------
+# Spark's own functions; they need the spark-avro module on the class path.
 
 
-def has_spark_avro(spark: SparkSession) -> bool:
-    """True when the spark-avro module can be used by this session."""
-    from pyspark.sql.avro.functions import from_avro
-
-    probe = '{"type":"record","name":"p","fields":[{"name":"a","type":"long"}]}'
-    try:
-        spark.range(0).select(from_avro(F.lit(b""), probe)).schema  # noqa: B018
-    except (AnalysisException, TypeError):
-        return False
-    return True
-
-
-def decode_avro(
-    body: Column, avro_json: str, mode: str = "FAILFAST", native: bool | None = None
-) -> Column:
+def decode_avro(body: Column, avro_json: str, mode: str = "FAILFAST") -> Column:
     """Avro body to a struct column. ``mode`` as in from_avro: FAILFAST or PERMISSIVE."""
-    if _use_native(native):
-        from pyspark.sql.avro.functions import from_avro
-
-        return from_avro(body, avro_json, {"mode": mode})
-    fields = avro_arrow.parse_schema(avro_json)
-    permissive = mode.upper() == "PERMISSIVE"
-
-    @F.arrow_udf(avro_arrow.spark_ddl(fields))
-    def decode_avro_batch(values: pa.Array) -> pa.Array:
-        return avro_arrow.decode(values, fields, permissive)
+    from pyspark.sql.avro.functions import from_avro
 
-    return decode_avro_batch(body)
+    return from_avro(body, avro_json, {"mode": mode})
 
 
-def encode_avro(record: Column, avro_json: str, native: bool | None = None) -> Column:
+def encode_avro(record: Column, avro_json: str) -> Column:
     """Struct column to an Avro body."""
-    if _use_native(native):
-        from pyspark.sql.avro.functions import to_avro
+    from pyspark.sql.avro.functions import to_avro
 
-        return to_avro(record, avro_json)
-    fields = avro_arrow.parse_schema(avro_json)
+    return to_avro(record, avro_json)
 
-    @F.arrow_udf("binary")
-    def encode_avro_batch(records: pa.Array) -> pa.Array:
-        return avro_arrow.encode(records, fields)
 
-    return encode_avro_batch(record)
-
-
-def _use_native(native: bool | None) -> bool:
-    return has_spark_avro(SparkSession.getActiveSession()) if native is None else native
+# --- frames by writer schema ------------------------------------------------------------------
 
 
 def decode_by_schema_id(
-    df: DataFrame, schemas: dict[int, str], value: str = "value", mode: str = "FAILFAST"
+    df: DataFrame,
+    schemas: dict[int, str | T.StructType],
+    value: str = "value",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Decode frames by the writer schema each one names; columns are the union over all schemas.
 
-    The input is read once: each decoder gets the body of its own frames and NULL for the others.
-    A frame with an unknown id is an error, or an all-NULL record in PERMISSIVE mode.
+    A schema is a struct type for JSON bodies, or an Avro schema as text for Avro bodies. The input
+    is read once: each decoder gets the body of its own frames and NULL for the others. A frame with
+    an unknown id is an error, or an all-NULL record in PERMISSIVE mode.
     """
     sid = frame_schema_id(value)
     nothing = F.lit(None).cast("binary")
@@ -104,25 +72,32 @@ def decode_by_schema_id(
     else:
         trouble = F.raise_error(F.concat(F.lit("unknown schema id "), sid.cast("string")))
         other = F.when(sid.isNull() | sid.isin(*schemas), nothing).otherwise(trouble.cast("binary"))
-    decoded = {
-        f"_r{i}": decode_avro(F.when(sid == i, frame_body(value)).otherwise(other), schema, mode)
-        for i, schema in schemas.items()
-    }
-    out = df.withColumns({"schema_id": sid, **decoded})
+
+    def decoded(i: int, schema: str | T.StructType) -> Column:
+        body = F.when(sid == i, frame_body(value)).otherwise(other)
+        return decode_avro(body, schema, mode) if isinstance(schema, str) else decode_json(body, schema, mode)
+
+    def names(schema: str | T.StructType) -> list[str]:
+        if isinstance(schema, str):
+            return [f["name"] for f in json.loads(schema)["fields"]]
+        return schema.names
+
+    records = {f"_r{i}": decoded(i, schema) for i, schema in schemas.items()}
+    out = df.withColumns({"schema_id": sid, **records})
     fields: dict[str, list[Column]] = {}
     for i, schema in schemas.items():
-        for f in avro_arrow.parse_schema(schema):
-            fields.setdefault(f.name, []).append(F.col(f"_r{i}")[f.name])
-    return out.withColumns({n: F.coalesce(*cs) for n, cs in fields.items()}).drop(*decoded)
+        for name in names(schema):
+            fields.setdefault(name, []).append(F.col(f"_r{i}")[name])
+    return out.withColumns({n: F.coalesce(*cs) for n, cs in fields.items()}).drop(*records)
 
 
 # --- JSON -------------------------------------------------------------------------------------
 
 
-def decode_json(value: Column | str, schema: T.StructType) -> Column:
-    """JSON text (or its bytes) to a struct; malformed text gives a record of NULLs."""
+def decode_json(value: Column | str, schema: T.StructType, mode: str = "PERMISSIVE") -> Column:
+    """JSON text (or its bytes) to a struct. Malformed text: a record of NULLs, or FAILFAST."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.from_json(value.cast("string"), schema)
+    return F.from_json(value.cast("string"), schema, {"mode": mode})
 
 
 def encode_json(names: list[str]) -> Column:
@@ -141,16 +116,19 @@ def extract_payload(
     keep: tuple[str, ...] = (),
     parse_times: bool = True,
     with_key: bool = True,
-    mode: str = "FAILFAST",
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Messages to feed columns: decode, flatten, parse timestamps, add the trip key.
 
+    ``fmt`` is "avro" (framed), "framed_json" or "json"; ``mode`` says what a malformed body does.
     Works on batch and streaming frames alike; every step is narrow.
     """
     if fmt == "avro":
         record = decode_avro(frame_body(value), feed.avro_json, mode)
+    elif fmt == "framed_json":
+        record = decode_json(frame_body(value), feed.wire_schema, mode)
     elif fmt == "json":
-        record = decode_json(value, feed.wire_schema)
+        record = decode_json(value, feed.wire_schema, mode)
     else:
         raise ValueError(f"unknown message format {fmt!r}")
     out = df.select(*keep, record.alias("data")).select(*keep, "data.*")

@@ -318,19 +318,6 @@ def _wire(feed: str) -> str:
     return f"SELECT * REPLACE ({iso}) FROM raw_{feed}"
 
 
-def _avro_bytes() -> str:
-    """Body length of a green record: per field one branch byte plus the value's own bytes."""
-    longs = "VendorID RatecodeID PULocationID DOLocationID passenger_count payment_type trip_type"
-    doubles = [c for c in _WIRE_GREEN if c in ("trip_distance", "ehail_fee", "total_amount", *_AMOUNTS)]
-    texts = {"lpep_pickup_datetime": 19, "lpep_dropoff_datetime": 19, "store_and_fwd_flag": 1}
-    terms = [str(len(_WIRE_GREEN))]
-    for c in longs.split():
-        terms.append(f'CASE WHEN "{c}" IS NULL THEN 0 WHEN "{c}" < 64 THEN 1 ELSE 2 END')
-    terms += [f"CASE WHEN {c} IS NULL THEN 0 ELSE 8 END" for c in doubles]
-    terms += [f"CASE WHEN {c} IS NULL THEN 0 ELSE {n + 1} END" for c, n in texts.items()]
-    return " + ".join(terms)
-
-
 def oracle_sql() -> dict[str, str]:
     every = _ctes()
     metrics = f"metrics AS ({_metrics('gated')})"
@@ -404,6 +391,14 @@ def oracle_sql() -> dict[str, str]:
         "inc_two_batch_stg_green": q("SELECT * FROM stg_green"),
         "inc_two_batch_int": q("SELECT * FROM gated", _TWO_RUNS),
         "inc_two_batch_fact": q("SELECT * EXCLUDE (taxi_type) FROM metrics", both_metrics),
+        "inc_slow_feed": q(
+            "SELECT * EXCLUDE (taxi_type) FROM metrics",
+            f"{every}, {_ctes('one', '_1')}, {_ctes('two', '_2')}, slow AS ("
+            "SELECT * FROM gated_1 ANTI JOIN gated_2 USING (trip_id) WHERE taxi_type = 'green' "
+            "UNION ALL BY NAME SELECT * FROM gated_2 WHERE taxi_type = 'green' "
+            "UNION ALL BY NAME SELECT * FROM gated WHERE taxi_type = 'yellow'), "
+            f"metrics AS ({_metrics('slow')})",
+        ),
         "inc_two_batch_dims": q(
             "SELECT * FROM dims_1 ANTI JOIN dims_2 USING (dim, member) UNION ALL SELECT * FROM dims_2",
             two_dims,
@@ -475,10 +470,9 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({_wire('green')})"
         ),
         "decode_json": q("SELECT * EXCLUDE (loaded_at) FROM raw_green"),
-        "decode_avro": q("SELECT * EXCLUDE (loaded_at) FROM raw_green"),
         "decode_frame": q(
-            f"SELECT trip_id, 7 AS schema_id, CAST({_avro_bytes()} AS INTEGER) AS body_bytes "
-            "FROM raw_green"
+            "SELECT trip_id, 7 AS schema_id, "
+            f"CAST(strlen(CAST(json_object({json_pairs}) AS VARCHAR)) AS INTEGER) AS body_bytes FROM ({_wire('green')})"
         ),
         "decode_by_schema_id": q(
             f"SELECT 101 AS schema_id, * EXCLUDE (trip_id, loaded_at) FROM ({_wire('green')}) "

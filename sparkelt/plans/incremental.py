@@ -14,9 +14,6 @@ from sparkelt.operators.upsert import upsert
 from sparkelt.schemas import FEED_NAMES
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
-# Partitions a merge will single out by name; when it touches more, it rewrites the whole table.
-MAX_LISTED_PARTITIONS = 5000
-
 
 def _same(df: DataFrame) -> DataFrame:
     return df
@@ -51,7 +48,7 @@ class Model:
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did. ``touched`` lists the partitions it rewrote, as text; None stands for any."""
+    """What a run did. ``touched`` lists the partitions it rewrote, as text; None: all of a build."""
 
     model: str
     kind: str  # "full", "merge" or "none"
@@ -66,9 +63,9 @@ def watermark(df: DataFrame) -> datetime | None:
 
 
 def watermarks(df: DataFrame, feeds: tuple[str, ...]) -> MarkDict:
-    """Greatest load time per feed; without a feed column, one value for all feeds."""
-    if "taxi_type" not in df.columns:
-        return dict.fromkeys(feeds, watermark(df))
+    """Greatest load time per feed of rows that hold one feed, or tell them apart."""
+    if len(feeds) == 1:
+        return {feeds[0]: watermark(df)}
     found = df.groupBy("taxi_type").agg(F.max("loaded_at"))
     rows = found.filter(F.col("taxi_type").isin(*feeds)).collect()  # one row per feed
     return dict.fromkeys(feeds) | {r[0]: r[1] for r in rows}
@@ -77,14 +74,12 @@ def watermarks(df: DataFrame, feeds: tuple[str, ...]) -> MarkDict:
 def current_marks(wh: Warehouse, model: Model) -> MarkDict | None:
     """The marks of the last run; None when the model has to be built from all input.
 
-    An existing but empty table counts as not built, so its NULL maximum cannot block it for good.
+    Without stored marks a table is built again: its own rows cannot tell how far each feed had got,
+    and the later feed's maximum would hide rows of the slower one. An existing but empty table
+    counts as not built, so its NULL marks cannot block it for good.
     """
-    if not wh.exists(model.table):
-        return None
-    marks = wh.marks(model.table)
-    if marks is None:
-        marks = watermarks(wh.read(model.table), model.feeds)
-    return None if all(m is None for m in marks.values()) else marks
+    marks = wh.marks(model.table) if wh.exists(model.table) else None
+    return None if marks is None or all(m is None for m in marks.values()) else marks
 
 
 def run_model(
@@ -97,7 +92,7 @@ def run_model(
     """First run: everything. Later runs: rows loaded after the marks, merged by key.
 
     ``upstream`` gives the marks up to which the inputs are complete; without it the new marks are
-    measured on the model's own rows.
+    measured on the model's own rows or, if those do not tell the feeds apart, on its inputs.
     """
     before = None if full_refresh else current_marks(wh, model)
     fresh = []
@@ -106,6 +101,10 @@ def run_model(
         if before is not None:
             df = since_marks(df, before) if feed is None else since(df, before.get(feed))
         fresh.append(df)
+    if upstream is None and len(model.feeds) > 1 and "taxi_type" not in model.table.schema.names:
+        upstream = dict.fromkeys(model.feeds)
+        for df, feed in zip(fresh, model.inputs.values()):
+            upstream = _later(upstream, watermarks(df, model.feeds if feed is None else (feed,)))
     return apply_updates(wh, model, model.build(*fresh), before, upstream)
 
 
@@ -139,6 +138,24 @@ def apply_updates(
     return RunResult(model.name, "merge", touched, before, after)
 
 
+def recompute(wh: Warehouse, model: Model, upstream: Model, done: RunResult, before: MarkDict) -> RunResult:
+    """Follow an upstream run by computing the partitions that it rewrote anew.
+
+    For models that map each upstream row to one of their own with the same key and partition: the
+    upstream partitions hold every row that an upsert would keep or change, so there is nothing to
+    join, shuffle or survey.
+    """
+    table, after = model.table, _later(before, done.after)
+    if not done.touched:
+        if after != before:
+            wh.set_marks(table, after)
+        return RunResult(model.name, "none", [], before, after)
+    rows = model.finish(model.settle(model.build(wh.read(upstream.table, done.touched))))
+    wh.write(table, rows.transform(table.with_part), only_touched=True)
+    wh.set_marks(table, after)
+    return RunResult(model.name, "merge", done.touched, before, after)
+
+
 def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | None) -> RunResult:
     table = model.table
     wh.clear_marks(table)
@@ -159,19 +176,18 @@ def _gather(df: DataFrame, table: TableSpec) -> DataFrame:
     return df.hint("rebalance", table.part.name)
 
 
-def _survey(model: Model, rows: DataFrame) -> tuple[list[str | None] | None, MarkDict]:
-    """Partitions the rows fall into (None: too many to list) and the rows' own marks, in one job.
+def _survey(model: Model, rows: DataFrame) -> tuple[list[str | None], MarkDict]:
+    """Partitions the rows fall into and the rows' own marks, in one job.
 
-    Partition values come as text, the way folders are named, since Spark's dates reach further than
-    Python's.
+    The driver gets a row per partition and feed, no more than the folders that it lists to read the
+    table at all. Partition values come as text, the way folders are named, since Spark's dates
+    reach further than Python's.
     """
     by = [model.table.part_of().cast("string").alias("_part")]
     if "taxi_type" in rows.columns:
         by.append(F.col("taxi_type"))
     groups = rows.groupBy(*by).agg(F.max("loaded_at").alias("loaded_at"))
-    found = groups.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(found) > MAX_LISTED_PARTITIONS:
-        return None, watermarks(rows, model.feeds)
+    found = groups.collect()
     marks: MarkDict = dict.fromkeys(model.feeds)
     for row in found:
         for feed in [row["taxi_type"]] if len(by) > 1 else model.feeds:

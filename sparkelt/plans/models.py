@@ -166,11 +166,11 @@ def dim_from_members(members: DataFrame, dim: Dimension) -> DataFrame:
 
 
 def dim_table(metrics: DataFrame, dim: Dimension) -> DataFrame:
-    """One dimension straight from the trips, in key order."""
+    """One dimension straight from the trips."""
     if len(dim.columns) > 1:
-        return dim_from_members(dim_members(metrics, [dim]), dim).orderBy(dim.key)
+        return dim_from_members(dim_members(metrics, [dim]), dim)
     found = metrics.groupBy(dim.key).agg(F.max("loaded_at").alias("loaded_at"))
-    return found.select(dim.key, dim.title(dim.key).alias(dim.label), "loaded_at").orderBy(dim.key)
+    return found.select(dim.key, dim.title(dim.key).alias(dim.label), "loaded_at")
 
 
 def payment_summary(fact: DataFrame, dim_payment: DataFrame) -> DataFrame:

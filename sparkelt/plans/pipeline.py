@@ -13,7 +13,14 @@ from sparkelt import schemas as S
 from sparkelt.operators.filters import since_marks
 from sparkelt.operators.quality import CheckSpec, run_checks
 from sparkelt.plans import models as M
-from sparkelt.plans.incremental import Model, RunResult, apply_updates, current_marks, run_model
+from sparkelt.plans.incremental import (
+    Model,
+    RunResult,
+    apply_updates,
+    current_marks,
+    recompute,
+    run_model,
+)
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
 # --- stored models ----------------------------------------------------------------------------
@@ -126,12 +133,17 @@ CHECKS = [
 
 
 def run_models(
-    wh: Warehouse, raw: Mapping[str, DataFrame] | None = None, full_refresh: bool = False
+    wh: Warehouse,
+    raw: Mapping[str, DataFrame] | None = None,
+    full_refresh: bool = False,
+    only: Iterable[str] | None = None,
 ) -> dict[str, RunResult]:
     """Run every model once. ``raw`` replaces the warehouse's own raw tables, by feed name.
 
-    Independent models run side by side on the same session.
+    ``only`` restricts the run to the named models and what they are computed from. Independent
+    models run side by side on the same session.
     """
+    wanted = set(MODELS if only is None else only)
 
     def stage(feed: S.FeedSpec) -> RunResult:
         model = STAGING[feed.name]
@@ -152,18 +164,25 @@ def run_models(
         complete[feed] = staged[name].after[feed]
     both = done["int_both_taxi"] = run_model(wh, INT_BOTH, inputs, complete, full_refresh)
 
-    changed = _changed(wh, INT_BOTH, both, current_marks(wh, INT_METRICS), S.FEED_NAMES)
-    metrics = done["int_metrics_added"] = run_model(
-        wh, INT_METRICS, {"int_both_taxi": changed}, both.after, full_refresh
-    )
+    if wanted & {INT_METRICS.name, FACT.name, *DIMS}:
+        metrics = done["int_metrics_added"] = _follow(wh, INT_METRICS, INT_BOTH, both, full_refresh)
+        groups = []
+        if FACT.name in wanted:
+            groups.append(lambda: [_follow(wh, FACT, INT_METRICS, metrics, full_refresh)])
+        if wanted & set(DIMS):
+            groups.append(lambda: _run_dims(wh, metrics, full_refresh))
+        for group in _side_by_side(groups):
+            done |= {r.model: r for r in group}
+    return {name: done[name] for name in MODELS if name in done}
 
-    def facts() -> list[RunResult]:
-        fresh = _changed(wh, INT_METRICS, metrics, current_marks(wh, FACT), S.FEED_NAMES)
-        return [run_model(wh, FACT, {"int_metrics_added": fresh}, metrics.after, full_refresh)]
 
-    for group in _side_by_side([facts, lambda: _run_dims(wh, metrics, full_refresh)]):
-        done |= {r.model: r for r in group}
-    return {name: done[name] for name in MODELS}
+def _follow(wh: Warehouse, model: Model, upstream: Model, done: RunResult, full_refresh: bool) -> RunResult:
+    """A row-wise model after its upstream's run: the rewritten partitions only, if it is in step."""
+    own = None if full_refresh else current_marks(wh, model)
+    if own is not None and done.touched is not None and own == done.before:
+        return recompute(wh, model, upstream, done, own)
+    source = {upstream.name: wh.read(upstream.table)}
+    return run_model(wh, model, source, done.after, full_refresh)
 
 
 def _run_dims(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[RunResult]:
@@ -205,6 +224,8 @@ def _changed(
 
 
 def _side_by_side(jobs: list[Callable]) -> list:
+    if not jobs:
+        return []
     with ThreadPoolExecutor(len(jobs)) as pool:
         return list(pool.map(lambda job: job(), jobs))
 

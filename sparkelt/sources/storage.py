@@ -66,13 +66,14 @@ def delete(spark: SparkSession, path: str) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can see, removed when the session's JVM ends.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session may do without that setting.
+    It lies under ``spark.checkpoint.dir``. Only a session whose executors are threads of the driver
+    may do without that setting: any folder of the driver is theirs too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        base = tempfile.mkdtemp(prefix="sparkelt-")
     path = f"{base.rstrip('/')}/sparkelt/{label}-{uuid.uuid4().hex}"
     ensure_dir(spark, path)
     fs, p = _fs(spark, path)

@@ -16,7 +16,11 @@ from sparkelt.sources import storage
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 DEFAULT_LAYER = "raw"
-RAW_PARTITIONS = (T.StructField("load_date", T.DateType()), T.StructField("batch_id", T.LongType()))
+RAW_PARTITIONS = (
+    T.StructField("load_date", T.DateType()),
+    T.StructField("query_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+)
 
 MarkDict = dict[str, datetime | None]
 

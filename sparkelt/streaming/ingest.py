@@ -16,13 +16,18 @@ EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_DRAINED = {"availableNow": True}
 
 
+#: The current moment in UTC, whatever the session's zone; in a stream, the batch's logged timestamp.
+UTC_NOW = """TIMESTAMP_NTZ'1970-01-01 00:00:00'
+    + make_dt_interval(0, 0, 0, CAST(unix_micros(current_timestamp()) AS DECIMAL(18, 0)) / 1000000)"""
+
+
 def decoded_stream(source: DataFrame, feed: FeedSpec, fmt: str = "avro", mode: str = "FAILFAST") -> DataFrame:
     """Messages as raw-table rows.
 
-    ``loaded_at`` is taken in the streaming plan, where it is the batch's logged timestamp: one value
-    per batch, growing from batch to batch, and the same again if the batch is replayed.
+    ``loaded_at`` is one UTC value per batch, the same again if the batch is replayed. A sink that
+    keeps raw rows raises it where a clock went back.
     """
-    rows = extract_payload(source, feed, fmt, mode=mode).withColumn("loaded_at", F.localtimestamp())
+    rows = extract_payload(source, feed, fmt, mode=mode).withColumn("loaded_at", F.expr(UTC_NOW))
     return rows.select(*feed.raw_schema.names)
 
 

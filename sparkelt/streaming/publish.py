@@ -25,14 +25,16 @@ def to_messages(
     fmt: str = "avro",
     schema_id: int = 1,
     keep: tuple[str, ...] = (),
-    native: bool | None = None,
 ) -> DataFrame:
-    """One binary ``value`` per row: a framed Avro body, or JSON text."""
+    """One binary ``value`` per row: a framed Avro body, framed JSON, or JSON text."""
     wire = normalize_payload(df, feed, keep)
+    text = encode_json([n for n, _ in feed.wire]).cast("binary")
     if fmt == "avro":
-        value = frame(encode_avro(wire_struct(feed), feed.avro_json, native), schema_id)
+        value = frame(encode_avro(wire_struct(feed), feed.avro_json), schema_id)
+    elif fmt == "framed_json":
+        value = frame(text, schema_id)
     elif fmt == "json":
-        value = encode_json([n for n, _ in feed.wire]).cast("binary")
+        value = text
     else:
         raise ValueError(f"unknown message format {fmt!r}")
     return wire.select(*keep, value.alias("value"))

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkelt.schemas import FeedSpec
+from sparkelt.sources import storage
 
 log = logging.getLogger(__name__)
 
+EPOCH = datetime(1970, 1, 1)
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -39,19 +43,49 @@ def batch_sink(columns: list[str], write: Callable[[DataFrame, int], None]) -> B
     return load
 
 
+def _stamp_of(spark: SparkSession, folder: str, query_id: str, batch_id: int) -> datetime:
+    """The load time of a batch: now in UTC, but later than any other batch's in ``folder``.
+
+    It is noted before the batch is written, so a replay finds it. Notes of a query's earlier
+    batches are removed; those of the last one stay, to be outlived.
+    """
+    own = f"{query_id}.{batch_id:012d}"
+    notes = [n.split("@") for n in storage.child_names(spark, folder) if "@" in n and not n.endswith(".tmp")]
+    for name, stamp in notes:
+        if name == own:
+            return EPOCH + timedelta(microseconds=int(stamp))
+    now = (datetime.now(timezone.utc).replace(tzinfo=None) - EPOCH) // timedelta(microseconds=1)
+    stamp = max([now, *[int(s) + 1 for _, s in notes]])
+    storage.write_text(spark, f"{folder}/{own}@{stamp:020d}", "")
+    for name, old in notes:
+        if name.startswith(f"{query_id}.") and name < own:
+            storage.delete(spark, f"{folder}/{name}@{old}")
+    return EPOCH + timedelta(microseconds=stamp)
+
+
 def parquet_batch_sink(feed: FeedSpec, path: str) -> BatchSink:
-    """Raw table folder, one ``load_date=/batch_id=`` partition per batch.
+    """Raw table folder, one ``load_date=/query_id=/batch_id=`` partition per batch.
 
-    A replayed batch carries the same load time (it comes from the batch's own log entry), so it
-    replaces its first attempt instead of adding to it.
+    The query's id belongs to its checkpoint: a query with a new checkpoint counts its batches from
+    zero again and must not replace those of the old one. A replayed batch gets the load time of its
+    first attempt and replaces it. Load times of a feed grow from batch to batch, also when clocks
+    go back, as later reads rely on it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        stamp = _stamp_of(spark, f"{path}/_loads", query_id, batch_id)
         placed = batch.withColumns(
-            {"load_date": F.to_date("loaded_at"), "batch_id": F.lit(batch_id).cast("long")}
+            {
+                "loaded_at": F.lit(stamp.isoformat()).cast("timestamp_ntz"),
+                "load_date": F.lit(stamp.date()),
+                "query_id": F.lit(query_id),
+                "batch_id": F.lit(batch_id).cast("long"),
+            }
         )
         writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("load_date", "batch_id").parquet(path)
+        writer.partitionBy("load_date", "query_id", "batch_id").parquet(path)
 
     return batch_sink(feed.raw_schema.names, write)
 

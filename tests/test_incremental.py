@@ -50,11 +50,22 @@ def test_orphans_ignore_null_children(spark):
     assert [r[0] for r in orphans(child, "fk", parent, "pk").collect()] == [2, 2]
 
 
-def test_native_merge_is_handed_to_the_table_format(spark, tmp_path):
-    spark.range(1).write.mode("overwrite").option("path", str(tmp_path / "m")).saveAsTable("plain")
-    with pytest.raises((AnalysisException, Exception), match="(?i)merge"):
-        merge_into(spark.range(2), "plain", "id")
-    spark.sql("DROP TABLE plain")
+def test_native_merge_builds_the_whole_upsert(spark, monkeypatch):
+    """The command handed to the table format: match on the key, update all, insert all."""
+    calls = []
+
+    class Merge:
+        def __getattr__(self, name):
+            return lambda *a: (calls.append((name, *a)), self)[1]
+
+    def merge_into_table(self, table, condition):
+        calls.append(("into", table, str(condition)))
+        return Merge()
+
+    monkeypatch.setattr(type(spark.range(1)), "mergeInto", merge_into_table)
+    merge_into(spark.range(2), "plain", "id")
+    assert calls[0][:2] == ("into", "plain") and "plain.id = fresh.id" in calls[0][2]
+    assert [c[0] for c in calls[1:]] == ["whenMatched", "updateAll", "whenNotMatched", "insertAll", "merge"]
 
 
 # --- watermarks -------------------------------------------------------------------------------
@@ -80,11 +91,11 @@ def test_an_existing_empty_target_does_not_block_loading(spark, warehouse, trip_
     assert staged(warehouse) == {"t1": 10.0}
 
 
-def test_marks_fall_back_to_the_table(spark, warehouse, trip_row):
+def test_without_marks_a_table_is_built_again(spark, warehouse, trip_row):
     run_green(warehouse, green(spark, trip_row()))
     storage.delete(spark, f"{warehouse.root}/_marks")
-    assert I.current_marks(warehouse, GREEN_MODEL) == {"green": T0}
-    assert I.watermark(warehouse.read(GREEN_MODEL.table)) == T0
+    assert I.current_marks(warehouse, GREEN_MODEL) is None
+    assert run_green(warehouse, green(spark, trip_row())).after == {"green": T0}
 
 
 def test_an_interrupted_first_write_is_not_taken_for_a_table(spark, warehouse, trip_row):
@@ -132,21 +143,6 @@ def test_dates_beyond_the_python_calendar_are_merged(spark, warehouse, trip_row)
     assert {tuple(r) for r in rows} == {("t1", 10.0), ("far", 50.0)}
 
 
-def test_merge_with_too_many_partitions_to_list(spark, warehouse, trip_row, monkeypatch):
-    def day(d, **kw):
-        start = datetime(2024, 1, d, 1)
-        end = start + timedelta(minutes=5)
-        return trip_row(trip_id=f"d{d}", lpep_pickup_datetime=start, lpep_dropoff_datetime=end, **kw)
-
-    run_green(warehouse, green(spark, *[day(d) for d in range(1, 8)]))
-    monkeypatch.setattr(I, "MAX_LISTED_PARTITIONS", 2)
-    later = [day(d, fare_amount=50.0, loaded_at=T0 + timedelta(hours=1)) for d in range(3, 10)]
-    result = run_green(warehouse, green(spark, *later))
-    assert result.touched is None and result.after == {"green": T0 + timedelta(hours=1)}
-    want = {f"d{d}": 10.0 for d in (1, 2)} | {f"d{d}": 50.0 for d in range(3, 10)}
-    assert staged(warehouse) == want
-
-
 def test_a_run_that_died_before_its_mark_is_repeated_without_harm(spark, warehouse, trip_row, monkeypatch):
     run_green(warehouse, green(spark, trip_row(trip_id="a")))
     df = green(spark, trip_row(trip_id="b", loaded_at=T0 + timedelta(hours=1)))
@@ -175,8 +171,8 @@ def test_rerunning_changes_nothing(spark, warehouse, sf_dir):
     assert {n: contents(df) for n, df in P.tables(warehouse).items()} == before
 
 
-def test_a_late_feed_is_not_skipped(spark, warehouse, trip_row):
-    """Each feed has its own mark: a slow green feed survives a fast yellow one."""
+def yellow_at(spark, trip_row, hours):
+    """A yellow trip loaded so many hours after T0."""
     row = {f.name: None for f in S.YELLOW.raw_schema.fields}
     values = dict(zip(S.GREEN.raw_schema.names, trip_row(), strict=True))
     row |= {k: v for k, v in values.items() if k in row}
@@ -185,15 +181,55 @@ def test_a_late_feed_is_not_skipped(spark, warehouse, trip_row):
         "tpep_pickup_datetime": values["lpep_pickup_datetime"],
         "tpep_dropoff_datetime": values["lpep_dropoff_datetime"],
         "Airport_fee": 0.0,
-        "loaded_at": T0 + timedelta(hours=5),
+        "loaded_at": T0 + timedelta(hours=hours),
     }
-    yellow = spark.createDataFrame([tuple(row.values())], S.YELLOW.raw_schema)
+    return spark.createDataFrame([tuple(row.values())], S.YELLOW.raw_schema)
+
+
+def test_a_late_feed_is_not_skipped(spark, warehouse, trip_row):
+    """Each feed has its own mark: a slow green feed survives a fast yellow one."""
+    yellow = yellow_at(spark, trip_row, 5)
     early, late = trip_row(trip_id="g1"), trip_row(trip_id="g2", loaded_at=T0 + timedelta(hours=1))
     P.run_models(warehouse, {"green": green(spark, early), "yellow": yellow})
     P.run_models(warehouse, {"green": green(spark, early, late), "yellow": yellow})
     assert {r.trip_id for r in warehouse.read(P.FACT.table).collect()} == {"y1", "g1", "g2"}
 
 
+def test_a_slow_feed_survives_lost_marks(spark, warehouse, trip_row):
+    """Yellow has got to 13:00; a green trip loaded at 09:00 arrives after the fact's marks are lost."""
+    raw = {"green": green(spark, trip_row(trip_id="g1")), "yellow": yellow_at(spark, trip_row, 5)}
+    P.run_models(warehouse, raw)
+    for model in (P.FACT, *P.DIMS.values()):
+        storage.delete(spark, f"{warehouse.root}/_marks/{model.table.full_name}")
+    late = trip_row(trip_id="g2", payment_type=2, loaded_at=T0 + timedelta(hours=1))
+    P.run_models(warehouse, raw | {"green": green(spark, trip_row(trip_id="g1"), late)})
+    assert {r.trip_id for r in warehouse.read(P.FACT.table).collect()} == {"y1", "g1", "g2"}
+    assert {r.payment_id for r in warehouse.read(P.DIMS["dim_payment"].table).collect()} == {1, 2}
+
+
+def test_a_model_run_alone_keeps_the_feeds_apart(spark, warehouse, trip_row):
+    raw = {"green": green(spark, trip_row(trip_id="g1")), "yellow": yellow_at(spark, trip_row, 5)}
+    P.run_models(warehouse, raw, only=["int_metrics_added"])
+    source = {"int_metrics_added": warehouse.read(P.INT_METRICS.table)}
+    assert I.run_model(warehouse, P.FACT, source).after == {"green": T0, "yellow": T0 + timedelta(hours=5)}
+
+
+def test_row_wise_models_follow_without_exchange(spark, warehouse, sf_dir, monkeypatch):
+    raw = raws(spark, sf_dir)
+    P.run_models(warehouse, {n: first_batch(df) for n, df in raw.items()}, only=["fact_trip"])
+    plans = {}
+    write = warehouse.write
+
+    def watched(table, df, only_touched):
+        plans[table.name] = df._jdf.queryExecution().executedPlan().toString()
+        write(table, df, only_touched)
+
+    monkeypatch.setattr(warehouse, "write", watched)
+    P.run_models(warehouse, raw, only=["fact_trip"])
+    for name in ("int_metrics_added", "fact_trip"):
+        assert "Exchange" not in plans[name] and "Join" not in plans[name]
+
+
 def test_a_trip_that_stops_passing_keeps_its_old_row(spark, warehouse, trip_row):
     yellow = spark.createDataFrame([], S.YELLOW.raw_schema)
     bad = trip_row(fare_amount=-5.0, loaded_at=T0 + timedelta(hours=1))

@@ -21,7 +21,13 @@ def test_publish_ingest_model_check(spark, sf_dir, tmp_path, capsys):
     assert "fact_trip: full" in capsys.readouterr().out
     assert job.main(["models", "--warehouse", wh]) == 0
     assert "fact_trip: none" in capsys.readouterr().out
+    json_path = str(tmp_path / "json")
+    more = ["--once", "--json-path", json_path, "--checkpoint", str(tmp_path / "cp"), "--max-files", "1", "--mode", "PERMISSIVE"]
+    assert job.main(["ingest", "--warehouse", wh, *more, *where]) == 0
+    assert spark.read.json(json_path).count() == trips["yellow"]
     # the fixture has a third vendor, which the accepted values do not know
+    assert job.main(["run", "--warehouse", wh]) == 1
+    assert "fact_trip: none" in capsys.readouterr().out
     assert job.main(["checks", "--warehouse", wh]) == 1
     out = capsys.readouterr().out.splitlines()
     assert len(out) == 48

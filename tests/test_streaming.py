@@ -47,8 +47,8 @@ def test_ingest_then_models(spark, warehouse, drop, tmp_path, sf_dir):
     sink = parquet_batch_sink(FEED, warehouse.raw_path(FEED))
     counts = []
     for batch in (first_batch(raw), second_batch(raw)):
-        drop.add(batch, "avro")
-        ingest(drop, sink, tmp_path, "avro")
+        drop.add(batch, "framed_json")
+        ingest(drop, sink, tmp_path, "framed_json")
         results = P.run_models(warehouse)
         counts.append(warehouse.read(P.STAGING["green"].table).count())
     assert warehouse.read_raw(FEED).count() == raw.count()
@@ -63,6 +63,49 @@ def raw_staged(raw):
     return drop_invalid(raw, FEED).select("trip_id").distinct().count()
 
 
+def test_a_new_checkpoint_adds_to_the_same_day(spark, warehouse, drop, tmp_path, trip_row):
+    """Batch numbers start at zero again; the rows of the first checkpoint stay."""
+    sink = parquet_batch_sink(FEED, warehouse.raw_path(FEED))
+    for n in (1, 2):
+        drop.add(spark.createDataFrame([trip_row(VendorID=n)], FEED.raw_schema))
+        query = start_ingest(drop.stream(), FEED, sink, str(tmp_path / f"cp{n}"), "json", UNTIL_DRAINED)
+        query.awaitTermination()
+    found = [r.VendorID for r in warehouse.read_raw(FEED).collect()]
+    assert sorted(found) == [1, 1, 2]  # the second query read both files
+
+
+def test_load_times_are_utc_and_grow_when_clocks_go_back(spark, warehouse, trip_row, monkeypatch):
+    from datetime import datetime, timedelta, timezone
+
+    from sparkelt.sources import storage
+    from sparkelt.streaming import sinks
+
+    sink = parquet_batch_sink(FEED, warehouse.raw_path(FEED))
+    rows = spark.createDataFrame([trip_row()], FEED.raw_schema)
+    real = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    class Slow(datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return datetime.now(tz) - timedelta(hours=1)
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sink(rows, 0)
+        monkeypatch.setattr(sinks, "datetime", Slow)
+        sink(rows.withColumn("VendorID", F.lit(2).cast("long")), 1)
+        sink(rows.withColumn("VendorID", F.lit(2).cast("long")), 1)  # a replay keeps its time
+        first, second = (
+            warehouse.read_raw(FEED).filter(F.col("VendorID") == v).select("loaded_at").collect() for v in (1, 2)
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(first) == len(second) == 1
+    assert abs(first[0][0] - real) < timedelta(minutes=5) and second[0][0] > first[0][0]
+    assert len([n for n in storage.child_names(spark, warehouse.raw_path(FEED) + "/_loads") if "@" in n and not n.startswith(".")]) == 1
+
+
 def test_one_load_time_per_batch_and_growing(spark, warehouse, drop, tmp_path, trip_row):
     rows = [spark.createDataFrame([trip_row(VendorID=v)] * 3, FEED.raw_schema) for v in (1, 2)]
     sink = parquet_batch_sink(FEED, warehouse.raw_path(FEED))
@@ -124,12 +167,15 @@ def test_sink_logs_counts_and_skips_empty_batches(spark, warehouse, trip_row, ca
     assert not any("batch_id=1" in str(b) for d in days if "=" in d for b in os.listdir(f"{warehouse.raw_path(FEED)}/{d}"))
 
 
-def test_raw_reads_only_load_dates_that_can_be_newer(spark, warehouse, trip_row):
+def test_raw_reads_only_load_dates_that_can_be_newer(spark, warehouse, trip_row, monkeypatch):
     from datetime import datetime
 
+    from sparkelt.streaming import sinks
+
+    monkeypatch.setattr(sinks, "_stamp_of", lambda spark, folder, query, batch: datetime(2024, 2, batch, 5))
     sink = parquet_batch_sink(FEED, warehouse.raw_path(FEED))
     for day in (1, 2, 3):
-        sink(spark.createDataFrame([trip_row(loaded_at=datetime(2024, 2, day, 5))], FEED.raw_schema), day)
+        sink(spark.createDataFrame([trip_row()], FEED.raw_schema), day)
     df = warehouse.read_raw(FEED, datetime(2024, 2, 2, 4))
     assert sorted(r.loaded_at.day for r in df.collect()) == [2, 3]
     assert len(df.inputFiles()) == 2
@@ -168,10 +214,10 @@ def test_both_feeds_run_side_by_side(spark, warehouse, sf_dir, tmp_path):
     queries = []
     for feed in S.FEEDS.values():
         folder = str(tmp_path / feed.name)
-        to_messages(raw_feed(spark, sf_dir, feed), feed).write.parquet(folder)
+        to_messages(raw_feed(spark, sf_dir, feed), feed, "framed_json").write.parquet(folder)
         source = stream_parquet(spark, folder, "value binary")
         sink = parquet_batch_sink(feed, warehouse.raw_path(feed))
-        queries.append(start_ingest(source, feed, sink, str(tmp_path / f"cp_{feed.name}"), trigger=UNTIL_DRAINED))
+        queries.append(start_ingest(source, feed, sink, str(tmp_path / f"cp_{feed.name}"), "framed_json", trigger=UNTIL_DRAINED))
     for q in queries:
         q.awaitTermination()
     for feed in S.FEEDS.values():
