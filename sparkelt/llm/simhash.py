@@ -195,8 +195,12 @@ class Union:
 
 
 def _group(rotation: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Rotation and Gray rank of the leading block: ascends in the order that codes are sorted in."""
+    rank = codes.copy()
+    for by in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(by)
     bits = np.array([b for _, b in BLOCKS])[rotation]
-    return (rotation.astype(np.uint64) << np.uint64(32)) | (codes >> (64 - bits).astype(np.uint64))
+    return (rotation.astype(np.uint64) << np.uint64(32)) | (rank >> (64 - bits).astype(np.uint64))
 
 
 def _star_links(codes: np.ndarray, rotation: np.ndarray, label: np.ndarray) -> pd.DataFrame:
