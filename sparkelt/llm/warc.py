@@ -18,6 +18,8 @@ MIN_REVISIT = 1000
 CHUNK = 8192
 SEGMENT = 32768
 RECORDS_PER_FILE = 2000
+#: Bytes of records that a task gathers before it passes them on.
+HELD_BYTES = 1 << 22
 DATE = "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
 
@@ -113,8 +115,15 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
+            held: list[bytes] = []
+            size = 0
             for p in zip(f["page_id"], f["url"], f["payload"], f["row"], f["digest"], f["kept"]):
-                yield pd.DataFrame({"record": [r[:-2] for r in records_of(*p, segment=segment)]})
+                held += [r[:-2] for r in records_of(*p, segment=segment)]
+                size += len(p[2])
+                if size >= HELD_BYTES:
+                    yield pd.DataFrame({"record": held})
+                    held, size = [], 0
+            yield pd.DataFrame({"record": held})
 
     importable(pages.sparkSession)
     built = planned(pages).mapInPandas(build, "record binary")
@@ -214,7 +223,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 for headers, block in parsed(zlib.decompress(content, 47)):
                     rows.append(_row(headers, block))
                     held += len(rows[-1]["block"] or b"")
-                    if held > 1 << 22 or len(rows) >= 5000:
+                    if held > HELD_BYTES or len(rows) >= 5000:
                         yield _frame(rows, PIECE)
                         rows, held = [], 0
                 yield _frame(rows, PIECE)
