@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .license import DIAGONAL_GAP, K, MAX_STRETCH, MIN_COVERAGE, template_grams
 from .quality import RULES, STOP_WORDS
+from .warc import MIN_REVISIT
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -106,8 +107,24 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM worded LEFT JOIN found USING (doc_id)"""
 
 
+def _warc() -> str:
+    revisit = f"payload_bytes >= {MIN_REVISIT} AND page_id <> newest"
+    return f"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), known AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS newest FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN {revisit} THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN {revisit} THEN newest END AS refers_to
+FROM known"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": _license(),
+        "op3_warc_segments": _warc(),
         "op9_quality_rules": _quality(),
     }
