@@ -18,37 +18,33 @@ EDGE_SHARE = 0.4
 COPY_SHARE = 0.5
 
 FIELD = "<*>"
-#: Tokens that are variable fields: with a digit, addresses, and names within a line.
+#: Variable fields: tokens with a digit, addresses, and names within a line.
 FIELDS = (
-    r"(?<!\S)[^\s0-9]*+[0-9]\S*+",
-    r"(?<!\S)[^\s@]*+@\S*+",
-    r"(?<!\S)https?://\S*+",
-    r"(?<=[\p{Ll},] )\p{Lu}[\p{L}'-]*+",
+    r"(?<!\S)(?:[^\s0-9]*+[0-9]\S*+|[^\s@]*+@\S*+|https?://\S*+)"
+    r"|(?<=[\p{Ll},] )\p{Lu}[\p{L}'-]*+"
 )
 
 
-def templates(line: Column) -> Column:
-    """The template identifiers of a line; none for short lines and those of mostly fields.
+def parsed(line: Column) -> Column:
+    """n (tokens) and ids, the template identifiers of a line; none if it is mostly fields.
 
     The path through the tree is the token count, then the leading tokens with their fields
     generalised. Its leaf holds the whole generalised line, and, generalising further, the line
     with a gap in its middle between its leading and trailing tokens.
     """
-    masked = line
-    for field in FIELDS:
-        masked = F.regexp_replace(masked, field, FIELD)
 
     def of(tokens: Column) -> Column:
         n = F.size(tokens)
         edge = F.ceil(n * EDGE_SHARE).cast("int")
-        literal = F.size(F.filter(tokens, lambda t: t != FIELD))
+        literal = F.size(F.array_remove(tokens, FIELD))
         lead, trail = F.slice(tokens, 1, edge), F.slice(tokens, n - edge + 1, edge)
         whole = F.xxhash64(F.lit("line"), n, F.array_join(tokens, " "))
         gap = F.xxhash64(F.lit("gap"), n, F.array_join(lead, " "), F.array_join(trail, " "))
         none = F.array().cast("array<bigint>")
-        return F.when((n < MIN_TOKENS) | (literal < MIN_LITERAL * n), none).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
+        ids = F.when((n < MIN_TOKENS) | (literal < MIN_LITERAL * n), none).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
+        return F.struct(n.alias("n"), ids.alias("ids"))
 
-    return let(F.array_remove(F.split(masked, r"\s+", -1), ""), of)
+    return let(F.array_remove(F.split(F.regexp_replace(line, FIELDS, FIELD), r"\s+", -1), ""), of)
 
 
 def _lines(text: Column) -> Column:
@@ -66,23 +62,20 @@ def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     Equal texts count once. Only 64-bit identifiers move; counts are combined before the shuffle,
     and a template held by a third of all texts may be split in the join as it is skewed.
     """
-    count = F.aggregate(
-        _lines(F.col("text")), F.lit(0), lambda a, x: a + F.size(F.array_remove(F.split(x, r"\s+", -1), ""))
-    )
-    found = F.flatten(
-        F.transform(
-            _lines(F.col("text")),
-            lambda x: let(
-                F.size(F.array_remove(F.split(x, r"\s+", -1), "")),
-                lambda n: F.transform(templates(x), lambda t, i: F.struct(t.alias("t"), F.when(i == 0, n).otherwise(0).alias("n"))),
-            ),
+
+    def read(lines: Column) -> Column:
+        numbered = F.transform(
+            lines, lambda x: F.transform(x["ids"], lambda t, i: F.struct(t.alias("t"), F.when(i == 0, x["n"]).otherwise(0).alias("n")))
         )
-    )
-    texts = docs.select(*_key(F.col("text")), count.alias("tokens"), found.alias("found"))
-    held = texts.select("__a", "__b", "tokens", F.inline("found")).groupBy("__a", "__b", "t").agg(
-        F.max("tokens").alias("tokens"), F.max("n").alias("n"), F.count("*").alias("times")
-    )
-    # Copies of a text add up in "times" but stay one text; a line's tokens count once per text.
+        return F.struct(
+            F.aggregate(lines, F.lit(0), lambda total, x: total + x["n"]).alias("tokens"), F.flatten(numbered).alias("found")
+        )
+
+    texts = docs.select(*_key(F.col("text")), let(F.transform(_lines(F.col("text")), parsed), read).alias("r"))
+    # An outer inline, as the inner one would have the optimizer read each text twice, to filter.
+    inlined = texts.select("__a", "__b", F.col("r.tokens").alias("tokens"), F.inline_outer("r.found")).filter("t IS NOT NULL")
+    held = inlined.groupBy("__a", "__b", "t").agg(F.max("tokens").alias("tokens"), F.max("n").alias("n"))
+    # Copies of a text are one text; a line's tokens count once per text.
     often = held.groupBy("t").agg(F.count("*").alias("texts")).filter(F.col("texts") >= min_texts)
     again = written(held.join(often.select("t"), "t"), "recurring")
     own = again.groupBy("__a", "__b").agg((F.sum("n") > COPY_SHARE * F.max("tokens")).alias("copy"))
@@ -96,38 +89,38 @@ def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     return again.join(proven, "t").groupBy("__a", "__b").agg(F.collect_set("t").alias("__drop"))
 
 
-def stripped(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """The rows of ``docs`` with ``text`` rid of boilerplate lines, and n_lines and n_dropped.
-
-    Defined results: a null text stays null; a text all of boilerplate becomes empty; blank lines
-    stay; a null doc_id is no obstacle, since rows are told apart by their text;
-    repeated rows are treated alike; an empty table gives an empty table. Columns of any other
-    name pass through.
-    """
+def _cut(docs: DataFrame, min_texts: int) -> tuple[DataFrame, list[Column]]:
+    """Rows with their boilerplate gone, and the columns of ``docs`` on them."""
     drop = recurring(docs.select("text"), min_texts)
     inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     packed = docs.select(inner.alias("__row"), F.col("text").alias("__text"), *_key(F.col("text")))
 
     def kept(gone: Column) -> Column:
-        return F.filter(_lines(F.col("__text")), lambda x: ~F.exists(templates(x), lambda t: F.array_contains(gone, t)))
+        return F.filter(_lines(F.col("__text")), lambda x: ~F.arrays_overlap(parsed(x)["ids"], gone))
 
     left = F.when(F.col("__drop").isNull(), _lines(F.col("__text"))).otherwise(let(F.col("__drop"), kept))
     cut = packed.join(drop, ["__a", "__b"], "left").withColumn("__left", left)
-    at = docs.columns.index("text")
-    columns = [
-        (F.when(F.col("__text").isNotNull(), F.array_join("__left", "\n")) if i == at else F.col(f"__row.c{i}")).alias(c)
-        for i, c in enumerate(docs.columns)
-    ]
+    text = F.when(F.col("__text").isNotNull(), F.array_join("__left", "\n"))
+    own = {c: F.col(f"__row.c{i}") for i, c in enumerate(docs.columns)} | {"text": text}
+    if "n_chars" in own:
+        chars = F.when(F.col("__text").isNull(), own["n_chars"]).otherwise(F.length(text))
+        own["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
+    return cut, [column.alias(c) for c, column in own.items()]
+
+
+def stripped(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """doc_id and ``text`` rid of boilerplate lines of every row of ``docs``, n_lines and n_dropped.
+
+    Defined results: a null text stays null; a text all of boilerplate becomes empty; blank lines
+    stay; a null doc_id is no obstacle, since rows are told apart by their text; repeated rows are
+    treated alike; an empty table gives an empty table. Other columns are left out.
+    """
+    cut, columns = _cut(docs.select("doc_id", "text"), min_texts)
     n = F.size(_lines(F.col("__text")))
     return cut.select(*columns, n.cast("long").alias("n_lines"), (n - F.size("__left")).cast("long").alias("n_dropped"))
 
 
 def clean(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """``stripped`` with exactly the columns of ``docs``; n_chars, if there, follows the text."""
-    out = stripped(docs, min_texts)
-    cut = out.drop("n_lines", "n_dropped")
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return cut
-
+    """All rows of ``docs`` with exactly their columns; n_chars, if there, follows the text."""
+    cut, columns = _cut(docs, min_texts)
+    return cut.select(*columns)
