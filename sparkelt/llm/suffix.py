@@ -27,6 +27,8 @@ Q = 16
 PIECE = 1 << 19
 #: An anchor in so many texts is dealt out by whole strings, so that no bucket grows with it.
 HOT_TEXTS = 20_000
+#: One anchor in so many ends a block of strings.
+BLOCK_ANCHORS = 16
 #: Bytes of text segments refined at once.
 REFINE_BYTES = 1 << 23
 LAST = 2**63 - 1
@@ -51,7 +53,10 @@ def _words8(data: np.ndarray) -> np.ndarray:
 def anchored(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(anchor position of the string from each position on, hash of the Q-gram at each position)."""
     words = _words8(data)
-    grams = _mixed(words[:-8] * np.uint64(0xA0761D6478BD642F) + _mixed(words[8:]))
+    count = len(data) - Q + 1
+    grams = words[:count]
+    for at in range(8, Q, 8):
+        grams = _mixed(grams * np.uint64(0xA0761D6478BD642F) + words[at : at + count])
     low = (grams & ~np.uint64(0xFFFFF)) | np.arange(len(grams), dtype=np.uint64)
     span, size = WIDTH - Q + 1, 1
     while 2 * size <= span:
@@ -171,60 +176,104 @@ def _shared_in_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield told(part, rows)
 
 
-# --- segments -------------------------------------------------------------------------------------
+# --- blocks and segments --------------------------------------------------------------------------
 
 
-def _segments(parts: int):
-    """Of each text, the bytes of every run of strings with one shared anchor."""
+def _short(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (_parts_of(keys, parts).astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+
+
+def _known(found: list[dict], hot: bool | None) -> np.ndarray:
+    chosen = [x for x in found if hot is None or x["hot"] == hot]
+    return np.concatenate(
+        [np.zeros(0, np.uint64)]
+        + [(np.uint64(x["part"]) << np.uint64(32)) | np.frombuffer(x["keys"], "<u4").astype(np.uint64) for x in chosen]
+    )
+
+
+def _blocks(parts: int):
+    """Of each text, the runs of strings with shared anchors, cut where their content says.
+
+    Equal stretches of different texts are cut alike, so most of a copy's blocks are whole copies.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("bytes").to_pylist()
             docs = b.column("owner").to_numpy(zero_copy_only=False)
             ids = b.column("tid").to_numpy(zero_copy_only=False)
-            shared, hot = [], []
-            for found in b.column("found").to_pylist():
-                for is_hot, into in ((False, shared), (True, hot)):
-                    into.append(
-                        np.concatenate(
-                            [np.zeros(0, np.uint64)]
-                            + [
-                                (np.uint64(x["part"]) << np.uint64(32)) | np.frombuffer(x["keys"], "<u4").astype(np.uint64)
-                                for x in found
-                                if x["hot"] == is_hot
-                            ]
-                        )
-                    )
-            for data, starts, owner, place in _pieces(texts):
+            found = b.column("found").to_pylist()
+            shared, hot = [_known(f, None) for f in found], [_known(f, True) for f in found]
+            for data, starts, owner, place in _pieces(b.column("bytes").to_pylist()):
                 anchor, grams = anchored(data)
-                key = grams[anchor[starts]]
-                short = (_parts_of(key, parts).astype(np.uint64) << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF))
-                cold, warm = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
+                spot = anchor[starts]
+                key = grams[spot]
+                short = _short(key, parts)
+                taken = np.zeros(len(starts), bool)
                 bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
                 for x, y in zip(bounds[:-1], bounds[1:]):
-                    cold[x:y] = np.isin(short[x:y], shared[owner[x]])
-                    if len(hot[owner[x]]):
-                        warm[x:y] = np.isin(short[x:y], hot[owner[x]])
-                spot = anchor[starts]
-                joined = np.r_[False, cold[1:] & cold[:-1] & (spot[1:] == spot[:-1]) & (owner[1:] == owner[:-1]) & (starts[1:] == starts[:-1] + 1)]
-                begin = np.flatnonzero((cold | warm) & ~joined)
+                    taken[x:y] = np.isin(short[x:y], shared[owner[x]])
+                ends_block = ((key >> np.uint64(20)) % np.uint64(BLOCK_ANCHORS)) == 0
+                cut = (spot[1:] != spot[:-1]) & ends_block[:-1]
+                joined = np.r_[False, taken[1:] & taken[:-1] & ~cut & (owner[1:] == owner[:-1]) & (starts[1:] == starts[:-1] + 1)]
+                begin = np.flatnonzero(taken & ~joined)
                 if not len(begin):
                     continue
-                ends = np.flatnonzero((cold | warm) & ~np.r_[joined[1:], False])
+                until = np.flatnonzero(taken & ~np.r_[joined[1:], False])
                 raw = data.tobytes()
-                cut = [raw[x : y + WIDTH] for x, y in zip(starts[begin], starts[ends])]
+                hot_keys = [
+                    np.intersect1d(short[x : y + 1], hot[owner[x]]).astype("<u8").tobytes() if len(hot[owner[x]]) else b""
+                    for x, y in zip(begin, until)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(docs[owner[begin]], pa.int64()),
+                        pa.array(ids[owner[begin]], pa.int64()),
+                        pa.array(place[begin], pa.int64()),
+                        pa.array([raw[x : y + WIDTH] for x, y in zip(starts[begin], starts[until])], pa.binary()),
+                        pa.array(hot_keys, pa.binary()),
+                    ],
+                    names=["owner", "tid", "place", "block", "hot"],
+                )
+
+    return emit
+
+
+def _segments(parts: int):
+    """Of each distinct block, the bytes of every run of strings with one anchor, by that anchor.
+
+    A string with a hot anchor is a segment of its own, keyed by its content.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hot = [np.frombuffer(h, "<u8") for h in b.column("hot").to_pylist()]
+            columns = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "first")}
+            for data, starts, owner, place in _pieces(b.column("block").to_pylist()):
+                anchor, grams = anchored(data)
+                spot = anchor[starts]
+                key = grams[spot]
+                warm = np.zeros(len(starts), bool)
+                bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
+                for x, y in zip(bounds[:-1], bounds[1:]):
+                    if len(hot[owner[x]]):
+                        warm[x:y] = np.isin(_short(key[x:y], parts), hot[owner[x]])
+                same = ~warm[1:] & ~warm[:-1] & (spot[1:] == spot[:-1]) & (owner[1:] == owner[:-1])
+                begin = np.flatnonzero(np.r_[True, ~same])
+                until = np.r_[begin[1:], len(starts)] - 1
+                raw = data.tobytes()
+                cut = [raw[x : y + WIDTH] for x, y in zip(starts[begin], starts[until])]
                 keys = key[begin]
                 for n in np.flatnonzero(warm[begin]):
                     keys[n] = np.frombuffer(hashlib.blake2b(cut[n], digest_size=8).digest(), np.uint64)[0]
+                own = owner[begin]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys.view(np.int64), pa.int64()),
-                        pa.array(cut, pa.binary()),
-                        pa.array(docs[owner[begin]], pa.int64()),
-                        pa.array(ids[owner[begin]], pa.int64()),
+                        *[pa.array(columns[c][own], pa.int64()) for c in ("a", "b", "first")],
                         pa.array(place[begin], pa.int64()),
+                        pa.array(cut, pa.binary()),
                     ],
-                    names=["key", "segment", "owner", "tid", "place"],
+                    names=["key", "a", "b", "first", "place", "segment"],
                 )
 
     return emit
@@ -258,41 +307,35 @@ def smallest_owner(data: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> n
 
 
 def _refine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per segment: runs (offset, count, smallest owner) of its strings that some text repeats."""
+    """Per segment: runs (start in its block, count, smallest owner) of strings an earlier text holds."""
 
     def told(rows: list[tuple]) -> pd.DataFrame:
-        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-        size = np.array([len(r[3]) for r in rows])
+        _, a, b, first, place = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
+        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+        size = np.array([len(r[5]) for r in rows])
         base = np.r_[0, np.cumsum(size)[:-1]]
         count = size - WIDTH + 1
         seg = np.repeat(np.arange(len(rows)), count)
         offset = np.arange(len(seg)) - np.repeat(np.r_[0, np.cumsum(count)[:-1]], count)
-        first = np.array([r[4] for r in rows])
         least = smallest_owner(data, base[seg] + offset, first[seg])
-        wanted = (least < first[seg]) | (np.array([r[5] for r in rows]) > 1)[seg]
+        wanted = least < first[seg]
         seg, offset, least = seg[wanted], offset[wanted], least[wanted]
         new = np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1) | (least[1:] != least[:-1])][: len(seg)]
         at = np.flatnonzero(new)
         length = np.diff(np.r_[at, len(seg)])
+        own = seg[at]
         return pd.DataFrame(
-            {
-                "key": np.array([r[0] for r in rows])[seg[at]],
-                "a": np.array([r[1] for r in rows])[seg[at]],
-                "b": np.array([r[2] for r in rows])[seg[at]],
-                "offset": offset[at],
-                "count": length,
-                "least": least[at],
-            }
+            {"a": a[own], "b": b[own], "offset": place[own] + offset[at], "count": length, "least": least[at]}
         )
 
     held, size, last = [], 0, None
     for f in frames:
-        for row in zip(f["key"], f["a"], f["b"], f["segment"], f["first"], f["n"]):
+        for row in zip(f["key"], f["a"], f["b"], f["first"], f["place"], f["segment"]):
             if size >= REFINE_BYTES and row[0] != last:
                 yield told(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[3])
+            size += len(row[5])
             last = row[0]
     if held:
         yield told(held)
@@ -322,8 +365,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans of every row of ``docs``.
 
     Equal texts are settled by their hashes first: only the one of the smallest doc_id takes part,
-    the others are removed whole. Hot anchors are dealt out by whole strings, equal segments are
-    combined before they move, and no bucket or text is emitted as pairs. Defined results: a null
+    the others are removed whole. Equal blocks are combined before they move, hot anchors are dealt
+    out by whole strings, and no bucket or text is emitted as pairs. Defined results: a null
     text counts as empty; texts below WIDTH bytes stay; a null doc_id counts as larger than any
     other, and rows of equal doc_id never remove each other's strings; an empty table gives an
     empty table; other columns are ignored.
@@ -343,47 +386,55 @@ def repeats(docs: DataFrame) -> DataFrame:
     narrow = written(told.select("doc_id", "owner", "tid", "tid2", "n_bytes", F.sha2("bytes", 256).alias("whole")), "texts")
     first = narrow.groupBy("tid", "tid2").agg(F.min("owner").alias("owner"))
 
-    blocks = told.filter(F.col("n_bytes") >= WIDTH).select("tid", "bytes").mapInArrow(
+    anchors = told.filter(F.col("n_bytes") >= WIDTH).select("tid", "bytes").mapInArrow(
         _anchor_blocks(parts), "part int, ids binary, counts binary, keys binary"
     )
     shared = (
-        blocks.repartition(parts, "part")
+        anchors.repartition(parts, "part")
         .sortWithinPartitions("part")
         .mapInPandas(_shared_in_part, "tid long, part int, hot boolean, keys binary")
         .groupBy("tid")
         .agg(F.collect_list(F.struct("part", "hot", "keys")).alias("found"))
     )
     wanted = shared.join(first, "tid")
-    taken = told.select("owner", "tid", "tid2", "bytes").join(wanted, ["owner", "tid", "tid2"])
-    taken = written(taken.dropDuplicates(["owner", "tid", "tid2"]), "taken")
-    segments = written(
-        taken.select("owner", "tid", "bytes", "found").mapInArrow(
-            _segments(parts), "key long, segment binary, owner long, tid long, place long"
-        ),
-        "segments",
+    blocks = written(
+        told.select("owner", "tid", "tid2", "bytes")
+        .join(wanted, ["owner", "tid", "tid2"])
+        .select("owner", "tid", "bytes", "found")
+        .mapInArrow(_blocks(parts), "owner long, tid long, place long, block binary, hot binary"),
+        "blocks",
     )
-    named = segments.withColumns({"a": F.xxhash64("segment"), "b": F.xxhash64("segment", F.lit(1))})
-    distinct = named.groupBy("key", "a", "b").agg(
-        F.first("segment").alias("segment"), F.min("owner").alias("first"), F.count("*").alias("n")
+    named = blocks.withColumns({"a": F.xxhash64("block"), "b": F.xxhash64("block", F.lit(1))})
+    # A block that an earlier text holds whole is settled; each distinct one is refined once.
+    distinct = named.groupBy("a", "b").agg(
+        F.min("owner").alias("first"), F.first("block").alias("block"), F.first("hot").alias("hot")
     )
     runs = (
-        distinct.repartition("key")
+        distinct.mapInArrow(_segments(parts), "key long, a long, b long, first long, place long, segment binary")
+        .repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_refine, "key long, a long, b long, offset long, count long, least long")
+        .mapInPandas(_refine, "a long, b long, offset long, count long, least long")
+    )
+    places = named.select("a", "b", "owner", "tid", "place", (F.octet_length("block") - WIDTH + 1).alias("strings"))
+    earliest = places.groupBy("a", "b").agg(F.min("owner").alias("first"))
+    placed = places.join(earliest, ["a", "b"])
+    copied = placed.filter("owner > first").select(
+        "owner", "tid", F.col("place").alias("start"), F.col("strings").cast("long").alias("count")
     )
-    removed = (
-        named.drop("segment")
-        .join(runs, ["key", "a", "b"])
+    partly = (
+        placed.filter("owner = first")
+        .join(runs, ["a", "b"])
         .filter("least < owner")
-        .groupBy("owner", "tid")
-        .agg(F.collect_list(F.struct((F.col("place") + F.col("offset")).alias("start"), "count")).alias("runs"))
+        .select("owner", "tid", (F.col("place") + F.col("offset")).alias("start"), "count")
     )
+    removed = copied.unionByName(partly).groupBy("owner", "tid").agg(F.collect_set(F.struct("start", "count")).alias("runs"))
     cut = (
-        taken.select("owner", "tid", "bytes")
+        told.select("owner", "tid", "bytes")
         .join(removed, ["owner", "tid"])
         .mapInPandas(
             _cut, "owner long, tid long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
         )
+        .dropDuplicates(["owner", "tid"])
     )
     all_rows = narrow.join(first.withColumnRenamed("owner", "kept"), ["tid", "tid2"])
     whole = (F.col("owner") > F.col("kept")) & (F.col("n_bytes") >= WIDTH)
