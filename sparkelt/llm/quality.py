@@ -83,8 +83,8 @@ def _dup_lines(text: Column) -> Column:
     return let(lines, lambda a: F.struct(F.size(a).alias("lines"), (F.size(a) - F.size(F.array_distinct(a))).alias("dup")))
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, text and all that the rules are stated in."""
+def measures(docs: DataFrame, number: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` with all that the rules are stated in, and ``number`` as __at."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def only(pattern: str, within: Column) -> Column:
@@ -104,7 +104,8 @@ def measures(docs: DataFrame) -> DataFrame:
             F.size(F.filter(w, lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop"),
         ),
     )
-    counted = docs.withColumns({"__w": by_words, "__l": _dup_lines(text), "__m": marks}).withColumns(
+    own = {"__w": by_words, "__l": _dup_lines(text), "__m": marks}
+    counted = docs.withColumns(own if number is None else own | {"__at": number}).withColumns(
         {
             "n_words": F.col("__w.n_words"),
             "word_chars": (F.length(text) - only(SPACE, text)).cast("long"),
@@ -171,5 +172,8 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly their own columns."""
     inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     packed = docs.select(F.col("doc_id"), F.col("text"), inner.alias("__row"))
-    passed = measures(packed).withColumns(verdict(rules)).filter("kept")
+    # A filter is not pushed below a row number. Pushed further, it would repeat the measures in its
+    # condition, once for every rule.
+    numbered = measures(packed, F.monotonically_increasing_id()).withColumns(verdict(rules))
+    passed = numbered.filter(F.col("kept") & (F.col("__at") >= 0))
     return passed.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
