@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -92,5 +93,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that nothing refers to any more.
+
+    It does so when the driver's JVM collects its garbage, which on a large heap may be long after a
+    written table has made them useless.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -155,7 +155,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 
 
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs`` that the mixture draws, with their rate as a further column.
+    """The rows of ``docs`` that the mixture draws, with their rate as a further (or renewed) column.
 
     A rate follows from the text, so rows find theirs by doc_id and a hash of the text.
     """
@@ -167,4 +167,5 @@ def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
     )
     same = packed["id"].eqNullSafe(rates["doc_id"]) & (packed["own"] == rates["key"])
     kept = packed.join(rates, same)
-    return kept.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns)], "rate")
+    own = [F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns) if c != "rate"]
+    return kept.select(*own, "rate")

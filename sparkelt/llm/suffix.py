@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, written
+from .common import importable, let_go, written
 
 WIDTH = 50
 Q = 16
@@ -361,6 +361,28 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["owner", "tid", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
+def _shared_blocks(told: DataFrame, first: DataFrame, parts: int) -> DataFrame:
+    """owner, tid, place, block and its hot anchors, of all stretches whose anchors texts share."""
+    anchors = told.filter(F.col("n_bytes") >= WIDTH).select("tid", "bytes").mapInArrow(
+        _anchor_blocks(parts), "part int, ids binary, counts binary, keys binary"
+    )
+    shared = (
+        anchors.repartition(parts, "part")
+        .sortWithinPartitions("part")
+        .mapInPandas(_shared_in_part, "tid long, part int, hot boolean, keys binary")
+        .groupBy("tid")
+        .agg(F.collect_list(F.struct("part", "hot", "keys")).alias("found"))
+    )
+    wanted = shared.join(first, "tid")
+    return written(
+        told.select("owner", "tid", "tid2", "bytes")
+        .join(wanted, ["owner", "tid", "tid2"])
+        .select("owner", "tid", "bytes", "found")
+        .mapInArrow(_blocks(parts), "owner long, tid long, place long, block binary, hot binary"),
+        "blocks",
+    )
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans of every row of ``docs``.
 
@@ -386,24 +408,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     narrow = written(told.select("doc_id", "owner", "tid", "tid2", "n_bytes", F.sha2("bytes", 256).alias("whole")), "texts")
     first = narrow.groupBy("tid", "tid2").agg(F.min("owner").alias("owner"))
 
-    anchors = told.filter(F.col("n_bytes") >= WIDTH).select("tid", "bytes").mapInArrow(
-        _anchor_blocks(parts), "part int, ids binary, counts binary, keys binary"
-    )
-    shared = (
-        anchors.repartition(parts, "part")
-        .sortWithinPartitions("part")
-        .mapInPandas(_shared_in_part, "tid long, part int, hot boolean, keys binary")
-        .groupBy("tid")
-        .agg(F.collect_list(F.struct("part", "hot", "keys")).alias("found"))
-    )
-    wanted = shared.join(first, "tid")
-    blocks = written(
-        told.select("owner", "tid", "tid2", "bytes")
-        .join(wanted, ["owner", "tid", "tid2"])
-        .select("owner", "tid", "bytes", "found")
-        .mapInArrow(_blocks(parts), "owner long, tid long, place long, block binary, hot binary"),
-        "blocks",
-    )
+    blocks = _shared_blocks(told, first, parts)
+    let_go(spark)
     named = blocks.withColumns({"a": F.xxhash64("block"), "b": F.xxhash64("block", F.lit(1))})
     # A block that an earlier text holds whole is settled; each distinct one is refined once.
     distinct = named.groupBy("a", "b").agg(
