@@ -30,7 +30,7 @@ HOT_TEXTS = 20_000
 #: One anchor in so many ends a block of strings.
 BLOCK_ANCHORS = 16
 #: Bytes of text segments refined at once.
-REFINE_BYTES = 1 << 23
+REFINE_BYTES = 1 << 21
 LAST = 2**63 - 1
 
 
