@@ -23,6 +23,8 @@ FIELDS = (
     r"(?<!\S)(?:[^\s0-9]*+[0-9]\S*+|[^\s@]*+@\S*+|https?://\S*+)"
     r"|(?<=[\p{Ll},] )\p{Lu}[\p{L}'-]*+"
 )
+#: What every line with a field holds.
+HINT = r"[0-9@]|https?://|[\p{Ll},] \p{Lu}"
 
 
 def parsed(line: Column) -> Column:
@@ -44,7 +46,9 @@ def parsed(line: Column) -> Column:
         ids = F.when((n < MIN_TOKENS) | (literal < MIN_LITERAL * n), none).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
         return F.struct(n.alias("n"), ids.alias("ids"))
 
-    return let(F.array_remove(F.split(F.regexp_replace(line, FIELDS, FIELD), r"\s+", -1), ""), of)
+    # Most lines of prose have no field; seeing that is cheaper than replacing none.
+    masked = F.when(line.rlike(HINT), F.regexp_replace(line, FIELDS, FIELD)).otherwise(line)
+    return let(F.array_remove(F.split(masked, r"\s+", -1), ""), of)
 
 
 def _lines(text: Column) -> Column:
