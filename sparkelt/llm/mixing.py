@@ -35,7 +35,7 @@ def features(docs: DataFrame) -> DataFrame:
         words,
         lambda w: F.struct(
             F.size(w).cast("long").alias("tokens"),
-            F.array_distinct(F.transform(w, lambda x: F.pmod(F.xxhash64(F.regexp_replace(x, "[.,;:!?]+$", "")), F.lit(BUCKETS)).cast("int"))).alias("buckets"),
+            F.array_distinct(F.transform(w, lambda x: F.pmod(F.xxhash64(F.rtrim(x, F.lit(".,;:!?"))), F.lit(BUCKETS)).cast("int"))).alias("buckets"),
         ),
     )
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
