@@ -40,8 +40,8 @@ def parsed(line: Column) -> Column:
         edge = F.ceil(n * EDGE_SHARE).cast("int")
         literal = F.size(F.array_remove(tokens, FIELD))
         lead, trail = F.slice(tokens, 1, edge), F.slice(tokens, n - edge + 1, edge)
-        whole = F.xxhash64(F.lit("line"), n, F.array_join(tokens, " "))
-        gap = F.xxhash64(F.lit("gap"), n, F.array_join(lead, " "), F.array_join(trail, " "))
+        whole = F.xxhash64(F.lit("line"), n, tokens)
+        gap = F.xxhash64(F.lit("gap"), n, lead, trail)
         none = F.array().cast("array<bigint>")
         ids = F.when((n < MIN_TOKENS) | (literal < MIN_LITERAL * n), none).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
         return F.struct(n.alias("n"), ids.alias("ids"))
