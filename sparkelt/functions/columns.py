@@ -50,9 +50,9 @@ def amount_flag(c: Column | str) -> Column:
 
 
 def enum_flag(c: Column | str, accepted: Iterable[int]) -> Column:
-    """missing / valid (in the list) / invalid."""
+    """missing / invalid (not in the list) / valid."""
     c = _col(c)
-    return F.when(c.isNull(), "missing").when(c.isin(*accepted), "valid").otherwise("invalid")
+    return F.when(c.isNull(), "missing").when(~c.isin(*accepted), "invalid").otherwise("valid")
 
 
 # --- labels -----------------------------------------------------------------------------------
