@@ -1,0 +1,105 @@
+"""Near-duplicates by exact similarity: texts whose sets of five-word shingles are 0.8 alike or more.
+
+Candidates come from prefixes: with the shingles of every text in one order, rarest first, two sets
+that are so alike share a shingle among the first fifth of each. That holds for every such pair, and
+shingles of one text alone, mostly the whole prefix, lead to no candidate. Candidates are verified on
+the sets themselves. Those of a shingle first meet one hub, which settles groups of many copies
+with as many pairs as members; only members still in different components meet each other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import let_go, written
+from .components import stars
+from .simhash import shingle_hashes
+
+SHINGLE = 5
+#: Least share of common shingles among all shingles of two texts, in percent.
+ALIKE = 80
+
+
+def _least_common(n: Column) -> Column:
+    """So many shingles of n a set shares with any set that is so alike."""
+    return F.ceil(n * ALIKE / 100).cast("int")
+
+
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, key (a hash of the text), node (a hash of the set) and shingles, sorted, of every row."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+        F.array_sort(F.array_distinct(shingle_hashes(F.col("text"), size))).alias("shingles"),
+    ).select("doc_id", "key", F.xxhash64("shingles").alias("node"), "shingles")
+
+
+def _buckets(sets: DataFrame) -> DataFrame:
+    """h, node and n (shingles) for every shingle of a prefix that other texts hold too."""
+    held = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
+    shared = written(held.groupBy("h").agg(F.count("*").alias("texts")).filter("texts > 1"), "shared")
+    let_go(sets.sparkSession)
+    found = held.join(shared, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "h"))).alias("found"))
+    # Shingles of this text alone are the rarest, and so the first of its prefix.
+    left = F.col("n") - _least_common(F.col("n")) + 1 - (F.col("n") - F.size("found"))
+    prefix = found.filter(left > 0).select("node", "n", F.explode(F.slice("found", F.lit(1), left)).alias("f"))
+    return prefix.select("f.h", "node", "n")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are alike."""
+    some = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+    other = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    both = pairs.distinct().join(some, "u").join(other, "v")
+    common = both.select("u", "v", (F.size("a") + F.size("b")).alias("sizes"), F.size(F.array_intersect("a", "b")).alias("common"))
+    return common.filter(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * ALIKE).select("u", "v")
+
+
+def _fit(n: Column, m: Column) -> Column:
+    """Sets of such sizes can be alike."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * ALIKE
+
+
+def links(sets: DataFrame) -> DataFrame:
+    """(u, v): pairs of alike ``sets`` (node, shingles; distinct) that connect all alike sets."""
+    buckets = written(_buckets(sets), "buckets")
+    let_go(sets.sparkSession)
+    hubs = buckets.groupBy("h").agg(F.min(F.struct("node", "n")).alias("hub"))
+    met = buckets.join(hubs, "h").filter(F.col("node") != F.col("hub.node"))
+    first = met.filter(_fit(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+    first = written(_verified(first, sets), "first")
+    rooted = met.join(stars(first).withColumnRenamed("u", "node"), "node", "left")
+    rooted = written(rooted.select("h", "node", "n", F.coalesce("v", "node").alias("root")), "rooted")
+    open_ = rooted.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("h")
+    rest = rooted.join(open_, "h")
+    x = rest.select("h", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("root").alias("root_u"))
+    y = rest.select("h", F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("root").alias("root_v"))
+    second = x.join(y, "h").filter((F.col("root_u") < F.col("root_v")) & _fit(F.col("n_u"), F.col("n_v")))
+    return first.unionByName(_verified(second.select("u", "v"), sets))
+
+
+def dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One row of each group of near-duplicates, that of the smallest doc_id, with its own columns.
+
+    Rows of a group are connected by pairs that are ALIKE. Equal sets are one node, so copies are
+    never paired. Defined results: a text of fewer words than a shingle is one shingle; null, empty
+    and blank texts have none and are copies of each other; a null doc_id stays and counts as
+    largest; an empty table gives an empty table.
+    """
+    rows = written(_sets(docs, size), "sets")
+    sets = rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    forest = stars(links(written(sets, "distinct_sets")))
+    members = rows.select("doc_id", "key", "node").join(forest.withColumnRenamed("u", "node"), "node", "left")
+    kept = members.groupBy(F.coalesce("v", "node").alias("root")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("k")
+    )
+    kept = kept.select(F.col("k.doc_id").alias("id"), F.col("k.key").alias("key"))
+    packed = docs.select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("whole"),
+    )
+    same = packed["id"].eqNullSafe(kept["id"]) & (packed["key"] == kept["key"])
+    found = packed.join(kept, same, "left_semi").dropDuplicates(["id", "key"])
+    return found.select(*[F.col(f"whole.c{i}").alias(c) for i, c in enumerate(docs.columns)])
