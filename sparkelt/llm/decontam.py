@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import window_hashes
@@ -59,23 +59,72 @@ def _is_slot(w: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW, literals: int = MIN_LITERALS) -> DataFrame:
-    """Every window of every item: item_id, at, n (windows of the item), w, template and words.
+    """Every window of every item: item_id, at, n (windows of the item), w, template and slots (words).
 
-    Items shorter than a window are one window of their own length. Windows with too few literal
-    words are left out, as they would match any text of their shape.
+    Items shorter than a window are one window of their own length. A window with too few literal
+    words would match any text of its shape, so it is compared along the item, to the right and then
+    to the left, until it holds enough: wide, from ``before`` words ahead of it, and wide_slots. told
+    says that it does; if the whole item does not, the window counts with the item's own words only.
+
+    The first word of an item carries the mark of a name if it follows other words in a text, never
+    in the item. Windows that reach it come in both forms;
+    told_same says whether the marked form is told when the text has the item's own word there.
     """
-    worded = benchmark.select("item_id", tokens(F.col("text")).alias("words")).withColumn("canon", canonical(F.col("words")))
-    sized = worded.withColumn("w", F.least(F.lit(size), F.size("words"))).filter("w > 0")
-    cut = sized.select(
+    bare = tokens(F.col("text"))
+    capital = F.coalesce("text", F.lit("")).rlike(r"^[^\p{L}\p{M}\p{N}]*\p{Lu}\p{Ll}")
+    worded = benchmark.select("item_id", bare.alias("bare"), capital.alias("capital")).filter(F.size("bare") > 0)
+    first = F.concat(F.lit(CAPITAL), F.element_at("bare", 1))
+    marked = F.concat(F.array(first), F.slice("bare", 2, F.size("bare")))
+    forms = F.when(F.col("capital"), F.array(F.col("bare"), marked)).otherwise(F.array(F.col("bare")))
+    formed = worded.select("item_id", F.posexplode(forms).alias("form", "words"), F.col("bare"))
+    sized = formed.select(
         "item_id",
-        "w",
+        (F.col("form") == 1).alias("marked"),
         "words",
-        "canon",
-        F.posexplode(F.sequence(F.lit(1), F.size("words") - F.col("w") + 1)).alias("at", "begin"),
-    ).select("item_id", "w", "at", F.slice("canon", F.col("begin"), F.col("w")).alias("template"), F.slice("words", F.col("begin"), F.col("w")).alias("slots"))
-    told = cut.filter(F.size(F.filter("template", lambda x: ~_is_slot(x))) >= F.least(F.lit(literals), F.col("w")))
-    counts = told.groupBy("item_id").agg(F.count("*").alias("n"))
-    return told.join(counts, "item_id")
+        canonical(F.col("words")).alias("canon"),
+        _literal_places(canonical(F.col("words"))).alias("told_at"),
+        _literal_places(canonical(F.col("bare"))).alias("bare_at"),
+        F.size("words").alias("long"),
+        F.least(F.lit(size), F.size("words")).alias("w"),
+    )
+    need = F.least(F.lit(literals), F.col("w"))
+    cut = sized.withColumn("n", (F.col("long") - F.col("w") + 1).cast("long")).select(
+        "*", need.alias("need"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("begin")
+    )
+    last = F.col("begin") + F.col("w") - 1
+    ahead = F.size(F.filter("bare_at", lambda x: x < F.col("begin")))
+    to = F.coalesce(F.get("bare_at", ahead + F.col("need") - 1), F.col("long"))
+    back = F.get("bare_at", F.size("bare_at") - F.col("need"))
+    short = F.size("bare_at") - ahead < F.col("need")
+    reach = cut.select(
+        "*",
+        F.when(F.size("bare_at") < F.col("need"), F.col("begin")).when(short, F.least("begin", back)).otherwise(F.col("begin")).alias("low"),
+        F.when(F.size("bare_at") < F.col("need"), last).otherwise(F.greatest(last, to)).alias("high"),
+    )
+
+    def enough(places: str) -> Column:
+        return F.size(F.filter(places, lambda x: x.between(F.col("low"), F.col("high")))) >= F.col("need")
+
+    length = F.col("high") - F.col("low") + 1
+    return reach.filter(~F.col("marked") | (F.col("low") == 1)).select(
+        "item_id",
+        F.col("begin").alias("at"),
+        "n",
+        "w",
+        F.slice("canon", F.col("begin"), F.col("w")).alias("template"),
+        F.slice("words", F.col("begin"), F.col("w")).alias("slots"),
+        (F.col("begin") - F.col("low")).alias("before"),
+        F.slice("canon", F.col("low"), length).alias("wide"),
+        F.slice("words", F.col("low"), length).alias("wide_slots"),
+        enough("told_at").alias("told"),
+        (F.col("marked") & enough("bare_at")).alias("told_same"),
+    )
+
+
+def _literal_places(canon: Column) -> Column:
+    """The places, from one, of the literal words."""
+    numbered = F.transform(canon, lambda w, i: F.when(~_is_slot(w), i + 1))
+    return F.filter(numbered, lambda i: i.isNotNull())
 
 
 def _hash(template: Column, size: int) -> Column:
@@ -87,8 +136,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
 
     Columns: doc_id, row (tells repeated rows apart), item_id, n_windows (distinct item windows
     found), coverage, exact (all slots as in the item) and the first and last word. Windows meet
-    by the hash of their template, then by the template itself. A match counts only if along its
-    diagonal each slot value of the item stands for one value in the text.
+    by the hash of their template, then by the template itself. A window whose slots differ from the
+    item's counts only if each of its slot values stands for one value along the diagonal; one that
+    holds the item's own words always counts.
 
     The item windows come from the benchmark, never from the corpus. Their number is counted; a
     small set is broadcast, a large one joins by shuffle. Only hits are shuffled after that, by
@@ -97,8 +147,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
     """
     items = item_windows(benchmark, size).persist()
     try:
-        shape = {r["w"]: r["n"] for r in items.groupBy("w").agg(F.count("*").alias("n")).collect()}
-        total = sum(shape.values())
+        shape = {
+            r["w"]: r
+            for r in items.groupBy("w")
+            .agg(F.count("*").alias("n"), F.max("before").alias("before"), F.max(F.size("wide") - F.col("before")).alias("ahead"))
+            .collect()
+        }
+        total = sum(r["n"] for r in shape.values())
         known = {
             w: [r["h"] for r in items.filter(F.col("w") == w).select(_hash(F.col("template"), w).alias("h")).distinct().collect()]
             if total <= LOOKED_UP_WINDOWS
@@ -111,32 +166,48 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
     worded = worded.withColumn("canon", canonical(F.col("words")))
     hits = None
     for w in sorted(shape) or [size]:
-        part = _hits(worded, items.filter(F.col("w") == w), w, known.get(w), total <= BROADCAST_WINDOWS)
+        part = _hits(worded, items.filter(F.col("w") == w), w, known.get(w), total <= BROADCAST_WINDOWS, shape.get(w))
         hits = part if hits is None else hits.unionByName(part)
     return _judged(hits)
 
 
-def _hits(worded: DataFrame, items: DataFrame, w: int, known: list[int] | None, small: bool) -> DataFrame:
-    """Windows of the texts whose template is an item's, with the slot values of both."""
+def _hits(worded: DataFrame, items: DataFrame, w: int, known: list[int] | None, small: bool, reach: Row | None) -> DataFrame:
+    """Windows of the texts that an item's stand in, as a template or word by word, with the slot values of both."""
     numbered = F.transform(window_hashes(F.col("canon"), w), lambda h, i: F.struct(i.alias("pos"), h.alias("h")))
     if known is not None:
         numbered = F.filter(numbered, lambda x: x["h"].isin(known)) if known else F.filter(numbered, lambda x: F.lit(False))
+    before, ahead = (reach["before"], reach["ahead"]) if reach else (0, w)
+
+    def around(words: str, pos: Column) -> Column:
+        low = F.greatest(pos - before, F.lit(0))
+        return F.slice(words, low + 1, pos + ahead - low)
+
     cut = F.transform(
         numbered,
         lambda x: F.struct(
             x["pos"],
             x["h"],
-            F.slice("canon", x["pos"] + 1, w).alias("own_template"),
-            F.slice("words", x["pos"] + 1, w).alias("own"),
+            F.least(x["pos"], F.lit(before)).alias("ahead_of"),
+            around("canon", x["pos"]).alias("near_template"),
+            around("words", x["pos"]).alias("near"),
         ),
     )
     cut = worded.withColumn("found", cut).select("doc_id", "row", F.inline("found"))
     items = items.withColumn("h", _hash(F.col("template"), w))
-    met = cut.join(F.broadcast(items) if small else items, "h").filter(F.col("own_template") == F.col("template"))
-    values = F.filter(
-        F.zip_with("template", F.arrays_zip("slots", "own"), lambda t, v: F.struct(t.alias("t"), v["slots"].alias("item"), v["own"].alias("own"))),
-        lambda x: _is_slot(x["t"]),
-    )
+    met = cut.join(F.broadcast(items) if small else items, "h")
+    met = met.filter(F.slice("near_template", F.col("ahead_of") + 1, w) == F.col("template"))
+    met = met.withColumn("own", F.slice("near", F.col("ahead_of") + 1, w)).withColumn("same", F.col("own") == F.col("slots"))
+    start, length = F.col("ahead_of") - F.col("before") + 1, F.size("wide")
+    met = met.withColumn("inside", F.col("ahead_of") >= F.col("before"))
+    met = met.withColumn("wide_own", F.when(F.col("inside"), F.slice("near", F.greatest(start, F.lit(1)), length)))
+    alike = F.col("inside") & (F.slice("near_template", F.greatest(start, F.lit(1)), length) == F.col("wide"))
+    told = F.col("told") | (F.col("told_same") & (F.get("wide_own", F.lit(0)) == F.get("wide_slots", F.lit(0))))
+    met = met.filter(F.col("same") | (alike & told))
+
+    def values(template: str, item: str, own: str) -> Column:
+        zipped = F.zip_with(template, F.arrays_zip(F.col(item).alias("item"), F.col(own).alias("own")), lambda t, v: F.struct(t.alias("t"), v["item"].alias("item"), v["own"].alias("own")))
+        return F.transform(F.filter(zipped, lambda x: _is_slot(x["t"])), lambda x: F.struct(x["item"], x["own"]))
+
     return met.select(
         "doc_id",
         "row",
@@ -145,7 +216,7 @@ def _hits(worded: DataFrame, items: DataFrame, w: int, known: list[int] | None,
         "n",
         "pos",
         F.lit(w).alias("w"),
-        F.transform(values, lambda x: F.struct(x["item"], x["own"])).alias("values"),
+        F.when(F.col("same"), values("template", "slots", "own")).otherwise(values("wide", "wide_slots", "wide_own")).alias("values"),
     )
 
 

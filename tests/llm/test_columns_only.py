@@ -194,6 +194,23 @@ def test_slots_must_be_consistent(docs_of, spark):
     assert [r.doc_id for r in found] == [1]
 
 
+DENSE = [
+    "A train goes 60 miles in 2 hours. How far in 5 hours?",
+    "What is 15 percent of 80 dollars?",
+    "What is 12 times 7?",
+    "Who wrote War and Peace?",
+]
+
+
+def test_items_of_many_slots_and_few_words_are_found(docs_of, spark):
+    bench = spark.createDataFrame(list(enumerate(DENSE)), "item_id long, text string")
+    rows = [(10 * n + k, f"{lead} {item}") for n, item in enumerate(DENSE) for k, lead in enumerate(["Now.", "he asked us", ""])]
+    rows += [(100, "he said " + DENSE[0].replace("60", "90").replace("5", "7")), (101, "What is 17 percent of 80 dollars? Who wrote Dombey and Son?")]
+    rows += [(102, "so a bus goes 60 miles in 2 hours. How long in 5 hours?"), (103, "12 times 7 3 4 5 6 7 8 9 10 Who wrote")]
+    found = {(r.doc_id, r.item_id, r.exact) for r in decontam.matches(docs_of(rows), bench).collect()}
+    assert found == {(10 * n + k, n, True) for n in range(4) for k in range(3)} | {(100, 0, False)}
+
+
 @pytest.mark.parametrize("looked_up, broadcast", [(0, 10**6), (0, 0)])
 def test_large_benchmarks_give_the_same_rows(docs_of, benchmark, monkeypatch, looked_up, broadcast):
     monkeypatch.setattr(decontam, "LOOKED_UP_WINDOWS", looked_up)
