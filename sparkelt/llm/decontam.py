@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import window_hashes
+from .common import let, window_hashes
 
 WINDOW = 8
 #: Literal words that a benchmark window needs beside its slots.
@@ -227,22 +227,35 @@ def _judged(hits: DataFrame) -> DataFrame:
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.max("n").alias("n"),
-            F.collect_set("at").alias("held"),
+            F.max("w").alias("w"),
+            F.collect_set(F.struct("at", "values")).alias("found"),
             F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
-            F.min("pos").alias("low"),
-            F.max(F.col("pos") + F.col("w") - 1).alias("high"),
         )
     )
-    # One value in the text for each value of the item: as many pairs as distinct item values.
-    kept = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["item"])))
-    spans = diagonals.filter(kept).groupBy("row", "item_id").agg(
+
+    def torn(values: Column) -> Column:
+        """Values of the item that stand for more than one in the text."""
+        items = F.transform(values, lambda v: v["item"])
+        return F.filter(F.array_distinct(items), lambda x: F.size(F.filter(items, lambda y: y == x)) > 1)
+
+    # A window counts with the item's own words, or if none of its values stands for two.
+    held = let(
+        torn(F.col("values")),
+        lambda bad: F.filter(
+            "found",
+            lambda f: F.forall(f["values"], lambda v: v["item"] == v["own"])
+            | F.forall(f["values"], lambda v: ~F.array_contains(bad, v["item"])),
+        ),
+    )
+    kept = diagonals.withColumn("held", F.array_distinct(F.transform(held, lambda f: f["at"]))).filter(F.size("held") > 0)
+    spans = kept.groupBy("row", "item_id").agg(
         F.first("doc_id").alias("doc_id"),
         F.max("n").alias("n"),
         F.size(F.array_distinct(F.flatten(F.collect_list("held")))).cast("long").alias("n_windows"),
         F.max(F.size("held")).alias("run"),
         F.bool_and(F.forall("values", lambda v: v["item"] == v["own"])).alias("exact"),
-        F.min("low").cast("long").alias("first_word"),
-        F.max("high").cast("long").alias("last_word"),
+        F.min(F.array_min("held") + F.col("diagonal")).cast("long").alias("first_word"),
+        F.max(F.array_max("held") + F.col("diagonal") + F.col("w") - 1).cast("long").alias("last_word"),
     )
     return (
         spans.withColumn("coverage", F.col("n_windows") / F.col("n"))

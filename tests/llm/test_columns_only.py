@@ -194,6 +194,18 @@ def test_slots_must_be_consistent(docs_of, spark):
     assert [r.doc_id for r in found] == [1]
 
 
+def test_windows_with_the_items_own_words_count_beside_a_changed_slot(docs_of, spark):
+    words = "the old mill by the river grinds grain for every farm in that wide and quiet valley".split()
+    item = " ".join([*words, "with 5 stones", *words[::-1], "and 5 wheels", *words])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    once = item.replace("5", "8", 1)
+    both = once.replace("5", "9")
+    found = decontam.matches(docs_of([(1, item), (2, once), (3, both)]), bench).collect()
+    got = {r.doc_id: (r.n_windows, r.exact) for r in found}
+    n = len(item.split()) - 7
+    assert got == {1: (n, True), 2: (n - 8, False), 3: (n - 16, False)}
+
+
 DENSE = [
     "A train goes 60 miles in 2 hours. How far in 5 hours?",
     "What is 15 percent of 80 dollars?",
