@@ -16,11 +16,11 @@ from .common import WHITE_SPACE, ascii_lower, importable, let, words_of, written
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 #: Word buckets of the classifier; the driver holds so many weights for each domain, no more.
 BUCKETS = 1 << 15
-#: Pull of every rate towards one, relative to the fit; rates below the least are zero.
+#: Pull of every rate towards one, relative to the fit.
 PULL = 1e-3
-LEAST_RATE = 0.1
-ROUNDS = 40
-TOLERANCE = 1e-5
+#: Rounds end when no domain's rates move by more than the tolerance, on average over its tokens.
+ROUNDS = 200
+TOLERANCE = 1e-4
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -58,7 +58,8 @@ def fit_classifier(found: DataFrame, labels: DataFrame, domains: list[str]) -> t
     for r in counts:
         table[r["bucket"]] = [r[f"d{i}"] for i in range(len(domains))]
     n = np.array([sizes.get(d, 0) for d in domains], float)
-    chance = (table + 0.05) / (n + 1.0)
+    # Smoothed by what all domains hold, so that a word that a rarely labelled one lacks says no more than in others.
+    chance = (table + (table.sum(axis=1, keepdims=True) + 0.05) / (n.sum() + 1.0)) / (n + 1.0)
     chance = np.clip(chance, 1e-6, 1 - 1e-6)
     weights = np.log(chance) - np.log1p(-chance)
     bias = np.log1p(-chance).sum(axis=0) + np.log((n + 1) / (n.sum() + len(domains)))
@@ -85,41 +86,59 @@ def posteriors(found: DataFrame, weights: np.ndarray, bias: np.ndarray) -> DataF
     return found.mapInPandas(score, "doc_id long, key long, tokens long, p array<double>")
 
 
-def replayed(p: np.ndarray, history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(rates, point of the next gradient) after the gradients in ``history``.
+def replayed(p: np.ndarray, history: list[np.ndarray], barred: np.ndarray | bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rates, point of the next gradient, last move) after the gradients in ``history``; barred rates are zero.
 
     Accelerated projected gradient. A document's rate depends on its posteriors and the residuals
     alone, so each pass recomputes it, and no state has to survive between passes.
     """
     step = 1 / (1 + PULL)
-    rate = ahead = np.ones(len(p))
+    rate = ahead = np.where(barred, 0.0, np.ones(len(p)))
+    move = np.zeros(len(p))
     t = 1.0
     for residual in history:
-        new = np.maximum(0.0, ahead - step * (p @ residual + PULL * (ahead - 1)))
+        new = np.where(barred, 0.0, np.maximum(0.0, ahead - step * (p @ residual + PULL * (ahead - 1))))
+        move = np.abs(new - ahead)
         t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
         rate, ahead, t = new, new + (t - 1) / t_new * (new - rate), t_new
-    return rate, ahead
+    return rate, ahead, move
+
+
+def barred(p: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """Documents whose likeliest domain is to have no tokens at all."""
+    return goal[p.argmax(axis=1)] == 0
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float]) -> list[np.ndarray]:
-    """Residuals of the projected-gradient rounds; one row of domain sums reaches the driver each."""
-    total = scored.agg(F.sum("tokens")).first()[0] or 0
+    """Residuals of the projected-gradient rounds, each domain's relative to its share of the tokens.
+
+    Rarity thus changes neither a domain's weight nor its convergence: with shares D, the rounds
+    minimise the squares of D^-1/2 (expected - goal), and their steps stay within the same bound, as
+    the mean of p p' has the row sums D. One row of domain sums reaches the driver each round.
+    """
     goal = np.array(list(targets.values())) / (sum(targets.values()) or 1)
     history: list[np.ndarray] = []
     names = [f"d{i}" for i in range(len(goal))]
-    for _ in range(ROUNDS if total else 0):
+    every = [f"{kind}{n}" for kind in "ams" for n in names]
 
-        def sums(frames: Iterator[pd.DataFrame], history=tuple(history)) -> Iterator[pd.DataFrame]:
+    def summed(history: tuple) -> np.ndarray:
+        def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for f in frames:
                 if len(f):
                     p = np.stack(f["p"].to_numpy())
-                    mass = (replayed(p, history)[1] * f["tokens"].to_numpy(float)) @ p
-                    yield pd.DataFrame([mass], columns=names)
+                    tokens = f["tokens"].to_numpy(float)
+                    _, ahead, move = replayed(p, history, barred(p, goal))
+                    yield pd.DataFrame([np.r_[(ahead * tokens) @ p, (move * tokens) @ p, tokens @ p]], columns=every)
+
+        row = scored.mapInPandas(sums, ", ".join(f"{n} double" for n in every)).agg(*[F.sum(n) for n in every]).first()
+        return np.array([x or 0.0 for x in row]).reshape(3, -1)
 
-        row = scored.mapInPandas(sums, ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first()
-        history.append(np.array(row) / total - goal)
-        if len(history) > 1 and np.abs(history[-1] - history[-2]).max() < TOLERANCE:
+    for _ in range(ROUNDS):
+        mass, moved, share = summed(tuple(history))
+        total = share.sum()
+        if not total or len(history) > 1 and (moved <= TOLERANCE * share).all():
             break
+        history.append((mass - goal * total) / np.maximum(share, 1e-9 * total))
     return history
 
 
@@ -127,7 +146,8 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     """doc_id, key, tokens, domain (the likeliest), p by domain and rate of every row of ``docs``.
 
     The rate is how often a document is to be drawn: least squares on the domains' expected token
-    totals, with a weak pull towards one, and never below zero. Defined results: null or empty
+    totals, with a weak pull towards one, and never below zero; zero where the likeliest domain is to
+    have no tokens. Defined results: null or empty
     texts have no tokens and the prior's posteriors; a null doc_id stays and is never labelled;
     repeated rows get a row each; without labels all domains are equally likely; an empty table
     gives an empty table. Other columns are ignored.
@@ -138,17 +158,18 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     weights, bias = fit_classifier(found, labels, domains)
     scored = written(posteriors(found, weights, bias), "posteriors")
     history = fit_rates(scored, targets)
+    goal = np.array(list(targets.values()))
 
     def rated(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if not len(f):
                 continue
             p = np.stack(f["p"].to_numpy())
-            rate = replayed(p, history)[0]
+            rate = replayed(p, history, barred(p, goal))[0]
             out = {"doc_id": f["doc_id"].astype("Int64"), "key": f["key"], "tokens": f["tokens"]}
             out["domain"] = [domains[i] for i in p.argmax(axis=1)]
             out |= {f"p_{d}": p[:, i].round(6) for i, d in enumerate(domains)}
-            yield pd.DataFrame(out | {"rate": np.where(rate < LEAST_RATE, 0.0, rate.round(6))})
+            yield pd.DataFrame(out | {"rate": rate.round(6)})
 
     columns = "".join(f", p_{d} double" for d in domains)
     return scored.mapInPandas(rated, f"doc_id long, key long, tokens long, domain string{columns}, rate double")

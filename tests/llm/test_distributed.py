@@ -278,6 +278,32 @@ def test_projected_gradient_matches_a_direct_solver():
     assert miss(fast) < miss(rate) + 0.01
 
 
+def test_rates_do_not_depend_on_how_rare_or_common_a_domain_is(spark):
+    for shares in ({"good": 0.899, "poor": 0.1, "toxic": 0.001}, {"good": 0.17, "poor": 0.8, "toxic": 0.03}):
+        rows = [
+            (n, n, round(100000 * share) // 10, [0.999 * (d == e) + 0.001 / 3 for e in shares])
+            for d, share in shares.items()
+            for n in range(10)
+        ]
+        scored = spark.createDataFrame(rows, "doc_id long, key long, tokens long, p array<double>")
+        history = mixing.fit_rates(scored, mixing.TARGETS)
+        p = np.array([r[3] for r in rows])
+        rate = mixing.replayed(p, history, mixing.barred(p, np.array(list(mixing.TARGETS.values()))))[0]
+        got = dict(zip(shares, rate[::10]))
+        assert got["toxic"] == 0 and len(history) < mixing.ROUNDS
+        for d in ("good", "poor"):
+            assert abs(got[d] * shares[d] / mixing.TARGETS[d] - 1) < 0.02, (d, got)
+
+
+def test_common_poor_text_is_thinned_not_dropped(spark, docs_of):
+    rng = random.Random(8)
+    texts = [(i, " ".join(rng.choice(VOCABULARY) for _ in range(50)) + (" zzz qqq ###" if i % 10 < 8 else " fine calm true")) for i in range(400)]
+    marks = [(i, int(i % 10 >= 8), 0) for i, _ in texts]
+    got = mixing.mixed(docs_of(texts), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()
+    assert all(r.rate > 0 for r in got)
+    assert abs(sum(r.rate * r.tokens for r in got if r.domain == "poor") / sum(r.tokens for r in got) - 0.05) < 0.01
+
+
 # --- the pipeline -----------------------------------------------------------------------------
 
 
