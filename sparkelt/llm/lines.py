@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import near
 from .common import let, written
 
-#: A template is boilerplate if so many different texts hold it.
+#: A template is boilerplate if so many different texts hold it, a short or a long one.
 MIN_TEXTS = 10
+LONG_TEXTS = MIN_TEXTS
+LONG_TOKENS = 14
 MIN_TOKENS = 1
 #: Share of a line's tokens that must be literal, and share at either end that a gap template keeps.
 MIN_LITERAL = 0.5
 EDGE_SHARE = 0.4
-#: A text with a larger share of its tokens in recurring lines is a copy of another: its lines are
-#: no evidence of boilerplate, as whatever was copied recurs.
+#: A text with a larger share of its tokens in recurring lines may be a copy. Near-duplicates among
+#: such texts count as one text, as whatever was copied recurs.
 COPY_SHARE = 0.5
 
 FIELD = "<*>"
@@ -69,28 +72,35 @@ def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
 
     def read(lines: Column) -> Column:
         numbered = F.transform(
-            lines, lambda x: F.transform(x["ids"], lambda t, i: F.struct(t.alias("t"), F.when(i == 0, x["n"]).otherwise(0).alias("n")))
+            lines,
+            lambda x: F.transform(
+                x["ids"],
+                lambda t, i: F.struct(t.alias("t"), F.when(i == 0, x["n"]).otherwise(0).alias("n"), (x["n"] >= LONG_TOKENS).alias("long")),
+            ),
         )
         return F.struct(
             F.aggregate(lines, F.lit(0), lambda total, x: total + x["n"]).alias("tokens"), F.flatten(numbered).alias("found")
         )
 
+    def often(held: DataFrame) -> DataFrame:
+        counts = held.groupBy("t").agg(F.count("*").alias("texts"), F.max("long").alias("long"))
+        least = F.when(F.col("long"), F.least(F.lit(LONG_TEXTS), F.lit(min_texts))).otherwise(min_texts)
+        return counts.filter(F.col("texts") >= least).select("t")
+
     texts = docs.select(*_key(F.col("text")), let(F.transform(_lines(F.col("text")), parsed), read).alias("r"))
     # An outer inline, as the inner one would have the optimizer read each text twice, to filter.
     inlined = texts.select("__a", "__b", F.col("r.tokens").alias("tokens"), F.inline_outer("r.found")).filter("t IS NOT NULL")
-    held = inlined.groupBy("__a", "__b", "t").agg(F.max("tokens").alias("tokens"), F.max("n").alias("n"))
+    held = inlined.groupBy("__a", "__b", "t").agg(F.max("tokens").alias("tokens"), F.max("n").alias("n"), F.max("long").alias("long"))
     # Copies of a text are one text; a line's tokens count once per text.
-    often = held.groupBy("t").agg(F.count("*").alias("texts")).filter(F.col("texts") >= min_texts)
-    again = written(held.join(often.select("t"), "t"), "recurring")
+    again = written(held.join(often(held), "t"), "recurring")
     own = again.groupBy("__a", "__b").agg((F.sum("n") > COPY_SHARE * F.max("tokens")).alias("copy"))
-    proven = (
-        again.join(own.filter("NOT copy"), ["__a", "__b"])
-        .groupBy("t")
-        .agg(F.count("*").alias("texts"))
-        .filter(F.col("texts") >= min_texts)
-        .select("t")
-    )
-    return again.join(proven, "t").groupBy("__a", "__b").agg(F.collect_set("t").alias("__drop"))
+    own = written(own.select(F.xxhash64("__a", "__b").alias("id"), "copy"), "holders")
+    suspects = docs.select(F.xxhash64(*_key(F.col("text"))).alias("doc_id"), "text")
+    suspects = suspects.join(own.filter("copy").select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
+    roots = near.grouped(suspects).select(F.col("doc_id").alias("id"), "root")
+    classes = own.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class"))
+    counted = again.withColumn("id", F.xxhash64("__a", "__b")).join(classes, "id").groupBy("t", "class").agg(F.max("long").alias("long"))
+    return again.join(often(counted), "t").groupBy("__a", "__b").agg(F.collect_set("t").alias("__drop"))
 
 
 def _cut(docs: DataFrame, min_texts: int) -> tuple[DataFrame, list[Column]]:

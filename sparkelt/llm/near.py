@@ -79,6 +79,15 @@ def links(sets: DataFrame) -> DataFrame:
     return first.unionByName(_verified(second.select("u", "v"), sets))
 
 
+def grouped(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, key (a hash of the text) and root of every row of ``docs``; alike rows have one root."""
+    rows = written(_sets(docs, size), "sets")
+    sets = rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    forest = stars(links(written(sets, "distinct_sets")))
+    members = rows.select("doc_id", "key", "node").join(forest.withColumnRenamed("u", "node"), "node", "left")
+    return members.select("doc_id", "key", F.coalesce("v", "node").alias("root"))
+
+
 def dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row of each group of near-duplicates, that of the smallest doc_id, with its own columns.
 
@@ -87,11 +96,7 @@ def dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     and blank texts have none and are copies of each other; a null doc_id stays and counts as
     largest; an empty table gives an empty table.
     """
-    rows = written(_sets(docs, size), "sets")
-    sets = rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
-    forest = stars(links(written(sets, "distinct_sets")))
-    members = rows.select("doc_id", "key", "node").join(forest.withColumnRenamed("u", "node"), "node", "left")
-    kept = members.groupBy(F.coalesce("v", "node").alias("root")).agg(
+    kept = grouped(docs, size).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("k")
     )
     kept = kept.select(F.col("k.doc_id").alias("id"), F.col("k.key").alias("key"))

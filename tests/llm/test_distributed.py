@@ -215,6 +215,12 @@ def test_recurring_templates_go_and_copies_stay(docs_of, edge_rows):
     assert lines.clean(docs_of([]).limit(0)).count() == 0
 
 
+def test_boilerplate_that_makes_up_most_of_its_pages_goes(docs_of):
+    notice = prose("notice", 12)
+    got = lines.stripped(docs_of([(n, f"{notice}\n{prose(n, 4)}\n{prose(n + 500, 4)}") for n in range(30)])).collect()
+    assert all(r.n_dropped == 1 and notice not in r.text for r in got)
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 
