@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from . import near
 from .common import let, written
 
-#: A template is boilerplate if so many different texts hold it, a short or a long one.
+#: A template is boilerplate if so many different texts hold it; a long one, which does not recur by
+#: chance, if two do.
 MIN_TEXTS = 10
-LONG_TEXTS = MIN_TEXTS
+LONG_TEXTS = 2
 LONG_TOKENS = 14
 MIN_TOKENS = 1
 #: Share of a line's tokens that must be literal, and share at either end that a gap template keeps.

@@ -221,6 +221,16 @@ def test_boilerplate_that_makes_up_most_of_its_pages_goes(docs_of):
     assert all(r.n_dropped == 1 and notice not in r.text for r in got)
 
 
+@pytest.mark.parametrize("holders", [1, 2, 5])
+def test_a_long_passage_goes_from_two_texts_on(docs_of, holders):
+    passage, short = prose("passage", 60), prose("short", 8)
+    rows = [(n, f"{prose(n, 90)}\n{passage if n < holders else prose(n + 700, 60)}\n{short}") for n in range(8)]
+    copied = "\n".join(prose(f"c{k}", 20) for k in range(6))
+    rows += [(100 + n, f"{copied}\nand {VOCABULARY[n]}") for n in range(5)]
+    got = {r.doc_id: r.n_dropped for r in lines.stripped(docs_of(rows)).collect()}
+    assert got == {i: int(i < holders and holders > 1) for i, _ in rows}
+
+
 # --- mixing -----------------------------------------------------------------------------------
 
 
