@@ -1,29 +1,31 @@
 """Near-duplicates by exact similarity: texts whose sets of five-word shingles are 0.8 alike or more.
 
-Candidates come from prefixes: with the shingles of every text in one order, rarest first, two sets
-that are so alike share a shingle among the first fifth of each. That holds for every such pair, and
-shingles of one text alone, mostly the whole prefix, lead to no candidate. Candidates are verified on
-the sets themselves. Those of a shingle first meet one hub, which settles groups of many copies
+Candidates come from prefixes: with the shingles of every text in one order, two sets that are so
+alike share a shingle among the first fifth of each. That holds for every such pair and any order;
+here frequent shingles come last, as a sample of texts shows them. Candidates are verified on the sets
+themselves. Those of a shingle first meet one hub, which settles groups of many copies
 with as many pairs as members; only members still in different components meet each other.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let_go, written
+from .common import importable, let_go, written
 from .components import stars
 from .simhash import shingle_hashes
 
 SHINGLE = 5
 #: Least share of common shingles among all shingles of two texts, in percent.
 ALIKE = 80
-
-
-def _least_common(n: Column) -> Column:
-    """So many shingles of n a set shares with any set that is so alike."""
-    return F.ceil(n * ALIKE / 100).cast("int")
+#: Texts, at most, and share of them in the sample that tells frequent shingles, and how many of it
+#: hold one. This decides the order alone, never which pairs are found.
+SAMPLE_TEXTS, SAMPLE_SHARE, FREQUENT = 20_000, 0.125, 4
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -35,23 +37,49 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     ).select("doc_id", "key", F.xxhash64("shingles").alias("node"), "shingles")
 
 
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """The shingles that many texts of a sample hold, sorted; the sample's size bounds their number."""
+    part = min(SAMPLE_SHARE, SAMPLE_TEXTS / max(1, sets.count()))
+    sample = sets.filter(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(part * 1_000_000)).dropDuplicates(["node"])
+    often = sample.select(F.explode("shingles").alias("h")).groupBy("h").count().filter(F.col("count") >= FREQUENT)
+    return np.sort(np.array([r["h"] for r in often.select("h").collect()], np.int64))
+
+
 def _buckets(sets: DataFrame) -> DataFrame:
-    """h, node and n (shingles) for every shingle of a prefix that other texts hold too."""
-    held = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
-    shared = written(held.groupBy("h").agg(F.count("*").alias("texts")).filter("texts > 1"), "shared")
-    let_go(sets.sparkSession)
-    found = held.join(shared, "h").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "h"))).alias("found"))
-    # Shingles of this text alone are the rarest, and so the first of its prefix.
-    left = F.col("n") - _least_common(F.col("n")) + 1 - (F.col("n") - F.size("found"))
-    prefix = found.filter(left > 0).select("node", "n", F.explode(F.slice("found", F.lit(1), left)).alias("f"))
-    return prefix.select("f.h", "node", "n")
+    """node, n (shingles) and h for every shingle of the prefixes."""
+    frequent = _frequent(sets)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("shingles")
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            h = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+            n = np.diff(offsets)
+            owner = np.repeat(np.arange(len(n)), n)
+            common = np.zeros(len(h), bool)
+            if len(frequent):
+                common = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+            order = np.lexsort((h, common, owner))
+            # A set shares ceil(n * ALIKE / 100) of its shingles at least, so one of the first others and one more.
+            length = n + (-n * ALIKE // 100) + 1
+            first = order[np.arange(len(h)) - np.repeat(offsets[:-1] - offsets[0], n) < np.repeat(length, n)]
+            node = b.column("node").to_numpy()
+            columns = [node[owner[first]], n[owner[first]].astype(np.int32), h[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "n", "h"])
+
+    importable(sets.sparkSession)
+    return sets.select("node", "shingles").mapInArrow(cut, "node long, n int, h long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets are alike."""
-    some = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-    other = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = pairs.distinct().join(some, "u").join(other, "v")
+    pairs = written(pairs.distinct(), "pairs")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    held = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    held = written(held, "candidates")
+    some = held.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+    other = held.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    both = pairs.join(some, "u").join(other, "v")
     common = both.select("u", "v", (F.size("a") + F.size("b")).alias("sizes"), F.size(F.array_intersect("a", "b")).alias("common"))
     return common.filter(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * ALIKE).select("u", "v")
 
@@ -62,12 +90,13 @@ def _fit(n: Column, m: Column) -> Column:
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """(u, v): pairs of alike ``sets`` (node, shingles; distinct) that connect all alike sets."""
+    """(u, v): pairs of alike ``sets`` (node, shingles) that connect all alike sets."""
     buckets = written(_buckets(sets), "buckets")
     let_go(sets.sparkSession)
-    hubs = buckets.groupBy("h").agg(F.min(F.struct("node", "n")).alias("hub"))
-    met = buckets.join(hubs, "h").filter(F.col("node") != F.col("hub.node"))
-    first = met.filter(_fit(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+    hubs = buckets.groupBy("h").agg(F.min(F.struct("node", "n")).alias("hub"), F.count("*").alias("texts")).filter("texts > 1")
+    met = written(buckets.join(hubs, "h").drop("texts"), "met")
+    let_go(sets.sparkSession)
+    first = met.filter((F.col("node") != F.col("hub.node")) & _fit(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
     first = written(_verified(first, sets), "first")
     rooted = met.join(stars(first).withColumnRenamed("u", "node"), "node", "left")
     rooted = written(rooted.select("h", "node", "n", F.coalesce("v", "node").alias("root")), "rooted")
@@ -82,8 +111,7 @@ def links(sets: DataFrame) -> DataFrame:
 def grouped(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, key (a hash of the text) and root of every row of ``docs``; alike rows have one root."""
     rows = written(_sets(docs, size), "sets")
-    sets = rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
-    forest = stars(links(written(sets, "distinct_sets")))
+    forest = stars(links(rows.select("node", "shingles")))
     members = rows.select("doc_id", "key", "node").join(forest.withColumnRenamed("u", "node"), "node", "left")
     return members.select("doc_id", "key", F.coalesce("v", "node").alias("root"))
 
