@@ -32,7 +32,7 @@ HINT = r"[0-9@]|https?://|[\p{Ll},] \p{Lu}"
 
 
 def parsed(line: Column) -> Column:
-    """n (tokens) and ids, the template identifiers of a line; none if it is mostly fields.
+    """n (tokens) and ids, the template identifiers of a line; the line as it is if it is mostly fields.
 
     The path through the tree is the token count, then the leading tokens with their fields
     generalised. Its leaf holds the whole generalised line, and, generalising further, the line
@@ -47,7 +47,7 @@ def parsed(line: Column) -> Column:
         whole = F.xxhash64(F.lit("line"), n, tokens)
         gap = F.xxhash64(F.lit("gap"), n, lead, trail)
         none = F.array().cast("array<bigint>")
-        ids = F.when((n < MIN_TOKENS) | (literal < MIN_LITERAL * n), none).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
+        ids = F.when(n < MIN_TOKENS, none).when(literal < MIN_LITERAL * n, F.array(F.xxhash64(F.lit("same"), n, line))).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
         return F.struct(n.alias("n"), ids.alias("ids"))
 
     # Most lines of prose have no field; seeing that is cheaper than replacing none.

@@ -221,6 +221,11 @@ def test_boilerplate_that_makes_up_most_of_its_pages_goes(docs_of):
     assert all(r.n_dropped == 1 and notice not in r.text for r in got)
 
 
+def test_equal_lines_of_mostly_fields_go(docs_of):
+    rows = [(n, f"{prose(n, 20)}\n12 34 56 call 78\n{n} {n + 1} {n + 2} call {n}") for n in range(12)]
+    assert all(r.n_dropped == 1 and "12 34 56 call 78" not in r.text.split("\n") for r in lines.stripped(docs_of(rows)).collect())
+
+
 @pytest.mark.parametrize("holders", [1, 2, 5])
 def test_a_long_passage_goes_from_two_texts_on(docs_of, holders):
     passage, short = prose("passage", 60), prose("short", 8)
