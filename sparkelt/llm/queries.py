@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, lines, mixing, pii, quality, simhash, suffix, tokens, warc
+from . import decontam, license, lines, merkle, mixing, pii, quality, simhash, suffix, tokens, warc
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,21 @@ def _mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixed(table(spark, d, "documents"), table(spark, d, "labels")).drop("key")
 
 
+def tampered_manifest(docs: DataFrame, levels: int = merkle.LEVELS) -> DataFrame:
+    """The manifest of ``docs``, and the roots that rows lead to after every second lost its newlines."""
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    other = merkle.leaf_digest(*[text if f == "text" else F.col(f) for f in merkle.FIELDS])
+    found = merkle.manifest(docs, carried={"other": other}, levels=levels)
+    found = found.withColumn("folded_root", merkle.folded(F.col("other"), F.col("path")))
+    proof = merkle.proof_digest(F.col("path")).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
+def _merkle(spark: SparkSession, d: str) -> DataFrame:
+    return tampered_manifest(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
@@ -80,4 +95,5 @@ def queries() -> dict[str, Query]:
         "op8_soft_mixing": _mixing,
         "op9_quality_rules": _quality,
         "op10_benchmark_leaks": _decontam,
+        "op11_merkle_manifest": _merkle,
     }
