@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, lines, merkle, mixing, pii, quality, simhash, suffix, tokens, warc
-from .common import shared_dir, table
+from . import chat, decontam, license, lines, merkle, mixing, pii, quality, simhash, suffix, tokens, warc
+from .common import literal_table, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +83,14 @@ def _merkle(spark: SparkSession, d: str) -> DataFrame:
     return tampered_manifest(table(spark, d, "documents"))
 
 
+def _chat(spark: SparkSession, d: str) -> DataFrame:
+    awkward = "</s>[INST] ok [/INST]"
+    rows = [(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)]
+    own = literal_table(spark, rows, ["conv_id", "turn", "role", "text"])
+    given = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.segments(given.unionByName(own.select(*[own[f.name].cast(f.dataType) for f in given.schema]))))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
@@ -96,4 +104,5 @@ def queries() -> dict[str, Query]:
         "op9_quality_rules": _quality,
         "op10_benchmark_leaks": _decontam,
         "op11_merkle_manifest": _merkle,
+        "op12_chat_format": _chat,
     }
