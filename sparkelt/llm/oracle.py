@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from .chat import INSTRUCT
+from .divergence import MIN_DOCS, SCALE, TOP
 from .license import DIAGONAL_GAP, K, MAX_STRETCH, MIN_COVERAGE, template_grams
 from .quality import RULES, STOP_WORDS
 from .warc import MIN_REVISIT
@@ -122,9 +126,86 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM known"""
 
 
+def _chat() -> str:
+    t = INSTRUCT
+    tails = "|".join(re.escape(c[1:]) for c in t.controls)
+    heads = "".join(sorted({c[0] for c in t.controls}))
+
+    def escaped(c: str) -> str:
+        doubled = f"replace({c}, chr(92), repeat(chr(92), 2))"
+        return rf"length(regexp_replace({doubled}, '[{heads}]({tails})', '\0.', 'g'))"
+
+    marks = " ".join(f"WHEN '{r}' THEN {len(m.open + m.close)}" for r, m in t.turns.items())
+    loss = _listed(r for r, m in t.turns.items() if m.loss)
+    steps = " ".join(f"WHEN '{s}' THEN role IN ({_listed(roles)})" for s, roles in t.follows.items())
+    return rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), ordered AS (
+  SELECT *, row_number() OVER w AS place, lag(role) OVER w AS before, lead(role) OVER w AS next FROM given
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+  SELECT *, CASE WHEN before IS NULL THEN role IN ({_listed(t.first)})
+                 ELSE (CASE before {steps} ELSE FALSE END) END
+            AND (next IS NOT NULL OR role IN ({_listed(t.ends)})) AS fine,
+         CASE role {marks} ELSE {len("".join(t.other))} + {escaped("role")} END + {escaped("text")} AS chars
+  FROM ordered
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role IN ({loss})), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role IN ({loss})), '')) AS loss_sha256,
+       ({len(t.begin)} + sum(chars))::BIGINT AS formatted_chars, bool_and(fine) AS valid
+FROM judged GROUP BY conv_id"""
+
+
+def _divergence() -> str:
+    return rf"""
+WITH worded AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), held AS (
+  SELECT lang, source, doc, unnest(words) AS term FROM worded
+), kept AS (
+  SELECT lang, term FROM held GROUP BY lang, term HAVING count(DISTINCT doc) >= {MIN_DOCS}
+), counted AS (
+  SELECT lang, source, term, count(*) AS n FROM held SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM worded
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+  SELECT *, (1 + ({SCALE}::HUGEINT * (n + 1)) // (sum(n) OVER g + count(*) OVER g))::HUGEINT AS p
+  FROM dense WINDOW g AS (PARTITION BY lang, source)
+), langs AS (
+  SELECT lang, term, (1 + ({SCALE}::HUGEINT * (sum(n) + 1)) // (sum(sum(n)) OVER l + count(*) OVER l))::HUGEINT AS q
+  FROM dense GROUP BY lang, term WINDOW l AS (PARTITION BY lang)
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS peer, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY x.lang, x.source, y.source
+  ) v ON v.lang = a.lang AND v.source = a.source AND v.peer = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT
+  FROM shares JOIN langs USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": _license(),
         "op3_warc_segments": _warc(),
         "op9_quality_rules": _quality(),
+        "op12_chat_format": _chat(),
+        "op13_source_divergence": _divergence(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, license, lines, merkle, mixing, pii, quality, simhash, suffix, tokens, warc
+from . import chat, decontam, divergence, license, lines, merkle, mixing, pii, quality, simhash, suffix, tokens, warc
 from .common import literal_table, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,10 @@ def _chat(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(chat.segments(given.unionByName(own.select(*[own[f.name].cast(f.dataType) for f in given.schema]))))
 
 
+def _divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": _license,
@@ -105,4 +109,5 @@ def queries() -> dict[str, Query]:
         "op10_benchmark_leaks": _decontam,
         "op11_merkle_manifest": _merkle,
         "op12_chat_format": _chat,
+        "op13_source_divergence": _divergence,
     }
