@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,7 +118,7 @@ def extract_payload(
     keep: tuple[str, ...] = (),
     parse_times: bool = True,
     with_key: bool = True,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Messages to feed columns: decode, flatten, parse timestamps, add the trip key.
 
@@ -139,6 +141,42 @@ def extract_payload(
     return out
 
 
+def judge_payload(df: DataFrame, feed: FeedSpec, fmt: str = "avro", value: str = "value") -> DataFrame:
+    """Messages to feed columns as ``extract_payload`` does, with the message and ``reason``.
+
+    ``reason`` is NULL for a good message, else the first that holds: ``no value``, ``no frame`` (too
+    short, or another first byte), ``malformed body``, ``unreadable time``. Each message is decoded
+    once.
+    """
+    message = F.col(value).cast("binary")
+    framed = fmt != "json"
+    body = frame_body(message) if framed else message
+    if fmt == "avro":
+        record = decode_avro(body, feed.avro_json, "PERMISSIVE")
+    elif fmt in ("framed_json", "json"):
+        schema = T.StructType([*feed.wire_schema.fields, T.StructField("_broken", T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+        record = F.from_json(body.cast("string"), schema, options)
+    else:
+        raise ValueError(f"unknown message format {fmt!r}")
+    names = [n for n, _ in feed.wire]
+    out = df.select(message.alias("value"), record.alias("data"))
+    if fmt == "avro":  # a malformed body decodes to a record of NULLs
+        broken = F.coalesce(*[F.col("data")[n].cast("string") for n in names]).isNull()
+    else:
+        broken = F.col("data").isNull() | F.col("data._broken").isNotNull()
+    times = {c: parse_timestamp(F.col("data")[c]) for c in feed.timestamp_cols}
+    unread = [F.col("data")[c].isNotNull() & t.isNull() for c, t in times.items()]
+    reason = F.when(F.col("value").isNull(), "no value")
+    if framed:
+        bare = (F.length("value") < FRAME_BYTES) | (F.hex(F.substring("value", 1, 1)) != "00")
+        reason = reason.when(bare, "no frame")
+    reason = reason.when(broken, "malformed body").when(reduce(or_, unread), "unreadable time")
+    columns = [times.get(n, F.col("data")[n]).alias(n) for n in names]
+    out = out.select("value", reason.alias("reason"), *columns)
+    return out.withColumn("trip_id", trip_key(feed.name, feed.id_cols))
+
+
 def normalize_payload(df: DataFrame, feed: FeedSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Feed columns to wire values: ISO text timestamps, NaN to NULL, codes as whole numbers."""
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sparkelt.operators.filters import since, since_marks
 from sparkelt.operators.upsert import upsert
 from sparkelt.schemas import FEED_NAMES
-from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
+from sparkelt.sources.warehouse import SMALL_BYTES, SMALL_UNITS, MarkDict, TableSpec, Warehouse
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -48,13 +48,15 @@ class Model:
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run did. ``touched`` lists the partitions it rewrote, as text; None: all of a build."""
+    """What a run did. ``touched`` lists the partitions its rows fell into, as text, and ``added`` the
+    units it wrote; None: all of a build."""
 
     model: str
     kind: str  # "full", "merge" or "none"
     touched: list[str | None] | None
     before: MarkDict
     after: MarkDict
+    added: list[str] | None = None
 
 
 def watermark(df: DataFrame) -> datetime | None:
@@ -126,34 +128,59 @@ def apply_updates(
     if touched == []:
         if after != before:
             wh.set_marks(table, after)
-        return RunResult(model.name, "none", [], before, after)
-    base = wh.read(table, touched)
+        return RunResult(model.name, "none", [], before, after, [])
+    part = table.part_of().alias(table.part.name)
+    near = wh.units_in(table, touched)
+    replaced = set(wh.matched_units(table, near, rows.select(table.key, part))) if near else set()
+    replaced |= _crowded(table, near)
     updates = model.finish(model.settle(rows)).select(*table.schema.names)
-    keys = rows.select(table.key)
-    if model.settle is not _same:
-        keys = keys.distinct()  # combined on the map side: a much repeated key stays one row per task
-    merged = upsert(base, updates, table.key, keys)
-    wh.write(table, _gather(merged.transform(table.with_part), table), only_touched=True)
+    merged = updates
+    if replaced:
+        keys = rows.select(table.key)
+        if model.settle is not _same:
+            keys = keys.distinct()  # combined on the map side: a much repeated key stays one row per task
+        merged = upsert(wh.read(table, units=replaced), updates, table.key, keys)
+    added = wh.write(table, _gather(merged.transform(table.with_part), table), replaced)
     wh.set_marks(table, after)
-    return RunResult(model.name, "merge", touched, before, after)
+    return RunResult(model.name, "merge", touched, before, after, added)
 
 
-def recompute(wh: Warehouse, model: Model, upstream: Model, done: RunResult, before: MarkDict) -> RunResult:
-    """Follow an upstream run by computing the partitions that it rewrote anew.
+def _crowded(table: TableSpec, units: dict[str, int]) -> set[str]:
+    """Small units of partitions that have many of them; a merge takes them along."""
+    small: dict[str | None, list[str]] = {}
+    for unit, size in units.items():
+        if size < SMALL_BYTES:
+            small.setdefault(table.part_text(unit), []).append(unit)
+    return {u for group in small.values() if len(group) >= SMALL_UNITS for u in group}
 
-    For models that map each upstream row to one of their own with the same key and partition: the
-    upstream partitions hold every row that an upsert would keep or change, so there is nothing to
-    join, shuffle or survey.
+
+def mirror(
+    wh: Warehouse, model: Model, upstream: Model, done: RunResult, before: MarkDict | None
+) -> RunResult:
+    """Follow an upstream table unit by unit.
+
+    For models that map each upstream row to one of their own with the same key and partition. Each
+    upstream unit has one of the same name here, so what differs between the two lists of units is
+    what has to be done: no join, shuffle or survey, and whatever an earlier run left undone is made
+    up for. Without marks all units are made anew.
     """
-    table, after = model.table, _later(before, done.after)
-    if not done.touched:
-        if after != before:
-            wh.set_marks(table, after)
-        return RunResult(model.name, "none", [], before, after)
-    rows = model.finish(model.settle(model.build(wh.read(upstream.table, done.touched))))
-    wh.write(table, rows.transform(table.with_part), only_touched=True)
-    wh.set_marks(table, after)
-    return RunResult(model.name, "merge", done.touched, before, after)
+    table, after = model.table, _later(before or {}, done.after)
+    wanted = set(wh.live(upstream.table) or ())
+    own = set(wh.live(table) or ())
+    missing = sorted(wanted if before is None else wanted - own)
+    gone = own - wanted
+    kind = "full" if before is None else "merge" if missing or gone else "none"
+    if before is None:
+        wh.clear_marks(table)
+    if kind != "none":
+        rows = model.build(wh.read(upstream.table, units=missing, placed=True))
+        wh.write(table, rows.transform(table.with_part), None if before is None else gone, missing)
+    if after != before:
+        wh.set_marks(table, after)
+    if before is None:
+        return RunResult(model.name, kind, None, dict.fromkeys(model.feeds), after)
+    touched = list(dict.fromkeys(table.part_text(u) for u in missing))
+    return RunResult(model.name, kind, touched, before, after, missing)
 
 
 def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | None) -> RunResult:
@@ -164,7 +191,7 @@ def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | No
         # Regroup the narrow rows first; what finish() adds is never shuffled.
         part = table.part_of().alias(table.part.name)
         rows = _gather(rows.select("*", part), table).drop(table.part.name)
-    wh.write(table, model.finish(rows).transform(table.with_part), only_touched=False)
+    wh.write(table, model.finish(rows).transform(table.with_part), None)
     after = upstream or watermarks(wh.read(table), model.feeds)
     wh.set_marks(table, after)
     return RunResult(model.name, "full", None, dict.fromkeys(model.feeds), after)

@@ -18,9 +18,13 @@ TIEBREAK = ("fare_amount", "trip_distance")
 
 
 def _project(df: DataFrame, schema: T.StructType, made: dict[str, Column] | None = None) -> DataFrame:
-    """Select exactly the schema's columns; ``made`` supplies the computed or renamed ones."""
+    """Select exactly the schema's columns; ``made`` supplies the computed or renamed ones.
+
+    A ``slice``, the place of a stored row, is passed on where the rows bring one.
+    """
     made = made or {}
-    return df.select(*[made.get(n, F.col(n)).alias(n) for n in schema.names])
+    place = ["slice"] if "slice" in df.columns else []
+    return df.select(*[made.get(n, F.col(n)).alias(n) for n in schema.names], *place)
 
 
 # --- staging ----------------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from sparkelt.plans.incremental import (
     RunResult,
     apply_updates,
     current_marks,
-    recompute,
+    mirror,
     run_model,
 )
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
@@ -30,15 +30,15 @@ KEY_BLOCK = T.StructField("key_block", T.LongType())
 KEYS_PER_BLOCK = 10_000
 
 
-def _trip_table(layer: str, name: str, schema: T.StructType, sort=None) -> TableSpec:
+def _trip_table(layer: str, name: str, schema: T.StructType, sort=None, indexed: bool = False) -> TableSpec:
     # trip_id is a hash over the pickup time among others: one trip_id, one pickup date.
     day = lambda: F.to_date("pickup_datetime")
-    return TableSpec(layer, name, schema, "trip_id", PICKUP_DATE, day, sort)
+    return TableSpec(layer, name, schema, "trip_id", PICKUP_DATE, day, sort, indexed)
 
 
 def _staging_model(feed: S.FeedSpec) -> Model:
     return Model(
-        _trip_table("staging", feed.staging_name, S.staging_schema(feed)),
+        _trip_table("staging", feed.staging_name, S.staging_schema(feed), indexed=True),
         {f"raw_{feed.name}": feed.name},
         lambda raw: M.stg_valid(raw, feed),
         settle=M.stg_newest,
@@ -56,7 +56,7 @@ def _dim_model(dim: M.Dimension) -> Model:
 
 STAGING = {feed.name: _staging_model(feed) for feed in S.FEEDS.values()}
 INT_BOTH = Model(
-    _trip_table("intermediate", "int_both_taxi", S.INT_BOTH_SCHEMA),
+    _trip_table("intermediate", "int_both_taxi", S.INT_BOTH_SCHEMA, indexed=True),
     {feed.staging_name: feed.name for feed in S.FEEDS.values()},
     M.int_both_taxi,
 )
@@ -177,12 +177,8 @@ def run_models(
 
 
 def _follow(wh: Warehouse, model: Model, upstream: Model, done: RunResult, full_refresh: bool) -> RunResult:
-    """A row-wise model after its upstream's run: the rewritten partitions only, if it is in step."""
-    own = None if full_refresh else current_marks(wh, model)
-    if own is not None and done.touched is not None and own == done.before:
-        return recompute(wh, model, upstream, done, own)
-    source = {upstream.name: wh.read(upstream.table)}
-    return run_model(wh, model, source, done.after, full_refresh)
+    """A row-wise model after its upstream's run."""
+    return mirror(wh, model, upstream, done, None if full_refresh else current_marks(wh, model))
 
 
 def _run_dims(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[RunResult]:
@@ -217,10 +213,10 @@ def _run_dims(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[Run
 def _changed(
     wh: Warehouse, model: Model, result: RunResult, reader: MarkDict | None, feeds: Iterable[str]
 ) -> DataFrame:
-    """The upstream table as its reader needs it: only the partitions this run rewrote if the reader
-    had consumed everything before this run, else the whole table."""
+    """The upstream table as its reader needs it: only the units this run wrote if the reader had
+    consumed everything before this run, else the whole table."""
     in_step = reader is not None and all(reader.get(f) == result.before.get(f) for f in feeds)
-    return wh.read(model.table, result.touched if in_step else None)
+    return wh.read(model.table, units=result.added if in_step else None)
 
 
 def _side_by_side(jobs: list[Callable]) -> list:

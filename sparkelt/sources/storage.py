@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,27 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, p = _fs(spark, pattern)
+    return [s.getPath().toString() for s in (fs.globStatus(p) or [])]
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def modified_millis(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+def now_millis() -> int:
+    return time.time_ns() // 1_000_000
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small control file, complete or absent: written aside, then renamed."""
     fs, p = _fs(spark, path)

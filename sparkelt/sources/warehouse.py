@@ -1,18 +1,22 @@
-"""Model tables as partitioned parquet under one root: ``root/<layer>/<table>``."""
+"""Tables as partitioned parquet under one root: ``root/<layer>/<table>``."""
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkelt.schemas import FEEDS, FeedSpec
-from sparkelt.sources import storage
+from sparkelt.sources import batches, storage
+from sparkelt.sources.units import UnitLog
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 DEFAULT_LAYER = "raw"
@@ -22,6 +26,14 @@ RAW_PARTITIONS = (
     T.StructField("batch_id", T.LongType()),
 )
 
+SLICE = T.StructField("slice", T.StringType())
+#: Rows that one task puts into a unit, which a merge rewrites as a whole.
+UNIT_ROWS = 1_000_000
+#: A merge also rewrites the small units of a partition once there are so many; small is a unit of
+#: less than so many bytes.
+SMALL_UNITS = 8
+SMALL_BYTES = 32 << 20
+
 MarkDict = dict[str, datetime | None]
 
 
@@ -39,7 +51,9 @@ class TableSpec:
     """A stored model: its columns, key, and physical layout.
 
     ``part`` is a column that exists on disk only. It must be a function of the key, so that an
-    upsert can find the old version of a row in the same partition as the new one.
+    upsert can find the old version of a row in the same partition as the new one. ``indexed``
+    tables keep the hashes of their keys by unit, so that a merge finds matched units without
+    reading the keys themselves.
     """
 
     layer: str
@@ -49,18 +63,26 @@ class TableSpec:
     part: T.StructField
     part_of: Callable[[], Column]
     sort: Callable[[], list[Column]] | None = None
+    indexed: bool = False
 
     @property
     def full_name(self) -> str:
         return qualified_name(self.layer, self.name)
 
     def with_part(self, df: DataFrame) -> DataFrame:
-        return df.select(*self.schema.names, self.part_of().alias(self.part.name))
+        """The declared columns and the partition's, and a given ``slice``."""
+        own = [SLICE.name] if SLICE.name in df.columns else []
+        return df.select(*self.schema.names, self.part_of().alias(self.part.name), *own)
+
+    def part_text(self, unit: str) -> str | None:
+        """The partition value of a unit, as its folder has it."""
+        value = unit.split("/")[0].removeprefix(f"{self.part.name}=")
+        return None if value == NULL_PARTITION else value
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, unit_rows: int = UNIT_ROWS):
+        self.spark, self.root, self.unit_rows = spark, root.rstrip("/"), unit_rows
 
     # --- places -------------------------------------------------------------------------------
 
@@ -68,16 +90,8 @@ class Warehouse:
         return f"{self.root}/{layer_name(layer)}/{name}"
 
     def exists(self, table: TableSpec) -> bool:
-        """True once a write of the table has been committed.
-
-        Either Spark's own marker says so, or marks were stored after the commit; a folder without
-        both is what an interrupted first write left behind.
-        """
-        names = storage.child_names(self.spark, self.path(table.layer, table.name))
-        if "_SUCCESS" in names:
-            return True
-        has_rows = any(n.startswith(f"{table.part.name}=") for n in names)
-        return has_rows and self.marks(table) is not None
+        """True once a write of the table has been committed; folders alone do not make a table."""
+        return self.live(table) is not None
 
     # --- raw layer ----------------------------------------------------------------------------
 
@@ -90,51 +104,138 @@ class Warehouse:
         return self.read_raw(feeds[name], newer_than)
 
     def read_raw(self, feed: FeedSpec, newer_than: datetime | None = None) -> DataFrame:
-        """Raw rows of a feed; only load dates that can hold newer rows are listed and read."""
-        names = storage.child_names(self.spark, self.raw_path(feed))
-        days = [n for n in names if n.startswith("load_date=")]
-        chosen = days
-        if newer_than is not None:
-            chosen = [n for n in days if n >= f"load_date={newer_than.date().isoformat()}"]
-        physical = T.StructType([*feed.raw_schema.fields, *RAW_PARTITIONS])
-        found = self._scan(self.raw_path(feed), days, chosen, physical)
-        return found.select(*feed.raw_schema.names)
+        """Raw rows of a feed; only batches that hold newer rows are listed and read.
+
+        The manifest says which. A table without one is read by load date.
+        """
+        path, physical = self.raw_path(feed), T.StructType([*feed.raw_schema.fields, *RAW_PARTITIONS])
+        if batches.has_manifest(self.spark, path):
+            mark = None if newer_than is None else batches.micros(newer_than)
+            live = batches.live_batches(self.spark, path)
+            chosen = [b.folder for b in live if mark is None or b.greatest > mark]
+        else:
+            chosen = [n for n in storage.child_names(self.spark, path) if n.startswith("load_date=")]
+            if newer_than is not None:
+                chosen = [n for n in chosen if n >= f"load_date={newer_than.date().isoformat()}"]
+        return self._scan(path, chosen, physical).select(*feed.raw_schema.names)
+
+    def compact_raw(self, feed: FeedSpec, target_bytes: int = batches.TARGET_BYTES) -> int:
+        """Small batches of a feed into large files; returns how many folders were made.
+
+        The last batch of each streaming query may be replayed and is left as it is.
+        """
+        path = self.raw_path(feed)
+        notes = [n.split("@")[0] for n in storage.child_names(self.spark, f"{path}/_loads") if "@" in n]
+        pending = [(n.rpartition(".")[0], int(n.rpartition(".")[2])) for n in notes if not n.startswith(".")]
+        return len(batches.compact(self.spark, path, feed.raw_schema, pending, target_bytes))
+
+    def vacuum_raw(self, feed: FeedSpec, keep: timedelta = timedelta(days=1)) -> list[str]:
+        return batches.vacuum(self.spark, self.raw_path(feed), keep)
 
     # --- model tables -------------------------------------------------------------------------
 
-    def read(self, table: TableSpec, partitions: Iterable[str | None] | None = None) -> DataFrame:
-        """The table's declared columns, optionally from the given partitions (as text) only."""
-        path = self.path(table.layer, table.name)
-        names = storage.child_names(self.spark, path)
-        names = chosen = [n for n in names if n.startswith(f"{table.part.name}=")]
-        if partitions is not None:
-            wanted = {f"{table.part.name}={NULL_PARTITION if v is None else v}" for v in partitions}
-            chosen = [n for n in names if n in wanted]
-        physical = T.StructType([*table.schema.fields, table.part])
-        return self._scan(path, names, chosen, physical).select(*table.schema.names)
-
-    def _scan(
-        self, base: str, names: list[str], chosen: list[str], schema: T.StructType
+    def live(self, table: TableSpec) -> dict[str, int] | None:
+        """Live units and their bytes; None if the table was never written."""
+        return UnitLog(self.spark, self.path(table.layer, table.name)).live()
+
+    def units_in(self, table: TableSpec, partitions: Iterable[str | None]) -> dict[str, int]:
+        """Live units of the given partitions (as text)."""
+        wanted = set(partitions)
+        return {u: n for u, n in (self.live(table) or {}).items() if table.part_text(u) in wanted}
+
+    def read(
+        self,
+        table: TableSpec,
+        partitions: Iterable[str | None] | None = None,
+        units: Iterable[str] | None = None,
+        placed: bool = False,
     ) -> DataFrame:
-        """Some of the partition folders under ``base``; only those are listed."""
+        """The table's declared columns, optionally of some partitions or units only.
+
+        ``placed`` adds the partition column and the slice.
+        """
+        if units is None:
+            units = (self.live(table) or {}) if partitions is None else self.units_in(table, partitions)
+        physical = T.StructType([*table.schema.fields, table.part, SLICE])
+        found = self._scan(self.path(table.layer, table.name), list(units), physical)
+        return found.select(*(physical.names if placed else table.schema.names))
+
+    def _scan(self, base: str, chosen: list[str], schema: T.StructType) -> DataFrame:
+        """Some of the folders under ``base``; only those are listed."""
         if not chosen:
             return self.spark.createDataFrame([], schema)
-        paths = [base] if len(chosen) == len(names) else [f"{base}/{n}" for n in chosen]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        reader = self.spark.read.schema(schema).option("basePath", base)
+        return reader.parquet(*[f"{base}/{n}" for n in chosen])
 
-    def write(self, table: TableSpec, df: DataFrame, only_touched: bool) -> None:
-        """Write the frame's partitions; all others are dropped, or kept if ``only_touched``.
+    def key_hashes(self, table: TableSpec, units: Iterable[str]) -> DataFrame:
+        """Partition, slice and the key's hash of every row of some units: the index, if there is one."""
+        hashed = F.xxhash64(table.key).alias("h")
+        if not table.indexed:
+            return self.read(table, units=units, placed=True).select(table.part.name, SLICE.name, hashed)
+        schema = T.StructType([T.StructField("h", T.LongType()), table.part, SLICE])
+        return self._scan(f"{self.path(table.layer, table.name)}/_index", list(units), schema)
 
-        With ``only_touched`` Spark writes aside and swaps partitions when the job commits, so the
-        frame may be computed from the very partitions it replaces, and lost tasks simply rerun.
+    def matched_units(self, table: TableSpec, units: Iterable[str], keys: DataFrame) -> list[str]:
+        """Those of the units that hold one of the keys; ``keys`` has the key and the partition column.
+
+        Equal hashes of different keys only make a unit be rewritten in vain.
+        """
+        part = table.part.name
+        wanted = keys.select(part, F.xxhash64(table.key).alias("h"))
+        found = self.key_hashes(table, units).join(wanted, [part, "h"], "left_semi").select(part, SLICE.name).distinct()
+        rows = found.select(F.col(part).cast("string").alias("part"), SLICE.name).collect()  # one row per unit
+        return [f"{part}={NULL_PARTITION if r.part is None else r.part}/{SLICE.name}={r.slice}" for r in rows]
+
+    def write(
+        self, table: TableSpec, df: DataFrame, replaced: Iterable[str] | None, units: Iterable[str] | None = None
+    ) -> list[str]:
+        """Add the rows (declared columns and partition) in new units and drop the replaced ones.
+
+        None replaces all units. Rows get a slice by task, and by every ``unit_rows`` of its rows,
+        unless they bring one, in which case ``units`` are those that they make up. The commit is one
+        log entry at the end: the frame may be computed from the units it replaces, lost tasks
+        rerun, and a run that dies changes nothing. Returns the units written.
         """
-        if table.sort is not None:
-            df = df.sortWithinPartitions(table.part.name, *table.sort())
-        writer = df.write.mode("overwrite").partitionBy(table.part.name)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
+        base, part = self.path(table.layer, table.name), table.part.name
+        label = uuid.uuid4().hex[:12]
+        if units is None:
+            numbered = df.withColumn("_place", F.monotonically_increasing_id())
+            task = F.shiftright("_place", 33).cast("string")
+            chunk = F.expr(f"(_place & {(1 << 33) - 1}) div {self.unit_rows}").cast("string")
+            named = F.concat_ws("-", F.lit(label), task, chunk).alias(SLICE.name)
+            df = numbered.select(*table.schema.names, part, named)
+        order = table.sort() if table.sort is not None else []
+        writer = df.sortWithinPartitions(part, SLICE.name, *order).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(part, SLICE.name)
         # Keys hardly repeat within a file, so building a dictionary for them is wasted work.
-        writer = writer.option(f"parquet.enable.dictionary#{table.key}", "false")
-        writer.parquet(self.path(table.layer, table.name))
+        writer.option(f"parquet.enable.dictionary#{table.key}", "false").parquet(base)
+        if units is None:
+            found = storage.matching(self.spark, f"{base}/{part}=*/{SLICE.name}={label}-*")
+            units = ["/".join(p.rstrip("/").split("/")[-2:]) for p in found]
+        units = list(units)
+        if table.indexed and units:
+            fresh = self.read(table, units=units, placed=True)
+            hashes = fresh.select(F.xxhash64(table.key).alias("h"), part, SLICE.name)
+            index = hashes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            index.partitionBy(part, SLICE.name).parquet(f"{base}/_index")
+        with ThreadPoolExecutor(16) as pool:
+            sizes = dict(zip(units, pool.map(lambda u: storage.size_of(self.spark, f"{base}/{u}"), units)))
+        UnitLog(self.spark, base).commit(sizes, replaced or (), afresh=replaced is None)
+        return units
+
+    def vacuum(self, table: TableSpec, keep: timedelta = timedelta(days=1)) -> list[str]:
+        """Delete the folders of units that are not live, if they were dropped longer than ``keep`` ago."""
+        base, log = self.path(table.layer, table.name), UnitLog(self.spark, self.path(table.layer, table.name))
+        before = storage.now_millis() - int(keep.total_seconds() * 1000)
+        kept = set(log.live() or ()) | log.dropped_since(before)
+        removed = []
+        for place in storage.matching(self.spark, f"{base}/{table.part.name}=*/{SLICE.name}=*"):
+            unit = "/".join(place.rstrip("/").split("/")[-2:])
+            if unit not in kept and storage.modified_millis(self.spark, place) <= before:
+                storage.delete(self.spark, f"{base}/{unit}")
+                storage.delete(self.spark, f"{base}/_index/{unit}")
+                removed.append(unit)
+        return removed
 
     # --- high-water marks ---------------------------------------------------------------------
     # One small file per run and table, written after the table itself is committed. A run that dies
@@ -166,19 +267,42 @@ class Warehouse:
     # --- catalog ------------------------------------------------------------------------------
 
     def register(self, tables: Iterable[TableSpec]) -> None:
-        """Declare databases and tables in the session catalog, if missing, and refresh partitions."""
-        wanted = [
-            ("raw", f.raw_name, f.raw_schema.fields, list(RAW_PARTITIONS)) for f in FEEDS.values()
-        ]
-        wanted += [(t.layer, t.name, t.schema.fields, [t.part]) for t in tables]
-        for layer, name, fields, parts in wanted:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer_name(layer)}")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*fields, *parts])
-            by = ", ".join(p.name for p in parts)
-            full = qualified_name(layer, name)
-            storage.ensure_dir(self.spark, self.path(layer, name))
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
-                f"PARTITIONED BY ({by}) LOCATION '{self.path(layer, name)}'"
-            )
+        """Declare databases and tables in the session catalog; their partitions are the live folders."""
+        for feed in FEEDS.values():
+            path = self.raw_path(feed)
+            live = None
+            if batches.has_manifest(self.spark, path):
+                live = [b.folder for b in batches.live_batches(self.spark, path)]
+            self._declare("raw", feed.raw_name, feed.raw_schema.fields, list(RAW_PARTITIONS), live)
+        for t in tables:
+            self._declare(t.layer, t.name, t.schema.fields, [t.part, SLICE], list(self.live(t) or ()))
+
+    def _declare(
+        self, layer: str, name: str, fields: list[T.StructField], parts: list[T.StructField], live: list[str] | None
+    ) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer_name(layer)}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*fields, *parts])
+        full, path = qualified_name(layer, name), self.path(layer, name)
+        storage.ensure_dir(self.spark, path)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
+            f"PARTITIONED BY ({', '.join(p.name for p in parts)}) LOCATION '{path}'"
+        )
+        if live is None:
             self.spark.catalog.recoverPartitions(full)
+            return
+        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {full}").collect()}
+        gone, new = sorted(known - set(live)), sorted(set(live) - known)
+        for verb, folders, between in (("DROP IF EXISTS", gone, ", "), ("ADD IF NOT EXISTS", new, " ")):
+            for start in range(0, len(folders), 500):
+                specs = between.join(f"PARTITION ({_spec(f)})" for f in folders[start : start + 500])
+                self.spark.sql(f"ALTER TABLE {full} {verb} {specs}")
+
+
+def _spec(folder: str) -> str:
+    """``a=1/b=x`` as the values of a PARTITION clause."""
+
+    def value(text: str) -> str:
+        return "null" if text == NULL_PARTITION else "'" + unquote(text).replace("'", "\\'") + "'"
+
+    return ", ".join(f"{n}={value(v)}" for n, _, v in (level.partition("=") for level in folder.split("/")))

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as e
+from sparkelt import queries as registry
 from sparkelt import schemas as S
 from sparkelt.fixtures import raw_feed
 from sparkelt.operators.dedup import dedup_latest
@@ -58,9 +58,9 @@ def shuffled_rows(df) -> list[int]:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-@pytest.mark.parametrize("name", [n for n in e.queries() if not n.startswith(EAGER)])
+@pytest.mark.parametrize("name", [n for n in registry.queries() if not n.startswith(EAGER)])
 def test_no_cross_join_and_no_row_udf(spark, sf_dir, name):
-    plan = plan_of(e.queries()[name](spark, sf_dir))
+    plan = plan_of(registry.queries()[name](spark, sf_dir))
     assert not re.search("CartesianProduct|BroadcastNestedLoop|BatchEvalPython", plan)
 
 
