@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkelt.llm import decontam, lines, mixing, near, quality
+from sparkelt.llm import decontam, lines, mixing, quality, simhash
 from sparkelt.llm.common import table, written
 
 
@@ -19,8 +19,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are 0.8 alike in five-word shingles stays."""
-    return near.dedup(docs)
+    """One document of each group of fingerprints linked by two or fewer differing bits stays."""
+    return simhash.dedup(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

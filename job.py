@@ -4,6 +4,7 @@
     spark-submit job.py ingest  --feed green --bootstrap broker:9092 --warehouse s3a://b/wh
     spark-submit job.py models  --warehouse s3a://b/wh
     spark-submit job.py checks  --warehouse s3a://b/wh
+    spark-submit job.py compact --warehouse s3a://b/wh
     spark-submit job.py profile --source trips.parquet
 
 ``--messages DIR`` takes the place of a broker: publish writes message files there, ingest reads them.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from datetime import timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,11 +26,12 @@ from sparkelt.operators.profile import preview, profile  # noqa: E402
 from sparkelt.operators.quality import run_checks  # noqa: E402
 from sparkelt.plans import pipeline  # noqa: E402
 from sparkelt.schemas import FEEDS  # noqa: E402
+from sparkelt.sources.batches import TARGET_BYTES  # noqa: E402
 from sparkelt.sources.readers import read_kafka_stream, read_parquet, stream_parquet  # noqa: E402
 from sparkelt.sources.warehouse import Warehouse  # noqa: E402
-from sparkelt.streaming.ingest import UNTIL_DRAINED, start_ingest  # noqa: E402
+from sparkelt.streaming.ingest import DEAD_LETTER, UNTIL_DRAINED, start_ingest  # noqa: E402
 from sparkelt.streaming.publish import event_ordered, to_messages, write_kafka  # noqa: E402
-from sparkelt.streaming.sinks import jdbc_batch_sink, parquet_batch_sink, start_file_sink  # noqa: E402
+from sparkelt.streaming.sinks import dead_letter_sink, jdbc_batch_sink, parquet_batch_sink, start_file_sink  # noqa: E402
 
 
 def publish(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -64,6 +67,8 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.jdbc_url:
         properties = dict(p.split("=", 1) for p in a.jdbc_property)
         sink = jdbc_batch_sink(feed, a.jdbc_url, a.jdbc_table or f"raw.{feed.raw_name}", properties)
+    elif a.mode == DEAD_LETTER:
+        sink = dead_letter_sink(feed, wh.raw_path(feed), wh.dead_letter_path(feed))
     else:
         sink = parquet_batch_sink(feed, wh.raw_path(feed))
     start_ingest(source, feed, sink, checkpoint, a.format, trigger, a.mode).awaitTermination()
@@ -80,6 +85,17 @@ def models(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def compact(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Raw batches into large files; then away with folders that nothing reads any more."""
+    wh, keep = Warehouse(spark, a.warehouse), timedelta(hours=a.keep_hours)
+    for feed in FEEDS.values():
+        made = wh.compact_raw(feed, a.target_mb << 20)
+        print(f"{feed.raw_name}: folders made: {made}, removed: {len(wh.vacuum_raw(feed, keep))}")
+    for name, model in pipeline.MODELS.items():
+        print(f"{name}: folders removed: {len(wh.vacuum(model.table, keep))}")
+    return 0
+
+
 def checks(spark: SparkSession, a: argparse.Namespace) -> int:
     tables = pipeline.tables(Warehouse(spark, a.warehouse))
     report = run_checks(tables, pipeline.CHECKS).collect()  # one row per check
@@ -126,7 +142,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint")
     s.add_argument("--once", action="store_true", help="stop when everything available is loaded")
     s.add_argument("--interval", default="5 seconds", help="time between micro-batches")
-    s.add_argument("--mode", choices=("FAILFAST", "PERMISSIVE"), default="FAILFAST", help="malformed bodies")
+    s.add_argument("--mode", choices=("FAILFAST", "PERMISSIVE", DEAD_LETTER), default="FAILFAST", help="malformed bodies")
     s.add_argument("--max-offsets", type=int, help="messages per micro-batch")
     s.add_argument("--min-partitions", type=int, help="tasks per micro-batch")
     s.add_argument("--max-files", type=int, help="message files per micro-batch")
@@ -139,6 +155,9 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--full-refresh", action="store_true")
         s.add_argument("--register", action="store_true", help="declare the tables in the catalog")
     add("checks", checks, warehouse=True)
+    s = add("compact", compact, warehouse=True)
+    s.add_argument("--target-mb", type=int, default=TARGET_BYTES >> 20, help="size of compacted raw files")
+    s.add_argument("--keep-hours", type=float, default=24, help="how long replaced folders stay for readers")
     add("profile", show_profile, source=True)
     return p
 

@@ -318,6 +318,48 @@ def _wire(feed: str) -> str:
     return f"SELECT * REPLACE ({iso}) FROM raw_{feed}"
 
 
+def _each(body) -> str:
+    """A statement per feed, told apart by taxi_type; a column that a feed lacks is NULL there."""
+    return " UNION ALL BY NAME ".join(f"SELECT *, '{f}' AS taxi_type FROM ({body(f)})" for f in _FEE)
+
+
+# --- fixed values: wire fields of the yellow feed, in order ---
+_WIRE_YELLOW = (
+    "VendorID tpep_pickup_datetime tpep_dropoff_datetime passenger_count trip_distance RatecodeID "
+    "store_and_fwd_flag PULocationID DOLocationID payment_type fare_amount extra mta_tax tip_amount "
+    "tolls_amount improvement_surcharge total_amount congestion_surcharge Airport_fee"
+).split()
+
+
+def _json(feed: str) -> str:
+    names = _WIRE_GREEN if feed == "green" else _WIRE_YELLOW
+    pairs = ", ".join(f"'{c}', \"{c}\"" for c in names)
+    return f"CAST(json_object({pairs}) AS VARCHAR)"
+
+
+def _letters(feed: str) -> str:
+    """Raw trips and dead letters of messages that are spoilt by the first digit of their trip_id."""
+    bare = "unhex('0000000007')"
+    soon = """regexp_replace(body, '_pickup_datetime":"[^"]*"', '_pickup_datetime":"soon"')"""
+    return f"""
+SELECT CASE WHEN kind NOT IN ('0', '1', '2', '3') THEN trip_id END AS trip_id,
+       CASE kind WHEN '0' THEN 'malformed body' WHEN '1' THEN 'no frame' WHEN '2' THEN 'no value'
+                 WHEN '3' THEN 'unreadable time' END AS reason,
+       sha256(bytes) AS value_sha256, octet_length(bytes) AS value_bytes
+FROM (SELECT trip_id, kind,
+             CASE kind WHEN '0' THEN {bare} || encode(left(body, length(body) - 3)) WHEN '1' THEN encode(body)
+                       WHEN '3' THEN {bare} || encode({soon}) END AS bytes
+      FROM (SELECT trip_id, left(trip_id, 1) AS kind, {_json(feed)} AS body FROM ({_wire(feed)})))"""
+
+
+def _two_drops(feed: str) -> str:
+    """Newest version of each trip where load times are those of the drop that brought it."""
+    return f"""
+SELECT trip_id, fare_amount, trip_distance FROM valid_{feed}
+QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY loaded_at > {_HALF} DESC,
+  fare_amount DESC NULLS LAST, trip_distance DESC NULLS LAST) = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     every = _ctes()
     metrics = f"metrics AS ({_metrics('gated')})"
@@ -403,6 +445,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM dims_1 ANTI JOIN dims_2 USING (dim, member) UNION ALL SELECT * FROM dims_2",
             two_dims,
         ),
+        "inc_merge_upsert_files": q(_each(lambda f: f"SELECT * FROM stg_{f}")),
+        "inc_compacted_staging": q(_each(_two_drops)),
         "dq_not_null": q(
             _fails(
                 "named_yellow",
@@ -482,6 +526,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_green": q("SELECT * EXCLUDE (loaded_at) FROM raw_green"),
         "stream_ingest_yellow": q("SELECT * EXCLUDE (loaded_at) FROM raw_yellow"),
         "stream_resume": q("SELECT * EXCLUDE (loaded_at) FROM raw_yellow"),
+        "stream_compaction": q(_each(lambda f: f"SELECT * EXCLUDE (loaded_at) FROM raw_{f}")),
+        "stream_dead_letters": q(_each(_letters)),
+        "stream_timer": q(_each(lambda f: f"SELECT * EXCLUDE (loaded_at) FROM raw_{f}")),
         "stream_json_sink": q(f"SELECT * EXCLUDE (trip_id, loaded_at) FROM ({_wire('green')})"),
     }
     return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sparkelt.operators.filters import since, since_marks
 from sparkelt.operators.upsert import upsert
 from sparkelt.schemas import FEED_NAMES
-from sparkelt.sources.warehouse import SMALL_BYTES, SMALL_UNITS, MarkDict, TableSpec, Warehouse
+from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
 
 def _same(df: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def apply_updates(
     part = table.part_of().alias(table.part.name)
     near = wh.units_in(table, touched)
     replaced = set(wh.matched_units(table, near, rows.select(table.key, part))) if near else set()
-    replaced |= _crowded(table, near)
+    replaced |= wh.crowded(table, near)
     updates = model.finish(model.settle(rows)).select(*table.schema.names)
     merged = updates
     if replaced:
@@ -145,15 +145,6 @@ def apply_updates(
     return RunResult(model.name, "merge", touched, before, after, added)
 
 
-def _crowded(table: TableSpec, units: dict[str, int]) -> set[str]:
-    """Small units of partitions that have many of them; a merge takes them along."""
-    small: dict[str | None, list[str]] = {}
-    for unit, size in units.items():
-        if size < SMALL_BYTES:
-            small.setdefault(table.part_text(unit), []).append(unit)
-    return {u for group in small.values() if len(group) >= SMALL_UNITS for u in group}
-
-
 def mirror(
     wh: Warehouse, model: Model, upstream: Model, done: RunResult, before: MarkDict | None
 ) -> RunResult:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,9 @@ from sparkelt.plans.incremental import run_model, watermark
 from sparkelt.sources.readers import stream_parquet
 from sparkelt.sources.storage import scratch_dir
 from sparkelt.sources.warehouse import Warehouse
-from sparkelt.streaming.ingest import UNTIL_DRAINED, start_ingest
+from sparkelt.streaming.ingest import DEAD_LETTER, UNTIL_DRAINED, start_ingest
 from sparkelt.streaming.publish import event_ordered, to_messages
-from sparkelt.streaming.sinks import parquet_batch_sink, start_file_sink
+from sparkelt.streaming.sinks import dead_letter_sink, parquet_batch_sink, read_dead_letters, start_file_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,6 +151,28 @@ def _two_runs_of_dims(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def _both_feeds(of: Callable[[S.FeedSpec], DataFrame]) -> DataFrame:
+    """One result per feed, told apart by ``taxi_type``; a column that a feed lacks is NULL there."""
+    out = None
+    for feed in S.FEEDS.values():
+        one = of(feed).withColumn("taxi_type", F.lit(feed.name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
+def _late_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Staging from small units, into which the rows of the last half hour are merged."""
+    wh = Warehouse(spark, scratch_dir(spark, "late"), unit_rows=500, small_bytes=0)
+
+    def staged(feed: S.FeedSpec) -> DataFrame:
+        raw, model = raw_feed(spark, d, feed), P.STAGING[feed.name]
+        for seen in (raw.filter("loaded_at <= TIMESTAMP_NTZ'2024-02-01 23:30:00'"), raw):
+            run_model(wh, model, {f"raw_{feed.name}": seen})
+        return wh.read(model.table)
+
+    return _both_feeds(staged)
+
+
 # --- checks -----------------------------------------------------------------------------------
 
 
@@ -285,6 +308,102 @@ def _stream_resume(spark: SparkSession, d: str) -> DataFrame:
     return wh.read_raw(feed).drop("loaded_at")
 
 
+def _ingested(wh: Warehouse, messages: DataFrame, feed: S.FeedSpec, files: int) -> None:
+    """A drop of so many message files, by trip, taken in as a batch each."""
+    drop = f"{wh.root}/_messages/{feed.name}"
+    messages.repartition(files, "trip_id").write.mode("append").parquet(drop)
+    source = stream_parquet(wh.spark, drop, messages.schema, 1)
+    sink = parquet_batch_sink(feed, wh.raw_path(feed))
+    checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
+    start_ingest(source, feed, sink, checkpoint, "json", UNTIL_DRAINED).awaitTermination()
+
+
+def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
+    """Both raw tables after several batches each, compacted and vacuumed."""
+    wh = Warehouse(spark, scratch_dir(spark, "compaction"))
+
+    def raw(feed: S.FeedSpec) -> DataFrame:
+        _ingested(wh, to_messages(raw_feed(spark, d, feed), feed, "json", keep=("trip_id",)), feed, 6)
+        wh.compact_raw(feed)
+        wh.vacuum_raw(feed, timedelta(0))
+        return wh.read_raw(feed).drop("loaded_at")
+
+    return _both_feeds(raw)
+
+
+def _compacted_staging(spark: SparkSession, d: str) -> DataFrame:
+    """Staging after each of two drops of several batches, the raw tables compacted after the first."""
+    wh = Warehouse(spark, scratch_dir(spark, "compacted"))
+    for part in (first_batch, second_batch):
+        for feed in S.FEEDS.values():
+            _ingested(wh, to_messages(part(raw_feed(spark, d, feed)), feed, "json", keep=("trip_id",)), feed, 3)
+        P.run_models(wh, only=[f.staging_name for f in S.FEEDS.values()])
+        for feed in S.FEEDS.values():
+            wh.compact_raw(feed)
+    return _both_feeds(lambda f: wh.read(P.STAGING[f.name].table).select("trip_id", "fare_amount", "trip_distance"))
+
+
+def spoilt(messages: DataFrame) -> DataFrame:
+    """Messages (trip_id, value) of which some, by their trip_id, are malformed in one of four ways."""
+    body = frame_body("value")
+    unread = F.regexp_replace(body.cast("string"), '_pickup_datetime":"[^"]*"', '_pickup_datetime":"soon"')
+    kind = F.substring("trip_id", 1, 1)
+    value = (
+        F.when(kind == "0", F.expr("substring(value, 1, length(value) - 3)"))
+        .when(kind == "1", body)
+        .when(kind == "2", F.lit(None))
+        .when(kind == "3", F.concat(F.expr("substring(value, 1, 5)"), unread.cast("binary")))
+        .otherwise(F.col("value"))
+    )
+    return messages.select(value.alias("value"))
+
+
+def _dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of feeds with malformed messages: the raw tables' trips, and the dead letters."""
+    wh = Warehouse(spark, scratch_dir(spark, "dead-letters"))
+
+    def both_tables(feed: S.FeedSpec) -> DataFrame:
+        path = f"{d}/lineitem.parquet"
+        lines = stream_parquet(spark, path, spark.read.parquet(path).schema)
+        messages = spoilt(to_messages(raw_from_lineitem(lines, feed), feed, "framed_json", 7, keep=("trip_id",)))
+        dead = wh.dead_letter_path(feed)
+        sink = dead_letter_sink(feed, wh.raw_path(feed), dead)
+        checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
+        start_ingest(messages, feed, sink, checkpoint, "framed_json", UNTIL_DRAINED, DEAD_LETTER).awaitTermination()
+        letters = read_dead_letters(spark, dead).select(
+            F.lit(None).cast("string").alias("trip_id"),
+            "reason",
+            F.sha2("value", 256).alias("value_sha256"),
+            F.length("value").cast("long").alias("value_bytes"),
+        )
+        return wh.read_raw(feed).select("trip_id").unionByName(letters, allowMissingColumns=True)
+
+    return _both_feeds(both_tables)
+
+
+def _stream_timer(spark: SparkSession, d: str) -> DataFrame:
+    """Both feeds on a timer, with a second drop of messages while the queries run."""
+    wh = Warehouse(spark, scratch_dir(spark, "timer"))
+
+    def raw(feed: S.FeedSpec) -> DataFrame:
+        drop = f"{wh.root}/_messages/{feed.name}"
+        parts = [to_messages(part(raw_feed(spark, d, feed)), feed, "json") for part in (first_batch, second_batch)]
+        parts[0].write.mode("append").parquet(drop)
+        sink = parquet_batch_sink(feed, wh.raw_path(feed))
+        source = stream_parquet(spark, drop, parts[0].schema)
+        checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
+        query = start_ingest(source, feed, sink, checkpoint, "json", {"processingTime": "1 second"})
+        try:
+            query.processAllAvailable()
+            parts[1].write.mode("append").parquet(drop)
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return wh.read_raw(feed).drop("loaded_at")
+
+    return _both_feeds(raw)
+
+
 def _stream_json_sink(spark: SparkSession, d: str) -> DataFrame:
     feed, root = S.GREEN, scratch_dir(spark, "json")
     messages = _message_stream(spark, d, feed, "json")
@@ -329,6 +448,8 @@ def queries() -> dict[str, Query]:
         "inc_two_batch_int": _two_runs_of("int_both_taxi"),
         "inc_two_batch_fact": _two_runs_of("fact_trip"),
         "inc_slow_feed": _slow_feed,
+        "inc_merge_upsert_files": _late_merge,
+        "inc_compacted_staging": _compacted_staging,
         "inc_two_batch_dims": _two_runs_of_dims,
         "dq_not_null": _dq(*[("not_null", c) for c in _PRESENT]),
         "dq_unique": _dq(("unique", "trip_id")),
@@ -355,6 +476,9 @@ def queries() -> dict[str, Query]:
         "stream_ingest_yellow": _stream_ingest(S.YELLOW, "framed_json"),
         "stream_resume": _stream_resume,
         "stream_json_sink": _stream_json_sink,
+        "stream_compaction": _stream_compaction,
+        "stream_dead_letters": _dead_letters,
+        "stream_timer": _stream_timer,
     }
     return out
 

@@ -79,31 +79,25 @@ def live_batches(spark: SparkSession, path: str) -> list[Batch]:
     return split(_all(spark, path))[0]
 
 
-def enter(spark: SparkSession, path: str, batch: Batch) -> None:
+def enter(spark: SparkSession, path: str, batch: Batch, manifest: str = "_batches") -> None:
     """Makes a written folder part of the table. Entering it again changes nothing."""
-    place = f"{path}/_batches/{batch.entry}"
+    place = f"{path}/{manifest}/{batch.entry}"
     if not storage.exists(spark, place):
         storage.write_text(spark, place, "")
 
 
 def adopt(spark: SparkSession, path: str) -> None:
-    """Gives a table that was written without a manifest one, from the load times in its folders."""
-    by = ["load_date", "query_id", "batch_id"]
-    schema = T.StructType(
-        [
-            T.StructField("loaded_at", T.TimestampNTZType()),
-            T.StructField("load_date", T.DateType()),
-            T.StructField("query_id", T.StringType()),
-            T.StructField("batch_id", T.LongType()),
-        ]
-    )
-    days = [n for n in storage.child_names(spark, path) if n.startswith("load_date=")]
-    if not days:
-        return
-    rows = spark.read.schema(schema).parquet(path)
-    found = rows.groupBy(*by).agg(F.min("loaded_at").alias("least"), F.max("loaded_at").alias("greatest"))
-    for r in found.collect():  # one row per folder
-        enter(spark, path, Batch(micros(r.least), micros(r.greatest), r.query_id, r.batch_id))
+    """Gives a table its manifest: empty for a new one, else from the load times in its folders."""
+    aside = f"_batches.{uuid.uuid4().hex}"
+    storage.ensure_dir(spark, f"{path}/{aside}")
+    if any(n.startswith("load_date=") for n in storage.child_names(spark, path)):
+        rows = spark.read.schema("loaded_at timestamp_ntz, load_date date, query_id string, batch_id long").parquet(path)
+        times = [F.min("loaded_at").alias("least"), F.max("loaded_at").alias("greatest")]
+        found = rows.groupBy("load_date", "query_id", "batch_id").agg(*times).collect()  # one row per folder
+        entries = [Batch(micros(r.least), micros(r.greatest), r.query_id, r.batch_id) for r in found]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda b: enter(spark, path, b, aside), entries))
+    storage.rename(spark, f"{path}/{aside}", f"{path}/_batches")
 
 
 def _bins(batches: list[Batch], sizes: dict[Batch, int], target: int) -> list[list[Batch]]:

@@ -80,6 +80,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

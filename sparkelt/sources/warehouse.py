@@ -81,8 +81,11 @@ class TableSpec:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, unit_rows: int = UNIT_ROWS):
-        self.spark, self.root, self.unit_rows = spark, root.rstrip("/"), unit_rows
+    def __init__(
+        self, spark: SparkSession, root: str, unit_rows: int = UNIT_ROWS, small_bytes: int = SMALL_BYTES
+    ):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.unit_rows, self.small_bytes = unit_rows, small_bytes
 
     # --- places -------------------------------------------------------------------------------
 
@@ -98,6 +101,9 @@ class Warehouse:
     def raw_path(self, feed: FeedSpec) -> str:
         return self.path("raw", feed.raw_name)
 
+    def dead_letter_path(self, feed: FeedSpec) -> str:
+        return f"{self.raw_path(feed)}_dead_letters"
+
     def source(self, name: str, newer_than: datetime | None = None) -> DataFrame:
         """A declared source table by name, e.g. ``green_taxi``."""
         feeds = {f.raw_name: f for f in FEEDS.values()}
@@ -175,6 +181,14 @@ class Warehouse:
         schema = T.StructType([T.StructField("h", T.LongType()), table.part, SLICE])
         return self._scan(f"{self.path(table.layer, table.name)}/_index", list(units), schema)
 
+    def crowded(self, table: TableSpec, units: dict[str, int]) -> set[str]:
+        """Small units of partitions that have many of them; a merge takes them along."""
+        small: dict[str | None, list[str]] = {}
+        for unit, size in units.items():
+            if size < self.small_bytes:
+                small.setdefault(table.part_text(unit), []).append(unit)
+        return {u for group in small.values() if len(group) >= SMALL_UNITS for u in group}
+
     def matched_units(self, table: TableSpec, units: Iterable[str], keys: DataFrame) -> list[str]:
         """Those of the units that hold one of the keys; ``keys`` has the key and the partition column.
 

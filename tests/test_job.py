@@ -21,6 +21,10 @@ def test_publish_ingest_model_check(spark, sf_dir, tmp_path, capsys):
     assert "fact_trip: full" in capsys.readouterr().out
     assert job.main(["models", "--warehouse", wh]) == 0
     assert "fact_trip: none" in capsys.readouterr().out
+    assert job.main(["compact", "--warehouse", wh, "--keep-hours", "0"]) == 0
+    assert "fact_trip: folders removed: 0" in capsys.readouterr().out
+    dead = ["--checkpoint", str(tmp_path / "cp_dead"), "--mode", "DEAD_LETTER"]
+    assert job.main(["ingest", "--warehouse", str(tmp_path / "other"), "--once", *where, *dead]) == 0
     json_path = str(tmp_path / "json")
     more = ["--once", "--json-path", json_path, "--checkpoint", str(tmp_path / "cp"), "--max-files", "1", "--mode", "PERMISSIVE"]
     assert job.main(["ingest", "--warehouse", wh, *more, *where]) == 0

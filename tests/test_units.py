@@ -1,0 +1,150 @@
+"""Merges that rewrite units instead of partitions, and the log that names the live ones."""
+
+import re
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkelt import schemas as S
+from sparkelt.fixtures import raw_feed
+from sparkelt.plans import incremental as I
+from sparkelt.plans import pipeline as P
+from sparkelt.sources import storage, units
+from sparkelt.sources import warehouse as W
+
+MODEL = P.STAGING["green"]
+T0 = datetime(2024, 2, 1, 8)
+
+
+def run(wh, df):
+    return I.run_model(wh, MODEL, {"raw_green": df})
+
+
+def trips(spark, trip_row, n, day=5, hour=0, **kw):
+    start = datetime(2024, 1, day, 10)
+    rows = [
+        trip_row(trip_id=f"d{day}t{i}", lpep_pickup_datetime=start, lpep_dropoff_datetime=start + timedelta(minutes=9), loaded_at=T0 + timedelta(hours=hour), **kw)
+        for i in n
+    ]
+    return spark.createDataFrame(rows, S.GREEN.raw_schema).coalesce(1)
+
+
+def fares(wh):
+    return {r.trip_id: r.fare_amount for r in wh.read(MODEL.table).collect()}
+
+
+def test_a_late_batch_rewrites_a_tenth_at_most(spark, warehouse, sf_dir):
+    """One known trip of each of 31 dates, changed: the units that hold them are rewritten, not the dates."""
+    warehouse.unit_rows, warehouse.small_bytes = 5, 0
+    raw = raw_feed(spark, sf_dir, S.GREEN)
+    run(warehouse, raw)
+    before = warehouse.live(MODEL.table)
+    known = warehouse.read(MODEL.table).groupBy(F.to_date("pickup_datetime")).agg(F.min("trip_id").alias("trip_id"))
+    late = raw.join(known.select("trip_id"), "trip_id", "left_semi").withColumn("loaded_at", F.lit(T0 + timedelta(days=9)).cast("timestamp_ntz"))
+    late = late.withColumn("fare_amount", F.lit(7777.0)).select(*raw.columns)
+    result = run(warehouse, late)
+    after = warehouse.live(MODEL.table)
+    assert len(result.touched) == 31 and result.kind == "merge"
+    gone = set(before) - set(after)
+    assert 0 < len(gone) <= 31
+    assert sum(before[u] for u in gone) < 0.1 * sum(before.values())
+    rows = warehouse.read(MODEL.table)
+    assert rows.count() == rows.select("trip_id").distinct().count() == rows.select("trip_id").count()
+    assert rows.filter("fare_amount = 7777.0").count() == 31
+
+
+def test_new_keys_rewrite_nothing(spark, warehouse, trip_row):
+    run(warehouse, trips(spark, trip_row, range(10)))
+    before = set(warehouse.live(MODEL.table))
+    result = run(warehouse, trips(spark, trip_row, range(10, 15), hour=1))
+    assert before < set(warehouse.live(MODEL.table)) and set(result.added).isdisjoint(before)
+    assert len(fares(warehouse)) == 15
+
+
+def test_matching_reads_the_index_only(spark, warehouse, sf_dir):
+    run(warehouse, raw_feed(spark, sf_dir, S.GREEN))
+    plan = warehouse.key_hashes(MODEL.table, warehouse.live(MODEL.table))._jdf.queryExecution().executedPlan().toString()
+    assert "/_index/" in plan and re.search(r"ReadSchema: struct<h:bigint>", plan)
+    # The hashes are those of the keys, unit by unit.
+    told = warehouse.key_hashes(MODEL.table, warehouse.live(MODEL.table))
+    real = warehouse.read(MODEL.table, placed=True).select(F.xxhash64("trip_id").alias("h"), "pickup_date", "slice")
+    assert told.exceptAll(real).isEmpty() and real.exceptAll(told).isEmpty()
+
+
+def test_small_units_are_folded(spark, warehouse, trip_row):
+    for hour in range(2 * W.SMALL_UNITS):
+        run(warehouse, trips(spark, trip_row, [hour], hour=hour))
+    assert len(warehouse.live(MODEL.table)) <= W.SMALL_UNITS
+    assert len(fares(warehouse)) == 2 * W.SMALL_UNITS
+
+
+def test_a_merge_that_dies_changes_nothing(spark, warehouse, trip_row, monkeypatch):
+    run(warehouse, trips(spark, trip_row, range(4)))
+    held, want = warehouse.read(MODEL.table), fares(warehouse)
+    more = trips(spark, trip_row, range(2, 6), hour=1, fare_amount=50.0)
+    with monkeypatch.context() as m:
+        m.setattr(units.UnitLog, "commit", lambda *a, **kw: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run(warehouse, more)
+    assert fares(warehouse) == want
+    run(warehouse, more)
+    assert fares(warehouse) == {"d5t0": 10.0, "d5t1": 10.0, **{f"d5t{i}": 50.0 for i in range(2, 6)}}
+    assert {r.trip_id: r.fare_amount for r in held.collect()} == want  # a reader keeps what it had
+    assert warehouse.vacuum(MODEL.table) == []
+    removed = warehouse.vacuum(MODEL.table, timedelta(0))
+    assert len(removed) == 2 and len(fares(warehouse)) == 6  # of the dead run, and the replaced one
+    path = warehouse.path("staging", "stg_green_taxi")
+    left = {"/".join(p.split("/")[-2:]) for p in storage.matching(spark, f"{path}/pickup_date=*/slice=*")}
+    assert left == set(warehouse.live(MODEL.table))
+
+
+def test_the_log_over_many_commits(spark, tmp_path):
+    log = units.UnitLog(spark, str(tmp_path / "t"))
+    assert log.live() is None
+    log.commit({}, (), afresh=True)
+    assert log.live() == {}
+    want = {}
+    for i in range(2 * units.BASE_EVERY + 7):
+        gone = [f"u{i - 5}"] if i % 3 == 0 and f"u{i - 5}" in want else []
+        log.commit({f"u{i}": i}, gone)
+        want = {u: n for u, n in want.items() if u not in gone} | {f"u{i}": i}
+        if i % 20 == 0:
+            assert log.live() == want
+    assert log.live() == want
+    assert set(log.dropped_since(0)).isdisjoint(want)
+    log.commit({"new": 1}, (), afresh=True)
+    assert log.live() == {"new": 1} and log.dropped_since(0) >= set(want)
+
+
+def test_followers_have_their_upstreams_units(spark, warehouse, sf_dir):
+    """Also after a follower was lost, or built by itself."""
+    raw = {f.name: raw_feed(spark, sf_dir, f) for f in S.FEEDS.values()}
+    P.run_models(warehouse, raw, only=["fact_trip"])
+
+    def names(model):
+        return set(warehouse.live(model.table))
+
+    assert names(P.INT_BOTH) == names(P.INT_METRICS) == names(P.FACT)
+    want = sorted(map(str, warehouse.read(P.FACT.table).collect()))
+    I.run_model(warehouse, P.FACT, {"int_metrics_added": warehouse.read(P.INT_METRICS.table)}, full_refresh=True)
+    assert names(P.FACT).isdisjoint(names(P.INT_METRICS))
+    assert P.run_models(warehouse, raw, only=["fact_trip"])["fact_trip"].kind == "merge"
+    assert names(P.FACT) == names(P.INT_METRICS)
+    assert sorted(map(str, warehouse.read(P.FACT.table).collect())) == want
+    warehouse.clear_marks(P.INT_METRICS.table)
+    assert P.run_models(warehouse, raw, only=["fact_trip"])["int_metrics_added"].kind == "full"
+    assert sorted(map(str, warehouse.read(P.FACT.table).collect())) == want
+
+
+def test_registered_tables_hold_live_units_only(spark, warehouse, trip_row):
+    try:
+        run(warehouse, trips(spark, trip_row, range(3)))
+        warehouse.register([MODEL.table])
+        run(warehouse, trips(spark, trip_row, range(2), hour=1, fare_amount=50.0))
+        warehouse.register([MODEL.table])
+        found = spark.sql("SELECT trip_id, fare_amount FROM staging.stg_green_taxi").collect()
+        assert sorted(tuple(r) for r in found) == [("d5t0", 50.0), ("d5t1", 50.0), ("d5t2", 10.0)]
+    finally:
+        for db in ("raw", "staging"):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
