@@ -1,141 +1,230 @@
-"""Line dedup by log templates: lines that recur across documents, variable fields aside, go."""
+"""Line dedup by a log-template tree: lines that recur across texts, variable fields aside, go.
+
+A line is routed by its number of tokens and by its leading tokens, fields generalised, to a leaf.
+Within a leaf, the values of each position are counted over the texts: a value that recurs enough
+stays literal, any other is a variable field. A line's template is what stays literal of it. All
+lines of a recurring template go, but for those of the text that holds it first, so nothing is lost
+from the corpus. Most lines are alone in their leaf; a bitmap of fixed size tells which are not, and
+only those are taken apart.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import near
-from .common import let, written
-
-#: A template is boilerplate if so many different texts hold it; a long one, which does not recur by
-#: chance, if two do.
-MIN_TEXTS = 10
-LONG_TEXTS = 2
-LONG_TOKENS = 14
-MIN_TOKENS = 1
-#: Share of a line's tokens that must be literal, and share at either end that a gap template keeps.
-MIN_LITERAL = 0.5
-EDGE_SHARE = 0.4
-#: A text with a larger share of its tokens in recurring lines may be a copy. Near-duplicates among
-#: such texts count as one text, as whatever was copied recurs.
-COPY_SHARE = 0.5
-
-FIELD = "<*>"
-#: Variable fields: tokens with a digit, addresses, and names within a line.
-FIELDS = (
-    r"(?<!\S)(?:[^\s0-9]*+[0-9]\S*+|[^\s@]*+@\S*+|https?://\S*+)"
-    r"|(?<=[\p{Ll},] )\p{Lu}[\p{L}'-]*+"
+from .common import importable, written
+
+#: A template is boilerplate once the texts beyond the first that hold it repeat so many literal
+#: tokens; a value of a position is literal once it stands for as many.
+REPEATED = 30
+#: Leading tokens on the path to a leaf, and the share of a template's tokens that must be literal.
+LEADING = 2
+LITERAL = 0.5
+#: Tokens that are fields wherever they stand: with a digit, addresses, links.
+FIELD = re.compile(r"[0-9@]|://")
+MASK = "<*>"
+#: Bits of the bitmap of leaves (8 MB), and lines summed up before they are passed on.
+BITS = 1 << 26
+_WORD = 1 << 15
+LINES_AT_ONCE = 200_000
+TEXTS_AT_ONCE = 256
+
+
+# --- parsing --------------------------------------------------------------------------------------
+
+
+def _hash(text: str) -> int:
+    """A signed 64-bit hash."""
+    return int(np.int64(np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))))
+
+
+def _routed(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Number, leaf and tokens of every line that has tokens."""
+    for at, line in enumerate(text.split("\n")):
+        tokens = line.split()
+        if tokens:
+            lead = [MASK if FIELD.search(t) else t for t in tokens[:LEADING]]
+            yield at, _hash(f"{len(tokens)} {' '.join(lead)}"), tokens
+
+
+def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts by leaf, added up as far as memory is set aside for it; one text counts twice in a leaf
+    that holds two of its lines."""
+    held: dict[int, int] = {}
+
+    def passed_on() -> pa.RecordBatch:
+        columns = [pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())]
+        held.clear()
+        return pa.RecordBatch.from_arrays(columns, ["leaf", "n"])
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            for text in batch.column(0).slice(start, TEXTS_AT_ONCE).to_pylist():
+                for _, leaf, _ in _routed(text):
+                    held[leaf] = held.get(leaf, 0) + 1
+            if len(held) > LINES_AT_ONCE:
+                yield passed_on()
+    if held:
+        yield passed_on()
+
+
+PLACE = pa.struct(
+    [("at", pa.int32()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))]
 )
-#: What every line with a field holds.
-HINT = r"[0-9@]|https?://|[\p{Ll},] \p{Lu}"
+PLACED = "a long, b long, doc_id long, places array<struct<at:int,leaf:long,line:long,tokens:array<long>>>"
 
 
-def parsed(line: Column) -> Column:
-    """n (tokens) and ids, the template identifiers of a line; the line as it is if it is mostly fields.
+def _places(bitmap: np.ndarray):
+    """Lines of leaves on the bitmap, text by text, with the hashes of their tokens (fields: zero)."""
 
-    The path through the tree is the token count, then the leading tokens with their fields
-    generalised. Its leaf holds the whole generalised line, and, generalising further, the line
-    with a gap in its middle between its leading and trailing tokens.
-    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                found = []
+                for text in part.column("text").to_pylist():
+                    places = []
+                    for at, leaf, tokens in _routed(text):
+                        bit = leaf % BITS
+                        if bitmap[bit >> 3] >> (bit & 7) & 1:
+                            hashes = [0 if FIELD.search(t) else _hash(t) for t in tokens]
+                            places.append({"at": at, "leaf": leaf, "line": _hash(" ".join(tokens)), "tokens": hashes})
+                    found.append(places)
+                columns = [part.column(c) for c in ("a", "b", "doc_id")] + [pa.array(found, pa.list_(PLACE))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "doc_id", "places"])
 
-    def of(tokens: Column) -> Column:
-        n = F.size(tokens)
-        edge = F.ceil(n * EDGE_SHARE).cast("int")
-        literal = F.size(F.array_remove(tokens, FIELD))
-        lead, trail = F.slice(tokens, 1, edge), F.slice(tokens, n - edge + 1, edge)
-        whole = F.xxhash64(F.lit("line"), n, tokens)
-        gap = F.xxhash64(F.lit("gap"), n, lead, trail)
-        none = F.array().cast("array<bigint>")
-        ids = F.when(n < MIN_TOKENS, none).when(literal < MIN_LITERAL * n, F.array(F.xxhash64(F.lit("same"), n, line))).when(2 * edge < n, F.array(whole, gap)).otherwise(F.array(whole))
-        return F.struct(n.alias("n"), ids.alias("ids"))
+    return read
 
-    # Most lines of prose have no field; seeing that is cheaper than replacing none.
-    masked = F.when(line.rlike(HINT), F.regexp_replace(line, FIELDS, FIELD)).otherwise(line)
-    return let(F.array_remove(F.split(masked, r"\s+", -1), ""), of)
 
+def _bitmap(leaves: DataFrame) -> np.ndarray:
+    """The leaves as bits of a map of BITS bits; its size is the same for every corpus."""
+    bit = F.pmod(F.col("leaf"), F.lit(BITS))
+    words = leaves.groupBy((bit / _WORD).cast("int").alias("w")).agg(F.bitmap_construct_agg((bit % _WORD).cast("long")).alias("bits"))
+    out = np.zeros(BITS // 8, np.uint8)
+    for r in words.collect():  # at most BITS / _WORD rows
+        out[r["w"] * _WORD // 8 : (r["w"] + 1) * _WORD // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+# --- templates ------------------------------------------------------------------------------------
 
 
 def _key(text: Column) -> list[Column]:
     text = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(text).alias("__a"), F.xxhash64(text, F.lit(1)).alias("__b")]
+    return [F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b")]
+
 
+def _enough(texts: Column, tokens: Column, repeated: int) -> Column:
+    return (texts - 1) * tokens >= repeated
 
-def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """__a, __b (a text's hashes) and drop, the boilerplate templates that it holds.
 
-    Equal texts count once. Only 64-bit identifiers move; counts are combined before the shuffle,
-    and a template held by a third of all texts may be split in the join as it is skewed.
+def templates(lines: DataFrame, repeated: int = REPEATED) -> DataFrame:
+    """leaf, line, template and literals of distinct lines (leaf, line, texts, tokens).
+
+    ``literals`` is the number of tokens that the template keeps. A line of which less than LITERAL
+    stays literal is its own template. Counts are combined before they move, so a leaf or a value
+    that most lines share is no hot spot.
+    """
+    each = lines.select("leaf", "line", "texts", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token")).filter("token <> 0")
+    values = each.groupBy("leaf", "at", "token").agg(F.sum("texts").alias("held"), F.max("n").alias("n"))
+    literal = values.filter(_enough(F.col("held"), F.col("n"), repeated)).select("leaf", "at", "token")
+    kept = each.select("leaf", "line", "at", "token").join(literal, ["leaf", "at", "token"])
+    kept = kept.groupBy("leaf", "line").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("kept"))
+    whole = lines.join(kept, ["leaf", "line"], "left").withColumn("n", F.size("tokens"))
+    general = F.when(F.col("kept").isNull(), F.lit(False)).otherwise(F.size("kept") >= LITERAL * F.col("n"))
+    return whole.select(
+        "leaf",
+        "line",
+        F.when(general, F.xxhash64(F.lit("template"), "kept")).otherwise(F.col("line")).alias("template"),
+        F.when(general, F.size("kept")).otherwise(F.col("n")).alias("literals"),
+    )
+
+
+def recurring(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
+    """a, b (a text's hashes) and drop, the numbers of its lines that go, for texts that lose any.
+
+    Equal texts count once and are treated alike. A template stays in the text whose smallest
+    doc_id is the smallest of all; only texts without doc_id hold it: nothing goes.
     """
+    spark = docs.sparkSession
+    importable(spark)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = texts.select("text").mapInArrow(_leaves, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
+    bitmap = _bitmap(counted.filter("n > 1").select("leaf"))
+    found = texts.select(*_key(F.col("text")), "doc_id", "text").mapInArrow(_places(bitmap), PLACED).filter(F.size("places") > 0)
+    found = written(found, "places")
+
+    places = found.select("a", "b", "doc_id", F.explode("places").alias("p"))
+    places = places.select("a", "b", "doc_id", "p.at", "p.leaf", "p.line")
+    # A line once per text, with the text's smallest doc_id.
+    once = places.groupBy("leaf", "line", "a", "b").agg(F.min("doc_id").alias("doc_id"))
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "a", "b")))
+    held = once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), first.alias("first"))
+    tokens = found.select(F.explode("places").alias("p")).groupBy("p.leaf", "p.line").agg(F.first("p.tokens").alias("tokens"))
+    lines = written(held.join(tokens, ["leaf", "line"]), "lines")
+
+    named = written(lines.select("leaf", "line", "texts", "first").join(templates(lines, repeated), ["leaf", "line"]), "templates")
+    # Texts that hold several lines of a template count once: the sum is an upper bound, which the
+    # exact count of the few templates that reach it settles.
+    often = named.groupBy("leaf", "template").agg(F.sum("texts").alias("texts"), F.max("literals").alias("literals"), F.min("first").alias("first"))
+    often = often.filter(_enough(F.col("texts"), F.col("literals"), repeated) & F.col("first").isNotNull())
+    candidates = named.select("leaf", "line", "template").join(often.select("leaf", "template", "literals", "first"), ["leaf", "template"])
+    holders = once.select("leaf", "line", "a", "b").join(candidates.select("leaf", "line", "template", "literals"), ["leaf", "line"])
+    exact = holders.groupBy("leaf", "template", "a", "b").agg(F.max("literals").alias("literals"))
+    exact = exact.groupBy("leaf", "template").agg(F.count(F.lit(1)).alias("texts"), F.max("literals").alias("literals"))
+    gone = exact.filter(_enough(F.col("texts"), F.col("literals"), repeated)).select("leaf", "template")
+    gone = candidates.join(gone, ["leaf", "template"]).select("leaf", "line", "first")
+
+    lost = places.join(gone, ["leaf", "line"]).filter((F.col("a") != F.col("first.a")) | (F.col("b") != F.col("first.b")))
+    return lost.groupBy("a", "b").agg(F.collect_set("at").alias("drop"))
+
+
+# --- documents ------------------------------------------------------------------------------------
 
-    def read(lines: Column) -> Column:
-        numbered = F.transform(
-            lines,
-            lambda x: F.transform(
-                x["ids"],
-                lambda t, i: F.struct(t.alias("t"), F.when(i == 0, x["n"]).otherwise(0).alias("n"), (x["n"] >= LONG_TOKENS).alias("long")),
-            ),
-        )
-        return F.struct(
-            F.aggregate(lines, F.lit(0), lambda total, x: total + x["n"]).alias("tokens"), F.flatten(numbered).alias("found")
-        )
-
-    def often(held: DataFrame) -> DataFrame:
-        counts = held.groupBy("t").agg(F.count("*").alias("texts"), F.max("long").alias("long"))
-        least = F.when(F.col("long"), F.least(F.lit(LONG_TEXTS), F.lit(min_texts))).otherwise(min_texts)
-        return counts.filter(F.col("texts") >= least).select("t")
-
-    texts = docs.select(*_key(F.col("text")), let(F.transform(_lines(F.col("text")), parsed), read).alias("r"))
-    # An outer inline, as the inner one would have the optimizer read each text twice, to filter.
-    inlined = texts.select("__a", "__b", F.col("r.tokens").alias("tokens"), F.inline_outer("r.found")).filter("t IS NOT NULL")
-    held = inlined.groupBy("__a", "__b", "t").agg(F.max("tokens").alias("tokens"), F.max("n").alias("n"), F.max("long").alias("long"))
-    # Copies of a text are one text; a line's tokens count once per text.
-    again = written(held.join(often(held), "t"), "recurring")
-    own = again.groupBy("__a", "__b").agg((F.sum("n") > COPY_SHARE * F.max("tokens")).alias("copy"))
-    own = written(own.select(F.xxhash64("__a", "__b").alias("id"), "copy"), "holders")
-    suspects = docs.select(F.xxhash64(*_key(F.col("text"))).alias("doc_id"), "text")
-    suspects = suspects.join(own.filter("copy").select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
-    roots = near.grouped(suspects).select(F.col("doc_id").alias("id"), "root")
-    classes = own.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class"))
-    counted = again.withColumn("id", F.xxhash64("__a", "__b")).join(classes, "id").groupBy("t", "class").agg(F.max("long").alias("long"))
-    return again.join(often(counted), "t").groupBy("__a", "__b").agg(F.collect_set("t").alias("__drop"))
-
-
-def _cut(docs: DataFrame, min_texts: int) -> tuple[DataFrame, list[Column]]:
+
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def _cut(docs: DataFrame, repeated: int) -> tuple[DataFrame, list[Column]]:
     """Rows with their boilerplate gone, and the columns of ``docs`` on them."""
-    drop = recurring(docs.select("text"), min_texts)
+    drop = recurring(docs.select("doc_id", "text"), repeated)
     inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     packed = docs.select(inner.alias("__row"), F.col("text").alias("__text"), *_key(F.col("text")))
-
-    def kept(gone: Column) -> Column:
-        return F.filter(_lines(F.col("__text")), lambda x: ~F.arrays_overlap(parsed(x)["ids"], gone))
-
-    left = F.when(F.col("__drop").isNull(), _lines(F.col("__text"))).otherwise(let(F.col("__drop"), kept))
-    cut = packed.join(drop, ["__a", "__b"], "left").withColumn("__left", left)
-    text = F.when(F.col("__text").isNotNull(), F.array_join("__left", "\n"))
-    own = {c: F.col(f"__row.c{i}") for i, c in enumerate(docs.columns)} | {"text": text}
+    left = F.filter(_lines(F.col("__text")), lambda line, i: ~F.array_contains(F.col("drop"), i))
+    text = F.when(F.col("drop").isNull(), F.col("__text")).otherwise(F.array_join(left, "\n"))
+    cut = packed.join(drop, ["a", "b"], "left").withColumn("__left", text)
+    own = {c: F.col(f"__row.c{i}") for i, c in enumerate(docs.columns)} | {"text": F.col("__left")}
     if "n_chars" in own:
-        chars = F.when(F.col("__text").isNull(), own["n_chars"]).otherwise(F.length(text))
+        chars = F.when(F.col("drop").isNull(), own["n_chars"]).otherwise(F.length("__left"))
         own["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
     return cut, [column.alias(c) for c, column in own.items()]
 
 
-def stripped(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
+def stripped(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
     """doc_id and ``text`` rid of boilerplate lines of every row of ``docs``, n_lines and n_dropped.
 
     Defined results: a null text stays null; a text all of boilerplate becomes empty; blank lines
-    stay; a null doc_id is no obstacle, since rows are told apart by their text; repeated rows are
-    treated alike; an empty table gives an empty table. Other columns are left out.
+    stay; a null doc_id is no obstacle, but its text is never the one in which a template stays;
+    repeated rows and equal texts are treated alike; an empty table gives an empty table. Other
+    columns are left out.
     """
-    cut, columns = _cut(docs.select("doc_id", "text"), min_texts)
-    n = F.size(_lines(F.col("__text")))
-    return cut.select(*columns, n.cast("long").alias("n_lines"), (n - F.size("__left")).cast("long").alias("n_dropped"))
+    cut, columns = _cut(docs.select("doc_id", "text"), repeated)
+    dropped = F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop"))
+    return cut.select(*columns, F.size(_lines(F.col("__text"))).cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
+
 
+def clean(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
+    """All rows of ``docs`` with exactly their columns, without boilerplate lines; results as in ``stripped``.
 
-def clean(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """All rows of ``docs`` with exactly their columns; n_chars, if there, follows the text."""
-    cut, columns = _cut(docs, min_texts)
+    n_chars, if there, follows the text of rows that lose lines.
+    """
+    cut, columns = _cut(docs, repeated)
     return cut.select(*columns)
