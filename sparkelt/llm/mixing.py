@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITE_SPACE, ascii_lower, importable, let, words_of, written
@@ -16,6 +16,8 @@ from .common import WHITE_SPACE, ascii_lower, importable, let, words_of, written
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 #: Word buckets of the classifier; the driver holds so many weights for each domain, no more.
 BUCKETS = 1 << 15
+#: Labelled documents of a domain that the classifier is fitted on, at most.
+PER_DOMAIN = 10_000
 #: Pull of every rate towards one, relative to the fit.
 PULL = 1e-3
 #: Rounds end when no domain's rates move by more than the tolerance, on average over its tokens.
@@ -28,7 +30,7 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, "toxic").when(quality == 0, "poor").when(quality == 1, "good")
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, *also: str) -> DataFrame:
     """doc_id, key (a hash of the text), tokens (words) and buckets (distinct hashed words) of every row."""
     words = words_of(ascii_lower(F.col("text")), WHITE_SPACE)
     found = let(
@@ -39,18 +41,33 @@ def features(docs: DataFrame) -> DataFrame:
         ),
     )
     key = F.xxhash64(F.coalesce("text", F.lit(""))).alias("key")
-    return docs.select(F.col("doc_id").cast("long"), key, found.alias("f")).select("doc_id", "key", "f.tokens", "f.buckets")
+    rows = docs.select(F.col("doc_id").cast("long"), key, found.alias("f"), *also)
+    return rows.select("doc_id", "key", "f.tokens", "f.buckets", *also)
 
 
-def fit_classifier(found: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bernoulli naive Bayes over hashed words: (weights by bucket and domain, bias by domain).
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """domain and buckets of labelled documents, and the number of labels by domain.
 
-    Counts cover every labelled document; they are combined in the cluster, and at most BUCKETS
-    rows reach the driver. A doc_id labelled more than once counts once, by its most severe label.
+    At most PER_DOMAIN documents of a domain, those whose doc_ids have the least hashes: the labels
+    that are looked up are few, however many there are, and texts stay where they are read. A doc_id
+    labelled more than once counts once, by its most severe label.
     """
     marked = labels.select(F.col("doc_id").cast("long"), domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
     marked = marked.filter("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.max("domain").alias("domain"))
-    rows = found.join(marked, "doc_id").select("domain", "buckets")
+    sizes = {r["domain"]: r["n"] for r in marked.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    place = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
+    few = marked.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= PER_DOMAIN)
+    found = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(few.select("doc_id", "domain")), "doc_id")
+    return written(features(found, "domain").select("domain", "buckets"), "labelled"), sizes
+
+
+def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Bernoulli naive Bayes over hashed words: (weights by bucket and domain, bias by domain).
+
+    Priors follow all labels, words those documents that ``labelled`` takes. Counts are combined in
+    the cluster, and at most BUCKETS rows reach the driver.
+    """
+    rows, known = labelled(docs, labels)
     sizes = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     sums = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"d{i}") for i, d in enumerate(domains)]
     counts = rows.select("domain", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(*sums).collect()
@@ -62,7 +79,8 @@ def fit_classifier(found: DataFrame, labels: DataFrame, domains: list[str]) -> t
     chance = (table + (table.sum(axis=1, keepdims=True) + 0.05) / (n.sum() + 1.0)) / (n + 1.0)
     chance = np.clip(chance, 1e-6, 1 - 1e-6)
     weights = np.log(chance) - np.log1p(-chance)
-    bias = np.log1p(-chance).sum(axis=0) + np.log((n + 1) / (n.sum() + len(domains)))
+    every = np.array([known.get(d, 0) for d in domains], float)
+    bias = np.log1p(-chance).sum(axis=0) + np.log((every + 1) / (every.sum() + len(domains)))
     bias[n == 0] = -1e9 if n.any() else 0.0  # a domain without labels is never predicted
     return weights, bias
 
@@ -154,9 +172,8 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     """
     targets = targets or TARGETS
     domains = list(targets)
-    found = features(docs)
-    weights, bias = fit_classifier(found, labels, domains)
-    scored = written(posteriors(found, weights, bias), "posteriors")
+    weights, bias = fit_classifier(docs, labels, domains)
+    scored = written(posteriors(features(docs), weights, bias), "posteriors")
     history = fit_rates(scored, targets)
     goal = np.array(list(targets.values()))
 
