@@ -42,7 +42,8 @@ TEXTS_AT_ONCE = 256
 
 def _hash(text: str) -> int:
     """A signed 64-bit hash."""
-    return int(np.int64(np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))))
+    h = xxhash.xxh64_intdigest(text)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _routed(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -57,18 +58,20 @@ def _routed(text: str) -> Iterator[tuple[int, int, list[str]]]:
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts by leaf, added up as far as memory is set aside for it; one text counts twice in a leaf
     that holds two of its lines."""
-    held: dict[int, int] = {}
+    held: dict[tuple[int, int], int] = {}
 
     def passed_on() -> pa.RecordBatch:
-        columns = [pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())]
+        leaves, sizes = zip(*held)
+        columns = [pa.array(v, pa.int64()) for v in (leaves, sizes, list(held.values()))]
         held.clear()
-        return pa.RecordBatch.from_arrays(columns, ["leaf", "n"])
+        return pa.RecordBatch.from_arrays(columns, ["leaf", "tokens", "n"])
 
     for batch in batches:
         for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
             for text in batch.column(0).slice(start, TEXTS_AT_ONCE).to_pylist():
-                for _, leaf, _ in _routed(text):
-                    held[leaf] = held.get(leaf, 0) + 1
+                for _, leaf, tokens in _routed(text):
+                    key = leaf, len(tokens)
+                    held[key] = held.get(key, 0) + 1
             if len(held) > LINES_AT_ONCE:
                 yield passed_on()
     if held:
@@ -76,13 +79,13 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 PLACE = pa.struct(
-    [("at", pa.int32()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))]
+    [("at", pa.int32()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int32()))]
 )
-PLACED = "a long, b long, doc_id long, places array<struct<at:int,leaf:long,line:long,tokens:array<long>>>"
+PLACED = "a long, b long, doc_id long, places array<struct<at:int,leaf:long,line:long,tokens:array<int>>>"
 
 
 def _places(bitmap: np.ndarray):
-    """Lines of leaves on the bitmap, text by text, with the hashes of their tokens (fields: zero)."""
+    """Lines of leaves on the bitmap, text by text, with 32-bit hashes of their tokens (fields: zero)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,7 +97,7 @@ def _places(bitmap: np.ndarray):
                     for at, leaf, tokens in _routed(text):
                         bit = leaf % BITS
                         if bitmap[bit >> 3] >> (bit & 7) & 1:
-                            hashes = [0 if FIELD.search(t) else _hash(t) for t in tokens]
+                            hashes = [0 if FIELD.search(t) else xxhash.xxh32_intdigest(t) >> 1 or 1 for t in tokens]
                             places.append({"at": at, "leaf": leaf, "line": _hash(" ".join(tokens)), "tokens": hashes})
                     found.append(places)
                 columns = [part.column(c) for c in ("a", "b", "doc_id")] + [pa.array(found, pa.list_(PLACE))]
@@ -103,16 +106,30 @@ def _places(bitmap: np.ndarray):
     return read
 
 
+def _words(hashes: DataFrame, column: str) -> DataFrame:
+    """w and bits: the hashes on a bitmap of BITS bits, in at most BITS / _WORD rows whatever there is."""
+    bit = F.pmod(F.col(column), F.lit(BITS))
+    return hashes.groupBy((bit / _WORD).cast("int").alias("w")).agg(F.bitmap_construct_agg((bit % _WORD).cast("long")).alias("bits"))
+
+
 def _bitmap(leaves: DataFrame) -> np.ndarray:
-    """The leaves as bits of a map of BITS bits; its size is the same for every corpus."""
-    bit = F.pmod(F.col("leaf"), F.lit(BITS))
-    words = leaves.groupBy((bit / _WORD).cast("int").alias("w")).agg(F.bitmap_construct_agg((bit % _WORD).cast("long")).alias("bits"))
     out = np.zeros(BITS // 8, np.uint8)
-    for r in words.collect():  # at most BITS / _WORD rows
+    for r in _words(leaves, "leaf").collect():
         out[r["w"] * _WORD // 8 : (r["w"] + 1) * _WORD // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
+def _marked(rows: DataFrame, hashes: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``marked``: whether their hash is on the bitmap of ``hashes``, which is looked up in place."""
+    words = F.broadcast(_words(hashes, column))
+    bit = F.pmod(F.col(column), F.lit(BITS))
+    rows = rows.withColumns({"w": (bit / _WORD).cast("int"), "at": (bit % _WORD).cast("int")})
+    byte = F.conv(F.hex(F.substring("bits", F.expr("at div 8 + 1"), F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, F.col("at") % 8) == 1
+    found = rows.join(words, "w", "left").withColumn("marked", F.coalesce(hit, F.lit(False)))
+    return found.drop("w", "at", "bits")
+
+
 # --- templates ------------------------------------------------------------------------------------
 
 
@@ -156,8 +173,10 @@ def recurring(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
     spark = docs.sparkSession
     importable(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = texts.select("text").mapInArrow(_leaves, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
-    bitmap = _bitmap(counted.filter("n > 1").select("leaf"))
+    counted = texts.select("text").mapInArrow(_leaves, "leaf long, tokens long, n long")
+    counted = counted.groupBy("leaf", "tokens").agg(F.sum("n").alias("n"))
+    # A leaf with too few lines for any template is left out.
+    bitmap = _bitmap(counted.filter(_enough(F.col("n"), F.col("tokens"), repeated)).select("leaf"))
     found = texts.select(*_key(F.col("text")), "doc_id", "text").mapInArrow(_places(bitmap), PLACED).filter(F.size("places") > 0)
     found = written(found, "places")
 
@@ -194,14 +213,22 @@ def _lines(text: Column) -> Column:
 
 
 def _cut(docs: DataFrame, repeated: int) -> tuple[DataFrame, list[Column]]:
-    """Rows with their boilerplate gone, and the columns of ``docs`` on them."""
-    drop = recurring(docs.select("doc_id", "text"), repeated)
-    inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    """Rows with their boilerplate gone, and the columns of ``docs`` on them.
+
+    Only rows whose text may lose lines move, to meet what goes; a bitmap of fixed size tells them.
+    """
+    drop = written(recurring(docs.select("doc_id", "text"), repeated), "drop")
+    others = [c for c in docs.columns if c != "text"]
+    inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
     packed = docs.select(inner.alias("__row"), F.col("text").alias("__text"), *_key(F.col("text")))
+    packed = _marked(packed, drop.select("a"), "a")
+    moved = packed.filter("marked").join(drop, ["a", "b"], "left")
+    whole = packed.filter("NOT marked").withColumn("drop", F.lit(None).cast("array<int>"))
+    met = moved.unionByName(whole)
     left = F.filter(_lines(F.col("__text")), lambda line, i: ~F.array_contains(F.col("drop"), i))
     text = F.when(F.col("drop").isNull(), F.col("__text")).otherwise(F.array_join(left, "\n"))
-    cut = packed.join(drop, ["a", "b"], "left").withColumn("__left", text)
-    own = {c: F.col(f"__row.c{i}") for i, c in enumerate(docs.columns)} | {"text": F.col("__left")}
+    cut = met.withColumn("__left", text)
+    own = {c: F.col("__left") if c == "text" else F.col(f"__row.c{others.index(c)}") for c in docs.columns}
     if "n_chars" in own:
         chars = F.when(F.col("drop").isNull(), own["n_chars"]).otherwise(F.length("__left"))
         own["n_chars"] = chars.cast(docs.schema["n_chars"].dataType)
