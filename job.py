@@ -60,6 +60,8 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
     wh = Warehouse(spark, a.warehouse)
     checkpoint = a.checkpoint or f"{wh.root}/_checkpoints/{feed.name}"
     trigger = UNTIL_DRAINED if a.once else {"processingTime": a.interval}
+    if a.mode == DEAD_LETTER and (a.json_path or a.jdbc_url):
+        raise SystemExit("dead letters are kept beside the raw folder only")
     if a.json_path:
         rows = extract_payload(source, feed, a.format, parse_times=False, with_key=False, mode=a.mode)
         start_file_sink(rows, a.json_path, checkpoint, trigger=trigger).awaitTermination()

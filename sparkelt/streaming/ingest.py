@@ -52,6 +52,8 @@ def start_ingest(
     A malformed message fails the query (mode FAILFAST), becomes a row of NULLs (PERMISSIVE), or is
     set aside (DEAD_LETTER, which takes a ``dead_letter_sink``).
     """
+    if (mode == DEAD_LETTER) != getattr(sink, "sets_aside", False):
+        raise ValueError("DEAD_LETTER and a dead_letter_sink go together")
     rows = judged_stream(source, feed, fmt) if mode == DEAD_LETTER else decoded_stream(source, feed, fmt, mode)
     writer = rows.writeStream.foreachBatch(sink)
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append")

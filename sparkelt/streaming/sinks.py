@@ -129,6 +129,7 @@ def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
         finally:
             batch.unpersist()
 
+    load.sets_aside = True
     return load
 
 

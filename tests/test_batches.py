@@ -206,6 +206,13 @@ def test_dead_letters_are_replaced_on_replay(spark, warehouse, sf_dir, tmp_path,
     assert letters.select("loaded_at").distinct().collect() == warehouse.read_raw(FEED).select("loaded_at").distinct().collect()
 
 
+def test_dead_letters_need_their_sink(spark, warehouse, tmp_path):
+    plain = sinks.parquet_batch_sink(FEED, warehouse.raw_path(FEED))
+    for sink, mode in ((plain, DEAD_LETTER), (sinks.dead_letter_sink(FEED, "a", "b"), "FAILFAST")):
+        with pytest.raises(ValueError, match="go together"):
+            start_ingest(spark.range(1), FEED, sink, str(tmp_path / "cp"), "json", UNTIL_DRAINED, mode)
+
+
 def test_no_letters_no_table(spark, warehouse):
     assert sinks.read_dead_letters(spark, f"{warehouse.root}/none").collect() == []
 

@@ -45,7 +45,7 @@ def test_tombstone_gives_an_empty_record_with_the_feed_hash(spark):
 def test_malformed_json_is_an_empty_record(spark):
     bodies = [b"{oops", b"", b'{"VendorID": 3, "lpep_pickup_datetime": "junk"}']
     df = spark.createDataFrame([(bytearray(b),) for b in bodies], "value binary")
-    rows = W.extract_payload(df, S.GREEN, "json").drop("trip_id").collect()
+    rows = W.extract_payload(df, S.GREEN, "json", mode="PERMISSIVE").drop("trip_id").collect()
     assert set(rows[0]) == {None} and set(rows[1]) == {None}
     assert rows[2]["VendorID"] == 3 and rows[2]["lpep_pickup_datetime"] is None
 
