@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import importable
+from .common import importable, written
 
 #: Equal payloads from this size on are stored once.
 MIN_REVISIT = 1000
@@ -20,10 +22,15 @@ SEGMENT = 32768
 RECORDS_PER_FILE = 2000
 #: Bytes of records that a task gathers before it passes them on.
 HELD_BYTES = 1 << 22
+#: Bytes of an archive that are unpacked at once.
+STEP = 1 << 14
 DATE = "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
 
-RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, stated_digest string"
+RECORD = (
+    "page_id long, url string, record_type string, record_id string, refers_to long, refers_to_id string, "
+    "payload_bytes long, payload_digest string, stated_digest string"
+)
 PIECE = f"{RECORD}, origin string, number int, total long, block binary"
 
 
@@ -31,11 +38,12 @@ PIECE = f"{RECORD}, origin string, number int, total long, block binary"
 
 
 def planned(pages: DataFrame) -> DataFrame:
-    """Every page with its payload, digest, and the page that it revisits (null: none).
+    """Every page with its payload, digest, identifier, and the page that it revisits (null: none).
 
     Only pages that share a digest meet in the join, on narrow rows; the join then moves each page
     once. A digest that many pages share is pre-aggregated, and its pages may be split by the
-    adaptive skew join.
+    adaptive skew join. Equal payloads are told by page_id, then url; a row's number decides only
+    among rows equal in all three, so that the order of rows matters to nothing else.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     own = pages.select(
@@ -44,26 +52,34 @@ def planned(pages: DataFrame) -> DataFrame:
         payload.alias("payload"),
         F.monotonically_increasing_id().alias("row"),
     ).withColumn("digest", F.sha1("payload"))
+    large = F.octet_length("payload") >= MIN_REVISIT
     first = (
-        own.filter(F.octet_length("payload") >= MIN_REVISIT)
+        own.filter(large)
+        .groupBy("digest", "page_id", "url")
+        .agg(F.max("row").alias("row"), F.count("*").alias("n"))
         .groupBy("digest")
-        .agg(F.max(F.struct("page_id", "row")).alias("kept"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
+        .agg(F.max(F.struct("page_id", "url", "row", "n")).alias("kept"), F.sum("n").alias("total"))
+        .filter("total > 1")
+        .drop("total")
     )
-    revisits = (F.octet_length("payload") >= MIN_REVISIT) & (F.col("row") != F.col("kept.row"))
+    stays = (
+        F.col("page_id").eqNullSafe(F.col("kept.page_id"))
+        & F.col("url").eqNullSafe(F.col("kept.url"))
+        & ((F.col("kept.n") == 1) | (F.col("row") == F.col("kept.row")))
+    )
+    shared = large & F.col("kept").isNotNull()
     return own.join(first, "digest", "left").select(
-        "page_id",
+        F.col("page_id").cast("string").alias("page_id"),
         "url",
         "payload",
-        "row",
         "digest",
-        F.when(revisits, F.col("kept")).alias("kept"),
+        F.when(shared & stays, F.col("digest")).otherwise(F.col("row").cast("string")).alias("name"),
+        F.when(shared & ~stays, F.struct(F.col("kept.page_id").cast("string").alias("page_id"))).alias("kept"),
     )
 
 
-def _id(page_id, row: int) -> str:
-    return f"<urn:page:{'' if page_id is None or pd.isna(page_id) else int(page_id)}:{row}>"
+def _id(page_id, name: str) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{name}>"
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -76,9 +92,12 @@ def chunked(payload: bytes, size: int = CHUNK) -> bytes:
     return b"".join(b"%x\r\n%b\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
 
 
-def records_of(page_id, url, payload: bytes, row: int, digest: str, kept, segment: int = SEGMENT) -> list[bytes]:
-    """One page as complete WARC records: a revisit, or a response in as many segments as needed."""
-    own = _id(page_id, row)
+def records_of(page_id, url, payload: bytes, name: str, digest: str, kept, segment: int = SEGMENT) -> list[bytes]:
+    """One page as complete WARC records: a revisit, or a response in as many segments as needed.
+
+    A response that others revisit has its digest for a name.
+    """
+    own = _id(page_id, name)
     fields = [
         ("WARC-Target-URI", quote(url or "", safe=":/?#[]@!$&'()*+,;=%-._~")),
         ("WARC-Date", DATE),
@@ -88,7 +107,7 @@ def records_of(page_id, url, payload: bytes, row: int, digest: str, kept, segmen
     if kept is not None:
         block = status + b"Content-Length: %d\r\n\r\n" % len(payload)
         more = [
-            ("WARC-Refers-To", _id(kept["page_id"], kept["row"])),
+            ("WARC-Refers-To", _id(kept["page_id"], digest)),
             ("WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"),
         ]
         return [_record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *fields, *more], block)]
@@ -106,31 +125,43 @@ def records_of(page_id, url, payload: bytes, row: int, digest: str, kept, segmen
     return out
 
 
+def packed(record: bytes) -> bytes:
+    """The record as a gzip member of its own."""
+    own = zlib.compressobj(wbits=31)
+    return own.compress(record) + own.flush()
+
+
 def write(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
-    """Writes gzipped archives below ``path`` with Spark's own writer, so any file system will do.
+    """Writes archives below ``path``, a gzip member per record, with Spark's own text writer.
 
-    A row is a record without its last line end, which the writer adds. Segments bound the size of
-    a record, and the record count that of an archive.
+    A member ends with the length of what it holds, whose highest byte is zero below 16 MB; the
+    writer adds that byte as its line end. Segments bound the size of a record, and the record count
+    that of an archive.
     """
+    if segment > 1 << 23:
+        raise ValueError("a segment has at most 8 MB")
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             held: list[bytes] = []
             size = 0
-            for p in zip(f["page_id"], f["url"], f["payload"], f["row"], f["digest"], f["kept"]):
-                held += [r[:-2] for r in records_of(*p, segment=segment)]
-                size += len(p[2])
-                if size >= HELD_BYTES:
-                    yield pd.DataFrame({"record": held})
-                    held, size = [], 0
+            for p in zip(f["page_id"], f["url"], f["payload"], f["name"], f["digest"], f["kept"]):
+                for record in records_of(*p, segment=segment):
+                    if len(record) >= 1 << 24:
+                        raise ValueError("a record's head takes more than 8 MB")
+                    held.append(packed(record)[:-1])
+                    size += len(held[-1])
+                    if size >= HELD_BYTES:
+                        yield pd.DataFrame({"record": held})
+                        held, size = [], 0
             yield pd.DataFrame({"record": held})
 
     importable(pages.sparkSession)
     built = planned(pages).mapInPandas(build, "record binary")
     (
         built.select(F.col("record").cast("string"))
-        .write.option("lineSep", "\r\n")
-        .option("compression", "gzip")
+        .write.option("lineSep", "\x00")
+        .option("compression", "none")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .text(path)
     )
@@ -139,21 +170,69 @@ def write(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
 # --- reading --------------------------------------------------------------------------------------
 
 
-def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of an unpacked archive; lengths decide, not content."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+def unpacked(content: bytes) -> Iterator[bytes]:
+    """The bytes of an archive in steps: all gzip members, one after the other, or as they are."""
+    view, at = memoryview(content), 0
+    if content[:2] != b"\x1f\x8b":
+        while at < len(view):
+            yield bytes(view[at : at + STEP])
+            at += STEP
+        return
+    while at < len(view):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(view):
+                raise ValueError("archive ends within a gzip member")
+            step = view[at : at + STEP]
+            yield member.decompress(step)
+            at += len(step) - len(member.unused_data)
+        while at < len(view) and view[at] == 0:  # padding
+            at += 1
+
+
+def parsed(steps: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of every record of an unpacked archive; lengths decide, not content.
+
+    A record may lie in one step, in several, or share one with others; one record is held at once.
+    """
+    steps, held, done = iter(steps), bytearray(), 0
+
+    def more() -> None:
+        step = next(steps, None)
+        if step is None:
+            raise ValueError(f"archive ends within the record at byte {done}")
+        held.extend(step)
+
+    while True:
+        while held[:2] == CRLF:  # further empty lines after a record
+            del held[:2]
+            done += 2
+        if not held:
+            step = next(steps, None)
+            if step is None:
+                return
+            held.extend(step)
+            continue
+        if not b"WARC/".startswith(held[:5]):
+            raise ValueError(f"no record at byte {done}")
+        end, seen = held.find(b"\r\n\r\n"), 0
+        while end < 0:
+            seen = max(len(held) - 3, 0)
+            more()
+            end = held.find(b"\r\n\r\n", seen)
+        if held[:5] != b"WARC/":
+            raise ValueError(f"no record at byte {done}")
+        folded = re.sub(r"\r\n[ \t]+", " ", held[:end].decode("utf-8", "replace"))
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in folded.split("\r\n")[1:])}
         begin = end + 4
         stop = begin + int(headers["content-length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} does not end where its length says")
-        yield headers, data[begin:stop]
-        at = stop + 4
+        while len(held) < stop + 4:
+            more()
+        if held[stop : stop + 4] != b"\r\n\r\n":
+            raise ValueError(f"record at byte {done} does not end where its length says")
+        yield headers, bytes(held[begin:stop])
+        del held[: stop + 4]
+        done += stop + 4
 
 
 def unchunked(body: bytes) -> bytes:
@@ -171,28 +250,40 @@ def unchunked(body: bytes) -> bytes:
 
 
 def payload_of(block: bytes) -> tuple[int, str]:
-    """(length, SHA-1) of the payload of a whole HTTP response block."""
-    head, _, body = block.partition(b"\r\n\r\n")
-    if b"\r\ntransfer-encoding: chunked" in head.lower():
-        body = unchunked(body)
+    """(length, SHA-1) of the payload of a whole response block; all of it, if it is not HTTP."""
+    body = block
+    if block.startswith(b"HTTP/"):
+        head, _, body = block.partition(b"\r\n\r\n")
+        if re.search(rb"\r\ntransfer-encoding:[ \t]*chunked[ \t]*(\r|$)", head.lower()):
+            body = unchunked(body)
     return len(body), hashlib.sha1(body).hexdigest()
 
 
-def _page(urn: str | None):
-    part = (urn or "").removeprefix("<urn:page:").split(":")[0]
-    return int(part) if part else None
+def _page(urn: str | None) -> int | None:
+    found = re.fullmatch(r"<urn:page:(-?[0-9]+):[0-9a-f]+>", urn or "")
+    return int(found[1]) if found else None
+
+
+def _stated(digest: str | None) -> str | None:
+    """A stated SHA-1, in hex or base 32, as lower-case hex; null if none is stated."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
 
 
-def _row(headers: dict[str, str], block: bytes) -> dict:
+def _row(headers: dict[str, str], block: bytes) -> dict | None:
+    """What a response, a revisit or a segment of a response tells; null for other records."""
     kind, number = headers["warc-type"], headers.get("warc-segment-number")
+    if kind not in ("response", "revisit", "continuation"):
+        return None
     own = headers["warc-record-id"]
     out = dict.fromkeys(c.split()[0] for c in PIECE.split(", "))
-    out["stated_digest"] = headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
-    out |= {"page_id": _page(own), "url": headers.get("warc-target-uri"), "record_type": kind}
+    out |= {"page_id": _page(own), "url": headers.get("warc-target-uri"), "record_type": kind, "record_id": own}
+    out["stated_digest"] = _stated(headers.get("warc-payload-digest"))
     if kind == "revisit":
-        length = next(x for x in block.lower().split(CRLF) if x.startswith(b"content-length:"))
-        out |= {"refers_to": _page(headers["warc-refers-to"]), "payload_bytes": int(length.split(b":")[1])}
-        out["payload_digest"] = out["stated_digest"]
+        to = headers.get("warc-refers-to")
+        out |= {"refers_to": _page(to), "refers_to_id": to}
     elif number is None:
         out["payload_bytes"], out["payload_digest"] = payload_of(block)
     else:
@@ -211,18 +302,29 @@ def _frame(rows: list[dict], schema: str) -> pd.DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per response or revisit in the archives below ``path``.
 
-    Unsegmented records are digested where they are read. Segments are grouped by the record they
+    Every file there is an archive, gzipped in one member or in many, or plain. Each is unpacked
+    once. Unsegmented records are digested where they are read. Segments are grouped by the record they
     began with (a group is one page), ordered, checked for gaps and total length, joined and
-    unchunked. A payload that misses its stated digest or a segment stops the job.
+    unchunked; those of other records than responses are left out. A revisit gets the length and
+    digest of the response that it refers to by record identifier.
+
+    These stop the job: an archive or record that is cut off, a payload that misses its stated SHA-1,
+    a segment that is missing, a revisit whose response is missing or has another digest than the
+    revisit states. Defined results: other record types give no rows; a digest of another
+    kind than SHA-1 is not compared; page_id and refers_to are null for identifiers that ``write`` has not
+    made, record_id and refers_to_id never; no archives, or empty ones, give no rows.
     """
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for content in f["content"]:
                 rows, held = [], 0
-                for headers, block in parsed(zlib.decompress(content, 47)):
-                    rows.append(_row(headers, block))
-                    held += len(rows[-1]["block"] or b"")
+                for headers, block in parsed(unpacked(content)):
+                    row = _row(headers, block)
+                    if row is None:
+                        continue
+                    rows.append(row)
+                    held += len(row["block"] or b"")
                     if held > HELD_BYTES or len(rows) >= 5000:
                         yield _frame(rows, PIECE)
                         rows, held = [], 0
@@ -231,19 +333,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for r, parts, total in zip(f["first"], f["parts"], f["total"]):
+            for origin, r, parts, total in zip(f["origin"], f["first"], f["parts"], f["total"]):
                 block = b"".join(bytes(p["block"]) for p in parts)
                 if [p["number"] for p in parts] != list(range(1, len(parts) + 1)) or len(block) != total:
-                    raise ValueError(f"page {r['page_id']}: segments are missing")
+                    raise ValueError(f"record {origin}: segments are missing")
                 length, digest = payload_of(block)
                 rows.append(dict(r) | {"payload_bytes": length, "payload_digest": digest})
             yield _frame(rows, RECORD)
 
     importable(spark)
     names = [c.split()[0] for c in RECORD.split(", ")]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    pieces = files.mapInPandas(split, PIECE)
-    whole = pieces.filter("origin IS NULL").select(*names)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    pieces = written(files.mapInPandas(split, PIECE), "records")
     joined = (
         pieces.filter("origin IS NOT NULL")
         .groupBy("origin")
@@ -254,19 +355,36 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         )
         .mapInPandas(join, RECORD)
     )
-    return whole.unionByName(joined).withColumn(
-        "payload_digest",
-        F.when(F.col("payload_digest") == F.col("stated_digest"), F.col("payload_digest")).otherwise(
-            F.raise_error(F.concat(F.lit("digest mismatch on page "), F.col("page_id").cast("string")))
-        ),
-    ).drop("stated_digest")
+    whole = pieces.filter("origin IS NULL AND record_type = 'response'").select(*names)
+    responses = written(whole.unionByName(joined), "responses")
+    # Identifiers are unique in sound archives; grouped, a repeated one gives no revisit twice.
+    known = responses.groupBy(F.col("record_id").alias("refers_to_id")).agg(
+        F.min(F.struct("payload_bytes", "payload_digest")).alias("response")
+    )
+    revisits = pieces.filter("record_type = 'revisit'").select(*names).join(known, "refers_to_id", "left")
+    resolved = revisits.withColumns(
+        {
+            "payload_bytes": F.when(F.col("response").isNotNull(), F.col("response.payload_bytes")).otherwise(
+                _stop("no response for revisit ", "record_id").cast("long")
+            ),
+            "payload_digest": F.col("response.payload_digest"),
+        }
+    ).select(*names)
+    agrees = F.col("stated_digest").isNull() | (F.col("payload_digest") == F.col("stated_digest"))
+    checked = F.when(agrees, F.col("payload_digest")).otherwise(_stop("digest mismatch in record ", "record_id"))
+    return responses.unionByName(resolved).withColumn("payload_digest", checked).drop("stated_digest")
+
+
+def _stop(message: str, column: str) -> Column:
+    return F.raise_error(F.concat(F.lit(message), F.coalesce(F.col(column), F.lit("?"))))
 
 
 def round_trip(pages: DataFrame, path: str, segment: int = SEGMENT) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) as archives below ``path`` and reads them back.
 
     Defined results: a null html is an empty payload; a null url an empty target; a null page_id
-    stays null; of repeated rows one is the response and the others revisit it (below the size for
+    stays null; of rows with equal payload and page_id the one of the largest url is the response, of
+    repeated rows any; the others revisit it (below the size for
     revisits, each is a response); an empty table gives no records. Other columns are ignored.
     """
     write(pages, path, segment)

@@ -1,8 +1,11 @@
 """The operators that shuffle or call Python: against brute force, exact round trips, held-out labels."""
 
+import base64
+import gzip
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -147,6 +150,7 @@ def test_archives_come_back_as_written(spark, tmp_path, segment):
         (8, "http://g", "WARC/1.0\r\nWARC-Type: response\r\n\r\n\r\n0\r\n\r\n" * 400),
         (9, "http://h", "z" * 1000),
         (9, "http://h", "z" * 1000),
+        (2**60 + 1, "http://i", "far"),
     ]
     table = spark.createDataFrame([(*p, "x", 1) for p in pages], "page_id long, url string, html string, digest string, row int")
     got = warc.round_trip(table.repartition(3), str(tmp_path / "w"), segment).collect()
@@ -162,14 +166,115 @@ def test_archives_come_back_as_written(spark, tmp_path, segment):
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
 
 
-def test_a_missing_segment_is_noticed(spark, tmp_path):
-    import gzip
-
-    records = warc.records_of(1, "http://a", b"x" * 5000, 0, hashlib.sha1(b"x" * 5000).hexdigest(), None, segment=1000)
-    (tmp_path / "w").mkdir()
-    (tmp_path / "w" / "a.gz").write_bytes(gzip.compress(b"".join(records[:2] + records[3:])))
+def record(block, **fields):
+    """A record as a foreign writer may make it: other case, other order, a folded line."""
+    fields = {"Content-Length": str(len(block)), **{k.replace("_", "-"): v for k, v in fields.items()}}
+    head = "".join(f"{k}:{v}\r\n" for k, v in fields.items())
+    return b"WARC/1.1\r\nsoftware: some\r\n tool\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def stored(folder, **files):
+    folder.mkdir()
+    for name, content in files.items():
+        (folder / name).write_bytes(content)
+    return str(folder)
+
+
+def sha1(data):
+    return hashlib.sha1(data).hexdigest()
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+FOREIGN = [
+    record(b"software: x", WARC_Type="warcinfo", WARC_Record_ID="<urn:uuid:0>"),
+    record(b"GET / HTTP/1.1\r\n\r\n", warc_type="request", WARC_Record_ID="<urn:uuid:1>"),
+    record(
+        HTTP + b"one",
+        warc_type="response",
+        WARC_RECORD_ID="<urn:uuid:2>",
+        WARC_Target_URI="http://a/",
+        WARC_Payload_Digest="sha1:" + base64.b32encode(hashlib.sha1(b"one").digest()).decode(),
+    ),
+    record(b"a. IN A 1.2.3.4", WARC_Type="response", WARC_Record_ID="<urn:uuid:3>", WARC_Payload_Digest="md5:00"),
+    record(
+        HTTP, WARC_Type="revisit", WARC_Record_ID="<urn:uuid:4>", WARC_Refers_To="<urn:uuid:2>", WARC_Payload_Digest=f"sha1:{sha1(b'one')}"
+    ),
+    record(
+        b"HTTP/1.1 200 OK\r\nTransfer-Encoding:chunked\r\n\r\n3;x=y\r\ntwo\r\n0\r\n\r\n", WARC_Type="response", WARC_Record_ID="<urn:uuid:5>"
+    ),
+]
+FOUND = [
+    (None, "response", "<urn:uuid:2>", None, 3, sha1(b"one")),
+    (None, "response", "<urn:uuid:3>", None, 15, sha1(b"a. IN A 1.2.3.4")),
+    (None, "revisit", "<urn:uuid:4>", "<urn:uuid:2>", 3, sha1(b"one")),
+    (None, "response", "<urn:uuid:5>", None, 3, sha1(b"two")),
+]
+
+
+def seen(spark, folder):
+    columns = ("page_id", "record_type", "record_id", "refers_to_id", "payload_bytes", "payload_digest")
+    return Counter(tuple(r[c] for c in columns) for r in warc.read(spark, folder).collect())
+
+
+def test_a_member_per_record_is_written(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "http://a", "p" * i) for i in range(1, 30)], "page_id long, url string, html string")
+    warc.write(pages.coalesce(1), str(tmp_path / "w"))
+    (archive,) = (tmp_path / "w").glob("part-*")
+    whole = archive.read_bytes()
+    members, rest = [], whole
+    while rest:
+        one = zlib.decompressobj(31)
+        members.append(one.decompress(rest))
+        assert one.eof
+        rest = one.unused_data
+    assert len(members) == 29 and all(m.startswith(b"WARC/1.0\r\n") and m.endswith(b"\r\n\r\n") for m in members)
+    assert gzip.decompress(whole) == b"".join(members)
+
+
+def test_foreign_archives(spark, tmp_path):
+    plain = b"".join(FOREIGN)
+    forms = {
+        "members": b"".join(gzip.compress(r) for r in FOREIGN),
+        "one_member": gzip.compress(plain),
+        "cut_anywhere": b"".join(gzip.compress(plain[i : i + 37]) for i in range(0, len(plain), 37)) + bytes(512),
+        "plain": plain + b"\r\n",
+    }
+    for name, content in forms.items():
+        assert seen(spark, stored(tmp_path / name, **{f"{name}.warc": content})) == Counter(FOUND), name
+    spread = {f"{i}.warc.gz": gzip.compress(r) for i, r in enumerate(FOREIGN)}
+    assert seen(spark, stored(tmp_path / "spread", **spread, **{"empty.warc": b""})) == Counter(FOUND)
+    assert seen(spark, stored(tmp_path / "empty", **{"empty.warc.gz": b""})) == Counter()
+
+
+@pytest.mark.parametrize(
+    ("content", "error"),
+    [
+        (gzip.compress(FOREIGN[2]) + gzip.compress(FOREIGN[3])[:-3], "ends within a gzip member"),
+        (FOREIGN[2] + FOREIGN[3][:-9], "ends within the record"),
+        (gzip.compress(FOREIGN[2]) + gzip.compress(FOREIGN[3][:40]), "ends within the record"),
+        (FOREIGN[2] + b"<html>", "no record at byte"),
+        (FOREIGN[2].replace(b"Content-Length:3", b"Content-Length:2"), "does not end where its length says"),
+        (FOREIGN[2].replace(b"\r\none", b"\r\noen"), "digest mismatch in record <urn:uuid:2>"),
+        (FOREIGN[3] + FOREIGN[4], "no response for revisit <urn:uuid:4>"),
+        (FOREIGN[2] + FOREIGN[4].replace(sha1(b"one").encode(), sha1(b"two").encode()), "digest mismatch in record <urn:uuid:4>"),
+    ],
+)
+def test_broken_archives_stop_the_job(spark, tmp_path, content, error):
+    with pytest.raises(Exception, match=error):
+        warc.read(spark, stored(tmp_path / "w", **{"a.warc": content})).collect()
+
+
+@pytest.mark.parametrize("lost", [0, 2, 4])
+def test_a_missing_segment_is_noticed(spark, tmp_path, lost):
+    records = warc.records_of(1, "http://a", b"x" * 5000, "0", sha1(b"x" * 5000), None, segment=1000)
+    left = b"".join(r for n, r in enumerate(records) if n != lost)
     with pytest.raises(Exception, match="segments are missing"):
-        warc.read(spark, str(tmp_path / "w")).collect()
+        warc.read(spark, stored(tmp_path / "w", **{"a.gz": gzip.compress(left)})).collect()
+
+
+def test_no_pages_give_no_records(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.round_trip(none, str(tmp_path / "w")).count() == 0
 
 
 # --- token counts -----------------------------------------------------------------------------
