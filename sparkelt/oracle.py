@@ -251,7 +251,7 @@ _DUPLICATES = (
 _SIX = "(-1, 1, 2, 3, 4, 5, 6)"
 
 
-def _report() -> str:
+def _report(suffix: str = "", gated: str = "gated", metrics: str = "metrics") -> str:
     def rows(model: str, table: str, tests: list[tuple[str, str, str]]) -> list[str]:
         return [
             f"SELECT '{model}' AS model, '{c}' AS column_name, '{k}' AS check_name, "
@@ -270,9 +270,9 @@ def _report() -> str:
             ("ratecode_id_clean", "accepted_values", f"ratecode_id_clean NOT IN {_SIX}"),
             ("payment_id_clean", "accepted_values", f"payment_id_clean NOT IN {_SIX}"),
         ]
-        parts += rows(f"stg_{f}_taxi", f"stg_{f}", tests)
+        parts += rows(f"stg_{f}_taxi", f"stg_{f}{suffix}", tests)
         parts += rows(
-            f"stg_{f}_taxi", f"({_DUPLICATES.format(f'stg_{f}')})", [("trip_id", "unique", "TRUE")]
+            f"stg_{f}_taxi", f"({_DUPLICATES.format(f'stg_{f}{suffix}')})", [("trip_id", "unique", "TRUE")]
         )
     tests = [(c, "positive", f"{c} <= 0 OR {c} IS NULL") for c in ("passenger_count", "trip_distance")]
     for c in [*_AMOUNTS, "ehail_fee", "airport_fee", "total_amount"]:
@@ -281,7 +281,7 @@ def _report() -> str:
         ("trip_type", "accepted_values", "trip_type NOT IN (1, 2)"),
         ("taxi_type", "accepted_values", "taxi_type NOT IN ('green', 'yellow')"),
     ]
-    parts += rows("int_both_taxi", "gated", tests)
+    parts += rows("int_both_taxi", gated, tests)
     links = {
         "pu_location_id": "location_id",
         "do_location_id": "location_id",
@@ -292,9 +292,9 @@ def _report() -> str:
     }
     parts += rows(
         "fact_trip",
-        "metrics",
+        metrics,
         [
-            (c, "relationships", f"{c} NOT IN (SELECT {k} FROM ({_dim(k, 'metrics')}))")
+            (c, "relationships", f"{c} NOT IN (SELECT {k} FROM ({_dim(k, metrics)}))")
             for c, k in links.items()
         ],
     )
@@ -494,6 +494,13 @@ def oracle_sql() -> dict[str, str]:
         "dq_duplicate_keys": q(_DUPLICATES.format("named_yellow")),
         "dq_orphan_rows": q("SELECT * FROM named_yellow WHERE pu_location_id > 200"),
         "dq_report": q(_report(), f"{every}, {metrics}"),
+        "dq_report_counted": q(
+            f"SELECT 1 AS batch, * FROM ({_report('_1', 'gated_1', 'metrics_1')}) "
+            f"UNION ALL SELECT 2 AS batch, * FROM ({_report('', 'both_runs', 'metrics')})",
+            f"{every}, {_ctes('one', '_1')}, {_ctes('two', '_2')}, both_runs AS (SELECT * FROM gated_1 ANTI JOIN gated_2 "
+            "USING (trip_id) UNION ALL BY NAME SELECT * FROM gated_2), "
+            f"metrics AS ({_metrics('both_runs')}), metrics_1 AS ({_metrics('gated_1')})",
+        ),
         "model_counts": q(
             " UNION ALL ".join(
                 [f"SELECT 'stg_{f}_taxi' AS model, count(*) AS row_count FROM stg_{f}" for f in _FEE]

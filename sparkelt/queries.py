@@ -234,6 +234,15 @@ def _dq_report(spark: SparkSession, d: str) -> DataFrame:
     return P.run_pipeline(wh, {f.name: raw_feed(spark, d, f) for f in S.FEEDS.values()})
 
 
+def _dq_report_counted(spark: SparkSession, d: str) -> DataFrame:
+    """The reports after two batches; the second counts what the second run wrote and sums."""
+    wh = Warehouse(spark, scratch_dir(spark, "counted"))
+    raw = {f.name: raw_feed(spark, d, f) for f in S.FEEDS.values()}
+    first = P.run_pipeline(wh, {name: first_batch(df) for name, df in raw.items()})
+    second = P.run_pipeline(wh, raw)
+    return first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
+
+
 # --- codecs -----------------------------------------------------------------------------------
 
 
@@ -466,6 +475,7 @@ def queries() -> dict[str, Query]:
         "dq_duplicate_keys": _dq_rows("unique", "trip_id"),
         "dq_orphan_rows": _dq_rows("relationships", *links[0][:1], (), *links[0][1:]),
         "dq_report": _dq_report,
+        "dq_report_counted": _dq_report_counted,
         "model_counts": lambda s, d: P.table_counts(_built(s, d)),
         "normalize_payload": _normalize,
         "encode_json": _encode_json,
