@@ -230,8 +230,7 @@ def _built(spark: SparkSession, d: str) -> Warehouse:
 
 
 def _dq_report(spark: SparkSession, d: str) -> DataFrame:
-    wh = Warehouse(spark, scratch_dir(spark, "models"))
-    return P.run_pipeline(wh, {f.name: raw_feed(spark, d, f) for f in S.FEEDS.values()})
+    return run_checks(P.tables(_built(spark, d)), P.CHECKS)
 
 
 def _dq_report_counted(spark: SparkSession, d: str) -> DataFrame:
