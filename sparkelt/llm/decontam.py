@@ -143,7 +143,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
     The item windows come from the benchmark, never from the corpus. Their number is counted; a
     small set is broadcast, a large one joins by shuffle. Only hits are shuffled after that, by
     document row. Defined results: null or empty texts hold nothing; a null doc_id stays; repeated
-    rows are matched each; empty tables give an empty table; other columns are ignored.
+    rows are matched each; benchmark rows of equal item_id, null included, are one item in several versions:
+    a place counts once, whichever version's window stands there, and coverage is of the longest
+    version of which the text holds a window;
+    empty tables give an empty table; other columns are ignored.
     """
     items = item_windows(benchmark, size).persist()
     try:

@@ -223,6 +223,19 @@ def test_items_of_many_slots_and_few_words_are_found(docs_of, spark):
     assert found == {(10 * n + k, n, True) for n in range(4) for k in range(3)} | {(100, 0, False)}
 
 
+@pytest.mark.parametrize("item_id", [7, None])
+def test_rows_of_one_item_id_are_versions_of_one_item(docs_of, spark, item_id):
+    short = "the grey heron stands for hours beside the reeds of our slow river"
+    long = "nobody in the village knew why every clock had stopped on that windless morning in late autumn"
+    bench = spark.createDataFrame([(item_id, short), (item_id, long), (item_id, short)], "item_id long, text string")
+    places = {t: len(t.split()) - 7 for t in (short, long)}
+    rows = [(1, short), (2, long), (3, f"{long} {short}"), (4, " ".join(long.split()[:9]))]
+    found = decontam.matches(docs_of(rows), bench).collect()
+    got = {r.doc_id: (r.item_id, r.n_windows, r.coverage) for r in found}
+    assert len(found) == len(got)
+    assert got == {1: (item_id, places[short], 1.0), 2: (item_id, places[long], 1.0), 3: (item_id, places[long], 1.0)}
+
+
 @pytest.mark.parametrize("looked_up, broadcast", [(0, 10**6), (0, 0)])
 def test_large_benchmarks_give_the_same_rows(docs_of, benchmark, monkeypatch, looked_up, broadcast):
     monkeypatch.setattr(decontam, "LOOKED_UP_WINDOWS", looked_up)
