@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -55,17 +56,64 @@ def encode_avro(record: Column, avro_json: str) -> Column:
 # --- frames by writer schema ------------------------------------------------------------------
 
 
+#: Writer and reader types between which a value may be read. Fixed values.
+PROMOTIONS = {
+    "int": ("bigint", "float", "double"),
+    "bigint": ("float", "double"),
+    "float": ("double",),
+    "string": ("binary",),
+    "binary": ("string",),
+}
+
+
+def resolved(
+    record: Column,
+    writer: T.StructType,
+    reader: T.StructType,
+    defaults: Mapping[str, object] | None = None,
+    aliases: Mapping[str, Sequence[str]] | None = None,
+) -> Column:
+    """A writer's record as the reader's struct.
+
+    Fields meet by name, else by the reader's ``aliases``, its names of earlier versions. A field
+    that the writer lacks takes its default; a NULL that the writer did write stays. Fields that the
+    reader lacks go, and narrower types are promoted. A field without writer and default, or a type
+    that does not promote, is a ValueError when the plan is made, not when a message comes. A NULL
+    record stays NULL.
+    """
+    defaults, aliases = defaults or {}, aliases or {}
+    out = []
+    for field in reader.fields:
+        found = next((n for n in (field.name, *aliases.get(field.name, ())) if n in writer.names), None)
+        target = field.dataType.simpleString()
+        if found is None:
+            if field.name not in defaults:
+                raise ValueError(f"{field.name!r} is not written and has no default")
+            out.append(F.lit(defaults[field.name]).cast(field.dataType).alias(field.name))
+            continue
+        source = writer[found].dataType.simpleString()
+        if source != target and target not in PROMOTIONS.get(source, ()):
+            raise ValueError(f"{field.name!r} is written as {source} and cannot be read as {target}")
+        out.append(record[found].cast(field.dataType).alias(field.name))
+    return F.when(record.isNotNull(), F.struct(*out))
+
+
 def decode_by_schema_id(
     df: DataFrame,
     schemas: dict[int, str | T.StructType],
     value: str = "value",
     mode: str = "FAILFAST",
+    reader: T.StructType | None = None,
+    defaults: Mapping[str, object] | None = None,
+    aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Decode frames by the writer schema each one names; columns are the union over all schemas.
+    """Decode frames by the writer schema each one names.
 
-    A schema is a struct type for JSON bodies, or an Avro schema as text for Avro bodies. The input
-    is read once: each decoder gets the body of its own frames and NULL for the others. A frame with
-    an unknown id is an error, or an all-NULL record in PERMISSIVE mode.
+    Columns are those of ``reader``, to which every writer's records are resolved (see ``resolved``),
+    or without one the union over all schemas. A schema is a struct type for JSON bodies, or an Avro
+    schema as text for Avro bodies. The input is read once: each decoder gets the body of its own
+    frames and NULL for the others. A frame with an unknown id is an error, or an all-NULL record in
+    PERMISSIVE mode.
     """
     sid = frame_schema_id(value)
     nothing = F.lit(None).cast("binary")
@@ -86,6 +134,10 @@ def decode_by_schema_id(
 
     records = {f"_r{i}": decoded(i, schema) for i, schema in schemas.items()}
     out = df.withColumns({"schema_id": sid, **records})
+    if reader is not None:
+        one = [resolved(F.col(r), out.schema[r].dataType, reader, defaults, aliases) for r in records]
+        whole = out.withColumn("_record", F.coalesce(*one)).drop(*records)
+        return whole.withColumns({n: F.col("_record")[n] for n in reader.names}).drop("_record")
     fields: dict[str, list[Column]] = {}
     for i, schema in schemas.items():
         for name in names(schema):

@@ -26,6 +26,44 @@ def merge_into(updates: DataFrame, table: str, key: str) -> None:
     merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
+#: Bits of a word of a key bitmap, and the most words that are sent to every task (8 MB).
+WORD_BITS = 1 << 15
+BITMAP_WORDS = 2048
+
+
+def key_bitmap(parent: DataFrame, pk: str) -> DataFrame:
+    """word, bits: the non-NULL integer keys of a table, one bit each, in words of 4 KB.
+
+    Bitmaps are merged on the map side, so a task sends one row per word, however many rows it has.
+    """
+    key = F.col(pk).cast("long")
+    placed = parent.filter(key.isNotNull()).select(
+        F.shiftright(key, 15).alias("word"), key.bitwiseAND(F.lit(WORD_BITS - 1)).alias("bit")
+    )
+    return placed.groupBy("word").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def orphans_by_bitmap(
+    child: DataFrame, fk: str, parent: DataFrame, pk: str, most_words: int = BITMAP_WORDS
+) -> DataFrame:
+    """As ``orphans`` for integer keys, the child being scanned once and not shuffled.
+
+    Every key has a bit of its own, so what the bitmap says is exact. Its words are counted first:
+    keys that lie so far apart that they take more than ``most_words`` go the way of ``orphans``.
+    """
+    words = key_bitmap(parent, pk)
+    if words.limit(most_words + 1).count() > most_words:
+        return orphans(child, fk, parent, pk).select(*child.columns)
+    key = F.col(f"_child.{fk}").cast("long")
+    found = child.filter(F.col(fk).isNotNull()).alias("_child").join(
+        F.broadcast(words.alias("_known")), F.shiftright(key, 15) == F.col("_known.word"), "left"
+    )
+    bit = key.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_known.bits"), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10)
+    known = F.coalesce(F.getbit(byte.cast("long"), bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return found.filter(~known).select("_child.*")
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent.
 

@@ -352,6 +352,17 @@ FROM (SELECT trip_id, kind,
       FROM (SELECT trip_id, left(trip_id, 1) AS kind, {_json(feed)} AS body FROM ({_wire(feed)})))"""
 
 
+def _evolved(feed: str) -> str:
+    """Messages whose version goes by the drop-off zone; the first one lacks two surcharges."""
+    first = '"DOLocationID" % 3 = 0'
+    return f"""
+SELECT * EXCLUDE (loaded_at) REPLACE (
+         CASE WHEN {first} THEN 0 ELSE congestion_surcharge END AS congestion_surcharge,
+         CASE WHEN {first} THEN NULL ELSE improvement_surcharge END AS improvement_surcharge),
+       CAST(201 + "DOLocationID" % 3 AS INTEGER) AS schema_id
+FROM ({_wire(feed)})"""
+
+
 def _two_drops(feed: str) -> str:
     """Newest version of each trip where load times are those of the drop that brought it."""
     return f"""
@@ -493,6 +504,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_violating_rows": q("SELECT * FROM named_yellow WHERE trip_distance <= 0 OR trip_distance IS NULL"),
         "dq_duplicate_keys": q(_DUPLICATES.format("named_yellow")),
         "dq_orphan_rows": q("SELECT * FROM named_yellow WHERE pu_location_id > 200"),
+        "dq_orphan_rows_bitmap": q(_each(lambda f: f"SELECT * FROM named_{f} WHERE pu_location_id > 200")),
         "dq_report": q(_report(), f"{every}, {metrics}"),
         "dq_report_counted": q(
             f"SELECT 1 AS batch, * FROM ({_report('_1', 'gated_1', 'metrics_1')}) "
@@ -530,12 +542,18 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL BY NAME "
             f"SELECT 102 AS schema_id, * EXCLUDE (trip_id, loaded_at) FROM ({_wire('yellow')})"
         ),
+        "decode_evolved": q(_each(_evolved)),
         "stream_ingest_green": q("SELECT * EXCLUDE (loaded_at) FROM raw_green"),
         "stream_ingest_yellow": q("SELECT * EXCLUDE (loaded_at) FROM raw_yellow"),
         "stream_resume": q("SELECT * EXCLUDE (loaded_at) FROM raw_yellow"),
         "stream_compaction": q(_each(lambda f: f"SELECT * EXCLUDE (loaded_at) FROM raw_{f}")),
         "stream_dead_letters": q(_each(_letters)),
         "stream_timer": q(_each(lambda f: f"SELECT * EXCLUDE (loaded_at) FROM raw_{f}")),
+        "stream_staging": q(_each(lambda f: f"SELECT * FROM stg_{f}")),
+        "stream_dims": q(
+            "SELECT * FROM dims_1 ANTI JOIN dims_2 USING (dim, member) UNION ALL SELECT * FROM dims_2",
+            two_dims,
+        ),
         "stream_json_sink": q(f"SELECT * EXCLUDE (trip_id, loaded_at) FROM ({_wire('green')})"),
     }
     return out

@@ -35,6 +35,8 @@ class Model:
     settle: Callable[[DataFrame], DataFrame] = _same
     finish: Callable[[DataFrame], DataFrame] = _same
     spread: bool = False  # regroup rows by partition before a first write
+    rowwise: bool = False  # maps each row of its one input to one of its own, units and all
+    group: str = ""  # models of a group run together, from one pass over their input
 
     @property
     def name(self) -> str:

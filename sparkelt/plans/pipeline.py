@@ -14,6 +14,7 @@ from sparkelt.operators.filters import since_marks
 from sparkelt.operators.quality import CheckSpec
 from sparkelt.plans import counters
 from sparkelt.plans import models as M
+from sparkelt.plans.graph import run_in_order, with_upstream
 from sparkelt.plans.incremental import (
     Model,
     RunResult,
@@ -52,7 +53,7 @@ def _dim_model(dim: M.Dimension) -> Model:
     block = lambda: F.expr(f"{dim.key} div {KEYS_PER_BLOCK}")
     order = lambda: [F.col(dim.key)]
     table = TableSpec("mart", dim.name, dim.schema, dim.key, KEY_BLOCK, block, order)
-    return Model(table, {"int_metrics_added": None}, lambda metrics: M.dim_table(metrics, dim), spread=True)
+    return Model(table, {"int_metrics_added": None}, lambda metrics: M.dim_table(metrics, dim), spread=True, group="dims")
 
 
 STAGING = {feed.name: _staging_model(feed) for feed in S.FEEDS.values()}
@@ -65,6 +66,7 @@ INT_METRICS = Model(
     _trip_table("intermediate", "int_metrics_added", S.INT_METRICS_SCHEMA),
     {"int_both_taxi": None},
     M.int_metrics_added,
+    rowwise=True,
 )
 FACT = Model(
     _trip_table(
@@ -72,10 +74,10 @@ FACT = Model(
     ),
     {"int_metrics_added": None},
     M.fact_trip,
+    rowwise=True,
 )
 DIMS = {d.name: _dim_model(d) for d in M.DIMENSIONS.values()}
 
-# In dependency order.
 MODELS = {m.name: m for m in (*STAGING.values(), INT_BOTH, INT_METRICS, FACT, *DIMS.values())}
 
 
@@ -133,48 +135,70 @@ CHECKS = [
 # --- runs -------------------------------------------------------------------------------------
 
 
+def reads(models: Mapping[str, Model]) -> dict[str, set[str]]:
+    """Node -> nodes that it reads. A node is a model, or a group of them by its name."""
+    feeds = {f"raw_{f}" for f in S.FEEDS}
+    out: dict[str, set[str]] = {}
+    for name, model in models.items():
+        known = {models[i].group or i for i in model.inputs if i in models}
+        if unknown := set(model.inputs) - set(models) - feeds:
+            raise ValueError(f"{name} reads {sorted(unknown)}, neither models nor raw feeds")
+        out.setdefault(model.group or name, set()).update(known)
+    return out
+
+
 def run_models(
     wh: Warehouse,
     raw: Mapping[str, DataFrame] | None = None,
     full_refresh: bool = False,
     only: Iterable[str] | None = None,
+    models: Mapping[str, Model] = MODELS,
 ) -> dict[str, RunResult]:
-    """Run every model once. ``raw`` replaces the warehouse's own raw tables, by feed name.
+    """Run every model once, in the order that their inputs give.
 
-    ``only`` restricts the run to the named models and what they are computed from. Independent
-    models run side by side on the same session.
+    ``raw`` replaces the warehouse's own raw tables, by feed name. ``only`` restricts the run to the
+    named models, those of their groups, and what they are computed from. Independent models run
+    side by side on the same session.
     """
-    wanted = set(MODELS if only is None else only)
+    graph = reads(models)
+    wanted = with_upstream(graph, {models[n].group or n for n in (models if only is None else only)})
 
-    def stage(feed: S.FeedSpec) -> RunResult:
-        model = STAGING[feed.name]
-        if raw is not None:
-            source = raw[feed.name]
-        else:
-            marks = None if full_refresh else current_marks(wh, model)
-            source = wh.read_raw(feed, marks and marks[feed.name])
-        return run_model(wh, model, {f"raw_{feed.name}": source}, full_refresh=full_refresh)
+    def job(node: str, before: dict[str, dict[str, RunResult]]) -> dict[str, RunResult]:
+        done = {name: result for results in before.values() for name, result in results.items()}
+        if node not in models:
+            return GROUPS[node](wh, done, full_refresh)
+        model = models[node]
+        if model.rowwise:
+            (upstream,) = model.inputs
+            return {node: _follow(wh, model, models[upstream], done[upstream], full_refresh)}
+        return {node: _run(wh, model, models, done, raw, full_refresh)}
 
-    done = {r.model: r for r in _side_by_side([lambda f=f: stage(f) for f in S.FEEDS.values()])}
+    done = run_in_order({n: graph[n] for n in graph if n in wanted}, job)
+    results = {name: result for part in done.values() for name, result in part.items()}
+    return {name: results[name] for name in models if name in results}
 
-    staged = {name: done[name] for name in INT_BOTH.inputs}
-    own = current_marks(wh, INT_BOTH)
+
+def _run(
+    wh: Warehouse,
+    model: Model,
+    models: Mapping[str, Model],
+    done: Mapping[str, RunResult],
+    raw: Mapping[str, DataFrame] | None,
+    full_refresh: bool,
+) -> RunResult:
+    """A model from what its inputs have that is new to it."""
+    own = None if full_refresh else current_marks(wh, model)
     inputs, complete = {}, {}
-    for name, feed in INT_BOTH.inputs.items():
-        inputs[name] = _changed(wh, MODELS[name], staged[name], own, (feed,))
-        complete[feed] = staged[name].after[feed]
-    both = done["int_both_taxi"] = run_model(wh, INT_BOTH, inputs, complete, full_refresh)
-
-    if wanted & {INT_METRICS.name, FACT.name, *DIMS}:
-        metrics = done["int_metrics_added"] = _follow(wh, INT_METRICS, INT_BOTH, both, full_refresh)
-        groups = []
-        if FACT.name in wanted:
-            groups.append(lambda: [_follow(wh, FACT, INT_METRICS, metrics, full_refresh)])
-        if wanted & set(DIMS):
-            groups.append(lambda: _run_dims(wh, metrics, full_refresh))
-        for group in _side_by_side(groups):
-            done |= {r.model: r for r in group}
-    return {name: done[name] for name in MODELS if name in done}
+    for name, feed in model.inputs.items():
+        if name in models:
+            feeds = models[name].feeds if feed is None else (feed,)
+            inputs[name] = _changed(wh, models[name], done[name], own, feeds)
+            complete |= {f: done[name].after[f] for f in feeds}
+        elif raw is not None:
+            inputs[name] = raw[feed]
+        else:
+            inputs[name] = wh.read_raw(S.FEEDS[feed], own and own[feed])
+    return run_model(wh, model, inputs, complete or None, full_refresh)
 
 
 def _follow(wh: Warehouse, model: Model, upstream: Model, done: RunResult, full_refresh: bool) -> RunResult:
@@ -182,8 +206,12 @@ def _follow(wh: Warehouse, model: Model, upstream: Model, done: RunResult, full_
     return mirror(wh, model, upstream, done, None if full_refresh else current_marks(wh, model))
 
 
-def _run_dims(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[RunResult]:
+def _run_dims(wh: Warehouse, done: Mapping[str, RunResult], full_refresh: bool) -> dict[str, RunResult]:
     """The five dimensions from one scan of the new trips, unless their marks have drifted apart."""
+    return {r.model: r for r in _dims_after(wh, done[INT_METRICS.name], full_refresh)}
+
+
+def _dims_after(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[RunResult]:
     marks = {d: None if full_refresh else current_marks(wh, m) for d, m in DIMS.items()}
     states = list(marks.values())
     before = states[0]
@@ -211,6 +239,10 @@ def _run_dims(wh: Warehouse, metrics: RunResult, full_refresh: bool) -> list[Run
         members.unpersist()
 
 
+#: How the models of a group are run, given the results of what they read.
+GROUPS = {"dims": _run_dims}
+
+
 def _changed(
     wh: Warehouse, model: Model, result: RunResult, reader: MarkDict | None, feeds: Iterable[str]
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkelt import schemas as S
 from sparkelt.fixtures import first_batch, raw_feed, raw_from_lineitem, second_batch
@@ -15,6 +16,7 @@ from sparkelt.functions.wire import (
     decode_by_schema_id,
     encode_json,
     extract_payload,
+    frame,
     frame_body,
     frame_schema_id,
     normalize_payload,
@@ -23,7 +25,7 @@ from sparkelt.operators.dedup import dedup_latest
 from sparkelt.operators.filters import drop_invalid, since
 from sparkelt.operators.profile import profile
 from sparkelt.operators.quality import CheckSpec, run_checks, violations
-from sparkelt.operators.upsert import upsert
+from sparkelt.operators.upsert import orphans_by_bitmap, upsert
 from sparkelt.plans import models as M
 from sparkelt.plans import pipeline as P
 from sparkelt.plans.incremental import run_model, watermark
@@ -33,6 +35,7 @@ from sparkelt.sources.warehouse import Warehouse
 from sparkelt.streaming.ingest import DEAD_LETTER, UNTIL_DRAINED, start_ingest
 from sparkelt.streaming.publish import event_ordered, to_messages
 from sparkelt.streaming.sinks import dead_letter_sink, parquet_batch_sink, read_dead_letters, start_file_sink
+from sparkelt.streaming.state import start_dims, start_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,7 +141,11 @@ def _slow_feed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _two_runs_of_dims(spark: SparkSession, d: str) -> DataFrame:
-    wh = _two_runs(spark, d, list(P.DIMS))
+    return _members_of(_two_runs(spark, d, list(P.DIMS)))
+
+
+def _members_of(wh: Warehouse) -> DataFrame:
+    """All dimensions in one shape."""
     out = None
     for dim in M.DIMENSIONS.values():
         one = wh.read(P.DIMS[dim.name].table).select(
@@ -209,6 +216,15 @@ def _dq_rows(*spec) -> Query:
     return run
 
 
+def _orphans_by_bitmap(spark: SparkSession, d: str) -> DataFrame:
+    def missing(feed: S.FeedSpec) -> DataFrame:
+        renamed = [F.col(old).alias(new) for new, old in feed.staged_columns.items()]
+        trips = raw_feed(spark, d, feed).select(*renamed)
+        return orphans_by_bitmap(trips, "pu_location_id", _short_parents(trips)["dim_location"], "location_id")
+
+    return _both_feeds(missing)
+
+
 _CODES = (S.UNKNOWN_CODE, *S.CLEAN_CODES)
 _PRESENT = (
     "trip_id",
@@ -278,6 +294,44 @@ def _decode_by_schema_id(spark: SparkSession, d: str) -> DataFrame:
     return decode_by_schema_id(green.unionByName(yellow), schemas).drop("value")
 
 
+#: Three versions of a feed's messages: fields that are left out, read as int, renamed, and added.
+_VERSIONS = {
+    201: (("congestion_surcharge", "improvement_surcharge"), ("passenger_count",), {}, ()),
+    202: ((), ("RatecodeID", "payment_type"), {"fare_amount": "fare"}, ("note",)),
+    203: ((), (), {}, ()),
+}
+
+
+def _written(feed: S.FeedSpec, version: int) -> T.StructType:
+    """The writer's schema of a version."""
+    left_out, narrow, renamed, added = _VERSIONS[version]
+    fields = [f for f in feed.wire_schema.fields if f.name not in left_out]
+    kinds = {n: T.IntegerType() for n in narrow}
+    own = [T.StructField(renamed.get(f.name, f.name), kinds.get(f.name, f.dataType)) for f in fields]
+    return T.StructType([*own, *[T.StructField(n, T.StringType()) for n in added]])
+
+
+def _decode_evolved(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of three schema versions, by drop-off zone, read by the feed's schema of today."""
+
+    def read(feed: S.FeedSpec) -> DataFrame:
+        messages = None
+        wire = normalize_payload(raw_feed(spark, d, feed), feed, keep=("trip_id",))
+        for rest, version in enumerate(_VERSIONS):
+            _, _, renamed, _ = _VERSIONS[version]
+            rows = wire.filter(f"DOLocationID % 3 = {rest}").withColumn("note", F.lit("x")).withColumnsRenamed(renamed)
+            body = encode_json(_written(feed, version).names).cast("binary")
+            one = rows.select("trip_id", frame(body, version).alias("value"))
+            messages = one if messages is None else messages.unionByName(one)
+        schemas = {v: _written(feed, v) for v in _VERSIONS}
+        defaults = {"congestion_surcharge": 0.0, "improvement_surcharge": None}
+        return decode_by_schema_id(
+            messages, schemas, reader=feed.wire_schema, defaults=defaults, aliases={"fare_amount": ["fare"]}
+        ).drop("value")
+
+    return _both_feeds(read)
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
@@ -412,6 +466,54 @@ def _stream_timer(spark: SparkSession, d: str) -> DataFrame:
     return _both_feeds(raw)
 
 
+def _drops(spark: SparkSession, raw: DataFrame, drop: str, parts: list, take: Callable) -> None:
+    """Writes a part of the rows after the other into a folder; a new query over it takes each."""
+    for part in parts:
+        rows = part(raw)
+        rows.write.mode("append").parquet(drop)
+        take(stream_parquet(spark, drop, rows.schema)).awaitTermination()
+
+
+def _stream_staging(spark: SparkSession, d: str) -> DataFrame:
+    """Both staging tables kept by streams. Rows come by half a month of pickup, but those loaded in the
+    second half of the day half a month later, with a restart of the query after each drop."""
+    wh = Warehouse(spark, scratch_dir(spark, "stream-staging"))
+    days = [f"TIMESTAMP_NTZ'2024-{day} 00:00:00'" for day in ("01-01", "01-17", "02-01", "02-11")]
+
+    def staged(feed: S.FeedSpec) -> DataFrame:
+        def part(n: int) -> Callable[[DataFrame], DataFrame]:
+            def due(rows: DataFrame, n: int) -> DataFrame:
+                inside = f"{feed.pickup} >= {days[n]} AND {feed.pickup} < {days[n + 1]}"
+                return rows.filter(inside if n >= 0 else "FALSE")
+
+            return lambda raw: due(first_batch(raw), n).unionByName(due(second_batch(raw), n - 1))
+
+        def take(rows: DataFrame):
+            return start_staging(rows, feed, wh, f"{wh.root}/_checkpoints/{feed.name}", "16 days", UNTIL_DRAINED)
+
+        drop = f"{wh.root}/_drops/{feed.name}"
+        _drops(spark, raw_feed(spark, d, feed), drop, [part(n) for n in range(3)], take)
+        return wh.read(P.STAGING[feed.name].table)
+
+    return _both_feeds(staged)
+
+
+def _stream_dims(spark: SparkSession, d: str) -> DataFrame:
+    """The dimensions kept by a stream of the trips of two batches, with a restart in between."""
+    wh = Warehouse(spark, scratch_dir(spark, "stream-dims"))
+
+    def trips(part: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        green, yellow = (M.stg_taxi(part(raw_feed(spark, d, f)), f) for f in (S.GREEN, S.YELLOW))
+        return M.int_metrics_added(M.int_both_taxi(green, yellow))
+
+    def take(rows: DataFrame):
+        return start_dims(rows, wh, f"{wh.root}/_checkpoints/dims", trigger=UNTIL_DRAINED)
+
+    batches = [lambda _: trips(first_batch), lambda _: trips(second_batch)]
+    _drops(spark, None, f"{wh.root}/_drops", batches, take)
+    return _members_of(wh)
+
+
 def _stream_json_sink(spark: SparkSession, d: str) -> DataFrame:
     feed, root = S.GREEN, scratch_dir(spark, "json")
     messages = _message_stream(spark, d, feed, "json")
@@ -473,6 +575,7 @@ def queries() -> dict[str, Query]:
         "dq_violating_rows": _dq_rows("positive", "trip_distance"),
         "dq_duplicate_keys": _dq_rows("unique", "trip_id"),
         "dq_orphan_rows": _dq_rows("relationships", *links[0][:1], (), *links[0][1:]),
+        "dq_orphan_rows_bitmap": _orphans_by_bitmap,
         "dq_report": _dq_report,
         "dq_report_counted": _dq_report_counted,
         "model_counts": lambda s, d: P.table_counts(_built(s, d)),
@@ -481,6 +584,7 @@ def queries() -> dict[str, Query]:
         "decode_json": _round_trip("json"),
         "decode_frame": _decode_frame,
         "decode_by_schema_id": _decode_by_schema_id,
+        "decode_evolved": _decode_evolved,
         "stream_ingest_green": _stream_ingest(S.GREEN, "framed_json"),
         "stream_ingest_yellow": _stream_ingest(S.YELLOW, "framed_json"),
         "stream_resume": _stream_resume,
@@ -488,6 +592,8 @@ def queries() -> dict[str, Query]:
         "stream_compaction": _stream_compaction,
         "stream_dead_letters": _dead_letters,
         "stream_timer": _stream_timer,
+        "stream_staging": _stream_staging,
+        "stream_dims": _stream_dims,
     }
     return out
 

@@ -101,3 +101,21 @@ def test_decode_by_schema_id(spark, trip_row):
         W.decode_by_schema_id(v1, {2: S.GREEN.wire_schema}).collect()
     lax = W.decode_by_schema_id(v1, {2: S.GREEN.wire_schema}, mode="PERMISSIVE")
     assert lax.first()["VendorID"] is None
+
+
+def test_records_are_resolved_to_the_readers_schema(spark):
+    old = T.StructType.fromDDL("a int, b string, gone string")
+    new = T.StructType.fromDDL("a long, bb string, c double, d string")
+    bodies = [(1, '{"a": 1, "b": "x", "gone": "y"}'), (1, '{"a": null, "b": null}'), (2, '{"a": 5, "bb": "z", "c": null, "d": "w"}')]
+    messages = spark.createDataFrame(bodies, "id int, body string").select(
+        F.concat(F.unhex(F.format_string("00%08X", "id")), F.col("body").cast("binary")).alias("value")
+    )
+    rules = {"reader": new, "defaults": {"c": 1.5, "d": None}, "aliases": {"bb": ["b"]}}
+    got = W.decode_by_schema_id(messages, {1: old, 2: new}, **rules).drop("value")
+    assert got.schema["a"].dataType == T.LongType() and got.columns == ["schema_id", "a", "bb", "c", "d"]
+    assert [tuple(r) for r in got.collect()] == [(1, 1, "x", 1.5, None), (1, None, None, 1.5, None), (2, 5, "z", None, "w")]
+    with pytest.raises(ValueError, match="'c' is not written"):
+        W.decode_by_schema_id(messages, {1: old, 2: new}, reader=new, aliases={"bb": ["b"]})
+    narrow = T.StructType.fromDDL("a int")
+    with pytest.raises(ValueError, match="bigint and cannot be read as int"):
+        W.decode_by_schema_id(messages, {1: old, 2: new}, reader=narrow)
