@@ -5,16 +5,19 @@ Within a leaf, the values of each position are counted over the texts: a value t
 stays literal, any other is a variable field. A line's template is what stays literal of it. All
 lines of a recurring template go, but for those of the text that holds it first, so nothing is lost
 from the corpus. Most lines are alone in their leaf; a bitmap of fixed size tells which are not, and
-only those are taken apart.
+only those move: once, to their leaf, where a task counts values and templates of many leaves at a
+time. Leaves too large for a task are counted by shuffles instead, value by value, by the same rules.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,12 @@ BITS = 1 << 26
 _WORD = 1 << 15
 LINES_AT_ONCE = 200_000
 TEXTS_AT_ONCE = 256
+#: Tokens that a task takes in at once, and the most that the lines of one leaf may have for that.
+TOKENS_AT_ONCE = 1 << 20
+LEAF_TOKENS = 1 << 22
+#: Tokens whose hashes are remembered while texts are read, none longer than so many characters.
+TOKENS_KNOWN = 1 << 18
+TOKEN_CHARS = 64
 
 
 # --- parsing --------------------------------------------------------------------------------------
@@ -78,30 +87,43 @@ def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield passed_on()
 
 
-PLACE = pa.struct(
-    [("at", pa.int32()), ("leaf", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int32()))]
-)
-PLACED = "a long, b long, doc_id long, places array<struct<at:int,leaf:long,line:long,tokens:array<int>>>"
+class _Hashes(dict):
+    """32-bit hashes of tokens (fields: zero), many of them remembered."""
 
+    def __missing__(self, token: str) -> int:
+        h = 0 if FIELD.search(token) else xxhash.xxh32_intdigest(token) >> 1 or 1
+        if len(token) <= TOKEN_CHARS:
+            if len(self) >= TOKENS_KNOWN:
+                self.clear()
+            self[token] = h
+        return h
 
-def _places(bitmap: np.ndarray):
-    """Lines of leaves on the bitmap, text by text, with 32-bit hashes of their tokens (fields: zero)."""
+
+LINE = "leaf long, line long, a long, b long, doc_id long, at int, tokens "
+
+
+def _lines_of(bitmap: np.ndarray, packed: bool):
+    """A row per line of the leaves on the bitmap, with the hashes of its tokens, packed or as an array."""
+    kind = pa.binary() if packed else pa.list_(pa.int32())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, known = bitmap.tobytes(), _Hashes()
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(start, TEXTS_AT_ONCE)
-                found = []
-                for text in part.column("text").to_pylist():
-                    places = []
+                found: list[tuple] = []
+                for n, text in enumerate(part.column("text").to_pylist()):
                     for at, leaf, tokens in _routed(text):
                         bit = leaf % BITS
-                        if bitmap[bit >> 3] >> (bit & 7) & 1:
-                            hashes = [0 if FIELD.search(t) else xxhash.xxh32_intdigest(t) >> 1 or 1 for t in tokens]
-                            places.append({"at": at, "leaf": leaf, "line": _hash(" ".join(tokens)), "tokens": hashes})
-                    found.append(places)
-                columns = [part.column(c) for c in ("a", "b", "doc_id")] + [pa.array(found, pa.list_(PLACE))]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "doc_id", "places"])
+                        if bits[bit >> 3] >> (bit & 7) & 1:
+                            hashes = array("I", map(known.__getitem__, tokens))
+                            found.append((n, at, leaf, _hash(" ".join(tokens)), hashes.tobytes() if packed else hashes.tolist()))
+                if found:
+                    owner, at, leaf, line, tokens = zip(*found)
+                    own = part.take(pa.array(owner))
+                    columns = [pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), *[own.column(c) for c in ("a", "b", "doc_id")]]
+                    columns += [pa.array(at, pa.int32()), pa.array(tokens, kind)]
+                    yield pa.RecordBatch.from_arrays(columns, ["leaf", "line", "a", "b", "doc_id", "at", "tokens"])
 
     return read
 
@@ -112,11 +134,20 @@ def _words(hashes: DataFrame, column: str) -> DataFrame:
     return hashes.groupBy((bit / _WORD).cast("int").alias("w")).agg(F.bitmap_construct_agg((bit % _WORD).cast("long")).alias("bits"))
 
 
-def _bitmap(leaves: DataFrame) -> np.ndarray:
-    out = np.zeros(BITS // 8, np.uint8)
-    for r in _words(leaves, "leaf").collect():
-        out[r["w"] * _WORD // 8 : (r["w"] + 1) * _WORD // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return out
+def _bitmaps(counted: DataFrame, repeated: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves (leaf, tokens, n) with lines enough for a template, and those with more than ``largest`` tokens."""
+    bit = F.pmod(F.col("leaf"), F.lit(BITS))
+    place = (bit % _WORD).cast("long")
+    chosen = counted.filter(_enough(F.col("n"), F.col("tokens"), repeated))
+    words = chosen.groupBy((bit / _WORD).cast("int").alias("w")).agg(
+        F.bitmap_construct_agg(place).alias("every"),
+        F.bitmap_construct_agg(F.when(F.col("n") * F.col("tokens") > largest, place)).alias("large"),
+    )
+    out = np.zeros((2, BITS // 8), np.uint8)
+    for r in words.collect():  # at most BITS / _WORD rows
+        for n, name in enumerate(("every", "large")):
+            out[n, r["w"] * _WORD // 8 : (r["w"] + 1) * _WORD // 8] = np.frombuffer(bytes(r[name]), np.uint8)
+    return out[0] & ~out[1], out[1]
 
 
 def _marked(rows: DataFrame, hashes: DataFrame, column: str) -> DataFrame:
@@ -130,7 +161,7 @@ def _marked(rows: DataFrame, hashes: DataFrame, column: str) -> DataFrame:
     return found.drop("w", "at", "bits")
 
 
-# --- templates ------------------------------------------------------------------------------------
+# --- templates, by shuffles -----------------------------------------------------------------------
 
 
 def _key(text: Column) -> list[Column]:
@@ -164,29 +195,15 @@ def templates(lines: DataFrame, repeated: int = REPEATED) -> DataFrame:
     )
 
 
-def recurring(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
-    """a, b (a text's hashes) and drop, the numbers of its lines that go, for texts that lose any.
-
-    Equal texts count once and are treated alike. A template stays in the text whose smallest
-    doc_id is the smallest of all; only texts without doc_id hold it: nothing goes.
-    """
-    spark = docs.sparkSession
-    importable(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = texts.select("text").mapInArrow(_leaves, "leaf long, tokens long, n long")
-    counted = counted.groupBy("leaf", "tokens").agg(F.sum("n").alias("n"))
-    # A leaf with too few lines for any template is left out.
-    bitmap = _bitmap(counted.filter(_enough(F.col("n"), F.col("tokens"), repeated)).select("leaf"))
-    found = texts.select(*_key(F.col("text")), "doc_id", "text").mapInArrow(_places(bitmap), PLACED).filter(F.size("places") > 0)
+def _lost_by_shuffles(found: DataFrame, repeated: int) -> DataFrame:
+    """a, b, at of the lines that go, of leaves of any size. Everything is combined before it moves."""
     found = written(found, "places")
-
-    places = found.select("a", "b", "doc_id", F.explode("places").alias("p"))
-    places = places.select("a", "b", "doc_id", "p.at", "p.leaf", "p.line")
+    places = found.select("a", "b", "doc_id", "at", "leaf", "line")
     # A line once per text, with the text's smallest doc_id.
     once = places.groupBy("leaf", "line", "a", "b").agg(F.min("doc_id").alias("doc_id"))
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "a", "b")))
     held = once.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("texts"), first.alias("first"))
-    tokens = found.select(F.explode("places").alias("p")).groupBy("p.leaf", "p.line").agg(F.first("p.tokens").alias("tokens"))
+    tokens = found.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     lines = written(held.join(tokens, ["leaf", "line"]), "lines")
 
     named = written(lines.select("leaf", "line", "texts", "first").join(templates(lines, repeated), ["leaf", "line"]), "templates")
@@ -202,6 +219,134 @@ def recurring(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
     gone = candidates.join(gone, ["leaf", "template"]).select("leaf", "line", "first")
 
     lost = places.join(gone, ["leaf", "line"]).filter((F.col("a") != F.col("first.a")) | (F.col("b") != F.col("first.b")))
+    return lost.select("a", "b", "at")
+
+
+# --- templates, many leaves in a task -------------------------------------------------------------
+
+
+def _numbered(*columns: np.ndarray) -> np.ndarray:
+    """A number for each row, in the order of the columns; equal exactly where all columns are."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    for c in columns:
+        new[1:] |= c[order[1:]] != c[order[:-1]]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _first_of(number: np.ndarray, *order_by: np.ndarray) -> np.ndarray:
+    """For each number, the row that comes first by the given columns."""
+    order = np.lexsort((*order_by[::-1], number))
+    return order[np.r_[True, number[order[1:]] != number[order[:-1]]]]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _kept(leaf: np.ndarray, texts: np.ndarray, tokens: list[bytes], repeated: int) -> tuple[np.ndarray, ...]:
+    """Of distinct lines, by their leaves' numbers: how many tokens they have, how many values of them
+    recur enough to stay literal, and two 64-bit hashes of those and their places."""
+    flat = np.frombuffer(b"".join(tokens), np.uint32)
+    n = np.array([len(t) // 4 for t in tokens], np.int64)
+    owner = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    longest = np.zeros(leaf[-1] + 1, np.int64)
+    np.maximum.at(longest, leaf, n)
+    base = np.cumsum(longest) - longest
+    literal = flat != 0
+    owner, value = owner[literal], ((base[leaf[owner]] + at).astype(np.uint64) << np.uint64(32) | flat)[literal]
+    _, which = np.unique(value, return_inverse=True)
+    held = np.bincount(which, weights=texts[owner])[which] if len(which) else np.zeros(0)
+    often = (held - 1) * n[owner] >= repeated
+    owner, value = owner[often], value[often]
+    size = np.bincount(owner, minlength=len(n))
+    names = np.zeros((2, len(n)), np.uint64)
+    if len(owner):
+        begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for i, salt in enumerate((0, 0x9E3779B97F4A7C15)):
+            names[i, owner[begin]] = np.add.reduceat(_mixed(value + np.uint64(salt)), begin)
+    return n, size, *names.view(np.int64)
+
+
+def _lost(rows: pa.Table, repeated: int) -> pa.RecordBatch:
+    """a, b, at of the lines that go, out of all lines of some leaves."""
+    leaf, line, a, b, at = (rows.column(c).to_numpy() for c in ("leaf", "line", "a", "b", "at"))
+    nameless = rows.column("doc_id").is_null().to_numpy()
+    doc = pc.fill_null(rows.column("doc_id"), 0).to_numpy()
+    leaf, text = _numbered(leaf), _numbered(a, b)
+    own = _numbered(leaf, line)
+    # A line once per text, with the text's smallest doc_id.
+    once = _first_of(_numbered(own, text), nameless, doc)
+    one = _first_of(own)
+    texts = np.bincount(own[once])
+    n, size, name, name2 = _kept(leaf[one], texts, rows.column("tokens").take(pa.array(one)).to_pylist(), repeated)
+    general = (size > 0) & (size >= LITERAL * n)
+    template = _numbered(leaf[one], general, np.where(general, name, line[one]), np.where(general, name2, 0))
+    literals = np.zeros(len(one), np.int64)
+    literals[template] = np.where(general, size, n)
+
+    of = template[own[once]]
+    holders = np.bincount(of[_first_of(_numbered(of, text[once]))], minlength=len(one))
+    first = _first_of(of, nameless[once], doc[once], text[once])
+    keeper, known = np.zeros(len(one), np.int64), np.zeros(len(one), bool)
+    keeper[of[first]], known[of[first]] = text[once][first], ~nameless[once][first]
+    gone = known & ((holders - 1) * literals >= repeated)
+
+    mine = template[own]
+    lost = np.flatnonzero(gone[mine] & (text != keeper[mine]))
+    lost = lost[_first_of(_numbered(text[lost], at[lost]))] if len(lost) else lost
+    return pa.RecordBatch.from_arrays([pa.array(a[lost]), pa.array(b[lost]), pa.array(at[lost], pa.int32())], ["a", "b", "at"])
+
+
+def _lost_by_leaf(repeated: int):
+    """Lines sorted by leaf to those that go; whole leaves are held, as many as make up a chunk."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, limit = [], 0, TOKENS_AT_ONCE
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.column("tokens").nbytes // 4
+            if size >= limit:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                leaf = rows.column("leaf").to_numpy()
+                cut = int(np.searchsorted(leaf, leaf[-1]))
+                if cut:
+                    yield _lost(rows.slice(0, cut), repeated)
+                held = rows.slice(cut).to_batches()
+                size = sum(b.column("tokens").nbytes // 4 for b in held)
+                limit = max(TOKENS_AT_ONCE, 2 * size)
+        if held:
+            yield _lost(pa.Table.from_batches(held).combine_chunks(), repeated)
+
+    return read
+
+
+def recurring(docs: DataFrame, repeated: int = REPEATED, largest: int = LEAF_TOKENS) -> DataFrame:
+    """a, b (a text's hashes) and drop, the numbers of its lines that go, for texts that lose any.
+
+    Equal texts count once and are treated alike. A template stays in the text whose smallest
+    doc_id is the smallest of all; only texts without doc_id hold it: nothing goes. Leaves of up to
+    ``largest`` tokens are settled in one task each, larger ones by shuffles, with the same result.
+    """
+    spark = docs.sparkSession
+    importable(spark)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = texts.select("text").mapInArrow(_leaves, "leaf long, tokens long, n long")
+    counted = counted.groupBy("leaf", "tokens").agg(F.sum("n").alias("n"))
+    # A leaf with too few lines for any template is left out.
+    usual, large = _bitmaps(counted, repeated, largest)
+    texts = texts.select(*_key(F.col("text")), "doc_id", "text")
+    rows = texts.mapInArrow(_lines_of(usual, True), LINE + "binary")
+    lost = rows.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(_lost_by_leaf(repeated), "a long, b long, at int")
+    if large.any():
+        found = texts.mapInArrow(_lines_of(large, False), LINE + "array<int>")
+        lost = lost.unionByName(_lost_by_shuffles(found, repeated))
     return lost.groupBy("a", "b").agg(F.collect_set("at").alias("drop"))
 
 
@@ -212,12 +357,12 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _cut(docs: DataFrame, repeated: int) -> tuple[DataFrame, list[Column]]:
+def _cut(docs: DataFrame, repeated: int, largest: int) -> tuple[DataFrame, list[Column]]:
     """Rows with their boilerplate gone, and the columns of ``docs`` on them.
 
     Only rows whose text may lose lines move, to meet what goes; a bitmap of fixed size tells them.
     """
-    drop = written(recurring(docs.select("doc_id", "text"), repeated), "drop")
+    drop = written(recurring(docs.select("doc_id", "text"), repeated, largest), "drop")
     others = [c for c in docs.columns if c != "text"]
     inner = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
     packed = docs.select(inner.alias("__row"), F.col("text").alias("__text"), *_key(F.col("text")))
@@ -235,7 +380,7 @@ def _cut(docs: DataFrame, repeated: int) -> tuple[DataFrame, list[Column]]:
     return cut, [column.alias(c) for c, column in own.items()]
 
 
-def stripped(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
+def stripped(docs: DataFrame, repeated: int = REPEATED, largest: int = LEAF_TOKENS) -> DataFrame:
     """doc_id and ``text`` rid of boilerplate lines of every row of ``docs``, n_lines and n_dropped.
 
     Defined results: a null text stays null; a text all of boilerplate becomes empty; blank lines
@@ -243,15 +388,15 @@ def stripped(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
     repeated rows and equal texts are treated alike; an empty table gives an empty table. Other
     columns are left out.
     """
-    cut, columns = _cut(docs.select("doc_id", "text"), repeated)
+    cut, columns = _cut(docs.select("doc_id", "text"), repeated, largest)
     dropped = F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop"))
     return cut.select(*columns, F.size(_lines(F.col("__text"))).cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
 
 
-def clean(docs: DataFrame, repeated: int = REPEATED) -> DataFrame:
+def clean(docs: DataFrame, repeated: int = REPEATED, largest: int = LEAF_TOKENS) -> DataFrame:
     """All rows of ``docs`` with exactly their columns, without boilerplate lines; results as in ``stripped``.
 
     n_chars, if there, follows the text of rows that lose lines.
     """
-    cut, columns = _cut(docs, repeated)
+    cut, columns = _cut(docs, repeated, largest)
     return cut.select(*columns)

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -346,14 +347,16 @@ def expected_lines(rows):
     return out
 
 
-def check_lines(docs_of, rows):
-    got = [tuple(r) for r in lines.stripped(docs_of(rows)).collect()]
+def check_lines(docs_of, rows, largest=lines.LEAF_TOKENS):
+    got = [tuple(r) for r in lines.stripped(docs_of(rows), largest=largest).collect()]
     want = expected_lines(rows)
     assert sorted(got, key=repr) == sorted(want, key=repr)
     return {i: (text, dropped) for i, text, _, dropped in want}
 
 
-def test_line_templates_match_a_plain_account(docs_of, edge_rows):
+@pytest.mark.parametrize("largest", [lines.LEAF_TOKENS, 300, 0])
+def test_line_templates_match_a_plain_account(docs_of, edge_rows, largest):
+    """Leaves settled in a task each, the larger ones by shuffles, and all by shuffles."""
     rng = random.Random(4)
     forms = ["Page {} of the volume", "posted by {} in the garden forum", "{} replied to {} on this page today", "all rights are reserved by {} and others here", "same"]
     rows = list(edge_rows)
@@ -364,10 +367,32 @@ def test_line_templates_match_a_plain_account(docs_of, edge_rows):
         rng.shuffle(text)
         rows.append((None if n % 40 == 7 else 1000 + n, rng.choice(["\n", "\n", "\n\n"]).join(text)))
     rows += [(3000 + n, rows[20 + n % 5][1]) for n in range(20)]  # exact copies
-    found = check_lines(docs_of, rows)
+    found = check_lines(docs_of, rows, largest)
     assert sum(d for _, d in found.values()) > 50
 
 
+def test_leaves_are_held_whole_however_they_come(monkeypatch):
+    """Chunks of any size and batches cut anywhere give the lines that all rows at once give."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(600):
+        leaf, n = rng.randrange(12), rng.randrange(3)
+        tokens = np.array([rng.randrange(1, 4) if k % 2 else 7 for k in range(6 + leaf)], np.uint32)
+        rows.append((leaf, hash(tokens.tobytes()), rng.randrange(40), n, rng.choice([None, rng.randrange(99)]), rng.randrange(5), tokens.tobytes()))
+    rows.sort(key=lambda r: r[0])
+    kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+    names = ["leaf", "line", "a", "b", "doc_id", "at", "tokens"]
+    whole = pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    def told(size, at_once):
+        monkeypatch.setattr(lines, "TOKENS_AT_ONCE", at_once)
+        out = list(lines._lost_by_leaf(lines.REPEATED)(iter(whole.to_batches(size))))
+        return sorted({tuple(r.values()) for b in out for r in b.to_pylist()})
+
+    want = told(10**6, 10**9)
+    assert want and all(told(size, at_once) == want for size in (1, 7, 100) for at_once in (1, 50, 2000))
+
+
 def test_a_lower_case_word_may_be_the_field(docs_of):
     names = [a + b for a in ("ann", "bob", "carl", "dora", "emil", "fred") for b in ("a", "e", "i", "o", "u", "y", "ie", "el", "us", "in")]
     rows = [(n, f"{prose(n, 12)}\nposted by {name} in the garden forum") for n, name in enumerate(names)]
