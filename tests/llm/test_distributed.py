@@ -377,7 +377,7 @@ def test_leaves_are_held_whole_however_they_come(monkeypatch):
     rows = []
     for _ in range(600):
         leaf, n = rng.randrange(12), rng.randrange(3)
-        tokens = np.array([rng.randrange(1, 4) if k % 2 else 7 for k in range(6 + leaf)], np.uint32)
+        tokens = np.array([rng.randrange(1, 4) if k == 1 else 7 if k % 3 else rng.randrange(1, 500) for k in range(6 + leaf)], np.uint32)
         rows.append((leaf, hash(tokens.tobytes()), rng.randrange(40), n, rng.choice([None, rng.randrange(99)]), rng.randrange(5), tokens.tobytes()))
     rows.sort(key=lambda r: r[0])
     kinds = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
