@@ -27,6 +27,12 @@ UNITS = (
     "kilogram kilograms pound pounds ounce ounces liter liters litre litres dollar dollars euro "
     "euros cent cents usd eur gbp percent degree degrees mph kmh"
 ).split()
+#: Words for numbers, which stand for the same slot as digits. Fixed values.
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
+    "sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety "
+    "hundred thousand million billion dozen"
+).split()
 NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 #: Marks put before a capitalised word within a sentence, and in place of a decimal separator.
@@ -48,7 +54,10 @@ def canonical(words: Column) -> Column:
     def slot(w: Column) -> Column:
         first = F.substring(w, 1, 1)
         return (
-            F.when(first == CAPITAL, NAME).when(first.between("0", "9"), NUMBER).when(w.isin(UNITS), UNIT).otherwise(w)
+            F.when(first == CAPITAL, NAME)
+            .when(first.between("0", "9") | w.isin(NUMBER_WORDS), NUMBER)
+            .when(w.isin(UNITS), UNIT)
+            .otherwise(w)
         )
 
     return F.transform(words, slot)

@@ -1,0 +1,146 @@
+"""Benchmark leaks against a plain account of the rules, text by text and item by item."""
+
+import random
+
+import pytest
+import regex
+
+from sparkelt.llm import decontam as D
+
+SIZE = D.WINDOW
+
+
+def tokens(text):
+    text = (text or "").replace(D.CAPITAL, " ").replace(D.POINT, " ")
+    text = regex.sub(r"(?<=[^.!?:;\s]\s)(?=\p{Lu}\p{Ll})", D.CAPITAL, text)
+    text = regex.sub(r"(?<=[0-9])[.,](?=[0-9])", D.POINT, text)
+    return regex.findall(rf"[\p{{L}}\p{{M}}\p{{N}}{D.CAPITAL}{D.POINT}]+", text.lower())
+
+
+def canonical(words):
+    def slot(w):
+        if w[0] == D.CAPITAL:
+            return D.NAME
+        if "0" <= w[0] <= "9" or w in D.NUMBER_WORDS:
+            return D.NUMBER
+        return D.UNIT if w in D.UNITS else w
+
+    return [slot(w) for w in words]
+
+
+def literal_places(canon):
+    return [i for i, w in enumerate(canon) if not w.startswith("<")]
+
+
+def hits(words, text):
+    """(begin in the item, place in the text, pairs of slot values) of every window that counts."""
+    canon, bare = canonical(words), tokens(text)
+    forms = [bare]
+    if regex.match(r"[^\p{L}\p{M}\p{N}]*\p{Lu}\p{Ll}", text or ""):
+        forms.append([D.CAPITAL + bare[0], *bare[1:]])
+    usual = literal_places(canonical(bare))
+    w = min(SIZE, len(bare))
+    need = min(D.MIN_LITERALS, w)
+    for marked, item in enumerate(forms):
+        shape = canonical(item)
+        for begin in range(len(item) - w + 1):
+            ahead = [i for i in usual if i >= begin]
+            low, high = begin, begin + w
+            if len(usual) >= need:
+                high = max(high, ahead[need - 1] + 1 if len(ahead) >= need else len(item))
+                low = low if len(ahead) >= need else min(low, usual[-need])
+            if marked and low > 0:
+                continue
+            told = sum(low <= i < high for i in literal_places(shape)) >= need
+            told_same = marked and sum(low <= i < high for i in usual) >= need
+            for pos in range(len(words) - w + 1):
+                if canon[pos : pos + w] != shape[begin : begin + w]:
+                    continue
+                at, until, form = begin, begin + w, shape
+                if words[pos : pos + w] != item[begin : begin + w]:
+                    start = pos - (begin - low)
+                    alike = start >= 0 and canon[start : start + high - low] == shape[low:high]
+                    if not alike or not (told or (told_same and words[start] == item[low])):
+                        continue
+                    at, until = low, high
+                there = pos - (begin - at)
+                pairs = [(item[i], words[there + i - at]) for i in range(at, until) if form[i].startswith("<")]
+                yield begin, pos, frozenset(pairs), w
+
+
+def account(rows, items):
+    out = []
+    for doc_id, text in rows:
+        words = tokens(text)
+        for item_id, item in items:
+            n = len(tokens(item)) - min(SIZE, len(tokens(item))) + 1
+            diagonals = {}
+            for begin, pos, pairs, w in hits(words, item) if tokens(item) else ():
+                diagonals.setdefault(pos - begin, set()).add((begin, pairs))
+            kept = {}
+            for diagonal, found in diagonals.items():
+                stands = {}
+                for _, pairs in found:
+                    for mine, other in pairs:
+                        stands.setdefault(mine, set()).add(other)
+                torn = {mine for mine, others in stands.items() if len(others) > 1}
+                held = {
+                    begin
+                    for begin, pairs in found
+                    if all(x == y for x, y in pairs) or not any(x in torn for x, _ in pairs)
+                }
+                if held:
+                    kept[diagonal] = held, all(others == {mine} for mine, others in stands.items())
+            if not kept:
+                continue
+            windows = len(set().union(*[held for held, _ in kept.values()]))
+            run = max(len(held) for held, _ in kept.values())
+            if windows / n >= D.MIN_COVERAGE or run >= D.MIN_RUN:
+                first = min(d + min(held) for d, (held, _) in kept.items())
+                last = max(d + max(held) for d, (held, _) in kept.items()) + w - 1
+                out.append((doc_id, item_id, windows, windows / n, all(e for _, e in kept.values()), first, last))
+    return out
+
+
+def found(docs_of, spark, rows, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return [tuple(r) for r in D.matches(docs_of(rows), bench).drop("row").collect()]
+
+
+PLAIN = "the a mill river grain old quiet farm stone wheel road bridge every wide over under".split()
+SLOTS = ["three", "seven", "twelve", "5", "3,450.5", "km", "hours", "dollars", "Tom", "Lisbon", "Anna", "9"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_leaks_match_a_plain_account(docs_of, spark, seed):
+    rng = random.Random(seed)
+
+    def words(n, slots):
+        return [rng.choice(SLOTS) if rng.random() < slots else rng.choice(PLAIN) for _ in range(n)]
+
+    def sentence(some):
+        return " ".join([some[0].capitalize(), *some[1:]]) + rng.choice([".", "?", ""])
+
+    items = [(n, sentence(words(rng.choice([3, 7, 8, 14, 25]), rng.choice([0.1, 0.3, 0.7])))) for n in range(12)]
+    items += [(50, None), (51, ""), (52, "Tom has three apples and gives seven of them to his old friend Anna")]
+    rows = [(900, None), (901, ""), (902, "Tom")]
+    for n in range(90):
+        parts = [words(rng.randrange(8), 0.2)]
+        for _ in range(rng.randrange(1, 3)):
+            own = (rng.choice(items)[1] or "").split()
+            cut = rng.randrange(3) if rng.random() < 0.3 else 0
+            own = own[cut : len(own) - (rng.randrange(4) if rng.random() < 0.3 else 0)]
+            swap = {s: rng.choice(SLOTS) for s in SLOTS} if rng.random() < 0.5 else {}
+            parts += [[swap.get(w, w) for w in own], words(rng.randrange(5), 0.2)]
+        rows.append((n, " ".join(w for part in parts for w in part)))
+    got, want = found(docs_of, spark, rows, items), account(rows, items)
+    assert sorted(got) == sorted(want)
+    assert len(want) > 30 and any(e for *_, e, _, _ in want) and not all(e for *_, e, _, _ in want)
+
+
+def test_number_words_are_slots(docs_of, spark):
+    item = "Tom has three apples and buys twelve more, then he gives three of them to the girl next door"
+    other = item.replace("three", "four").replace("twelve", "9")
+    torn = item.replace("three", "four", 1).replace("twelve", "nine").replace("three", "six")
+    got = {r[0]: r[4] for r in found(docs_of, spark, [(1, item), (2, other), (3, torn), (4, "He has " + other)], [(1, item)])}
+    assert got == {1: True, 2: False, 4: False}
