@@ -39,10 +39,10 @@ _WORD = 1 << 15
 LINES_AT_ONCE = 200_000
 TEXTS_AT_ONCE = 256
 #: Tokens that a task takes in at once, and the most that the lines of one leaf may have for that.
-TOKENS_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 18
 LEAF_TOKENS = 1 << 22
 #: Tokens whose hashes are remembered while texts are read, none longer than so many characters.
-TOKENS_KNOWN = 1 << 18
+TOKENS_KNOWN = 1 << 15
 TOKEN_CHARS = 64
 
 
