@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,8 +15,12 @@ def upsert(
     column takes part in the join; Spark broadcasts it when its measured size allows. ``keys`` may
     give the same set of keys by a cheaper plan, repeats included.
     """
-    kept = target.join((updates if keys is None else keys).select(key), key, "left_anti")
-    return kept.unionByName(updates)
+    return without_keys(target, updates if keys is None else keys, key).unionByName(updates)
+
+
+def without_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is none of the given ones; NULL keys stay."""
+    return target.join(keys.select(key), key, "left_anti").select(*target.columns)
 
 
 def merge_into(updates: DataFrame, table: str, key: str) -> None:
@@ -58,10 +62,14 @@ def orphans_by_bitmap(
     found = child.filter(F.col(fk).isNotNull()).alias("_child").join(
         F.broadcast(words.alias("_known")), F.shiftright(key, 15) == F.col("_known.word"), "left"
     )
-    bit = key.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("_known.bits"), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10)
-    known = F.coalesce(F.getbit(byte.cast("long"), bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
-    return found.filter(~known).select("_child.*")
+    return found.filter(~bit_set(F.col("_known.bits"), key)).select("_child.*")
+
+
+def bit_set(bits: Column, number: Column) -> Column:
+    """Whether a number's bit is set in its word; False without a word."""
+    bit = number.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10)
+    return F.coalesce(F.getbit(byte.cast("long"), bit.bitwiseAND(F.lit(7))) == 1, F.lit(False))
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

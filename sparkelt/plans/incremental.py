@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkelt.operators.filters import since, since_marks
-from sparkelt.operators.upsert import upsert
+from sparkelt.operators.upsert import without_keys
 from sparkelt.schemas import FEED_NAMES
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
 
-def _same(df: DataFrame) -> DataFrame:
+def _same(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     return df
 
 
+#: Rows of a partition that meet in one task to be settled, and how often a key occurs there that is
+#: settled beforehand.
+TASK_ROWS = 500_000
+HOT_ROWS = 100_000
+#: Units of less than so many bytes are gathered with the new rows that they are merged with.
+TINY_BYTES = 1 << 20
+#: The place of a row while it is settled.
+PLACE = ("_place_part", "_place_block")
+
+
 @dataclass(frozen=True)
 class Model:
     """A stored model and how to compute it.
@@ -32,9 +44,9 @@ class Model:
     table: TableSpec
     inputs: Mapping[str, str | None]
     build: Callable[..., DataFrame]
-    settle: Callable[[DataFrame], DataFrame] = _same
+    settle: Callable[..., DataFrame] = _same  # takes columns that all versions of a key share as well
     finish: Callable[[DataFrame], DataFrame] = _same
-    spread: bool = False  # regroup rows by partition before a first write
+    spread: bool = False  # regroup rows by partition before a write; else they lie by partition in the inputs
     rowwise: bool = False  # maps each row of its one input to one of its own, units and all
     group: str = ""  # models of a group run together, from one pass over their input
 
@@ -125,24 +137,28 @@ def apply_updates(
     # What a merge must know in advance, the partitions and the keys, takes a few columns of the
     # unsettled rows. Reading those again is cheaper than keeping the wide rows around.
     table = model.table
-    touched, measured = _survey(model, rows)
-    after = _later(before, upstream or measured)
+    found = _survey(model, rows)
+    touched, after = list(found.rows), _later(before, upstream or found.marks)
     if touched == []:
         if after != before:
             wh.set_marks(table, after)
         return RunResult(model.name, "none", [], before, after, [])
     part = table.part_of().alias(table.part.name)
     near = wh.units_in(table, touched)
-    replaced = set(wh.matched_units(table, near, rows.select(table.key, part))) if near else set()
-    replaced |= wh.crowded(table, near)
-    updates = model.finish(model.settle(rows)).select(*table.schema.names)
-    merged = updates
-    if replaced:
-        keys = rows.select(table.key)
-        if model.settle is not _same:
-            keys = keys.distinct()  # combined on the map side: a much repeated key stays one row per task
-        merged = upsert(wh.read(table, units=replaced), updates, table.key, keys)
-    added = wh.write(table, _gather(merged.transform(table.with_part), table), replaced)
+    crowded = wh.crowded(table, near)
+    keys = rows.select(table.key, part)
+    matched = set(wh.matched_units(table, near, keys)) if near else set()
+    updates = model.finish(_settled(model, rows, found) if model.settle is not _same else rows)
+    placed = updates.select(*table.schema.names).transform(table.with_part)
+    folded = crowded | {u for u in matched if near[u] < TINY_BYTES}
+    if folded:
+        # Distinct keys are combined on the map side: a much repeated key stays one row per task.
+        kept = without_keys(wh.read(table, units=folded), keys.select(table.key).distinct(), table.key)
+        placed = _gather(placed.unionByName(kept.transform(table.with_part)), table)
+    # Old rows of other units lie by partition as they are.
+    if whole := matched - folded:
+        placed = placed.unionByName(wh.without(table, whole, keys).transform(table.with_part))
+    added = wh.write(table, placed, matched | crowded)
     wh.set_marks(table, after)
     return RunResult(model.name, "merge", touched, before, after, added)
 
@@ -179,9 +195,10 @@ def mirror(
 def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | None) -> RunResult:
     table = model.table
     wh.clear_marks(table)
-    rows = model.settle(rows)
-    if model.spread:
-        # Regroup the narrow rows first; what finish() adds is never shuffled.
+    # Regroup the narrow rows first; what finish() adds is never shuffled.
+    if model.settle is not _same:
+        rows = _settled(model, rows, _survey(model, rows))
+    elif model.spread:
         part = table.part_of().alias(table.part.name)
         rows = _gather(rows.select("*", part), table).drop(table.part.name)
     wh.write(table, model.finish(rows).transform(table.with_part), None)
@@ -196,7 +213,43 @@ def _gather(df: DataFrame, table: TableSpec) -> DataFrame:
     return df.hint("rebalance", table.part.name)
 
 
-def _survey(model: Model, rows: DataFrame) -> tuple[list[str | None], MarkDict]:
+def _settled(model: Model, rows: DataFrame, found: Survey) -> DataFrame:
+    """One version of each key, those of a partition together: a single shuffle does both.
+
+    Partitions are cut into blocks by key, none of which is more than a task settles. Versions of a
+    key that alone would fill a block are settled before, where every task sends one at most.
+    """
+    table = model.table
+    day = table.part_of().cast("string")
+    if found.hot:
+        often = F.xxhash64(table.key).isin(*found.hot)
+        rows = rows.filter(~often).unionByName(model.settle(rows.filter(often)))
+    most = max(found.rows.values(), default=0)
+    large = [p for p, n in found.rows.items() if n > TASK_ROWS]
+    place = {PLACE[0]: day}
+    if large:
+        wide = reduce(or_, [day.isin(*[p for p in large if p is not None]), *([day.isNull()] if None in large else [])])
+        block = F.expr(f"pmod(xxhash64({table.key}), {-(-most // TASK_ROWS)})")
+        place[PLACE[1]] = F.when(wide, block).otherwise(0)
+    # Hex keys move as bytes, which take half the room.
+    key, packed = F.col(table.key), F.col(table.key).rlike("^([0-9a-f][0-9a-f])+$")
+    half = {"_key_bytes": F.when(packed, F.unhex(key)), "_key_text": F.when(~packed, key)}
+    placed = rows.withColumns(place | half).drop(table.key).repartition(*place)
+    whole = F.coalesce(F.lower(F.hex("_key_bytes")), F.col("_key_text"))
+    placed = placed.withColumn(table.key, whole).select(*rows.columns, *place)
+    return model.settle(placed, list(place)).drop(*place)
+
+
+@dataclass(frozen=True)
+class Survey:
+    """What is known of rows before they move: rows by partition, marks, and hashes of hot keys."""
+
+    rows: dict[str | None, int]
+    marks: MarkDict
+    hot: list[int]
+
+
+def _survey(model: Model, rows: DataFrame) -> Survey:
     """Partitions the rows fall into and the rows' own marks, in one job.
 
     The driver gets a row per partition and feed, no more than the folders that it lists to read the
@@ -206,13 +259,20 @@ def _survey(model: Model, rows: DataFrame) -> tuple[list[str | None], MarkDict]:
     by = [model.table.part_of().cast("string").alias("_part")]
     if "taxi_type" in rows.columns:
         by.append(F.col("taxi_type"))
-    groups = rows.groupBy(*by).agg(F.max("loaded_at").alias("loaded_at"))
-    found = groups.collect()
+    told = [F.max("loaded_at").alias("loaded_at"), F.count(F.lit(1)).alias("n")]
+    if model.settle is not _same:
+        told.append(F.expr(f"approx_top_k(xxhash64({model.table.key}), 8, 1024)").alias("top"))
+    found = rows.groupBy(*by).agg(*told).collect()
     marks: MarkDict = dict.fromkeys(model.feeds)
+    counts: dict[str | None, int] = {}
+    hot: set[int] = set()
     for row in found:
+        counts[row["_part"]] = counts.get(row["_part"], 0) + row["n"]
+        if model.settle is not _same:
+            hot |= {t["item"] for t in row["top"] if t["count"] >= HOT_ROWS}
         for feed in [row["taxi_type"]] if len(by) > 1 else model.feeds:
             marks = _later(marks, {feed: row["loaded_at"]})
-    return list(dict.fromkeys(row["_part"] for row in found)), marks
+    return Survey(counts, marks, sorted(hot))
 
 
 def _later(before: MarkDict, new: MarkDict) -> MarkDict:

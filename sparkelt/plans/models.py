@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,9 +37,9 @@ def stg_valid(raw: DataFrame, feed: S.FeedSpec) -> DataFrame:
     )
 
 
-def stg_newest(valid: DataFrame) -> DataFrame:
-    """Newest version of each trip."""
-    return dedup_latest(valid, ["trip_id"], ["loaded_at"], TIEBREAK)
+def stg_newest(valid: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Newest version of each trip; ``within`` names columns that all versions of a trip share."""
+    return dedup_latest(valid, [*within, "trip_id"], ["loaded_at"], TIEBREAK)
 
 
 def stg_flags(core: DataFrame, feed: S.FeedSpec) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkelt.operators import upsert
+from sparkelt.operators.upsert import WORD_BITS
 from sparkelt.schemas import FEEDS, FeedSpec
 from sparkelt.sources import batches, storage
 from sparkelt.sources.units import UnitLog
@@ -29,10 +31,18 @@ RAW_PARTITIONS = (
 SLICE = T.StructField("slice", T.StringType())
 #: Rows that one task puts into a unit, which a merge rewrites as a whole.
 UNIT_ROWS = 1_000_000
+#: So many units of a task have that size; the next ones hold 1, 3, 5, ... times as many rows, so that
+#: the number of units, folders that the driver lists, grows slower than the rows.
+FULL_UNITS = 192
 #: A merge also rewrites the small units of a partition once there are so many; small is a unit of
 #: less than so many bytes.
 SMALL_UNITS = 8
 SMALL_BYTES = 32 << 20
+#: The most words of 4 KB that a merge sends to its scan (64 MB), and the least bytes that a row takes on disk.
+BITMAP_WORDS = 1 << 14
+LEAST_ROW_BYTES = 16
+#: Keys are hashes in hex, which only an entropy coder halves.
+CODEC = "zstd"
 
 MarkDict = dict[str, datetime | None]
 
@@ -195,18 +205,43 @@ class Warehouse:
         Equal hashes of different keys only make a unit be rewritten in vain.
         """
         part = table.part.name
-        wanted = keys.select(part, F.xxhash64(table.key).alias("h"))
+        wanted = keys.select(part, F.xxhash64(table.key).alias("h")).distinct()  # combined on the map side
         found = self.key_hashes(table, units).join(wanted, [part, "h"], "left_semi").select(part, SLICE.name).distinct()
         rows = found.select(F.col(part).cast("string").alias("part"), SLICE.name).collect()  # one row per unit
         return [f"{part}={NULL_PARTITION if r.part is None else r.part}/{SLICE.name}={r.slice}" for r in rows]
 
+    def without(self, table: TableSpec, units: Iterable[str], keys: DataFrame) -> DataFrame:
+        """The rows of some units whose key is none of ``keys``, in the order and place that they have.
+
+        Only hashes of the keys are shuffled: they tell the positions of the rows that go, which are
+        sent to the scan as a bitmap of 4 KB per 32,768 rows. Keys are equal if 96 bits of two hashes
+        are. Units that may take more than ``BITMAP_WORDS`` words go by a join of the rows with the keys.
+        """
+        units = list(units)
+        sizes = self.live(table) or {}
+        if len(units) + sum(sizes[u] for u in units) // (LEAST_ROW_BYTES * WORD_BITS) > BITMAP_WORDS:
+            return upsert.without_keys(self.read(table, units=units), keys, table.key)
+        part = F.coalesce(F.col(table.part.name).cast("string"), F.lit("")).alias("_part")
+        word, hashed = F.shiftright("_at", 15).alias("_word"), [F.xxhash64(table.key).alias("_h"), F.hash(table.key).alias("_g")]
+        physical = T.StructType([*table.schema.fields, table.part, SLICE])
+        rows = self._scan(self.path(table.layer, table.name), units, physical)
+        rows = rows.select(*physical.names, F.col("_metadata.row_index").alias("_at"))
+        known = F.col(table.key).isNotNull()
+        own = rows.filter(known).select(part, SLICE.name, "_at", *hashed)
+        gone = own.join(keys.filter(known).select(*hashed).distinct(), ["_h", "_g"], "left_semi")
+        bit = F.col("_at").bitwiseAND(F.lit(WORD_BITS - 1))
+        words = gone.groupBy("_part", SLICE.name, word).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+        placed = rows.select(*table.schema.names, part, SLICE.name, "_at", word)
+        marked = placed.join(F.broadcast(words), ["_part", SLICE.name, "_word"], "left")
+        return marked.filter(~upsert.bit_set(F.col("_bits"), F.col("_at"))).select(*table.schema.names)
+
     def write(
         self, table: TableSpec, df: DataFrame, replaced: Iterable[str] | None, units: Iterable[str] | None = None
     ) -> list[str]:
         """Add the rows (declared columns and partition) in new units and drop the replaced ones.
 
-        None replaces all units. Rows get a slice by task, and by every ``unit_rows`` of its rows,
-        unless they bring one, in which case ``units`` are those that they make up. The commit is one
+        None replaces all units. Rows get a slice by task, and by every ``unit_rows`` of its rows (of a
+        long task by growing numbers), unless they bring one, in which case ``units`` are those that they make up. The commit is one
         log entry at the end: the frame may be computed from the units it replaces, lost tasks
         rerun, and a run that dies changes nothing. Returns the units written.
         """
@@ -215,12 +250,15 @@ class Warehouse:
         if units is None:
             numbered = df.withColumn("_place", F.monotonically_increasing_id())
             task = F.shiftright("_place", 33).cast("string")
-            chunk = F.expr(f"(_place & {(1 << 33) - 1}) div {self.unit_rows}").cast("string")
+            full = F.expr(f"(_place & {(1 << 33) - 1}) div {self.unit_rows}")
+            later = FULL_UNITS + F.floor(F.sqrt(full - FULL_UNITS))
+            chunk = F.when(full < FULL_UNITS, full).otherwise(later).cast("string")
             named = F.concat_ws("-", F.lit(label), task, chunk).alias(SLICE.name)
             df = numbered.select(*table.schema.names, part, named)
         order = table.sort() if table.sort is not None else []
         writer = df.sortWithinPartitions(part, SLICE.name, *order).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(part, SLICE.name)
+        writer.option("compression", CODEC)
         # Keys hardly repeat within a file, so building a dictionary for them is wasted work.
         writer.option(f"parquet.enable.dictionary#{table.key}", "false").parquet(base)
         if units is None:
