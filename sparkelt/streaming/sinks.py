@@ -108,7 +108,8 @@ def parquet_batch_sink(feed: FeedSpec, path: str) -> BatchSink:
 def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
     """Good rows to the raw table, malformed messages with their bytes and a reason to another one.
 
-    Takes batches of ``judged_stream``. A batch is decoded once and kept until both tables have it.
+    Takes batches of ``judged_stream``. A batch is decoded once and kept until both tables have it; the
+    bytes of good messages are not kept.
     The dead letters go first: once the raw table has a batch, its dead letters are there. A replay
     replaces both parts.
     """
@@ -117,6 +118,7 @@ def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = _query_id(spark)
+        batch = batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             stamp = _stamp_of(spark, f"{path}/_loads", query_id, batch_id)
