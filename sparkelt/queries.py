@@ -30,7 +30,7 @@ from sparkelt.plans import models as M
 from sparkelt.plans import pipeline as P
 from sparkelt.plans.incremental import run_model, watermark
 from sparkelt.sources.readers import stream_parquet
-from sparkelt.sources.storage import scratch_dir
+from sparkelt.sources.storage import scratch_dir, size_of
 from sparkelt.sources.warehouse import Warehouse
 from sparkelt.streaming.ingest import DEAD_LETTER, UNTIL_DRAINED, start_ingest
 from sparkelt.streaming.publish import event_ordered, to_messages
@@ -370,11 +370,16 @@ def _stream_resume(spark: SparkSession, d: str) -> DataFrame:
     return wh.read_raw(feed).drop("loaded_at")
 
 
-def _ingested(wh: Warehouse, messages: DataFrame, feed: S.FeedSpec, files: int) -> None:
-    """A drop of so many message files, by trip, taken in as a batch each."""
+#: Bytes of ``lineitem`` whose messages go into a file.
+FILE_BYTES = 8 << 20
+
+
+def _ingested(wh: Warehouse, d: str, messages: DataFrame, feed: S.FeedSpec, batches: int) -> None:
+    """A drop of messages, by trip, taken in by so many batches; their files grow in number, not in size."""
     drop = f"{wh.root}/_messages/{feed.name}"
-    messages.repartition(files, "trip_id").write.mode("append").parquet(drop)
-    source = stream_parquet(wh.spark, drop, messages.schema, 1)
+    files = 1 + size_of(wh.spark, f"{d}/lineitem.parquet") // (batches * FILE_BYTES)
+    messages.repartition(batches * files, "trip_id").write.mode("append").parquet(drop)
+    source = stream_parquet(wh.spark, drop, messages.schema, files)
     sink = parquet_batch_sink(feed, wh.raw_path(feed))
     checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
     start_ingest(source, feed, sink, checkpoint, "json", UNTIL_DRAINED).awaitTermination()
@@ -385,7 +390,7 @@ def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
     wh = Warehouse(spark, scratch_dir(spark, "compaction"))
 
     def raw(feed: S.FeedSpec) -> DataFrame:
-        _ingested(wh, to_messages(raw_feed(spark, d, feed), feed, "json", keep=("trip_id",)), feed, 6)
+        _ingested(wh, d, to_messages(raw_feed(spark, d, feed), feed, "json", keep=("trip_id",)), feed, 6)
         wh.compact_raw(feed)
         wh.vacuum_raw(feed, timedelta(0))
         return wh.read_raw(feed).drop("loaded_at")
@@ -398,7 +403,7 @@ def _compacted_staging(spark: SparkSession, d: str) -> DataFrame:
     wh = Warehouse(spark, scratch_dir(spark, "compacted"))
     for part in (first_batch, second_batch):
         for feed in S.FEEDS.values():
-            _ingested(wh, to_messages(part(raw_feed(spark, d, feed)), feed, "json", keep=("trip_id",)), feed, 3)
+            _ingested(wh, d, to_messages(part(raw_feed(spark, d, feed)), feed, "json", keep=("trip_id",)), feed, 3)
         P.run_models(wh, only=[f.staging_name for f in S.FEEDS.values()])
         for feed in S.FEEDS.values():
             wh.compact_raw(feed)

@@ -24,6 +24,7 @@ from sparkelt.sources import storage
 EPOCH = datetime(1970, 1, 1)
 #: Compacted folders come near to this size; folders of half of it or more are left alone.
 TARGET_BYTES = 512 << 20
+FILE_BYTES = 128 << 20
 #: Compacted folders written side by side.
 AT_ONCE = 4
 PACK = "pack-"
@@ -123,10 +124,10 @@ def compact(
     pending: Iterable[tuple[str, int]] = (),
     target_bytes: int = TARGET_BYTES,
 ) -> list[Batch]:
-    """Small neighbouring batches of a day into one folder of one file each; returns the new ones.
+    """Small neighbouring batches of a day into one folder each; returns the new ones.
 
-    ``pending`` names batches (query, number) that may be replayed and stay as they are. No more than
-    ``target_bytes`` go through a task. Rows, load times included, stay the same. A run that dies
+    ``pending`` names batches (query, number) that may be replayed and stay as they are. A folder has a
+    file, and a task, for every ``FILE_BYTES``. Rows, load times included, stay the same. A run that dies
     leaves folders without an entry.
     """
     waiting = set(pending)
@@ -144,7 +145,7 @@ def compact(
     def pack(run: list[Batch]) -> Batch:
         packed = Batch(run[0].least, run[-1].greatest, f"{PACK}{uuid.uuid4().hex}", 0)
         rows = spark.read.schema(columns).parquet(*[f"{path}/{b.folder}" for b in run])
-        rows.coalesce(1).write.parquet(f"{path}/{packed.folder}")
+        rows.coalesce(-(-sum(sizes[b] for b in run) // FILE_BYTES) or 1).write.parquet(f"{path}/{packed.folder}")
         enter(spark, path, packed)
         return packed
 
