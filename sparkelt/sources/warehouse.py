@@ -31,9 +31,9 @@ RAW_PARTITIONS = (
 SLICE = T.StructField("slice", T.StringType())
 #: Rows that one task puts into a unit, which a merge rewrites as a whole.
 UNIT_ROWS = 1_000_000
-#: So many units of a task have that size; the next ones hold 1, 3, 5, ... times as many rows, so that
+#: So many units of a task have half that size; the next ones hold 1, 3, 5, ... times as many rows, so that
 #: the number of units, folders that the driver lists, grows slower than the rows.
-FULL_UNITS = 192
+FULL_UNITS = 512
 #: A merge also rewrites the small units of a partition once there are so many; small is a unit of
 #: less than so many bytes.
 SMALL_UNITS = 8
@@ -240,7 +240,7 @@ class Warehouse:
     ) -> list[str]:
         """Add the rows (declared columns and partition) in new units and drop the replaced ones.
 
-        None replaces all units. Rows get a slice by task, and by every ``unit_rows`` of its rows (of a
+        None replaces all units. Rows get a slice by task, and by every half of ``unit_rows`` (of a
         long task by growing numbers), unless they bring one, in which case ``units`` are those that they make up. The commit is one
         log entry at the end: the frame may be computed from the units it replaces, lost tasks
         rerun, and a run that dies changes nothing. Returns the units written.
@@ -250,7 +250,8 @@ class Warehouse:
         if units is None:
             numbered = df.withColumn("_place", F.monotonically_increasing_id())
             task = F.shiftright("_place", 33).cast("string")
-            full = F.expr(f"(_place & {(1 << 33) - 1}) div {self.unit_rows}")
+            # Rows come by partition, so that a unit fills up within one; at half the size a late row costs less.
+            full = F.expr(f"(_place & {(1 << 33) - 1}) div {max(1, self.unit_rows // 2)}")
             later = FULL_UNITS + F.floor(F.sqrt(full - FULL_UNITS))
             chunk = F.when(full < FULL_UNITS, full).otherwise(later).cast("string")
             named = F.concat_ws("-", F.lit(label), task, chunk).alias(SLICE.name)
