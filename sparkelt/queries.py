@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,12 +161,14 @@ def _members_of(wh: Warehouse) -> DataFrame:
 
 
 def _both_feeds(of: Callable[[S.FeedSpec], DataFrame]) -> DataFrame:
-    """One result per feed, told apart by ``taxi_type``; a column that a feed lacks is NULL there."""
-    out = None
-    for feed in S.FEEDS.values():
-        one = of(feed).withColumn("taxi_type", F.lit(feed.name))
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
+    """One result per feed, told apart by ``taxi_type``; a column that a feed lacks is NULL there.
+
+    The feeds share no table, so they run at the same time: small jobs and the planning between
+    them, which a chain of batches is full of, leave most of a cluster idle.
+    """
+    with ThreadPoolExecutor(len(S.FEEDS)) as pool:
+        found = [one.withColumn("taxi_type", F.lit(name)) for name, one in zip(S.FEEDS, pool.map(of, S.FEEDS.values()))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
 def _late_merge(spark: SparkSession, d: str) -> DataFrame:
