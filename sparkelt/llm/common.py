@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Seconds in which the JVM learns of the objects that Python dropped.
+PASSED_ON_S = 1.5
 #: What separates words: ASCII white space, or all ASCII but lower-case letters and digits.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 NOT_PLAIN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -97,10 +100,14 @@ def let_go(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of steps that nothing refers to any more.
 
     It does so when the driver's JVM collects its garbage, which on a large heap may be long after a
-    written table has made them useless.
+    written table has made them useless. What Python dropped is garbage there only once the thread
+    that passes it on, about once a second, has done so. A first collection frees the plans, and only a
+    second one the shuffles that they held.
     """
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for pause in (PASSED_ON_S, PASSED_ON_S / 5):
+        time.sleep(pause)
+        spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

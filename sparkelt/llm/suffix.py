@@ -421,6 +421,9 @@ def repeats(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("key")
         .mapInPandas(_refine, "a long, b long, offset long, count long, least long")
     )
+    # Segments are the largest shuffle, texts the next: neither is left on disk beside the other.
+    runs = written(runs, "runs")
+    let_go(spark)
     places = named.select("a", "b", "owner", "tid", "place", (F.octet_length("block") - WIDTH + 1).alias("strings"))
     earliest = places.groupBy("a", "b").agg(F.min("owner").alias("first"))
     placed = places.join(earliest, ["a", "b"])
@@ -434,6 +437,8 @@ def repeats(docs: DataFrame) -> DataFrame:
         .select("owner", "tid", (F.col("place") + F.col("offset")).alias("start"), "count")
     )
     removed = copied.unionByName(partly).groupBy("owner", "tid").agg(F.collect_set(F.struct("start", "count")).alias("runs"))
+    removed = written(removed, "removed")
+    let_go(spark)
     cut = (
         told.select("owner", "tid", "bytes")
         .join(removed, ["owner", "tid"])
