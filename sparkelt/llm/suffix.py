@@ -6,6 +6,9 @@ one of the smallest hash. So (1) each text's anchors are dealt out by hash, to l
 several texts; (2) the places of those anchors, with the bytes of the strings that they anchor, are
 dealt out again; (3) within an anchor's bucket the suffixes are refined: initial buckets by bytes,
 then by the pair of bucket identifiers here and a bucket length further on, doubling up to WIDTH.
+
+An anchor is half a string long: shorter ones (16 bytes were tried) recur by chance ever more often
+as a corpus grows, and each such chance moves and refines strings that no other text holds.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,15 +24,17 @@ from pyspark.sql import functions as F
 from .common import importable, let_go, written
 
 WIDTH = 50
-Q = 16
+Q = 24
 #: Bytes hashed at once; positions are packed into the low 20 bits.
-PIECE = 1 << 19
+PIECE = 1 << 16
+#: Texts told apart within a batch, and parts: packed above an anchor's 32 bits into one number.
+OWNER_BITS, PART_BITS = 14, 18
 #: An anchor in so many texts is dealt out by whole strings, so that no bucket grows with it.
 HOT_TEXTS = 20_000
 #: One anchor in so many ends a block of strings.
 BLOCK_ANCHORS = 16
 #: Bytes of text segments refined at once.
-REFINE_BYTES = 1 << 21
+REFINE_BYTES = 1 << 19
 LAST = 2**63 - 1
 
 
@@ -67,69 +71,104 @@ def anchored(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (low & np.uint64(0xFFFFF)).astype(np.int64), grams
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _binary(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values, and where each begins there (and the last one ends)."""
+    column = column.cast(pa.large_binary())
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), at
+
+
+def _numbers(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """As _binary, for values that are runs of numbers: all numbers, and where each run begins."""
+    data, at = _binary(column)
+    return data[at[0] : at[-1]].view(kind), (at - at[0]) // np.dtype(kind).itemsize
+
+
+def _bytes_of(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The numbers from each bound to the next as binary values."""
+    at = bounds.astype(np.int64) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def _starts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+
+
+def _pieces(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, valid string starts, their text, their position in it), some PIECE bytes at once."""
-    held, size = [], 0
-
-    def flush():
-        data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
-        starts, owner, place, at = [], [], [], 0
-        for n, offset, p in held:
-            count = len(p) - WIDTH + 1
-            starts.append(np.arange(at, at + count))
-            owner.append(np.full(count, n))
-            place.append(np.arange(offset, offset + count))
-            at += len(p)
-        return data, np.concatenate(starts), np.concatenate(owner), np.concatenate(place)
-
-    for n, text in enumerate(texts):
-        for offset in range(0, len(text) - WIDTH + 1, PIECE):
-            part = text[offset : offset + PIECE + WIDTH - 1]
-            held.append((n, offset, part))
-            size += len(part)
-            if size >= PIECE // 2:
-                yield flush()
-                held, size = [], 0
-    if held:
-        yield flush()
+    n, rows = 0, len(at) - 1
+    while n < rows:
+        until = max(n + 1, int(np.searchsorted(at, at[n] + PIECE, "right")) - 1)
+        begin, end = int(at[n]), int(at[until])
+        if end - begin > PIECE:  # one long text
+            for offset in range(0, end - begin - WIDTH + 1, PIECE):
+                part = data[begin + offset : min(end, begin + offset + PIECE + WIDTH - 1)]
+                starts = np.arange(len(part) - WIDTH + 1)
+                yield part, starts, np.full(len(starts), n), starts + offset
+        else:
+            counts = np.maximum(np.diff(at[n : until + 1]) - (WIDTH - 1), 0)
+            owner = np.repeat(np.arange(n, until), counts)
+            if len(owner):
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield data[begin:end], place + np.repeat(at[n:until] - begin, counts), owner, place
+        n = until
+
+
+def _anchor_runs(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first string, hash of the anchor) of every run of strings with one anchor; no run crosses texts."""
+    anchor, grams = anchored(data)
+    spot = anchor[starts]
+    begin = _starts_of(spot)
+    return begin, grams[spot[begin]]
 
 
 def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (keys >> np.uint64(32)).astype(np.int64) % parts
+    return (keys >> np.uint64(32)) % np.uint64(parts)
+
+
+def _short(keys: np.ndarray, parts: int) -> np.ndarray:
+    """What is known of an anchor: its part, and 32 bits of its hash."""
+    return (_parts_of(keys, parts) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, 1 << OWNER_BITS):
+            yield b.slice(at, 1 << OWNER_BITS)
 
 
 def _anchor_blocks(parts: int):
     """Per batch and part: the texts' numbers, how many anchors each has there, and the anchors."""
+    low, above = np.uint64(0xFFFFFFFF), np.uint64(32 + OWNER_BITS)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             ids = b.column("tid").to_numpy(zero_copy_only=False)
-            keys, owners = [], []
-            for data, starts, owner, _ in _pieces(b.column("bytes").to_pylist()):
-                anchor, grams = anchored(data)
-                spot = anchor[starts]
-                new = np.r_[True, (spot[1:] != spot[:-1]) | (owner[1:] != owner[:-1])]
-                keys.append(grams[spot[new]])
-                owners.append(owner[new])
-            if not keys:
+            found = []
+            for data, starts, owner, _ in _pieces(*_binary(b.column("bytes"))):
+                begin, key = _anchor_runs(data, starts)
+                text = owner[begin].astype(np.uint64) << np.uint64(32)
+                found.append((_parts_of(key, parts) << above) | text | (key & low))
+            if not found:
                 continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            part = _parts_of(key, parts)
-            order = np.lexsort((key, owner, part))
-            key, owner, part = key[order], owner[order], part[order]
-            same = np.r_[False, (key[1:] == key[:-1]) & (owner[1:] == owner[:-1])]
-            key, owner, part = key[~same], owner[~same], part[~same]
-            runs = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])])
-            counts = np.diff(np.r_[runs, len(key)]).astype("<u4")
-            at = np.flatnonzero(np.r_[True, part[runs][1:] != part[runs][:-1]])
-            until = np.r_[at[1:], len(runs)]
-            bounds = np.r_[runs, len(key)]
+            found = np.unique(np.concatenate(found))
+            runs = _starts_of(found >> np.uint64(32))
+            part = (found[runs] >> above).astype(np.int32)
+            owner = ((found[runs] >> np.uint64(32)) & np.uint64((1 << OWNER_BITS) - 1)).astype(np.int64)
+            at = _starts_of(part)
+            bounds = np.r_[at, len(runs)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(part[runs[at]], pa.int32()),
-                    pa.array([ids[owner[runs[x:y]]].astype("<i8").tobytes() for x, y in zip(at, until)], pa.binary()),
-                    pa.array([counts[x:y].tobytes() for x, y in zip(at, until)], pa.binary()),
-                    pa.array([key[bounds[x] : bounds[y]].astype("<u4").tobytes() for x, y in zip(at, until)], pa.binary()),
+                    pa.array(part[at], pa.int32()),
+                    _bytes_of(ids[owner].astype("<i8"), bounds),
+                    _bytes_of(np.diff(np.r_[runs, len(found)]).astype("<u4"), bounds),
+                    _bytes_of((found & low).astype("<u4"), np.r_[runs, len(found)][bounds]),
                 ],
                 names=["part", "ids", "counts", "keys"],
             )
@@ -137,58 +176,105 @@ def _anchor_blocks(parts: int):
     return emit
 
 
-def _shared_in_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per part and text: its anchors that other texts hold too, and those of them that are hot."""
-
-    def told(part: int, rows: list) -> pd.DataFrame:
-        ids = np.concatenate([np.repeat(np.frombuffer(i, "<i8"), np.frombuffer(c, "<u4")) for i, c, _ in rows])
-        keys = np.concatenate([np.frombuffer(k, "<u4") for _, _, k in rows])
-        order = np.lexsort((ids, keys))
-        ids, keys = ids[order], keys[order]
-        first = np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])]  # copies count once
-        ids, keys = ids[first], keys[first]
-        begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        texts = np.repeat(np.diff(np.r_[begin, len(keys)]), np.diff(np.r_[begin, len(keys)]))
-        held = texts > 1
-        ids, keys, hot = ids[held], keys[held], texts[held] > HOT_TEXTS
-        order = np.lexsort((keys, hot, ids))
-        ids, keys, hot = ids[order], keys[order], hot[order]
-        cut = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (hot[1:] != hot[:-1])]) if len(ids) else np.zeros(0, int)
-        until = np.r_[cut[1:], len(ids)] if len(ids) else cut
-        return pd.DataFrame(
-            {
-                "tid": ids[cut],
-                "part": np.full(len(cut), part, np.int32),
-                "hot": hot[cut],
-                "keys": [keys[x:y].tobytes() for x, y in zip(cut, until)],
-            }
-        )
+def _runs_by(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each value of a column by which they are sorted."""
+    held, last = [], None
+    for b in batches:
+        values = b.column(name).to_numpy(zero_copy_only=False)
+        at = _starts_of(values)
+        for x, y in zip(at, np.r_[at[1:], len(values)]):
+            if held and values[x] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(x, y - x))
+            last = values[x]
+    if held:
+        yield last, pa.Table.from_batches(held)
 
-    part, rows = None, []
-    for f in frames:
-        for p, i, c, k in zip(f["part"], f["ids"], f["counts"], f["keys"]):
-            if p != part and rows:
-                yield told(part, rows)
-                rows = []
-            part = p
-            rows.append((i, c, k))
-    if rows:
-        yield told(part, rows)
 
+def _shared_in_part(groups: int):
+    """Per part and group of texts: the texts' anchors that other texts hold too, and which are hot.
 
-# --- blocks and segments --------------------------------------------------------------------------
+    A row per text and part would be many small ones: as many as a text has anchors, once there are as
+    many parts.
+    """
+    low, up = np.uint64(0xFFFFFFFF), np.uint64(32)
 
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in _runs_by(batches, "part"):
+            ids, _ = _numbers(rows.column("ids"), "<i8")
+            counts, _ = _numbers(rows.column("counts"), "<u4")
+            keys, _ = _numbers(rows.column("keys"), "<u4")
+            texts, which = np.unique(ids, return_inverse=True)
+            group = (texts.view(np.uint64) % np.uint64(groups)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            texts, group = texts[order], group[order]
+            rank = np.empty(len(order), np.uint64)
+            rank[order] = np.arange(len(order), dtype=np.uint64)
+            # copies count once
+            pairs = np.unique((keys.astype(np.uint64) << up) | np.repeat(rank[which], counts))
+            begin = _starts_of(pairs >> up)
+            holders = np.diff(np.r_[begin, len(pairs)])
+            hot = pairs[begin[holders > HOT_TEXTS]] >> up
+            pairs = pairs[np.repeat(holders > 1, holders)]
+            if not len(pairs):
+                continue
+            pairs = np.sort((pairs << up) | (pairs >> up))
+            text, key = (pairs >> up).astype(np.int64), pairs & low
+            runs = _starts_of(text)
+            at = _starts_of(group[text[runs]])
+            bounds = np.r_[at, len(runs)]
+            within = np.r_[runs, len(pairs)][bounds]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(group[text[runs[at]]], pa.int32()),
+                    pa.array(np.full(len(at), part), pa.int32()),
+                    _bytes_of(texts[text[runs]].astype("<i8"), bounds),
+                    _bytes_of(np.diff(np.r_[runs, len(pairs)]).astype("<u4"), bounds),
+                    _bytes_of(key.astype("<u4"), within),
+                    _bytes_of(np.isin(key, hot).astype(np.uint8), within),
+                ],
+                names=["group", "part", "ids", "counts", "keys", "hot"],
+            )
 
-def _short(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (_parts_of(keys, parts).astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+    return emit
 
 
-def _known(found: list[dict], hot: bool | None) -> np.ndarray:
-    chosen = [x for x in found if hot is None or x["hot"] == hot]
-    return np.concatenate(
-        [np.zeros(0, np.uint64)]
-        + [(np.uint64(x["part"]) << np.uint64(32)) | np.frombuffer(x["keys"], "<u4").astype(np.uint64) for x in chosen]
-    )
+def _shared_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text: its anchors that other texts hold too, and those of them that are hot."""
+    for _, rows in _runs_by(batches, "group"):
+        ids, at = _numbers(rows.column("ids"), "<i8")
+        counts, _ = _numbers(rows.column("counts"), "<u4")
+        keys, _ = _numbers(rows.column("keys"), "<u4")
+        hot, _ = _numbers(rows.column("hot"), "u1")
+        part = np.repeat(rows.column("part").to_numpy().astype(np.uint64), np.diff(at))
+        keys = (np.repeat(part, counts) << np.uint64(32)) | keys.astype(np.uint64)
+        texts, which = np.unique(ids, return_inverse=True)
+        which = np.repeat(which, counts)
+        order = np.argsort(which, kind="stable")
+        keys, which, hot = keys[order], which[order], hot[order].astype(bool)
+        ends = np.cumsum(np.bincount(which, minlength=len(texts)))
+        hot_ends = np.cumsum(np.bincount(which[hot], minlength=len(texts)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(texts, pa.int64()), _bytes_of(keys, np.r_[0, ends]), _bytes_of(keys[hot], np.r_[0, hot_ends])],
+            names=["tid", "shared", "hot"],
+        )
+
+
+# --- blocks and segments --------------------------------------------------------------------------
+
+
+def _of_rows(owner: np.ndarray, short: np.ndarray, known: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which anchors are among those known of their own row; rows are a piece's, in order."""
+    lo, hi = int(owner[0]), int(owner[-1]) + 1
+    mine = known[at[lo] : at[hi]]
+    if not len(mine):
+        return np.zeros(len(short), bool)
+    above = np.uint64(32 + PART_BITS)
+    rows = np.repeat(np.arange(hi - lo, dtype=np.uint64), np.diff(at[lo : hi + 1]))
+    have = np.sort((rows << above) | mine)
+    asked = ((owner - lo).astype(np.uint64) << above) | short
+    return have[np.minimum(np.searchsorted(have, asked), len(have) - 1)] == asked
 
 
 def _blocks(parts: int):
@@ -198,38 +284,33 @@ def _blocks(parts: int):
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             docs = b.column("owner").to_numpy(zero_copy_only=False)
             ids = b.column("tid").to_numpy(zero_copy_only=False)
-            found = b.column("found").to_pylist()
-            shared, hot = [_known(f, None) for f in found], [_known(f, True) for f in found]
-            for data, starts, owner, place in _pieces(b.column("bytes").to_pylist()):
-                anchor, grams = anchored(data)
-                spot = anchor[starts]
-                key = grams[spot]
-                short = _short(key, parts)
-                taken = np.zeros(len(starts), bool)
-                bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
-                for x, y in zip(bounds[:-1], bounds[1:]):
-                    taken[x:y] = np.isin(short[x:y], shared[owner[x]])
-                ends_block = ((key >> np.uint64(20)) % np.uint64(BLOCK_ANCHORS)) == 0
-                cut = (spot[1:] != spot[:-1]) & ends_block[:-1]
-                joined = np.r_[False, taken[1:] & taken[:-1] & ~cut & (owner[1:] == owner[:-1]) & (starts[1:] == starts[:-1] + 1)]
+            shared, hot = _numbers(b.column("shared"), "<u8"), _numbers(b.column("hot"), "<u8")
+            for data, starts, owner, place in _pieces(*_binary(b.column("bytes"))):
+                run, key = _anchor_runs(data, starts)
+                short, text = _short(key, parts), owner[run]
+                taken = _of_rows(text, short, *shared)
+                cut = ((key >> np.uint64(20)) % np.uint64(BLOCK_ANCHORS)) == 0
+                joined = np.r_[False, taken[1:] & taken[:-1] & ~cut[:-1] & (text[1:] == text[:-1])]
                 begin = np.flatnonzero(taken & ~joined)
                 if not len(begin):
                     continue
                 until = np.flatnonzero(taken & ~np.r_[joined[1:], False])
+                first, last = run[begin], np.r_[run[1:], len(starts)][until] - 1
+                warm = np.flatnonzero(_of_rows(text, short, *hot))
+                hot_keys = [b""] * len(begin)
+                for n in np.unique(np.searchsorted(begin, warm, "right") - 1):
+                    in_block = warm[np.searchsorted(warm, begin[n]) : np.searchsorted(warm, until[n], "right")]
+                    hot_keys[n] = np.unique(short[in_block]).astype("<u8").tobytes()
                 raw = data.tobytes()
-                hot_keys = [
-                    np.intersect1d(short[x : y + 1], hot[owner[x]]).astype("<u8").tobytes() if len(hot[owner[x]]) else b""
-                    for x, y in zip(begin, until)
-                ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(docs[owner[begin]], pa.int64()),
-                        pa.array(ids[owner[begin]], pa.int64()),
-                        pa.array(place[begin], pa.int64()),
-                        pa.array([raw[x : y + WIDTH] for x, y in zip(starts[begin], starts[until])], pa.binary()),
+                        pa.array(docs[owner[first]], pa.int64()),
+                        pa.array(ids[owner[first]], pa.int64()),
+                        pa.array(place[first], pa.int64()),
+                        pa.array([raw[x : y + WIDTH] for x, y in zip(starts[first].tolist(), starts[last].tolist())], pa.binary()),
                         pa.array(hot_keys, pa.binary()),
                     ],
                     names=["owner", "tid", "place", "block", "hot"],
@@ -245,25 +326,23 @@ def _segments(parts: int):
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hot = [np.frombuffer(h, "<u8") for h in b.column("hot").to_pylist()]
+        for b in _sliced(batches):
+            hot = _numbers(b.column("hot"), "<u8")
             columns = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "first")}
-            for data, starts, owner, place in _pieces(b.column("block").to_pylist()):
-                anchor, grams = anchored(data)
-                spot = anchor[starts]
-                key = grams[spot]
-                warm = np.zeros(len(starts), bool)
-                bounds = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
-                for x, y in zip(bounds[:-1], bounds[1:]):
-                    if len(hot[owner[x]]):
-                        warm[x:y] = np.isin(_short(key[x:y], parts), hot[owner[x]])
-                same = ~warm[1:] & ~warm[:-1] & (spot[1:] == spot[:-1]) & (owner[1:] == owner[:-1])
-                begin = np.flatnonzero(np.r_[True, ~same])
+            for data, starts, owner, place in _pieces(*_binary(b.column("block"))):
+                begin, keys = _anchor_runs(data, starts)
+                warm = _of_rows(owner[begin], _short(keys, parts), *hot)
+                if warm.any():
+                    counts = np.diff(np.r_[begin, len(starts)])
+                    warm, keys = np.repeat(warm, counts), np.repeat(keys, counts)
+                    apart = warm.copy()
+                    apart[begin] = True
+                    begin = np.flatnonzero(apart)
+                    keys, warm = keys[begin], warm[begin]
                 until = np.r_[begin[1:], len(starts)] - 1
                 raw = data.tobytes()
-                cut = [raw[x : y + WIDTH] for x, y in zip(starts[begin], starts[until])]
-                keys = key[begin]
-                for n in np.flatnonzero(warm[begin]):
+                cut = [raw[x : y + WIDTH] for x, y in zip(starts[begin].tolist(), starts[until].tolist())]
+                for n in np.flatnonzero(warm):
                     keys[n] = np.frombuffer(hashlib.blake2b(cut[n], digest_size=8).digest(), np.uint64)[0]
                 own = owner[begin]
                 yield pa.RecordBatch.from_arrays(
@@ -290,75 +369,145 @@ def _ranked(*columns: np.ndarray) -> np.ndarray:
     return np.unique(value, return_inverse=True)[1]
 
 
-def smallest_owner(data: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For the string of WIDTH bytes at every start: the smallest owner of an equal one."""
-    if not len(starts):
-        return owner
-    rank, size = _ranked(_words8(np.r_[data, np.zeros(7, np.uint8)])), 8
+def _buckets(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Bucket identifiers by sorting at every length: whatever the bytes, equal only for equal strings."""
+    rank, size = _ranked(words), 8
     while 2 * size <= WIDTH:
         rank = _ranked(rank[:-size], rank[size:]) if len(rank) > size else rank
         size *= 2
-    final = _ranked(rank[starts], rank[starts + WIDTH - size])
-    order = np.lexsort((owner, final))
-    begin = np.flatnonzero(np.r_[True, final[order][1:] != final[order][:-1]])
-    out = np.empty(len(starts), owner.dtype)
-    out[order] = np.repeat(owner[order][begin], np.diff(np.r_[begin, len(order)]))
-    return out
+    return _ranked(rank[starts], rank[starts + WIDTH - size])
 
 
-def _refine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per segment: runs (start in its block, count, smallest owner) of strings an earlier text holds."""
+def _named(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Bucket identifiers that need no sorting: a mix of the pair of identifiers here and further on."""
+    factor = np.uint64(0xA0761D6478BD642F)
+    name, size = words, 8
+    while 2 * size <= WIDTH:
+        name = _mixed(name[:-size] * factor + name[size:]) if len(name) > size else name
+        size *= 2
+    return _mixed(name[starts] * factor + name[starts + WIDTH - size])
 
-    def told(rows: list[tuple]) -> pd.DataFrame:
-        _, a, b, first, place = (np.array(c, np.int64) for c in list(zip(*rows))[:5])
-        data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        size = np.array([len(r[5]) for r in rows])
-        base = np.r_[0, np.cumsum(size)[:-1]]
-        count = size - WIDTH + 1
-        seg = np.repeat(np.arange(len(rows)), count)
-        offset = np.arange(len(seg)) - np.repeat(np.r_[0, np.cumsum(count)[:-1]], count)
-        least = smallest_owner(data, base[seg] + offset, first[seg])
-        wanted = least < first[seg]
-        seg, offset, least = seg[wanted], offset[wanted], least[wanted]
-        new = np.r_[True, (seg[1:] != seg[:-1]) | (offset[1:] != offset[:-1] + 1) | (least[1:] != least[:-1])][: len(seg)]
-        at = np.flatnonzero(new)
-        length = np.diff(np.r_[at, len(seg)])
-        own = seg[at]
-        return pd.DataFrame(
-            {"a": a[own], "b": b[own], "offset": place[own] + offset[at], "count": length, "least": least[at]}
-        )
 
+def smallest_owner(data: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For the string of WIDTH bytes at every start: the smallest owner of an equal one.
+
+    Buckets are sorted once, by their last identifiers. Members are then compared with the first one
+    byte by byte; should two strings ever share an identifier, identifiers are made by sorting.
+    """
+    if not len(starts):
+        return owner
+    words = _words8(np.r_[data, np.zeros(7, np.uint8)])
+    out = owner.copy()
+    for exact in (False, True):
+        final = _buckets(words, starts) if exact else _named(words, starts)
+        order = np.argsort(final)
+        final = final[order]
+        same = final[1:] == final[:-1]
+        many = np.r_[False, same] | np.r_[same, False]  # alone in a bucket: settled
+        order, final = order[many], final[many]
+        if not len(order):
+            return out
+        begin = _starts_of(final)
+        counts = np.diff(np.r_[begin, len(order)])
+        here = starts[order]
+        there = np.repeat(here[begin], counts)
+        if exact or all((words[here + at] == words[there + at]).all() for at in (*range(0, WIDTH - 8, 8), WIDTH - 8)):
+            break
+    out[order] = np.repeat(np.minimum.reduceat(owner[order], begin), counts)
+    return out
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by key, some REFINE_BYTES of segments at once, no key in two tables."""
     held, size, last = [], 0, None
-    for f in frames:
-        for row in zip(f["key"], f["a"], f["b"], f["first"], f["place"], f["segment"]):
-            if size >= REFINE_BYTES and row[0] != last:
-                yield told(held)
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = b.column("key").to_numpy(zero_copy_only=False)
+        _, bounds = _binary(b.column("segment"))
+        new = np.flatnonzero(np.r_[keys[0] != last, keys[1:] != keys[:-1]])
+        at = 0
+        while at < b.num_rows:
+            enough = np.searchsorted(bounds, bounds[at] + max(REFINE_BYTES - size, 0))
+            n = np.searchsorted(new, enough)
+            until = int(new[n]) if n < len(new) else b.num_rows
+            if until > at:
+                held.append(b.slice(at, until - at))
+                size += int(bounds[until] - bounds[at])
+            if until < b.num_rows:
+                yield pa.Table.from_batches(held)
                 held, size = [], 0
-            held.append(row)
-            size += len(row[5])
-            last = row[0]
+            at = until
+        last = keys[-1]
     if held:
-        yield told(held)
+        yield pa.Table.from_batches(held)
 
 
-def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per segment: runs (start in its block, count, smallest owner) of strings an earlier text holds."""
+    for rows in _whole_buckets(batches):
+        a, b, first, place = (rows.column(c).to_numpy() for c in ("a", "b", "first", "place"))
+        data, at = _binary(rows.column("segment"))
+        data, at = data[at[0] : at[-1]], at - at[0]
+        count = np.diff(at) - WIDTH + 1
+        seg = np.repeat(np.arange(len(count)), count)
+        offset = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+        least = smallest_owner(data, at[seg] + offset, first[seg])
+        wanted = np.flatnonzero(least < first[seg])
+        seg, offset, least = seg[wanted], offset[wanted], least[wanted]
+        begin = _starts_of(seg, offset - np.arange(len(offset)), least)
+        own = seg[begin]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(a[own], pa.int64()),
+                pa.array(b[own], pa.int64()),
+                pa.array(place[own] + offset[begin], pa.int64()),
+                pa.array(np.diff(np.r_[begin, len(seg)]), pa.int64()),
+                pa.array(least[begin], pa.int64()),
+            ],
+            names=["a", "b", "offset", "count", "least"],
+        )
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins the repeated strings of a text to spans and hashes what is left."""
-    for f in frames:
-        out = []
-        for owner, tid, text, runs in zip(f["owner"], f["tid"], f["bytes"], f["runs"]):
-            spans: list[list[int]] = []
-            for begin, end in sorted((r["start"], r["start"] + r["count"] + WIDTH - 1) for r in runs):
-                if spans and begin <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], end)
-                else:
-                    spans.append([begin, end])
-            kept, at = hashlib.sha256(), 0
-            for begin, end in spans:
-                kept.update(text[at:begin])
-                at = end
-            kept.update(text[at:])
-            out.append((owner, tid, sum(e - b for b, e in spans), len(spans), kept.hexdigest(), spans))
-        yield pd.DataFrame(out, columns=["owner", "tid", "n_removed", "n_spans", "kept_sha256", "spans"])
+    for b in batches:
+        runs = b.column("runs")
+        text = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+        start, count = (runs.flatten().field(n).to_numpy(zero_copy_only=False) for n in ("start", "count"))
+        order = np.lexsort((start, text))
+        text, start, end = text[order], start[order], (start + count)[order] + WIDTH - 1
+        reach = np.zeros(0, np.int64)
+        if len(text):  # texts are laid out one after the other, with a gap
+            reach = text * (int(end.max()) + 1)
+            until = np.maximum.accumulate(end + reach)
+            begin = np.flatnonzero(np.r_[True, start[1:] + reach[1:] > until[:-1]])
+            last = np.r_[begin[1:], len(text)] - 1
+            text, start, end = text[begin], start[begin], until[last] - reach[last]
+        bounds = np.searchsorted(text, np.arange(len(runs) + 1))
+        kept = []
+        for n, value in enumerate(b.column("bytes")):
+            data, digest, at = value.as_buffer(), hashlib.sha256(), 0
+            for x, y in zip(start[bounds[n] : bounds[n + 1]].tolist(), end[bounds[n] : bounds[n + 1]].tolist()):
+                digest.update(data[at:x])
+                at = y
+            digest.update(data[at:])
+            kept.append(digest.hexdigest())
+        removed = np.r_[0, np.cumsum(end - start)]
+        pairs = pa.ListArray.from_arrays(
+            pa.array(np.arange(0, 2 * len(start) + 1, 2), pa.int32()), pa.array(np.c_[start, end].ravel(), pa.int64())
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                b.column("owner"),
+                b.column("tid"),
+                pa.array(removed[bounds[1:]] - removed[bounds[:-1]], pa.int64()),
+                pa.array(np.diff(bounds), pa.int64()),
+                pa.array(kept, pa.string()),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pairs),
+            ],
+            names=["owner", "tid", "n_removed", "n_spans", "kept_sha256", "spans"],
+        )
 
 
 def _shared_blocks(told: DataFrame, first: DataFrame, parts: int) -> DataFrame:
@@ -369,15 +518,16 @@ def _shared_blocks(told: DataFrame, first: DataFrame, parts: int) -> DataFrame:
     shared = (
         anchors.repartition(parts, "part")
         .sortWithinPartitions("part")
-        .mapInPandas(_shared_in_part, "tid long, part int, hot boolean, keys binary")
-        .groupBy("tid")
-        .agg(F.collect_list(F.struct("part", "hot", "keys")).alias("found"))
+        .mapInArrow(_shared_in_part(parts), "group int, part int, ids binary, counts binary, keys binary, hot binary")
+        .repartition(parts, "group")
+        .sortWithinPartitions("group")
+        .mapInArrow(_shared_of_texts, "tid long, shared binary, hot binary")
     )
     wanted = shared.join(first, "tid")
     return written(
         told.select("owner", "tid", "tid2", "bytes")
         .join(wanted, ["owner", "tid", "tid2"])
-        .select("owner", "tid", "bytes", "found")
+        .select("owner", "tid", "bytes", "shared", "hot")
         .mapInArrow(_blocks(parts), "owner long, tid long, place long, block binary, hot binary"),
         "blocks",
     )
@@ -395,7 +545,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     importable(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << PART_BITS)
     text = F.coalesce(F.col("text"), F.lit(""))
     told = docs.select(
         "doc_id",
@@ -419,7 +569,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         distinct.mapInArrow(_segments(parts), "key long, a long, b long, first long, place long, segment binary")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(_refine, "a long, b long, offset long, count long, least long")
+        .mapInArrow(_refine, "a long, b long, offset long, count long, least long")
     )
     # Segments are the largest shuffle, texts the next: neither is left on disk beside the other.
     runs = written(runs, "runs")
@@ -442,7 +592,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     cut = (
         told.select("owner", "tid", "bytes")
         .join(removed, ["owner", "tid"])
-        .mapInPandas(
+        .mapInArrow(
             _cut, "owner long, tid long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
         )
         .dropDuplicates(["owner", "tid"])
