@@ -319,10 +319,25 @@ def _blocks(parts: int):
     return emit
 
 
+def _once(own: np.ndarray, keys: np.ndarray, cut: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first of each distinct segment of a block, the places of all, where each one's places begin).
+
+    A word repeated all over a text gives one segment again and again.
+    """
+    everyone = np.arange(len(own) + 1)
+    if len(np.unique(_mixed(keys) + own.astype(np.uint64))) == len(own):
+        return everyone[:-1], place, everyone
+    known: dict[tuple[int, bytes], int] = {}
+    which = np.array([known.setdefault(x, len(known)) for x in zip(own.tolist(), cut)])
+    order = np.argsort(which, kind="stable")
+    at = _starts_of(which[order])
+    return order[at], place[order], np.r_[at, len(own)]
+
+
 def _segments(parts: int):
     """Of each distinct block, the bytes of every run of strings with one anchor, by that anchor.
 
-    A string with a hot anchor is a segment of its own, keyed by its content.
+    Equal segments of a block are one, with all its places. A string with a hot anchor is a segment of its own, keyed by its content.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,14 +360,15 @@ def _segments(parts: int):
                 for n in np.flatnonzero(warm):
                     keys[n] = np.frombuffer(hashlib.blake2b(cut[n], digest_size=8).digest(), np.uint64)[0]
                 own = owner[begin]
+                first, places, at = _once(own, keys, cut, place[begin])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(keys.view(np.int64), pa.int64()),
-                        *[pa.array(columns[c][own], pa.int64()) for c in ("a", "b", "first")],
-                        pa.array(place[begin], pa.int64()),
-                        pa.array(cut, pa.binary()),
+                        pa.array(keys[first].view(np.int64), pa.int64()),
+                        *[pa.array(columns[c][own[first]], pa.int64()) for c in ("a", "b", "first")],
+                        _bytes_of(places.astype("<i8"), at),
+                        pa.array([cut[n] for n in first.tolist()], pa.binary()),
                     ],
-                    names=["key", "a", "b", "first", "place", "segment"],
+                    names=["key", "a", "b", "first", "places", "segment"],
                 )
 
     return emit
@@ -446,7 +462,8 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per segment: runs (start in its block, count, smallest owner) of strings an earlier text holds."""
     for rows in _whole_buckets(batches):
-        a, b, first, place = (rows.column(c).to_numpy() for c in ("a", "b", "first", "place"))
+        a, b, first = (rows.column(c).to_numpy() for c in ("a", "b", "first"))
+        places, places_at = _numbers(rows.column("places"), "<i8")
         data, at = _binary(rows.column("segment"))
         data, at = data[at[0] : at[-1]], at - at[0]
         count = np.diff(at) - WIDTH + 1
@@ -456,13 +473,18 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.flatnonzero(least < first[seg])
         seg, offset, least = seg[wanted], offset[wanted], least[wanted]
         begin = _starts_of(seg, offset - np.arange(len(offset)), least)
+        # a run is told for all places of its segment
+        often = np.diff(places_at)[seg[begin]]
+        length = np.repeat(np.diff(np.r_[begin, len(seg)]), often)
+        nth = np.arange(len(length)) - np.repeat(np.cumsum(often) - often, often)
+        begin = np.repeat(begin, often)
         own = seg[begin]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(a[own], pa.int64()),
                 pa.array(b[own], pa.int64()),
-                pa.array(place[own] + offset[begin], pa.int64()),
-                pa.array(np.diff(np.r_[begin, len(seg)]), pa.int64()),
+                pa.array(places[places_at[own] + nth] + offset[begin], pa.int64()),
+                pa.array(length, pa.int64()),
                 pa.array(least[begin], pa.int64()),
             ],
             names=["a", "b", "offset", "count", "least"],
@@ -566,7 +588,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.min("owner").alias("first"), F.first("block").alias("block"), F.first("hot").alias("hot")
     )
     runs = (
-        distinct.mapInArrow(_segments(parts), "key long, a long, b long, first long, place long, segment binary")
+        distinct.mapInArrow(_segments(parts), "key long, a long, b long, first long, places binary, segment binary")
         .repartition("key")
         .sortWithinPartitions("key")
         .mapInArrow(_refine, "a long, b long, offset long, count long, least long")

@@ -121,3 +121,24 @@ def test_spans_join_and_what_is_left_is_hashed():
     assert (one["spans"], one["n_removed"], one["n_spans"]) == (spans, 54 + 101 + 100, 3)
     assert one["kept_sha256"] == hashlib.sha256(left).hexdigest()
     assert (two["spans"], two["n_removed"], two["kept_sha256"]) == ([[0, 400]], 400, hashlib.sha256(b"").hexdigest())
+
+
+def test_a_word_repeated_all_over_a_text_is_one_segment():
+    word = "over and over "
+    block = (word * 300).encode()
+    batch = pa.RecordBatch.from_arrays(
+        [
+            *[pa.array([n, n + 10], pa.int64()) for n in (1, 2, 3)],
+            pa.array([block, block + letters("end", 60).encode()], pa.binary()),
+            pa.array([b"", b""], pa.binary()),
+        ],
+        names=["a", "b", "first", "block", "hot"],
+    )
+    segments = pa.Table.from_batches(suffix._segments(4)(iter([batch]))).sort_by("key")
+    assert segments.num_rows < 60
+    strings = sum((len(r["segment"]) - suffix.WIDTH + 1) * len(r["places"]) // 8 for r in segments.to_pylist())
+    assert strings == 2 * (len(block) - suffix.WIDTH + 1) + 60
+    runs = pa.Table.from_batches(suffix._refine(iter(segments.combine_chunks().to_batches()))).to_pylist()
+    gone = {r["offset"] + n for r in runs for n in range(r["count"])}
+    assert {(r["a"], r["least"]) for r in runs} == {(11, 3)}
+    assert gone == set(range(len(block) - suffix.WIDTH + 1)) and sum(r["count"] for r in runs) == len(gone)
