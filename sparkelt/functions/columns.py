@@ -29,6 +29,17 @@ def trip_key(feed_name: str, id_cols: Iterable[Column | str]) -> Column:
     return F.coalesce(digest, F.lit(""))
 
 
+def packed_key(c: Column | str) -> tuple[Column, Column]:
+    """A text key as bytes and text, one of them NULL: hex as bytes, which take half the room, else as it is."""
+    c = _col(c)
+    packed = c.rlike("^([0-9a-f][0-9a-f])+\\z")
+    return F.when(packed, F.unhex(c)), F.when(~packed, c)
+
+
+def unpacked_key(packed: Column | str, text: Column | str) -> Column:
+    return F.coalesce(F.lower(F.hex(_col(packed))), _col(text))
+
+
 # --- codes and flags --------------------------------------------------------------------------
 
 

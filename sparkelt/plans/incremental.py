@@ -11,8 +11,8 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkelt.functions.columns import packed_key, unpacked_key
 from sparkelt.operators.filters import since, since_marks
-from sparkelt.operators.upsert import without_keys
 from sparkelt.schemas import FEED_NAMES
 from sparkelt.sources.warehouse import MarkDict, TableSpec, Warehouse
 
@@ -27,6 +27,8 @@ TASK_ROWS = 500_000
 HOT_ROWS = 100_000
 #: Units of less than so many bytes are gathered with the new rows that they are merged with.
 TINY_BYTES = 1 << 20
+#: The rows of so many units that a merge replaces are counted, so that those that it writes are not too many.
+MANY_UNITS = 256
 #: The place of a row while it is settled.
 PLACE = ("_place_part", "_place_block")
 
@@ -150,15 +152,22 @@ def apply_updates(
     matched = set(wh.matched_units(table, near, keys)) if near else set()
     updates = model.finish(_settled(model, rows, found) if model.settle is not _same else rows)
     placed = updates.select(*table.schema.names).transform(table.with_part)
-    folded = crowded | {u for u in matched if near[u] < TINY_BYTES}
+    folded = crowded | {u for u in matched if near[u] < min(TINY_BYTES, wh.small_bytes)}
+    count = sum(found.rows.values())
     if folded:
-        # Distinct keys are combined on the map side: a much repeated key stays one row per task.
-        kept = without_keys(wh.read(table, units=folded), keys.select(table.key).distinct(), table.key)
-        placed = _gather(placed.unionByName(kept.transform(table.with_part)), table)
+        kept = wh.without(table, folded, keys).transform(table.with_part)
+        # New rows that fill units by themselves need not move for the sake of a few old ones.
+        if count < len(touched) * (wh.unit_rows // 2):
+            placed = _gather(placed.unionByName(kept), table)
+        else:
+            placed = placed.unionByName(_gather(kept, table))
     # Old rows of other units lie by partition as they are.
     if whole := matched - folded:
         placed = placed.unionByName(wh.without(table, whole, keys).transform(table.with_part))
-    added = wh.write(table, placed, matched | crowded)
+    replaced = matched | crowded
+    if len(replaced) > MANY_UNITS:
+        count += wh.key_hashes(table, replaced).count()
+    added = wh.write(table, placed, replaced, rows=count)
     wh.set_marks(table, after)
     return RunResult(model.name, "merge", touched, before, after, added)
 
@@ -196,13 +205,16 @@ def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | No
     table = model.table
     wh.clear_marks(table)
     # Regroup the narrow rows first; what finish() adds is never shuffled.
+    found = None
     if model.settle is not _same:
-        rows = _settled(model, rows, _survey(model, rows))
+        found = _survey(model, rows)
+        rows = _settled(model, rows, found)
     elif model.spread:
         part = table.part_of().alias(table.part.name)
         rows = _gather(rows.select("*", part), table).drop(table.part.name)
-    wh.write(table, model.finish(rows).transform(table.with_part), None)
-    after = upstream or watermarks(wh.read(table), model.feeds)
+    wh.write(table, model.finish(rows).transform(table.with_part), None, rows=sum(found.rows.values()) if found else 0)
+    # The newest version of a key is the last loaded, so settled rows have the marks of all.
+    after = upstream or (found.marks if found else watermarks(wh.read(table), model.feeds))
     wh.set_marks(table, after)
     return RunResult(model.name, "full", None, dict.fromkeys(model.feeds), after)
 
@@ -231,12 +243,9 @@ def _settled(model: Model, rows: DataFrame, found: Survey) -> DataFrame:
         wide = reduce(or_, [day.isin(*[p for p in large if p is not None]), *([day.isNull()] if None in large else [])])
         block = F.expr(f"pmod(xxhash64({table.key}), {-(-most // TASK_ROWS)})")
         place[PLACE[1]] = F.when(wide, block).otherwise(0)
-    # Hex keys move as bytes, which take half the room.
-    key, packed = F.col(table.key), F.col(table.key).rlike("^([0-9a-f][0-9a-f])+$")
-    half = {"_key_bytes": F.when(packed, F.unhex(key)), "_key_text": F.when(~packed, key)}
+    half = dict(zip(("_key_bytes", "_key_text"), packed_key(table.key)))
     placed = rows.withColumns(place | half).drop(table.key).repartition(*place)
-    whole = F.coalesce(F.lower(F.hex("_key_bytes")), F.col("_key_text"))
-    placed = placed.withColumn(table.key, whole).select(*rows.columns, *place)
+    placed = placed.withColumn(table.key, unpacked_key(*half)).select(*rows.columns, *place)
     return model.settle(placed, list(place)).drop(*place)
 
 

@@ -31,9 +31,10 @@ from sparkelt.operators.upsert import orphans_by_bitmap, upsert
 from sparkelt.plans import models as M
 from sparkelt.plans import pipeline as P
 from sparkelt.plans.incremental import run_model, watermark
+from sparkelt.sources.batches import RAW_FORMAT
 from sparkelt.sources.readers import stream_parquet
-from sparkelt.sources.storage import scratch_dir, size_of
-from sparkelt.sources.warehouse import Warehouse
+from sparkelt.sources.storage import delete, letting_go, scratch_dir, size_of
+from sparkelt.sources.warehouse import CODEC, Warehouse
 from sparkelt.streaming.ingest import DEAD_LETTER, UNTIL_DRAINED, start_ingest
 from sparkelt.streaming.publish import event_ordered, to_messages
 from sparkelt.streaming.sinks import dead_letter_sink, parquet_batch_sink, read_dead_letters, start_file_sink
@@ -173,7 +174,7 @@ def _both_feeds(of: Callable[[S.FeedSpec], DataFrame]) -> DataFrame:
 
 def _late_merge(spark: SparkSession, d: str) -> DataFrame:
     """Staging from small units, into which the rows of the last half hour are merged."""
-    wh = Warehouse(spark, scratch_dir(spark, "late"), unit_rows=500, small_bytes=0)
+    wh = Warehouse(spark, scratch_dir(spark, "late"), unit_rows=500, small_bytes=0, keep_replaced=False)
 
     def staged(feed: S.FeedSpec) -> DataFrame:
         raw, model = raw_feed(spark, d, feed), P.STAGING[feed.name]
@@ -181,7 +182,8 @@ def _late_merge(spark: SparkSession, d: str) -> DataFrame:
             run_model(wh, model, {f"raw_{feed.name}": seen})
         return wh.read(model.table)
 
-    return _both_feeds(staged)
+    with letting_go(spark):
+        return _both_feeds(staged)
 
 
 # --- checks -----------------------------------------------------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +93,20 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def letting_go(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go once the query that made them has ended, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can see, removed when the session's JVM ends.
 

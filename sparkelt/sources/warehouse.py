@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -34,7 +35,12 @@ UNIT_ROWS = 1_000_000
 #: So many units of a task have half that size; the next ones hold 1, 3, 5, ... times as many rows, so that
 #: the number of units, folders that the driver lists, grows slower than the rows.
 FULL_UNITS = 512
-#: A merge also rewrites the small units of a partition once there are so many; small is a unit of
+#: Of a write that would make more units than that, units grow as the square root of what it would make, and
+#: only those of so many bytes have an index: for less, a folder costs more than reading the keys does.
+INDEXED_BYTES = 4 << 20
+#: Tasks that list folders, at least, and folders that each lists beyond that.
+LISTING_TASKS, LISTED = 64, 64
+#: A merge also rewrites the small units of a partition once there are so many; together they make a unit of
 #: less than so many bytes.
 SMALL_UNITS = 8
 SMALL_BYTES = 32 << 20
@@ -43,6 +49,7 @@ BITMAP_WORDS = 1 << 14
 LEAST_ROW_BYTES = 16
 #: Keys are hashes in hex, which only an entropy coder halves.
 CODEC = "zstd"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 MarkDict = dict[str, datetime | None]
 
@@ -92,10 +99,21 @@ class TableSpec:
 
 class Warehouse:
     def __init__(
-        self, spark: SparkSession, root: str, unit_rows: int = UNIT_ROWS, small_bytes: int = SMALL_BYTES
+        self,
+        spark: SparkSession,
+        root: str,
+        unit_rows: int = UNIT_ROWS,
+        small_bytes: int = SMALL_BYTES,
+        keep_replaced: bool = True,
     ):
+        """``keep_replaced=False`` deletes replaced units once a write is committed: for a warehouse without
+        other readers, whose own frames over a table are not used past the table's next write."""
         self.spark, self.root = spark, root.rstrip("/")
-        self.unit_rows, self.small_bytes = unit_rows, small_bytes
+        self.unit_rows, self.small_bytes, self.keep_replaced = unit_rows, small_bytes, keep_replaced
+
+    def within(self, spark: SparkSession) -> Warehouse:
+        """The same warehouse in another session."""
+        return Warehouse(spark, self.root, self.unit_rows, self.small_bytes, self.keep_replaced)
 
     # --- places -------------------------------------------------------------------------------
 
@@ -180,22 +198,38 @@ class Warehouse:
         """Some of the folders under ``base``; only those are listed."""
         if not chosen:
             return self.spark.createDataFrame([], schema)
+        # Spark lists each folder in a task of its own, up to this many.
+        self.spark.conf.set(LISTING, str(max(LISTING_TASKS, len(chosen) // LISTED)))
         reader = self.spark.read.schema(schema).option("basePath", base)
         return reader.parquet(*[f"{base}/{n}" for n in chosen])
 
     def key_hashes(self, table: TableSpec, units: Iterable[str]) -> DataFrame:
-        """Partition, slice and the key's hash of every row of some units: the index, if there is one."""
+        """Partition, slice and the key's hash of every row of some units: the index, where there is one."""
+        units, index = list(units), f"{self.path(table.layer, table.name)}/_index"
+        known = self._folders(index, table) if table.indexed else set()
+        plain = [u for u in units if u not in known]
         hashed = F.xxhash64(table.key).alias("h")
-        if not table.indexed:
-            return self.read(table, units=units, placed=True).select(table.part.name, SLICE.name, hashed)
+        rows = self.read(table, units=plain, placed=True).select(hashed, table.part.name, SLICE.name)
+        if len(plain) == len(units):
+            return rows
         schema = T.StructType([T.StructField("h", T.LongType()), table.part, SLICE])
-        return self._scan(f"{self.path(table.layer, table.name)}/_index", list(units), schema)
+        told = self._scan(index, [u for u in units if u in known], schema)
+        return told.unionByName(rows) if plain else told
+
+    def _folders(self, base: str, table: TableSpec, label: str = "") -> set[str]:
+        """Units that have a folder under ``base``, of one write or of all."""
+        found = storage.matching(self.spark, f"{base}/{table.part.name}=*/{SLICE.name}={label}*")
+        return {"/".join(p.rstrip("/").split("/")[-2:]) for p in found}
 
     def crowded(self, table: TableSpec, units: dict[str, int]) -> set[str]:
-        """Small units of partitions that have many of them; a merge takes them along."""
+        """Small units of partitions that have many of them; a merge takes them along.
+
+        A unit that is full, or fills an eighth of ``small_bytes``, stays: taking it along costs more than its
+        folder does.
+        """
         small: dict[str | None, list[str]] = {}
         for unit, size in units.items():
-            if size < self.small_bytes:
+            if size < self.small_bytes // SMALL_UNITS:
                 small.setdefault(table.part_text(unit), []).append(unit)
         return {u for group in small.values() if len(group) >= SMALL_UNITS for u in group}
 
@@ -236,22 +270,29 @@ class Warehouse:
         return marked.filter(~upsert.bit_set(F.col("_bits"), F.col("_at"))).select(*table.schema.names)
 
     def write(
-        self, table: TableSpec, df: DataFrame, replaced: Iterable[str] | None, units: Iterable[str] | None = None
+        self,
+        table: TableSpec,
+        df: DataFrame,
+        replaced: Iterable[str] | None,
+        units: Iterable[str] | None = None,
+        rows: int = 0,
     ) -> list[str]:
         """Add the rows (declared columns and partition) in new units and drop the replaced ones.
 
         None replaces all units. Rows get a slice by task, and by every half of ``unit_rows`` (of a
-        long task by growing numbers), unless they bring one, in which case ``units`` are those that they make up. The commit is one
+        long task by growing numbers), unless they bring one, in which case ``units`` are those that they make up.
+        ``rows``, about how many there are, makes units larger where they would be very many. The commit is one
         log entry at the end: the frame may be computed from the units it replaces, lost tasks
         rerun, and a run that dies changes nothing. Returns the units written.
         """
+        replaced = None if replaced is None else list(replaced)
         base, part = self.path(table.layer, table.name), table.part.name
         label = uuid.uuid4().hex[:12]
         if units is None:
             numbered = df.withColumn("_place", F.monotonically_increasing_id())
             task = F.shiftright("_place", 33).cast("string")
             # Rows come by partition, so that a unit fills up within one; at half the size a late row costs less.
-            full = F.expr(f"(_place & {(1 << 33) - 1}) div {max(1, self.unit_rows // 2)}")
+            full = F.expr(f"(_place & {(1 << 33) - 1}) div {self._chunk(rows)}")
             later = FULL_UNITS + F.floor(F.sqrt(full - FULL_UNITS))
             chunk = F.when(full < FULL_UNITS, full).otherwise(later).cast("string")
             named = F.concat_ws("-", F.lit(label), task, chunk).alias(SLICE.name)
@@ -263,19 +304,33 @@ class Warehouse:
         # Keys hardly repeat within a file, so building a dictionary for them is wasted work.
         writer.option(f"parquet.enable.dictionary#{table.key}", "false").parquet(base)
         if units is None:
-            found = storage.matching(self.spark, f"{base}/{part}=*/{SLICE.name}={label}-*")
-            units = ["/".join(p.rstrip("/").split("/")[-2:]) for p in found]
+            units = sorted(self._folders(base, table, f"{label}-"))
         units = list(units)
-        if table.indexed and units:
-            fresh = self.read(table, units=units, placed=True)
+        with ThreadPoolExecutor(16) as pool:
+            sizes = dict(zip(units, pool.map(lambda u: storage.size_of(self.spark, f"{base}/{u}"), units)))
+        least = INDEXED_BYTES if len(units) > FULL_UNITS else 0
+        if table.indexed and (told := [u for u in units if sizes[u] >= least]):
+            fresh = self.read(table, units=told, placed=True)
             hashes = fresh.select(F.xxhash64(table.key).alias("h"), part, SLICE.name)
             index = hashes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             index.partitionBy(part, SLICE.name).parquet(f"{base}/_index")
+        log = UnitLog(self.spark, base)
+        gone = [] if self.keep_replaced else (log.live() or {}) if replaced is None else replaced
+        log.commit(sizes, replaced or (), afresh=replaced is None)
         with ThreadPoolExecutor(16) as pool:
-            sizes = dict(zip(units, pool.map(lambda u: storage.size_of(self.spark, f"{base}/{u}"), units)))
-        UnitLog(self.spark, base).commit(sizes, replaced or (), afresh=replaced is None)
+            list(pool.map(lambda u: self._delete(base, u), [u for u in gone if u not in sizes]))
         return units
 
+    def _chunk(self, rows: int) -> int:
+        """Rows of a unit, for a write of so many rows."""
+        least = max(1, self.unit_rows // 2)
+        wanted = rows / least
+        return least if wanted <= FULL_UNITS else math.ceil(least * math.sqrt(wanted / FULL_UNITS))
+
+    def _delete(self, base: str, unit: str) -> None:
+        storage.delete(self.spark, f"{base}/{unit}")
+        storage.delete(self.spark, f"{base}/_index/{unit}")
+
     def vacuum(self, table: TableSpec, keep: timedelta = timedelta(days=1)) -> list[str]:
         """Delete the folders of units that are not live, if they were dropped longer than ``keep`` ago."""
         base, log = self.path(table.layer, table.name), UnitLog(self.spark, self.path(table.layer, table.name))
@@ -285,8 +340,7 @@ class Warehouse:
         for place in storage.matching(self.spark, f"{base}/{table.part.name}=*/{SLICE.name}=*"):
             unit = "/".join(place.rstrip("/").split("/")[-2:])
             if unit not in kept and storage.modified_millis(self.spark, place) <= before:
-                storage.delete(self.spark, f"{base}/{unit}")
-                storage.delete(self.spark, f"{base}/_index/{unit}")
+                self._delete(base, unit)
                 removed.append(unit)
         return removed
 
