@@ -122,10 +122,11 @@ def _two_runs_of_staging(spark: SparkSession, d: str, feed: S.FeedSpec) -> DataF
 
 
 def _two_runs(spark: SparkSession, d: str, only: list[str]) -> Warehouse:
-    wh = Warehouse(spark, scratch_dir(spark, "two-batch"))
+    wh = Warehouse(spark, scratch_dir(spark, "two-batch"), keep_replaced=False)
     raw = {f.name: raw_feed(spark, d, f) for f in S.FEEDS.values()}
-    P.run_models(wh, {name: first_batch(df) for name, df in raw.items()}, only=only)
-    P.run_models(wh, raw, only=only)
+    with letting_go(spark):
+        P.run_models(wh, {name: first_batch(df) for name, df in raw.items()}, only=only)
+        P.run_models(wh, raw, only=only)
     return wh
 
 
