@@ -13,11 +13,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from sparkelt.schemas import FeedSpec
 from sparkelt.sources import batches, storage
-from sparkelt.sources.batches import EPOCH, Batch, micros
+from sparkelt.sources.batches import EPOCH, RAW_FORMAT, Batch, micros
 
 log = logging.getLogger(__name__)
 
@@ -76,7 +75,7 @@ def _put(rows: DataFrame, path: str, stamp: datetime, query_id: str, batch_id: i
             "batch_id": F.lit(batch_id).cast("long"),
         }
     )
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**RAW_FORMAT)
     writer.partitionBy("load_date", "query_id", "batch_id").parquet(path)
 
 
@@ -108,8 +107,8 @@ def parquet_batch_sink(feed: FeedSpec, path: str) -> BatchSink:
 def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
     """Good rows to the raw table, malformed messages with their bytes and a reason to another one.
 
-    Takes batches of ``judged_stream``. A batch is decoded once and kept until both tables have it; the
-    bytes of good messages are not kept.
+    Takes batches of ``judged_stream``. A batch is decoded once, into files beside the dead letters that stay
+    until both tables have it, so that it takes no executor's memory; the bytes of good messages are not kept.
     The dead letters go first: once the raw table has a batch, its dead letters are there. A replay
     replaces both parts.
     """
@@ -118,9 +117,11 @@ def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = _query_id(spark)
-        batch = batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        judged = batch.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+        aside = f"{dead_path}/_judged/{query_id}.{batch_id:012d}"
         try:
+            judged.write.mode("overwrite").options(**RAW_FORMAT).parquet(aside)
+            batch = spark.read.schema(judged.schema).parquet(aside)
             stamp = _stamp_of(spark, f"{path}/_loads", query_id, batch_id)
             seen = Observation()
             bad = batch.filter("reason IS NOT NULL").select("value", "reason")
@@ -129,7 +130,7 @@ def dead_letter_sink(feed: FeedSpec, path: str, dead_path: str) -> BatchSink:
                 log.warning("batch %s: %s dead letters", batch_id, seen.get["rows"])
             good(batch.filter("reason IS NULL"), batch_id)
         finally:
-            batch.unpersist()
+            storage.delete(spark, aside)
 
     load.sets_aside = True
     return load
