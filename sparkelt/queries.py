@@ -381,15 +381,21 @@ def _stream_resume(spark: SparkSession, d: str) -> DataFrame:
 FILE_BYTES = 8 << 20
 
 
-def _ingested(wh: Warehouse, d: str, messages: DataFrame, feed: S.FeedSpec, batches: int) -> None:
-    """A drop of messages, by trip, taken in by so many batches; their files grow in number, not in size."""
+def _ingested(wh: Warehouse, d: str, rows: DataFrame, feed: S.FeedSpec, batches: int) -> None:
+    """A drop of messages, by trip, taken in by so many batches; their files grow in number, not in size.
+
+    Rows move before they become messages, which are wider. Messages that were taken in are deleted.
+    """
     drop = f"{wh.root}/_messages/{feed.name}"
     files = 1 + size_of(wh.spark, f"{d}/lineitem.parquet") // (batches * FILE_BYTES)
-    messages.repartition(batches * files, "trip_id").write.mode("append").parquet(drop)
+    by_trip = rows.drop("trip_id", "loaded_at").repartition(batches * files, *feed.id_cols)
+    messages = to_messages(by_trip, feed, "json")
+    messages.write.mode("append").option("compression", CODEC).parquet(drop)
     source = stream_parquet(wh.spark, drop, messages.schema, files)
     sink = parquet_batch_sink(feed, wh.raw_path(feed))
     checkpoint = f"{wh.root}/_checkpoints/{feed.name}"
     start_ingest(source, feed, sink, checkpoint, "json", UNTIL_DRAINED).awaitTermination()
+    delete(wh.spark, drop)
 
 
 def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
@@ -397,7 +403,7 @@ def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
     wh = Warehouse(spark, scratch_dir(spark, "compaction"))
 
     def raw(feed: S.FeedSpec) -> DataFrame:
-        _ingested(wh, d, to_messages(raw_feed(spark, d, feed), feed, "json", keep=("trip_id",)), feed, 6)
+        _ingested(wh, d, raw_feed(spark, d, feed), feed, 6)
         wh.compact_raw(feed)
         wh.vacuum_raw(feed, timedelta(0))
         return wh.read_raw(feed).drop("loaded_at")
@@ -407,13 +413,15 @@ def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
 
 def _compacted_staging(spark: SparkSession, d: str) -> DataFrame:
     """Staging after each of two drops of several batches, the raw tables compacted after the first."""
-    wh = Warehouse(spark, scratch_dir(spark, "compacted"))
-    for part in (first_batch, second_batch):
-        for feed in S.FEEDS.values():
-            _ingested(wh, d, to_messages(part(raw_feed(spark, d, feed)), feed, "json", keep=("trip_id",)), feed, 3)
-        P.run_models(wh, only=[f.staging_name for f in S.FEEDS.values()])
-        for feed in S.FEEDS.values():
-            wh.compact_raw(feed)
+    wh = Warehouse(spark, scratch_dir(spark, "compacted"), keep_replaced=False)
+    with letting_go(spark):
+        for part in (first_batch, second_batch):
+            for feed in S.FEEDS.values():
+                _ingested(wh, d, part(raw_feed(spark, d, feed)), feed, 3)
+            P.run_models(wh, only=[f.staging_name for f in S.FEEDS.values()])
+            for feed in S.FEEDS.values():
+                wh.compact_raw(feed)
+                wh.vacuum_raw(feed, timedelta(0))
     return _both_feeds(lambda f: wh.read(P.STAGING[f.name].table).select("trip_id", "fare_amount", "trip_distance"))
 
 
