@@ -408,7 +408,8 @@ def _stream_compaction(spark: SparkSession, d: str) -> DataFrame:
         wh.vacuum_raw(feed, timedelta(0))
         return wh.read_raw(feed).drop("loaded_at")
 
-    return _both_feeds(raw)
+    with letting_go(spark):
+        return _both_feeds(raw)
 
 
 def _compacted_staging(spark: SparkSession, d: str) -> DataFrame:
@@ -487,17 +488,18 @@ def _stream_timer(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _drops(spark: SparkSession, raw: DataFrame, drop: str, parts: list, take: Callable) -> None:
-    """Writes a part of the rows after the other into a folder; a new query over it takes each."""
+    """Writes a part of the rows after the other into a folder; a new query over it takes each, which then goes."""
     for part in parts:
         rows = part(raw)
-        rows.write.mode("append").parquet(drop)
+        rows.write.mode("append").options(**RAW_FORMAT).parquet(drop)
         take(stream_parquet(spark, drop, rows.schema)).awaitTermination()
+        delete(spark, drop)
 
 
 def _stream_staging(spark: SparkSession, d: str) -> DataFrame:
     """Both staging tables kept by streams. Rows come by half a month of pickup, but those loaded in the
     second half of the day half a month later, with a restart of the query after each drop."""
-    wh = Warehouse(spark, scratch_dir(spark, "stream-staging"))
+    wh = Warehouse(spark, scratch_dir(spark, "stream-staging"), keep_replaced=False)
     days = [f"TIMESTAMP_NTZ'2024-{day} 00:00:00'" for day in ("01-01", "01-17", "02-01", "02-11")]
 
     def staged(feed: S.FeedSpec) -> DataFrame:
@@ -515,7 +517,8 @@ def _stream_staging(spark: SparkSession, d: str) -> DataFrame:
         _drops(spark, raw_feed(spark, d, feed), drop, [part(n) for n in range(3)], take)
         return wh.read(P.STAGING[feed.name].table)
 
-    return _both_feeds(staged)
+    with letting_go(spark):
+        return _both_feeds(staged)
 
 
 def _stream_dims(spark: SparkSession, d: str) -> DataFrame:

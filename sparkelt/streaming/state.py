@@ -7,23 +7,45 @@ replayed batch does no harm.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import threading
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
+from sparkelt.functions.columns import packed_key, unpacked_key
 from sparkelt.plans import models as M
 from sparkelt.plans import pipeline as P
 from sparkelt.plans.incremental import Model, RunResult, apply_updates
 from sparkelt.schemas import FeedSpec
+from sparkelt.sources import storage
+from sparkelt.sources.batches import RAW_FORMAT
 from sparkelt.sources.warehouse import MarkDict, Warehouse
 from sparkelt.streaming.ingest import EVERY_5_SECONDS
 from sparkelt.streaming.sinks import BatchSink
 
 #: A version counts if its trip was picked up at most so long before the latest pickup seen.
 LATE_BY = "31 days"
+#: State lies on the executors' disks and takes so many MB of memory in each at most; kept in memory, as Spark
+#: does by default, it would take as much as there are keys. A query that was begun otherwise goes on as it was.
+STATE_MB = 512
+STATE_STORE = {
+    f"spark.sql.streaming.stateStore.{name}": value
+    for name, value in {
+        "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "rocksdb.boundedMemoryUsage": "true",
+        "rocksdb.maxMemoryUsageMB": str(STATE_MB),
+        "rocksdb.trackTotalNumberOfRows": "false",
+    }.items()
+}
+DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+}
+_starting = threading.Lock()
 
 
 def newest_per_key(
@@ -32,14 +54,19 @@ def newest_per_key(
     """The newest row of each key so far, emitted whenever a batch holds the key.
 
     ``event_time`` must be a function of the key. State lasts until the watermark, the greatest
-    event time less ``delay``, has passed a key's own: memory holds the keys of that stretch of
+    event time less ``delay``, has passed a key's own: it holds the keys of that stretch of
     time only. Rows that come later than that are dropped, as are rows whose event time is NULL.
     Newest is by ``order_by``, NULLs last. Map tasks send one row per key and batch.
     """
-    row, order = F.struct(*stream.columns), F.struct(*order_by)
+    row, order = F.struct(*[c for c in stream.columns if c != key]), F.struct(*order_by)
     timed = stream.filter(F.col(event_time).isNotNull()).withColumn("_event", F.col(event_time).cast("timestamp"))
-    by_key = timed.withWatermark("_event", delay).groupBy("_event", key)
-    return by_key.agg(F.max_by(row, order).alias("_row")).select("_row.*")
+    by, whole = {"_key": F.col(key)}, F.col("_key")
+    if isinstance(stream.schema[key].dataType, T.StringType):  # state has each key once, and hex as bytes
+        by = dict(zip(("_key_bytes", "_key_text"), packed_key(key)))
+        whole = unpacked_key(*by)
+    by_key = timed.withColumns(by).withWatermark("_event", delay).groupBy("_event", *by)
+    newest = by_key.agg(F.max_by(row, order).alias("_row")).select(whole.alias(key), "_row.*")
+    return newest.select(*stream.columns)
 
 
 def merged(wh: Warehouse, model: Model, rows: DataFrame, marks: MarkDict | None = None) -> RunResult:
@@ -54,25 +81,43 @@ def merged(wh: Warehouse, model: Model, rows: DataFrame, marks: MarkDict | None
 
 
 def _kept(wh: Warehouse, write: Callable[[Warehouse, DataFrame], None]) -> BatchSink:
-    """A sink that may read its batch several times; the state is advanced once.
+    """A sink that may read its batch several times, from files; the state is advanced once.
 
     A streaming query has a session of its own, in which the stored tables have to be read too.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark, aside = batch.sparkSession, f"{wh.root}/_aside/{uuid.uuid4().hex}"
         try:
-            if not batch.isEmpty():
-                write(Warehouse(batch.sparkSession, wh.root, wh.unit_rows, wh.small_bytes), batch)
+            batch.write.options(**RAW_FORMAT).parquet(aside)
+            rows = spark.read.schema(batch.schema).parquet(aside)
+            if not rows.isEmpty():
+                write(wh.within(spark), rows)
         finally:
-            batch.unpersist()
+            storage.delete(spark, aside)
 
     return load
 
 
+@contextmanager
+def _with(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings that a query takes over when it starts; those that the session has made go first."""
+    with _starting:
+        own = {k: v for k, v in settings.items() if spark.conf.get(k, None) in (None, DEFAULTS.get(k))}
+        before = {k: spark.conf.get(k, None) for k in own}
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _started(rows: DataFrame, sink: BatchSink, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return writer.outputMode("update").trigger(**(trigger or EVERY_5_SECONDS)).start()
+    with _with(rows.sparkSession, STATE_STORE):
+        return writer.outputMode("update").trigger(**(trigger or EVERY_5_SECONDS)).start()
 
 
 # --- staging ----------------------------------------------------------------------------------
