@@ -167,7 +167,7 @@ def apply_updates(
     replaced = matched | crowded
     if len(replaced) > MANY_UNITS:
         count += wh.key_hashes(table, replaced).count()
-    added = wh.write(table, placed, replaced, rows=count)
+    added = wh.write(table, placed, replaced, None, count)
     wh.set_marks(table, after)
     return RunResult(model.name, "merge", touched, before, after, added)
 
@@ -212,7 +212,7 @@ def _build(wh: Warehouse, model: Model, rows: DataFrame, upstream: MarkDict | No
     elif model.spread:
         part = table.part_of().alias(table.part.name)
         rows = _gather(rows.select("*", part), table).drop(table.part.name)
-    wh.write(table, model.finish(rows).transform(table.with_part), None, rows=sum(found.rows.values()) if found else 0)
+    wh.write(table, model.finish(rows).transform(table.with_part), None, None, sum(found.rows.values()) if found else 0)
     # The newest version of a key is the last loaded, so settled rows have the marks of all.
     after = upstream or (found.marks if found else watermarks(wh.read(table), model.feeds))
     wh.set_marks(table, after)
